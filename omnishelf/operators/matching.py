@@ -70,10 +70,10 @@ def match_passes(
             }
         ).select(*pending.columns)
         pending = joined.unionByName(unkeyed)
-        rest = rest.join(used, keys, "left_anti")
+        rest = rest.join(used, keys, "left_anti").select(*right_columns)
         if squeeze is not None:
             pending = squeeze(pending)
-    return pending, rest.select(*right_columns)
+    return pending, rest
 
 
 def match_key(keys: Sequence[str], source: str) -> Column:

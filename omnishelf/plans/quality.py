@@ -298,19 +298,21 @@ def orphaned_manual_ratings(items: DataFrame, ratings: DataFrame) -> DataFrame:
     return keyed.join(named, keys, "left_anti").select("domain", "title", "creator")
 
 
-def duplicate_items(items: DataFrame) -> DataFrame:
-    """Keys held by several items, with the distinct spellings and how often each occurs.
+def duplicate_items(items: DataFrame, repeat_copies: bool = False) -> DataFrame:
+    """Keys held by several items, with the spellings that occur.
 
-    Counting per spelling first keeps a key with very many copies from being listed copy by copy
-    in one task; the lists are then rebuilt in order from the counts.
+    Each spelling is listed once and ``duplicate_count`` tells how many items share the key, so the
+    lists stay as short as the number of spellings. ``repeat_copies`` lists a spelling once per
+    item; its lists grow with the number of copies. Spellings are counted before the lists are
+    made, so a key with very many copies is combined in every task first.
     """
     keys = ["domain", "title_key", "creator_key"]
-    named = items.dropna(subset=["title_key", "creator_key"]).withColumn(
-        "creator", F.coalesce("creator", F.lit("<unknown>"))
-    )
+    named = items.dropna(subset=["title_key", "creator_key"])
     spelled = named.groupBy(*keys, "title", "creator").agg(F.count(F.lit(1)).alias("n"))
 
     def listed(column: str) -> Column:
+        if not repeat_copies:
+            return F.array_join(F.sort_array(F.collect_set(column)), " | ")
         pairs = F.sort_array(F.collect_list(F.struct(F.col(column), F.col("n"))))
         repeated = F.transform(pairs, lambda p: F.array_repeat(p[column], p["n"].cast("int")))
         return F.array_join(F.flatten(repeated), " | ")

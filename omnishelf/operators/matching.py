@@ -46,31 +46,32 @@ def match_passes(
     right_type = right.select(
         F.struct(right_id, *[c for c in right_columns if c != right_id]).alias("s")
     ).schema["s"].dataType
-    pending = left.withColumn("right", F.lit(None).cast(right_type)).withColumn(
-        "match_type", F.lit(None).cast("string")
+    open_row = F.col("match_type").isNull()
+    pending = left.withColumns(
+        {"right": F.lit(None).cast(right_type), "match_type": F.lit(None).cast("string")}
     )
-    rest = right
-    for match_type, keys in passes.items():
-        keys = list(keys)
-        open_row = F.col("match_type").isNull()
-        used = pending.filter(open_row & _all_set(keys)).select(*keys).distinct()
+    columns = pending.columns
+    rest, seen = right, pending
+    for n, (match_type, keys) in enumerate(passes.items()):
+        complete = _all_set(keys)
         best = _best_by_key(rest, keys, right_id)
-        # Rows without a key cannot match: they skip the shuffle instead of meeting in one task.
-        keyed = pending.filter(_all_set(keys))
-        unkeyed = pending.filter(~_all_set(keys))
-        condition = reduce(
-            lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys], open_row
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_r_{k}") for k in keys])
+        # Rows without an identifier skip the first shuffle instead of meeting in one task. Later
+        # passes run on squeezed rows, where a NULL key is no longer common.
+        first = n == 0
+        keyed = pending.filter(complete) if first else pending
+        found = F.when(F.col("_found").isNotNull(), F.lit(match_type))
+        joined = keyed.join(best, same & open_row, "left").select(
+            *[c for c in columns if c not in ("right", "match_type")],
+            F.coalesce("right", "_found").alias("right"),
+            F.coalesce("match_type", found).alias("match_type"),
         )
-        found = F.col("_found").isNotNull()
-        joined = keyed.join(best, condition, "left")
-        joined = joined.withColumns(
-            {
-                "right": F.coalesce("right", "_found"),
-                "match_type": F.when(found, F.lit(match_type)).otherwise(F.col("match_type")),
-            }
-        ).select(*pending.columns)
-        pending = joined.unionByName(unkeyed)
-        rest = rest.join(used, keys, "left_anti").select(*right_columns)
+        # Only keys are needed to take the matched rows from the right side, so this reads few
+        # columns and no squeezed rows.
+        used = seen.filter(complete & open_row).select(*keys).distinct()
+        rest = rest.join(used, list(keys), "left_anti").select(*right_columns)
+        pending = joined.unionByName(pending.filter(~complete)) if first else joined
+        seen = pending
         if squeeze is not None:
             pending = squeeze(pending)
     return pending, rest
@@ -93,37 +94,46 @@ def fold_histories(
     keys: Sequence[str],
     latest: Mapping[str, str],
     totals: Mapping[str, Mapping[str, Column]] | None = None,
+    base: DataFrame | None = None,
+    base_name: str = "base",
 ) -> DataFrame:
     """Fold the histories of several sources into one row per key, in one shuffle.
 
     For each source the result has a struct column named after it: its latest row by
     ``latest[source]`` (all other columns break ties), NULL when the source lacks the key.
-    ``totals[source]`` adds aggregates over all its rows as further columns. The result is
-    partitioned by ``match_key``, ready for ``outer_unify``.
+    ``totals[source]`` adds aggregates over all its rows as further columns. The keys of ``base``
+    take part as well and set ``in_base``, which prepares ``outer_unify``.
     """
     tagged = []
     for name, df in sources.items():
         lead = latest[name]
         row = F.struct(lead, *[c for c in df.columns if c != lead and c not in keys])
         tagged.append(df.select(match_key(keys, name).alias("match_key"), *keys, row.alias(name)))
+    if base is not None:
+        tagged.append(
+            base.select(
+                match_key(keys, base_name).alias("match_key"), *keys, F.lit(True).alias("in_base")
+            )
+        )
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     aggregates = [F.max(c).alias(c) for c in [*keys, *sources]]
     for wanted in (totals or {}).values():
         aggregates += [c.alias(out) for out, c in wanted.items()]
+    if base is not None:
+        aggregates.append(F.coalesce(F.max("in_base"), F.lit(False)).alias("in_base"))
     return rows.groupBy("match_key").agg(*aggregates)
 
 
 def outer_unify(base: DataFrame, name: str, spine: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of ``base`` with a spine from ``fold_histories``.
+    """Full outer join of ``base`` with a spine that ``fold_histories`` made for it.
 
     The base row arrives as the struct ``name``. It may repeat a key: each of its rows is kept and
-    meets the one spine row of its key. Written as a left join plus an anti join, because Spark can
-    split a hot partition of a left join but not of a full outer join.
+    meets the one spine row of its key. As the spine knows every base key, an inner join and the
+    spine rows without a base row make the outer join; Spark can split a hot partition of an inner
+    join but not of a full outer join.
     """
     payload = F.struct(*[c for c in base.columns if c not in keys]).alias(name)
-    packed = base.select(match_key(keys, name).alias("match_key"), *keys, payload)
-    others = spine.drop(*keys)
-    met = packed.join(others, "match_key", "left")
-    seen = packed.select("match_key").distinct()
-    spine_only = spine.join(seen, "match_key", "left_anti")
-    return met.unionByName(spine_only, allowMissingColumns=True).drop("match_key")
+    packed = base.select(match_key(keys, name).alias("match_key"), payload)
+    met = packed.join(spine, "match_key")
+    alone = spine.filter(~F.col("in_base"))
+    return met.unionByName(alone, allowMissingColumns=True).drop("match_key", "in_base")

@@ -50,7 +50,10 @@ def _with_author_key(df: DataFrame, lookups: Lookups) -> DataFrame:
 def unify_books(
     bookbuddy: DataFrame, goodreads: DataFrame, lookups: Lookups, strict_reference: bool = False
 ) -> DataFrame:
-    """One row per (title, author), with the columns of both apps where they match."""
+    """One row per (title, author), with the columns of both apps where they match.
+
+    Both inputs are read once per match pass: give stored tables, not long plans.
+    """
     keep = "raw_author_key" if strict_reference else "author_key"
 
     def rated(df: DataFrame) -> DataFrame:

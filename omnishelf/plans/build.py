@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from omnishelf.plans.books import unify_books, unify_manga
 from omnishelf.plans.marts import (
+    DOMAINS,
     anime_collection,
     books_collection,
     country_index,
@@ -28,42 +29,47 @@ def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: STAGES[name](df) for name, df in raw.items()}
 
 
-def unify_all(
+def unify(
+    domain: str,
     staged: Mapping[str, DataFrame],
     lookups: Mapping[str, DataFrame],
     strict_reference: bool = False,
-) -> dict[str, DataFrame]:
-    return {
-        "books": unify_books(
-            staged["bookbuddy"], staged["goodreads"], lookups, strict_reference
-        ),
-        "movies": unify_movies(
+) -> DataFrame:
+    """The unified table of one domain; only the sources of that domain are looked up."""
+    if domain == "books":
+        return unify_books(staged["bookbuddy"], staged["goodreads"], lookups, strict_reference)
+    if domain == "manga":
+        return unify_manga(staged["bookbuddy"], lookups)
+    if domain == "movies":
+        return unify_movies(
             staged["moviebuddy"], staged["letterboxd"], staged["trakt_watched_movies"],
             staged["trakt_ratings"], lookups, strict_reference,
-        ),
-        "music": unify_music(
+        )
+    if domain == "anime":
+        return unify_anime(
+            staged["moviebuddy"], staged["trakt_watched_shows"], staged["trakt_ratings"],
+            lookups, strict_reference,
+        )
+    if domain == "music":
+        return unify_music(
             staged["musicbuddy"], staged["bandcamp_collection"], staged["bandcamp_wishlist"],
             staged["spotify_saved_albums"], staged["spotify_followed_artists"], lookups,
             strict_reference,
-        ),
-        "manga": unify_manga(staged["bookbuddy"], lookups),
-        "anime": unify_anime(
-            staged["moviebuddy"], staged["trakt_watched_shows"], staged["trakt_ratings"],
-            lookups, strict_reference,
-        ),
-    }
-
-
-def collect_marts(
-    unified: Mapping[str, DataFrame], strict_reference: bool = False
-) -> dict[str, DataFrame]:
-    return {
-        "books": books_collection(unified["books"], strict_reference),
-        "movies": movies_collection(unified["movies"]),
-        "music": music_collection(unified["music"]),
-        "manga": manga_collection(unified["manga"]),
-        "anime": anime_collection(unified["anime"]),
+        )
+    raise ValueError(f"unknown domain {domain!r}")
+
+
+def collect(domain: str, unified: DataFrame, strict_reference: bool = False) -> DataFrame:
+    """The collection table of one domain."""
+    if domain == "books":
+        return books_collection(unified, strict_reference)
+    plain = {
+        "movies": movies_collection,
+        "music": music_collection,
+        "manga": manga_collection,
+        "anime": anime_collection,
     }
+    return plain[domain](unified)
 
 
 def build(
@@ -86,11 +92,11 @@ def build(
     land(staged, folders["staging"])
     staged = read_tables(spark, folders["staging"], staged)
 
-    unified = unify_all(staged, lookups, strict_reference)
+    unified = {d: unify(d, staged, lookups, strict_reference) for d in DOMAINS}
     land(unified, folders["unified"])
     unified = read_tables(spark, folders["unified"], unified)
 
-    collections = collect_marts(unified, strict_reference)
+    collections = {d: collect(d, df, strict_reference) for d, df in unified.items()}
     land({f"{d}_collection": df for d, df in collections.items()}, folders["mart"])
     stored = read_tables(spark, folders["mart"], [f"{d}_collection" for d in collections])
     by_domain = {d: stored[f"{d}_collection"] for d in collections}

@@ -147,6 +147,8 @@ def unify_movies(
                 "diary_count": F.count("diary"),
             },
         },
+        base=base,
+        base_name="owned",
     )
     spine = _tracker_genres(spine, labels, distinct)
     merged = outer_unify(base, "owned", spine, KEYS)
@@ -234,6 +236,8 @@ def unify_anime(
         KEYS,
         latest={"watched": "last_watched_at", "rated": "rated_at"},
         totals={"watched": {"plays": F.sum("watched.watch_count")}},
+        base=base,
+        base_name="owned",
     )
     spine = _tracker_genres(spine, labels, distinct)
     merged = outer_unify(base, "owned", spine, KEYS)

@@ -1,10 +1,12 @@
-"""Full-refresh sinks."""
+"""Full-refresh sinks and intermediate tables."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -25,3 +27,30 @@ def land(
     for name, df in chosen.items():
         overwrite(df, f"{folder}/{name}")
     return None
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where jobs may leave intermediate tables: the folder the cluster names for checkpoints.
+
+    A machine-local folder serves only a local session, as in tests.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="omnishelf-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a relation that several plans read, and read it back.
+
+    Cuts the lineage: a lost executor costs a reread instead of the whole plan. Unlike a
+    checkpoint, the table keeps column pruning, pushed filters and size statistics.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    overwrite(df, path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from omnishelf.plans import build, marts, quality
 from omnishelf.session import configure
+from omnishelf.sources.sinks import stored
 from verification import oracle_models as oracle
 from verification.derived import RAW, Derived
 
@@ -27,12 +28,19 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def unified(d: Derived, strict: bool = False) -> dict:
-    return build.unify_all(d.staged, d.lookups, strict)
+def unified(d: Derived, domain: str, strict: bool = False) -> DataFrame:
+    staged = d.staged
+    if domain == "books":
+        staged = {name: stored(d.staged[name]) for name in ("bookbuddy", "goodreads")}
+    return build.unify(domain, staged, d.lookups, strict)
 
 
-def collections(d: Derived, strict: bool = False) -> dict:
-    return build.collect_marts(unified(d, strict), strict)
+def collection(d: Derived, domain: str, strict: bool = False) -> DataFrame:
+    return build.collect(domain, unified(d, domain, strict), strict)
+
+
+def collections(d: Derived, strict: bool = False) -> dict[str, DataFrame]:
+    return {domain: collection(d, domain, strict) for domain in marts.DOMAINS}
 
 
 def _staged(name: str):
@@ -40,11 +48,11 @@ def _staged(name: str):
 
 
 def _unified(domain: str, strict: bool):
-    return lambda spark, sf: plain(unified(Derived(configure(spark), sf), strict)[domain])
+    return lambda spark, sf: plain(unified(Derived(configure(spark), sf), domain, strict))
 
 
 def _collection(domain: str):
-    return lambda spark, sf: plain(collections(Derived(configure(spark), sf))[domain])
+    return lambda spark, sf: plain(collection(Derived(configure(spark), sf), domain))
 
 
 def media_summary_models(spark: SparkSession, sf: str) -> DataFrame:

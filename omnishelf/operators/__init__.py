@@ -1,6 +1,6 @@
 from omnishelf.operators.checks import (
-    between,
     accepted_values,
+    between,
     case_insensitive_unique,
     not_null,
     relationship,
@@ -12,7 +12,7 @@ from omnishelf.operators.dedupe import first_per_key, keep_latest, latest_with_b
 from omnishelf.operators.lookup import attach, attach_creator_country, unique_lookup
 from omnishelf.operators.matching import fold_histories, match_passes, outer_unify
 from omnishelf.operators.rollup import rollup_sources
-from omnishelf.operators.tokens import map_tokens
+from omnishelf.operators.tokens import fits_inline, map_tokens
 
 __all__ = [
     "accepted_values",
@@ -21,6 +21,7 @@ __all__ = [
     "between",
     "case_insensitive_unique",
     "first_per_key",
+    "fits_inline",
     "fold_histories",
     "keep_latest",
     "latest_with_bounds",

@@ -134,6 +134,7 @@ def outer_unify(base: DataFrame, name: str, spine: DataFrame, keys: Sequence[str
     """
     payload = F.struct(*[c for c in base.columns if c not in keys]).alias(name)
     packed = base.select(match_key(keys, name).alias("match_key"), payload)
-    met = packed.join(spine, "match_key")
-    alone = spine.filter(~F.col("in_base"))
+    # Both branches filter on in_base, so they need the same columns and share one shuffle.
+    met = packed.join(spine.filter("in_base"), "match_key")
+    alone = spine.filter("NOT in_base")
     return met.unionByName(alone, allowMissingColumns=True).drop("match_key", "in_base")

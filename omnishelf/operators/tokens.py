@@ -33,6 +33,7 @@ def map_tokens(
     ``mapping`` is (token_key, label), unique on token_key; tokens without a label are dropped. A
     small mapping is applied inside the row, with no explode and no shuffle. A mapping that may grow
     goes through explode, join and one aggregation by ``id_cols``, which must identify the row.
+    ``inline`` gives the outcome of ``fits_inline`` where one mapping serves several columns.
     """
     known = mapping.filter("token_key IS NOT NULL AND label IS NOT NULL")
     if inline is None:

@@ -19,7 +19,12 @@ from omnishelf.functions import (
     surrogate_key,
     zero_to_null,
 )
-from omnishelf.operators import attach_creator_country, map_tokens, rollup_sources
+from omnishelf.operators import (
+    attach_creator_country,
+    fits_inline,
+    map_tokens,
+    rollup_sources,
+)
 from omnishelf.operators.rollup import joined_ranked_set, joined_set
 from omnishelf.plans.enrich import Lookups, attach_manual_rating, genre_labels, translate_country
 
@@ -44,11 +49,11 @@ def _tag(source: str, media_format: str) -> dict[str, Column]:
     }
 
 
-def shelf_rows(musicbuddy: DataFrame, labels: DataFrame, distinct: bool) -> DataFrame:
+def shelf_rows(musicbuddy: DataFrame, labels: DataFrame, **how) -> DataFrame:
     display = strip_number_suffix("artist")
     rows = map_tokens(
         musicbuddy.withColumnRenamed("genres", "_raw"),
-        split_csv("_raw"), labels, "genres", ["album_id"], distinct=distinct,
+        split_csv("_raw"), labels, "genres", ["album_id"], **how,
     )
     return rows.withColumns(
         {
@@ -85,7 +90,7 @@ def shop_rows(collection: DataFrame, wishlist: DataFrame) -> DataFrame:
 
 
 def streaming_rows(
-    albums: DataFrame, followed: DataFrame, labels: DataFrame, distinct: bool
+    albums: DataFrame, followed: DataFrame, labels: DataFrame, **how
 ) -> DataFrame:
     """Saved albums rarely carry genres; those of the first artist stand in when followed."""
     artists = followed.filter("artist_id IS NOT NULL").groupBy(
@@ -113,7 +118,7 @@ def streaming_rows(
         *[c.alias(name) for name, c in _tag("spotify", "digital").items()],
     )
     return map_tokens(
-        rows, split_json("_raw"), labels, "genres", ["spotify_album_id"], distinct=distinct
+        rows, split_json("_raw"), labels, "genres", ["spotify_album_id"], **how
     ).drop("_raw")
 
 
@@ -128,11 +133,11 @@ def unify_music(
 ) -> DataFrame:
     """One row per album: the best source describes it, all sources add ids and formats."""
     labels = genre_labels(lookups, "music")
-    distinct = not strict_reference
+    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
     parts = [
-        shelf_rows(musicbuddy, labels, distinct),
+        shelf_rows(musicbuddy, labels, **how),
         shop_rows(bandcamp_collection, bandcamp_wishlist),
-        streaming_rows(saved_albums, followed_artists, labels, distinct),
+        streaming_rows(saved_albums, followed_artists, labels, **how),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

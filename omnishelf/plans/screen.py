@@ -18,6 +18,7 @@ from omnishelf.functions import (
 from omnishelf.operators import (
     attach,
     attach_creator_country,
+    fits_inline,
     fold_histories,
     map_tokens,
     outer_unify,
@@ -69,7 +70,7 @@ def animated_shows(df: DataFrame) -> DataFrame:
     return df.filter(has_text("genres", "animation", "anime"))
 
 
-def _collection(df: DataFrame, labels: DataFrame, distinct: bool) -> DataFrame:
+def _collection(df: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Collection rows with their match key and genre labels."""
     rows = df.select(
         *["movie_id", "title", "content_type", "release_year", "rating", "directors", "genres"],
@@ -78,7 +79,7 @@ def _collection(df: DataFrame, labels: DataFrame, distinct: bool) -> DataFrame:
         norm_key(first_token("directors")).alias("director_key"),
     )
     return map_tokens(
-        rows, split_csv("genres"), labels, "genre_labels", ["movie_id"], distinct=distinct
+        rows, split_csv("genres"), labels, "genre_labels", ["movie_id"], **how
     ).drop("genres")
 
 
@@ -106,14 +107,14 @@ def _either(field: str) -> Column:
     return F.coalesce(f"watched.{field}", f"rated.{field}")
 
 
-def _tracker_genres(df: DataFrame, labels: DataFrame, distinct: bool) -> DataFrame:
+def _tracker_genres(df: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Labels of the tracker's genres. Without a complete match key there is nothing to attach
     them to, so such rows get none."""
     tokens = F.when(
         F.col("title_key").isNotNull() & F.col("release_year").isNotNull(),
         split_json(_either("genres")),
     )
-    return map_tokens(df, tokens, labels, "tracker_labels", KEYS, distinct=distinct)
+    return map_tokens(df, tokens, labels, "tracker_labels", ["match_key"], **how)
 
 
 def unify_movies(
@@ -126,8 +127,8 @@ def unify_movies(
 ) -> DataFrame:
     """One row per film over all three apps."""
     labels = genre_labels(lookups, "movies")
-    distinct = not strict_reference
-    base = _collection(films_only(moviebuddy, strict_reference), labels, distinct)
+    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
+    base = _collection(films_only(moviebuddy, strict_reference), labels, **how)
     diary = letterboxd.select(
         norm_key("film_name").alias("title_key"),
         *["release_year", "watched_date", "film_name", "rating", "letterboxd_uri"],
@@ -150,7 +151,7 @@ def unify_movies(
         base=base,
         base_name="owned",
     )
-    spine = _tracker_genres(spine, labels, distinct)
+    spine = _tracker_genres(spine, labels, **how)
     merged = outer_unify(base, "owned", spine, KEYS)
 
     has_trakt = F.col("watched").isNotNull() | F.col("rated").isNotNull()
@@ -224,8 +225,8 @@ def unify_anime(
 ) -> DataFrame:
     """One row per animated series. The tracker uses the film genres for shows as well."""
     labels = genre_labels(lookups, "movies")
-    distinct = not strict_reference
-    base = _collection(animated_series(moviebuddy), labels, distinct)
+    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
+    base = _collection(animated_series(moviebuddy), labels, **how)
     histories = _tracked(
         animated_shows(trakt_watched),
         animated_shows(_ratings(trakt_ratings, "show")),
@@ -239,7 +240,7 @@ def unify_anime(
         base=base,
         base_name="owned",
     )
-    spine = _tracker_genres(spine, labels, distinct)
+    spine = _tracker_genres(spine, labels, **how)
     merged = outer_unify(base, "owned", spine, KEYS)
 
     has_trakt = F.col("watched").isNotNull() | F.col("rated").isNotNull()

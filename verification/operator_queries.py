@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from omnishelf.operators.rollup import joined_ranked_set, joined_set
 from omnishelf.plans import enrich, marts, quality, reports
 from omnishelf.session import configure
 from omnishelf.sources import payloads
-from omnishelf.sources.schemas import PAYLOADS
+from omnishelf.sources.readers import read_payload
+from omnishelf.sources.sinks import shared_folder
 from verification.derived import run, table
 from verification.model_queries import plain
 from verification.oracle_models import NULL_FIELD, k, sk
@@ -691,16 +694,12 @@ def qa_duplicates(t, spark):
 
 
 def _payload(df: DataFrame, kind: str, **fields) -> DataFrame:
-    """Write rows as JSON documents and read them with the payload's declared schema."""
+    """Land rows as JSON lines in the shared folder and read them as the jobs read payloads."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
     document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    schema = f"struct<{_as_fields(PAYLOADS[kind])}>"
-    return df.select(F.from_json(document, schema).alias("p")).select("p.*")
-
-
-def _as_fields(ddl: str) -> str:
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(ddl).simpleString()[len("struct<") : -1]
+    df.select(document.alias("value")).write.text(path)
+    return read_payload(spark, path, kind)
 
 
 def _artists(key: str):

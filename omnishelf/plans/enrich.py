@@ -31,13 +31,12 @@ def translate_country(df: DataFrame, lookups: Lookups, country: str, out: str) -
     return attach(df, labels, {"country_key": norm_key(country)}, {out: "country_fr"})
 
 
-def manual_ratings(lookups: Lookups, domain: str) -> DataFrame:
-    """Latest manual rating per (title, creator) of a domain."""
+def manual_ratings(lookups: Lookups, domain: str, per_creator: bool = True) -> DataFrame:
+    """Latest manual rating per (title, creator) of a domain, or per title alone."""
     rows = lookups["manual_ratings"].filter(F.col("domain") == domain)
-    keys = {
-        "title_key": norm_key("title"),
-        "creator_key": norm_key("author_or_director_or_artist"),
-    }
+    keys = {"title_key": norm_key("title")}
+    if per_creator:
+        keys["creator_key"] = norm_key("author_or_director_or_artist")
     return unique_lookup(rows, keys, ["rating"], prefer=[F.col("rated_at")])
 
 

@@ -277,12 +277,9 @@ def unify_anime(
         rows, lookups, ["director_country", "tracker_country"],
         translated=["director_country", "tracker_country"] if strict_reference else None,
     )
-    ratings = manual_ratings(lookups, "anime")
-    if not strict_reference:
-        # The join is on the title alone; two creators of one title must not double the row.
-        ratings = unique_lookup(
-            ratings, {"title_key": F.col("title_key")}, ["rating"], [F.col("creator_key")]
-        )
+    # The join is on the title alone. Two creators of one title would double the row, so by default
+    # the latest rating of the title is taken.
+    ratings = manual_ratings(lookups, "anime", per_creator=strict_reference)
     rows = attach(rows, ratings, {"title_key": "title_key"}, {"manual_rating": "rating"})
     return rows.withColumns(
         {

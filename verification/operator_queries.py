@@ -995,17 +995,17 @@ def genre_ratings(t, spark):
 
 @registered(
     """SELECT p_partkey FROM part WHERE contains(' ' || p_name || ' ', ' red ')
-       AND p_brand = 'Brand#3' AND p_type = 'PROMO' AND p_size > 10"""
+       AND p_type = 'PROMO' AND p_retailprice > 905 AND p_size > 10"""
 )
 def filtered_collection(t, spark):
     items = t("part").select(
         "p_partkey",
         F.replace("p_name", F.lit(" "), F.lit(",")).alias("genres"),
-        F.col("p_brand").alias("country"),
-        F.col("p_type").alias("source"),
+        F.col("p_type").alias("country"),
+        F.when(F.col("p_retailprice") > 905, "dear").otherwise("cheap").alias("source"),
         (F.col("p_size") > 10).alias("is_rated"),
         F.lit(True).alias("is_watched"),
     )
     return reports.filter_collection(
-        items, "red", "Brand#3", "PROMO", rated_only=True, watched_only=True
+        items, "red", "PROMO", "dear", rated_only=True, watched_only=True
     ).select("p_partkey")

@@ -404,8 +404,8 @@ def anime_ctes(strict: bool) -> dict[str, str]:
         country = f"coalesce({country_label('origin')}, origin)"
         ratings = f"""SELECT {k('title')} AS rated_key, rating FROM lk_manual_ratings
             WHERE domain = 'anime'
-            QUALIFY row_number() OVER (PARTITION BY rated_key ORDER BY
-                {k('author_or_director_or_artist')} DESC NULLS LAST, rating) = 1"""
+            QUALIFY row_number() OVER (PARTITION BY rated_key
+                                       ORDER BY rated_at DESC NULLS LAST, rating) = 1"""
     return {
         "series": COLLECTION
         + " WHERE content_type = 'TV Show' AND lower(genres) LIKE '%animation%'",

@@ -8,7 +8,12 @@ from omnishelf.operators.checks import (
     unique,
     unique_combination,
 )
-from omnishelf.operators.dedupe import first_per_key, keep_latest, latest_with_bounds
+from omnishelf.operators.dedupe import (
+    first_per_key,
+    keep_latest,
+    latest_with_bounds,
+    reduce_for_join,
+)
 from omnishelf.operators.lookup import attach, attach_creator_country, unique_lookup
 from omnishelf.operators.matching import fold_histories, match_passes, outer_unify
 from omnishelf.operators.rollup import rollup_sources
@@ -29,6 +34,7 @@ __all__ = [
     "match_passes",
     "not_null",
     "outer_unify",
+    "reduce_for_join",
     "relationship",
     "rollup_sources",
     "row_checks",

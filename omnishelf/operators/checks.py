@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions.keys import norm_key
+from omnishelf.operators.dedupe import reduce_for_join
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,7 +47,7 @@ def between(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
 
 def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Rows whose value has no parent; NULL passes."""
-    keys = parent.select(F.col(parent_column).alias("_parent")).distinct()
+    keys = reduce_for_join(parent, {"_parent": parent_column}, {})
     child = df.filter(F.col(column).isNotNull())
     return child.join(keys, F.col(column) == F.col("_parent"), "left_anti")
 

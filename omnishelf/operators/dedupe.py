@@ -8,7 +8,7 @@ aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,3 +63,19 @@ def latest_with_bounds(
         count,
         *[F.col("_latest")[a].alias(a) for a in attrs],
     )
+
+
+def reduce_for_join(
+    df: DataFrame, keys: Mapping[str, str], aggregates: Mapping[str, Column]
+) -> DataFrame:
+    """One row per key as the small side of a join; ``keys`` maps output names to key columns.
+
+    The output keys are aggregates (the maximum of equal values), not the grouping columns, so
+    Spark does not take the result as partitioned by them and shuffles it once more for a join that
+    is too large to broadcast. That exchange is wanted: at run time Spark splits the hot partitions
+    of the other side only when the join sits directly on two exchanges.
+    """
+    return df.groupBy(*keys.values()).agg(
+        *[F.max(column).alias(f"_max_{out}") for out, column in keys.items()],
+        *[c.alias(name) for name, c in aggregates.items()],
+    ).select(*[F.col(f"_max_{out}").alias(out) for out in keys], *aggregates)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions.keys import norm_key
-from omnishelf.operators.dedupe import first_per_key
+from omnishelf.operators.dedupe import reduce_for_join
 
 
 def unique_lookup(
@@ -26,17 +26,15 @@ def unique_lookup(
 ) -> DataFrame:
     """Lookup with computed keys, one row per key.
 
-    Two spellings of one name would fan out every row that joins; the preferred, else the smallest
-    value wins.
+    Two spellings of one name would fan out every row that joins; the row with the greatest
+    ``prefer``, then the greatest value wins.
     """
-    extra = {f"_p{i}": c for i, c in enumerate(prefer)}
-    keyed = lookup.select(
-        *[c.alias(name) for name, c in keys.items()],
-        *values,
-        *[c.alias(name) for name, c in extra.items()],
+    row = F.struct(
+        *[c.alias(f"_p{i}") for i, c in enumerate(prefer)], *[F.col(v) for v in values]
     )
-    order = [F.desc_nulls_last(name) for name in extra] + [F.asc_nulls_last(v) for v in values]
-    return first_per_key(keyed, list(keys), order).drop(*extra)
+    keyed = lookup.select(*[c.alias(f"_k_{name}") for name, c in keys.items()], row.alias("row"))
+    one = reduce_for_join(keyed, {name: f"_k_{name}" for name in keys}, {"row": F.max("row")})
+    return one.select(*keys, *[f"row.{v}" for v in values])
 
 
 def attach(

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from omnishelf.operators.dedupe import reduce_for_join
+
 
 def _all_set(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
@@ -21,8 +23,9 @@ def _all_set(columns: Sequence[str]) -> Column:
 def _best_by_key(right: DataFrame, keys: Sequence[str], right_id: str) -> DataFrame:
     """(keys prefixed, right row as a struct): the row with the smallest id per complete key."""
     payload = F.struct(right_id, *[c for c in right.columns if c != right_id])
-    best = right.filter(_all_set(keys)).groupBy(*keys).agg(F.min(payload).alias("_found"))
-    return best.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_found")
+    return reduce_for_join(
+        right.filter(_all_set(keys)), {f"_r_{k}": k for k in keys}, {"_found": F.min(payload)}
+    )
 
 
 def match_passes(
@@ -68,8 +71,11 @@ def match_passes(
         )
         # Only keys are needed to take the matched rows from the right side, so this reads few
         # columns and no squeezed rows.
-        used = seen.filter(complete & open_row).select(*keys).distinct()
-        rest = rest.join(used, list(keys), "left_anti").select(*right_columns)
+        used = reduce_for_join(
+            seen.filter(complete & open_row), {f"_u_{k}": k for k in keys}, {}
+        )
+        known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_u_{k}") for k in keys])
+        rest = rest.join(used, known, "left_anti")
         pending = joined.unionByName(pending.filter(~complete)) if first else joined
         seen = pending
         if squeeze is not None:
@@ -121,6 +127,7 @@ def fold_histories(
         aggregates += [c.alias(out) for out, c in wanted.items()]
     if base is not None:
         aggregates.append(F.coalesce(F.max("in_base"), F.lit(False)).alias("in_base"))
+    aggregates.append(F.max("match_key").alias("join_key"))
     return rows.groupBy("match_key").agg(*aggregates)
 
 
@@ -133,8 +140,11 @@ def outer_unify(base: DataFrame, name: str, spine: DataFrame, keys: Sequence[str
     join but not of a full outer join.
     """
     payload = F.struct(*[c for c in base.columns if c not in keys]).alias(name)
-    packed = base.select(match_key(keys, name).alias("match_key"), payload)
-    # Both branches filter on in_base, so they need the same columns and share one shuffle.
-    met = packed.join(spine.filter("in_base"), "match_key")
-    alone = spine.filter("NOT in_base")
-    return met.unionByName(alone, allowMissingColumns=True).drop("match_key", "in_base")
+    packed = base.select(match_key(keys, name).alias("base_key"), payload)
+    # Both branches filter on in_base and keep join_key, so they share the shuffle of the fold. The
+    # join uses join_key, which gets its own exchange, for the reason given in reduce_for_join.
+    met = packed.join(spine.filter("in_base"), F.col("base_key") == F.col("join_key"))
+    alone = spine.filter("NOT in_base AND join_key IS NOT NULL")
+    return met.drop("base_key").unionByName(alone, allowMissingColumns=True).drop(
+        "match_key", "join_key", "in_base"
+    )

@@ -23,6 +23,7 @@ from omnishelf.operators import (
     attach_creator_country,
     fits_inline,
     map_tokens,
+    reduce_for_join,
     rollup_sources,
 )
 from omnishelf.operators.rollup import joined_ranked_set, joined_set
@@ -93,9 +94,11 @@ def streaming_rows(
     albums: DataFrame, followed: DataFrame, labels: DataFrame, **how
 ) -> DataFrame:
     """Saved albums rarely carry genres; those of the first artist stand in when followed."""
-    artists = followed.filter("artist_id IS NOT NULL").groupBy(
-        F.col("artist_id").alias("_artist_id")
-    ).agg(F.max("genres").alias("_artist_genres"))
+    artists = reduce_for_join(
+        followed.filter("artist_id IS NOT NULL"),
+        {"_artist_id": "artist_id"},
+        {"_artist_genres": F.max("genres")},
+    )
     keyed = albums.withColumn("_first_artist", json_first("artist_ids"))
     # Albums without an artist id have nothing to look up and stay out of the shuffle.
     known = keyed.filter("_first_artist IS NOT NULL").join(

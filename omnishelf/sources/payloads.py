@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions import first_nonblank
+from omnishelf.operators.dedupe import reduce_for_join
 from omnishelf.sources.schemas import FAN_ITEM, LANDED
 
 AUDIO_FEATURES = [
@@ -71,8 +72,8 @@ def flatten_saved_tracks(pages: DataFrame, features: DataFrame, run_at) -> DataF
         F.col("i.added_at").try_cast("timestamp").alias("added_at"),
     )
     # The service answers a repeated id with the same features; one row per id keeps the join 1:1.
-    one = F.max(F.struct(*AUDIO_FEATURES)).alias("f")
-    by_id = features.filter("id IS NOT NULL").groupBy(F.col("id").alias("_id")).agg(one)
+    one = F.max(F.struct(*AUDIO_FEATURES))
+    by_id = reduce_for_join(features.filter("id IS NOT NULL"), {"_id": "id"}, {"f": one})
     flat = tracks.join(by_id, F.col("track_id") == F.col("_id"), "left").select(
         *tracks.columns,
         *[F.col(f"f.{c}").alias(c) for c in AUDIO_FEATURES],

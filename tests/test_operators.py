@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from omnishelf import operators as op
@@ -150,7 +151,7 @@ def test_lookup_never_multiplies_rows(spark):
     )
     df = spark.createDataFrame([("kim",), ("ana",), ("bo",), (None,)], "a string")
     got = op.attach_creator_country(df, names, "author", norm_key("a"), "country")
-    assert rows(got) == [(None, None), ("ana", "Spain"), ("bo", None), ("kim", "Corea")]
+    assert rows(got) == [(None, None), ("ana", "Spain"), ("bo", None), ("kim", "Korea")]
 
 
 def test_null_safe_attach_stays_a_hash_join(spark):
@@ -205,3 +206,77 @@ def test_checks_return_violations(spark):
     parent = spark.createDataFrame([(1,), (1,)], "pid int")
     assert rows(checks.relationship(df, "id", parent, "pid"), "id") == [(2,)]
     assert rows(checks.unique_combination(df, ["id", "name"])) == []
+
+
+# ---- a key that holds a third of all rows, joins too large to broadcast ---------------------
+
+
+@pytest.fixture
+def skewed(spark):
+    """Thresholds scaled down to the test's data; the plans are those of a large table."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot(spark, n=60_000, parts=8):
+    """Every third row has key 0, the others are spread."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    return spark.range(0, n, 1, parts).select("id", key.cast("string").alias("code"))
+
+
+def split_joins(df) -> int:
+    df.write.format("noop").mode("overwrite").save()
+    collected = df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert collected
+    return text.partition("== Initial Plan ==")[0].count("skew=true")
+
+
+def test_hot_key_is_split_in_match_passes(skewed):
+    left = hot(skewed)
+    right = skewed.range(5000).select(
+        F.concat(F.lit("r"), "id").alias("rid"), F.col("id").cast("string").alias("code")
+    )
+    matched, _ = op.match_passes(left, right, {"code": ["code"]}, right_id="rid")
+    assert split_joins(matched) >= 1
+    # The many copies on the right side of the match are split as well.
+    many = hot(skewed).withColumnRenamed("id", "rid")
+    few = skewed.range(3000, 5000).select("id", F.col("id").cast("string").alias("code"))
+    _, rest = op.match_passes(few, many, {"code": ["code"]}, right_id="rid")
+    assert split_joins(rest) >= 1
+
+
+def test_hot_key_is_split_in_outer_unify(skewed):
+    base = hot(skewed)
+    other = skewed.range(6000).select(F.col("id").cast("string").alias("code"), F.col("id").alias("at"))
+    spine = op.fold_histories({"o": other}, ["code"], {"o": "at"}, base=base, base_name="b")
+    merged = op.outer_unify(base, "b", spine, ["code"])
+    assert split_joins(merged) >= 1
+    assert merged.count() == 60_000 + 1000
+
+
+def test_hot_key_is_split_in_lookups_and_checks(skewed):
+    names = skewed.range(5000).select(F.col("id").cast("string").alias("name"), F.col("id").alias("v"))
+    lookup = op.unique_lookup(names, {"k": norm_key("name")}, ["v"])
+    assert split_joins(op.attach(hot(skewed), lookup, {"k": "code"}, {"v": "v"})) >= 1
+    parents = skewed.range(1, 4000).select(F.col("id").cast("string").alias("p"))
+    assert split_joins(checks.relationship(hot(skewed), "code", parents, "p")) >= 1
+
+
+def test_hot_key_sends_one_row_per_task(skewed):
+    got = op.keep_latest(hot(skewed), ["code"], ["id"])
+    assert got.count() == 5000
+    top = got.filter("code = '0'").collect()
+    assert [r.id for r in top] == [59_997]

@@ -405,7 +405,7 @@ def anime_ctes(strict: bool) -> dict[str, str]:
         ratings = f"""SELECT {k('title')} AS rated_key, rating FROM lk_manual_ratings
             WHERE domain = 'anime'
             QUALIFY row_number() OVER (PARTITION BY rated_key
-                                       ORDER BY rated_at DESC NULLS LAST, rating) = 1"""
+                                       ORDER BY rated_at DESC NULLS LAST, rating DESC) = 1"""
     return {
         "series": COLLECTION
         + " WHERE content_type = 'TV Show' AND lower(genres) LIKE '%animation%'",

@@ -87,6 +87,6 @@ def has_text(value: Column | str, *needles: str) -> Column:
     return found
 
 
-def label_from_flags(flags: dict[str, Column]) -> Column:
+def label_from_flags(flags: dict[str, Column], separator: str = "_and_") -> Column:
     """'a_and_b' from the names whose flag is true, in the given order."""
-    return F.concat_ws("_and_", *[F.when(flag, F.lit(name)) for name, flag in flags.items()])
+    return F.concat_ws(separator, *[F.when(flag, F.lit(name)) for name, flag in flags.items()])

@@ -25,7 +25,9 @@ def rollup_sources(
     best = F.min(F.struct(*prefer, *[c for c in carry if c not in prefer])).alias("_best")
     rolled = whole.groupBy(*keys).agg(best, *[c.alias(name) for name, c in aggregates.items()])
     return rolled.select(
-        *keys, *[F.col("_best")[c].alias(c) for c in carry], *list(aggregates)
+        *keys,
+        *[F.col("_best")[c].alias(c) for c in carry],
+        *[F.col(f"`{name}`") for name in aggregates],
     )
 
 

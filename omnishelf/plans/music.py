@@ -26,12 +26,12 @@ from omnishelf.operators import (
     reduce_for_join,
     rollup_sources,
 )
-from omnishelf.operators.rollup import joined_ranked_set, joined_set
 from omnishelf.plans.enrich import Lookups, attach_manual_rating, genre_labels, translate_country
 
-# Which source describes an album best, and the order of formats in the label.
+# Which source describes an album best; formats and shop lists in label order.
 SOURCE_RANK = {"musicbuddy": 1, "bandcamp": 2, "spotify": 3}
-FORMAT_ORDER = {"cd": 1, "digital": 2}
+FORMATS = ["cd", "digital"]
+SHOP_LISTS = ["collection", "wishlist"]
 
 MUSIC_COLUMNS = [
     "album_id", "title", "artist", "artist_display", "genres", "release_year",
@@ -46,7 +46,6 @@ def _tag(source: str, media_format: str) -> dict[str, Column]:
         "source_name": F.lit(source),
         "source_rank": F.lit(SOURCE_RANK[source]),
         "media_format": F.lit(media_format),
-        "media_format_order": F.lit(FORMAT_ORDER[media_format]),
     }
 
 
@@ -148,7 +147,18 @@ def unify_music(
         "discogs_release_id", "spotify_album_id", "total_tracks", "spotify_added_at",
         "bandcamp_item_id", "bandcamp_item_url", "bandcamp_added_at",
     ]
-    flags = {f"has_{s}": F.bool_or(F.col("source_name") == s) for s in SOURCE_RANK}
+    # Sources, formats and shop lists are closed sets: one flag each keeps the aggregation on plain
+    # columns, without collecting values.
+    members = {"source_name": SOURCE_RANK, "media_format": FORMATS, "bandcamp_origin": SHOP_LISTS}
+    flags = {
+        f"{column}={value}": F.bool_or(F.col(column) == value)
+        for column, values in members.items()
+        for value in values
+    }
+
+    def present(column: str) -> dict[str, Column]:
+        return {value: F.col(f"`{column}={value}`") for value in members[column]}
+
     albums = rollup_sources(
         rows,
         ["title_key", "artist_key"],
@@ -159,8 +169,6 @@ def unify_music(
         ],
         aggregates={
             **{c: F.max(c) for c in ids},
-            "bandcamp_origin": joined_set("bandcamp_origin"),
-            "media_format": joined_ranked_set("media_format", "media_format_order"),
             **flags,
         },
     )
@@ -170,13 +178,17 @@ def unify_music(
     translated = translate_country(located, lookups, "country_source", "_label")
     rated = attach_manual_rating(translated, lookups, "music", "title_key", "artist_key")
     own = F.col("rating") if strict_reference else zero_to_null("rating")
-    n_sources = sum((F.col(f).cast("int") for f in flags), F.lit(0))
+    n_sources = sum((f.cast("int") for f in present("source_name").values()), F.lit(0))
     return rated.withColumns(
         {
             "album_id": F.col("source_album_id"),
             "rating": F.coalesce(own, "manual_rating"),
             "country": F.coalesce("_label", "country_source"),
-            "source_name": label_from_flags({s: F.col(f"has_{s}") for s in SOURCE_RANK}),
+            "source_name": label_from_flags(present("source_name")),
+            "media_format": label_from_flags(present("media_format"), ", "),
+            "bandcamp_origin": F.nullif(
+                label_from_flags(present("bandcamp_origin"), ", "), F.lit("")
+            ),
             "match_type": F.when(n_sources > 1, F.lit("title_artist")),
         }
     ).select(*MUSIC_COLUMNS)

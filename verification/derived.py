@@ -10,6 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from omnishelf.plans.staging import STAGES
+from omnishelf.sources.sinks import stored
+
+READ_OFTEN = ("bookbuddy", "goodreads")
+
 # The film or series number i came out in this year; every fiftieth has no year.
 YEAR = "CASE WHEN {i} % 50 = 0 THEN NULL ELSE 1950 + {i} % 70 END"
 
@@ -324,10 +329,12 @@ class Derived:
         self.lookups = _Lazy(lambda name: run(spark, sf_dir, LOOKUPS[name]), LOOKUPS)
         self.raw = _Lazy(lambda name: raw_source(spark, sf_dir, name), RAW)
         self.staged = _Lazy(self._stage, RAW)
+        # Sources that one plan reads several times are stored first, as the build stores all.
+        self.tables = _Lazy(
+            lambda name: stored(self.staged[name]) if name in READ_OFTEN else self.staged[name], RAW
+        )
 
     def _stage(self, name: str) -> DataFrame:
-        from omnishelf.plans.staging import STAGES
-
         return STAGES[name](self.raw[name])
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from omnishelf.plans import build, marts, quality
+from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
-from omnishelf.sources.sinks import stored
+from omnishelf.sources.readers import read_exports, read_lookups, read_tables
+from omnishelf.sources.sinks import land, shared_folder
 from verification import oracle_models as oracle
-from verification.derived import RAW, Derived
+from verification.derived import LOOKUPS, RAW, Derived
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -29,10 +33,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def unified(d: Derived, domain: str, strict: bool = False) -> DataFrame:
-    staged = d.staged
-    if domain == "books":
-        staged = {name: stored(d.staged[name]) for name in ("bookbuddy", "goodreads")}
-    return build.unify(domain, staged, d.lookups, strict)
+    return build.unify(domain, d.tables, d.lookups, strict)
 
 
 def collection(d: Derived, domain: str, strict: bool = False) -> DataFrame:
@@ -83,6 +84,58 @@ def duplicate_titles(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_items(quality.mart_items(collections(d)))
 
 
+def export_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports written as CSV, read back by header and staged."""
+    d = Derived(configure(spark), sf)
+    folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+    for name in ("goodreads", "moviebuddy"):
+        d.raw[name].write.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+    exports = read_exports(spark, folder)
+    books = STAGES["goodreads"](exports["goodreads"])
+    films = STAGES["moviebuddy"](exports["moviebuddy"])
+    return books.select("title", "author", "isbn", "rating").unionByName(
+        films.select("title", F.col("directors").alias("author"), F.col("genres").alias("isbn"),
+                     F.col("tmdb_id").alias("rating"))
+    )
+
+
+def lookup_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Lookup tables written as CSV and read back typed; empty fields are NULL."""
+    d = Derived(configure(spark), sf)
+    folder = f"{shared_folder(spark)}/lookups-{uuid.uuid4().hex}"
+    for name in ("film_countries", "manual_ratings"):
+        d.lookups[name].write.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+    lookups = read_lookups(spark, folder)
+    ratings = lookups["manual_ratings"].select(
+        "domain", "title", F.col("author_or_director_or_artist").alias("creator"), "rating",
+        F.year("rated_at").cast("bigint").alias("year"),
+    )
+    films = lookups["film_countries"].select(
+        F.lit("film").alias("domain"), "title", F.col("country").alias("creator"),
+        F.lit(None).cast("double").alias("rating"), F.col("release_year").alias("year"),
+    )
+    return ratings.unionByName(films)
+
+
+def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written twice holds the second content only."""
+    d = Derived(configure(spark), sf)
+    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    name = "trakt_ratings"
+    land({name: d.raw[name].union(d.raw[name])}, folder)
+    land({name: d.raw[name], "not chosen": d.raw["goodreads"]}, folder, tables=[name])
+    return plain(STAGES[name](read_tables(spark, folder, [name])[name]))
+
+
+def full_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Every layer built and stored, the summary read from the stored mart."""
+    d = Derived(configure(spark), sf)
+    raw = {name: d.raw[name] for name in RAW}
+    lookups = {name: d.lookups[name] for name in LOOKUPS}
+    folder = f"{shared_folder(spark)}/build-{uuid.uuid4().hex}"
+    return build.build(spark, raw, lookups, folder)["mart.media_summary"]
+
+
 QUERIES = {
     **{f"stage_{name}": _staged(name) for name in RAW},
     **{f"unify_{d}": _unified(d, False) for d in oracle.MODEL_CTES},
@@ -94,6 +147,10 @@ QUERIES = {
     "genre_coverage_models": genre_coverage,
     "manual_rating_orphans_models": manual_rating_orphans,
     "duplicate_titles_models": duplicate_titles,
+    "export_scan": export_scan,
+    "lookup_scan": lookup_scan,
+    "full_refresh": full_refresh,
+    "full_build": full_build,
 }
 
 
@@ -113,4 +170,18 @@ def oracle_sql() -> dict[str, str]:
         "genre_coverage_models": oracle.coverage_oracle(),
         "manual_rating_orphans_models": oracle.orphans_oracle(),
         "duplicate_titles_models": oracle.duplicates_oracle(),
+        "export_scan": oracle.assemble(
+            {},
+            """SELECT title, author, isbn, rating FROM st_goodreads
+               UNION ALL SELECT title, directors, genres, tmdb_id FROM st_moviebuddy""",
+        ),
+        "lookup_scan": oracle.assemble(
+            {},
+            """SELECT domain, title, author_or_director_or_artist AS creator, rating,
+                      year(rated_at) AS year FROM lk_manual_ratings
+               UNION ALL SELECT 'film', title, country, NULL, release_year
+               FROM lk_film_countries""",
+        ),
+        "full_refresh": oracle.staged_oracle("trakt_ratings"),
+        "full_build": oracle.summary_oracle(),
     }

@@ -10,6 +10,8 @@ from omnishelf.functions.keys import as_column, uni_trim
 # Patterns of the export formats.
 SHEET_QUOTES = '^="?|"$'
 NUMBER_SUFFIX = r" \(\d+\)$"
+INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def blank_to_null(value: Column | str) -> Column:
@@ -26,12 +28,18 @@ def first_nonblank(*values: Column | str) -> Column:
     return F.coalesce(*[F.nullif(as_column(v).cast("string"), F.lit("")) for v in values])
 
 
+def _guarded(text: Column, pattern: str, kind: str) -> Column:
+    """A failing try_cast from text to a number costs an exception inside Spark, and exports are
+    full of blanks. The pattern lets only parsable text through; overflow still gives NULL."""
+    return F.when(text.rlike(pattern), text.try_cast(kind))
+
+
 def safe_long(value: Column | str) -> Column:
-    return as_column(value).try_cast("bigint")
+    return _guarded(as_column(value), INTEGER_TEXT, "bigint")
 
 
 def safe_double(value: Column | str) -> Column:
-    return as_column(value).try_cast("double")
+    return _guarded(as_column(value), NUMBER_TEXT, "double")
 
 
 def safe_date(value: Column | str) -> Column:
@@ -46,7 +54,7 @@ def safe_timestamp(value: Column | str) -> Column:
 
 def whole_number(value: Column | str) -> Column:
     """'4' and '4.0' give 4, '3.5' and text give NULL."""
-    number = uni_trim(value).try_cast("double")
+    number = safe_double(uni_trim(value))
     whole = number.try_cast("bigint")
     return F.when(whole.cast("double") == number, whole)
 

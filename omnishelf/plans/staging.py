@@ -106,8 +106,8 @@ def stage_bandcamp(raw: DataFrame) -> DataFrame:
     text = ["item_type", "tralbum_type", "item_url", "art_url", "token", "added_at", "raw_json"]
     typed = raw.select(
         *[F.col(c).cast("string").alias(c) for c in text],
-        safe_long("item_id").alias("item_id"),
-        safe_long("tralbum_id").alias("tralbum_id"),
+        F.col("item_id").try_cast("bigint").alias("item_id"),
+        F.col("tralbum_id").try_cast("bigint").alias("tralbum_id"),
         blank_to_null("title").alias("title"),
         blank_to_null("artist").alias("artist"),
         safe_timestamp("_extracted_at").alias("_extracted_at"),
@@ -128,7 +128,7 @@ def stage_saved_albums(raw: DataFrame) -> DataFrame:
         "genres",
         "added_at",
         "_extracted_at",
-        safe_long("total_tracks").alias("total_tracks"),
+        F.col("total_tracks").try_cast("bigint").alias("total_tracks"),
     )
 
 
@@ -144,8 +144,8 @@ def stage_saved_tracks(raw: DataFrame) -> DataFrame:
         "explicit",
         "added_at",
         "_extracted_at",
-        safe_long("popularity").alias("popularity"),
-        *[safe_double(c).alias(c) for c in AUDIO_FEATURES],
+        F.col("popularity").try_cast("bigint").alias("popularity"),
+        *[F.col(c).try_cast("double").alias(c) for c in AUDIO_FEATURES],
     )
 
 
@@ -155,21 +155,21 @@ def stage_followed_artists(raw: DataFrame) -> DataFrame:
         F.col("name").alias("artist_name"),
         "genres",
         "_extracted_at",
-        safe_long("popularity").alias("popularity"),
-        safe_long("followers").alias("followers"),
+        F.col("popularity").try_cast("bigint").alias("popularity"),
+        F.col("followers").try_cast("bigint").alias("followers"),
     )
 
 
 def _watched_columns(kind: str) -> list[Column | str]:
     return [
-        safe_long(f"trakt_{kind}_id").alias(f"trakt_{kind}_id"),
-        safe_long("tmdb_id").alias("tmdb_id"),
+        F.col(f"trakt_{kind}_id").try_cast("bigint").alias(f"trakt_{kind}_id"),
+        F.col("tmdb_id").try_cast("bigint").alias("tmdb_id"),
         uni_trim("title").alias("title"),
-        safe_long("release_year").alias("release_year"),
-        safe_long("plays").alias("watch_count"),
+        F.col("release_year").try_cast("bigint").alias("release_year"),
+        F.col("plays").try_cast("bigint").alias("watch_count"),
         safe_timestamp("last_watched_at").alias("last_watched_at"),
         safe_timestamp("last_updated_at").alias("last_updated_at"),
-        safe_long("runtime_minutes").alias("runtime_minutes"),
+        F.col("runtime_minutes").try_cast("bigint").alias("runtime_minutes"),
         safe_timestamp("_extracted_at").alias("_extracted_at"),
     ]
 
@@ -189,14 +189,14 @@ def stage_watched_shows(raw: DataFrame) -> DataFrame:
 def stage_ratings(raw: DataFrame) -> DataFrame:
     typed = raw.select(
         *["media_type", "slug", "imdb_id", "genres", "country"],
-        safe_long("trakt_id").alias("trakt_id"),
-        safe_long("tmdb_id").alias("tmdb_id"),
+        F.col("trakt_id").try_cast("bigint").alias("trakt_id"),
+        F.col("tmdb_id").try_cast("bigint").alias("tmdb_id"),
         uni_trim("title").alias("title"),
-        safe_long("release_year").alias("release_year"),
-        safe_long("rating_raw").alias("rating_raw"),
-        safe_double("rating").alias("rating"),
+        F.col("release_year").try_cast("bigint").alias("release_year"),
+        F.col("rating_raw").try_cast("bigint").alias("rating_raw"),
+        F.col("rating").try_cast("double").alias("rating"),
         safe_timestamp("rated_at").alias("rated_at"),
-        safe_long("runtime_minutes").alias("runtime_minutes"),
+        F.col("runtime_minutes").try_cast("bigint").alias("runtime_minutes"),
         safe_timestamp("_extracted_at").alias("_extracted_at"),
     )
     return _keyed(typed, "rating_id", "media_type", "title", "release_year")

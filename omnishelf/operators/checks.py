@@ -52,7 +52,9 @@ def relationship(df: DataFrame, column: str, parent: DataFrame, parent_column: s
     return child.join(keys, F.col(column) == F.col("_parent"), "left_anti")
 
 
-def row_checks(df: DataFrame, relation: str, violations: Mapping[tuple[str, str], Column]) -> DataFrame:
+def row_checks(
+    df: DataFrame, relation: str, violations: Mapping[tuple[str, str], Column]
+) -> DataFrame:
     """Count the violations of many row-level checks in one pass over the relation.
 
     ``violations`` maps (check, column) to the condition a bad row meets. Gives one row per check.

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]
+) -> DataFrame:
     """The first row of every key in the given order; NULL keys form a key of their own."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

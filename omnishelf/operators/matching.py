@@ -87,12 +87,16 @@ def match_key(keys: Sequence[str], source: str) -> Column:
     """The key columns as one text that is never NULL.
 
     SQL equality pairs no NULLs, so a row with an incomplete key must stay alone: its text carries
-    the source name. Complete keys of all sources share one prefix. A single key column also lets
-    the fold and both joins of ``outer_unify`` run on the same partitioning.
+    the source name, where a complete key has nothing. Every part tells its length, so different
+    keys never give the same text.
     """
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys]
-    scope = F.when(_all_set(keys), F.lit("all")).otherwise(F.lit(source))
-    return F.concat_ws("\u0001", scope, *parts)
+
+    def part(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    scope = F.when(_all_set(keys), F.lit("")).otherwise(F.lit(source))
+    return F.concat_ws("|", scope, *[part(k) for k in keys])
 
 
 def fold_histories(

@@ -72,11 +72,12 @@ def counts_per_month(df: DataFrame, date: Column | str) -> DataFrame:
 
 
 def genre_ratings(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Average rating and rated items per genre over all collection tables, best first in use."""
+    """Average rating and rated items per genre over all collection tables."""
     parts = []
     for df in marts.values():
         column = "genres" if "genres" in df.columns else "genre"
-        parts.append(df.filter("rating IS NOT NULL").select(F.col(column).alias("genres"), "rating"))
+        rows = df.filter("rating IS NOT NULL")
+        parts.append(rows.select(F.col(column).alias("genres"), "rating"))
     rated = reduce(DataFrame.unionByName, parts)
     tokens = rated.select(F.explode(split_csv("genres")).alias("genre"), "rating")
     return tokens.groupBy(uni_trim("genre").alias("genre")).agg(

@@ -53,7 +53,9 @@ def read_lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def read_payload(spark: SparkSession, path: str, payload: str, multi_line: bool = False) -> DataFrame:
+def read_payload(
+    spark: SparkSession, path: str, payload: str, multi_line: bool = False
+) -> DataFrame:
     """Landed JSON of one kind. One document per line splits across tasks; ``multi_line`` reads
     pretty-printed documents and files that hold one JSON array."""
     return spark.read.json(path, schema=PAYLOADS[payload], multiLine=multi_line)

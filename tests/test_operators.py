@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from omnishelf import operators as op
 from omnishelf.functions import norm_key, split_csv
 from omnishelf.operators import checks
+from omnishelf.operators.matching import match_key as op_match_key
 from omnishelf.operators.rollup import joined_ranked_set, joined_set
 from tests.conftest import plan_of, rows
 
@@ -280,3 +281,13 @@ def test_hot_key_sends_one_row_per_task(skewed):
     assert got.count() == 5000
     top = got.filter("code = '0'").collect()
     assert [r.id for r in top] == [59_997]
+
+
+def test_match_key_is_unambiguous(spark):
+    df = spark.createDataFrame(
+        [("a|1:b", "c"), ("a", "b|1:c"), ("a", None), (None, "a"), ("", "a")], "t string, y string"
+    )
+    texts = {r.k for r in df.select(op_match_key(["t", "y"], "s").alias("k")).collect()}
+    assert len(texts) == 5
+    other = {r.k for r in df.select(op_match_key(["t", "y"], "z").alias("k")).collect()}
+    assert len(texts & other) == 3

@@ -11,14 +11,14 @@ from omnishelf import functions as fn
 from omnishelf import operators as op
 from omnishelf.operators import checks
 from omnishelf.operators.rollup import joined_ranked_set, joined_set
-from omnishelf.plans import enrich, marts, quality, reports
+from omnishelf.plans import marts, quality, reports
 from omnishelf.session import configure
 from omnishelf.sources import payloads
 from omnishelf.sources.readers import read_payload
 from omnishelf.sources.sinks import shared_folder
-from verification.derived import run, table
+from verification.derived import table
 from verification.model_queries import plain
-from verification.oracle_models import NULL_FIELD, k, sk
+from verification.oracle_models import sk
 
 QUERIES = {}
 ORACLE = {}
@@ -598,7 +598,8 @@ def qa_unique_combo(t, spark):
        HAVING count(*) > 1"""
 )
 def qa_ci_unique(t, spark):
-    mixed = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.concat("p_name", F.lit("\t")))
+    spaced = F.concat("p_name", F.lit("\t"))
+    mixed = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(spaced)
     return checks.case_insensitive_unique(t("part").select(mixed.alias("p_name")), "p_name")
 
 

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from omnishelf.llm import packing, token_files
+from omnishelf.llm import decontamination, near_dedup, packing, substring_dedup, token_files
 from omnishelf.llm.common import read_table
 
 # Folder of the public tokenizer files; empty: where the installed package has them.
@@ -21,11 +21,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.dedup_units(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_units", "n_removed_units", "n_bytes", "n_removed", "spans", "text"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     files = token_files.write_files(
@@ -34,8 +47,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(files)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op9_near_dedup": op9_near_dedup,
 }
 ORACLE: dict[str, str] = {}

@@ -5,8 +5,20 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-
-from omnishelf.llm import decontamination, near_dedup, packing, substring_dedup, token_files
+from pyspark.sql import functions as F
+
+from omnishelf.llm import (
+    decontamination,
+    licenses,
+    near_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    vectors,
+)
 from omnishelf.llm.common import read_table
 
 # Folder of the public tokenizer files; empty: where the installed package has them.
@@ -21,6 +33,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.dedup_units(read_table(spark, sf_dir, "documents"))
     return cut.select(
@@ -33,6 +53,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -47,15 +72,35 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(files)
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(quality.held_out(), F.lit(False)).alias("held_out")
+    return scored.select(F.col("doc_id").cast("long"), held_out, "score", "predicted")
+
+
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_vector_search": op8_vector_search,
     "op9_near_dedup": op9_near_dedup,
+    "op10_quality": op10_quality,
 }
+
+# No entry: SQL has no suffix arrays, fuzzy matching, tokenizers, sketches or trained models. The
+# tests hold each query against brute force, a round trip or held-out labels.
 ORACLE: dict[str, str] = {}

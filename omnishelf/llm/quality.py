@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from omnishelf.llm.common import ready
 from omnishelf.llm.features import TERMS, term_counts
@@ -18,7 +19,7 @@ from omnishelf.llm.features import TERMS, term_counts
 CLASS_ROWS = 3000
 LATENT = 48
 # A vote counts exp(SHARPNESS * cosine): all labelled rows vote, near ones far more.
-SHARPNESS = 30.0
+SHARPNESS = 24.0
 REJECT_BELOW = 0.3
 # Documents that one blocked product compares with all labelled vectors.
 BLOCK = 256
@@ -43,7 +44,7 @@ class Neighbours:
         for a in range(0, len(counts), BLOCK):
             cosine = self.embed(counts[a : a + BLOCK]) @ self.vectors.T
             votes = np.exp(SHARPNESS * (cosine - cosine.max(axis=1, keepdims=True)))
-            votes = votes * self.weights
+            votes = votes.astype(np.float64) * self.weights
             good = votes @ self.labels
             out[a : a + BLOCK] = good / votes.sum(axis=1)
         return np.clip(out, 0.0, 1.0)
@@ -140,6 +141,6 @@ def score_quality(docs: DataFrame, model: Neighbours | None) -> DataFrame:
     docs = docs.drop("score", "predicted")
     shared = spark.sparkContext.broadcast(model)
     names, at = docs.columns, docs.columns.index("text")
-    schema = docs.schema.add("score", "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
     out = docs.mapInArrow(lambda b: _scored(b, shared, names, at), schema)
     return out.withColumn("predicted", (F.col("score") >= REJECT_BELOW).cast("int"))

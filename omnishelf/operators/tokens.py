@@ -8,14 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions.keys import norm_key
-
-# Largest mapping that travels inside the plan as one literal map.
-INLINE_ROWS = 1_000
-
-
-def fits_inline(mapping: DataFrame, limit: int = INLINE_ROWS) -> bool:
-    """Counts at most ``limit + 1`` rows, so the check stays small for any mapping."""
-    return mapping.limit(limit + 1).count() <= limit
+from omnishelf.operators.dedupe import reduce_for_join
 
 
 def map_tokens(
@@ -26,44 +19,40 @@ def map_tokens(
     id_cols: Sequence[str],
     distinct: bool = True,
     separator: str = ",",
-    inline: bool | None = None,
 ) -> DataFrame:
-    """Add ``out``: the labels of the row's tokens, ordered and joined; NULL when none is mapped.
+    """Add ``out``: the labels of the item's tokens, ordered and joined; NULL when none is mapped.
 
-    ``mapping`` is (token_key, label), unique on token_key; tokens without a label are dropped. A
-    small mapping is applied inside the row, with no explode and no shuffle. A mapping that may grow
-    goes through explode, join and one aggregation by ``id_cols``, which must identify the row.
-    ``inline`` gives the outcome of ``fits_inline`` where one mapping serves several columns.
+    The item is named by ``id_cols``: all rows that share it get the labels of all of them, each
+    once, or with ``distinct=False`` as often as the tokens occur. A row whose id has a NULL is no
+    item and gets no labels. ``mapping`` is (token_key, label), unique on token_key; tokens without
+    a label are dropped. The result does not depend on the size of the mapping.
+
+    Tokens are counted per item and key before they meet the mapping, so neither a frequent token
+    nor a repeated item sends more than one row per task, item and key. What is gathered per item is
+    its distinct labels with their counts, a closed set.
     """
     known = mapping.filter("token_key IS NOT NULL AND label IS NOT NULL")
-    if inline is None:
-        inline = fits_inline(known)
-    if inline:
-        return _map_in_row(df, tokens, known, out, distinct, separator)
-    return _map_by_join(df, tokens, known, out, id_cols, distinct, separator)
-
-
-def _map_in_row(df, tokens, known, out, distinct, separator):
-    entries = F.map_from_entries(F.collect_list(F.struct("token_key", "label")))
-    with_map = df.withColumn("_labels", known.agg(entries).scalar())
-    labels = F.transform(tokens, lambda t: F.element_at(F.col("_labels"), norm_key(t)))
-    labels = F.array_compact(labels)
-    if distinct:
-        labels = F.array_distinct(labels)
-    labels = F.sort_array(labels)
-    joined = F.when(F.size(labels) > 0, F.array_join(labels, separator))
-    return with_map.withColumn(out, joined).drop("_labels")
-
-
-def _map_by_join(df, tokens, known, out, id_cols, distinct, separator):
-    exploded = df.select(*id_cols, F.explode(tokens).alias("_token"))
-    labelled = exploded.join(known, norm_key("_token") == F.col("token_key"), "inner")
-    gather = F.collect_set("label") if distinct else F.collect_list("label")
-    per_row = labelled.groupBy(*id_cols).agg(
-        F.array_join(F.sort_array(gather), separator).alias(out)
+    named = [F.col(c).isNotNull() for c in id_cols]
+    item = df
+    for present in named:
+        item = item.filter(present)
+    counted = (
+        item.select(*id_cols, F.explode(tokens).alias("_token"))
+        .groupBy(*id_cols, norm_key("_token").alias("_key"))
+        .agg(F.count("*").alias("_n"))
+    )
+    per_label = (
+        counted.join(known, F.col("_key") == F.col("token_key"))
+        .groupBy(*id_cols, "label")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    times = F.lit(1) if distinct else F.col("_n").cast("int")
+    gathered = F.sort_array(F.collect_list(F.struct("label", times.alias("times"))))
+    listed = F.flatten(F.transform(gathered, lambda x: F.array_repeat(x["label"], x["times"])))
+    labels = reduce_for_join(
+        per_label,
+        {f"_id_{i}": c for i, c in enumerate(id_cols)},
+        {out: F.array_join(listed, separator)},
     )
-    right = per_row.select(*[F.col(c).alias(f"_id_{c}") for c in id_cols], out)
-    same = F.lit(True)
-    for c in id_cols:
-        same = same & F.col(c).eqNullSafe(F.col(f"_id_{c}"))
-    return df.join(right, same, "left").drop(*[f"_id_{c}" for c in id_cols])
+    same = [F.col(c) == F.col(f"_id_{i}") for i, c in enumerate(id_cols)]
+    return df.join(labels, same, "left").drop(*[f"_id_{i}" for i in range(len(id_cols))])

@@ -21,7 +21,6 @@ from omnishelf.functions import (
 )
 from omnishelf.operators import (
     attach_creator_country,
-    fits_inline,
     map_tokens,
     reduce_for_join,
     rollup_sources,
@@ -120,7 +119,7 @@ def streaming_rows(
         *[c.alias(name) for name, c in _tag("spotify", "digital").items()],
     )
     return map_tokens(
-        rows, split_json("_raw"), labels, "genres", ["spotify_album_id"], **how
+        rows, split_json("_raw"), labels, "genres", ["source_album_id"], **how
     ).drop("_raw")
 
 
@@ -135,7 +134,7 @@ def unify_music(
 ) -> DataFrame:
     """One row per album: the best source describes it, all sources add ids and formats."""
     labels = genre_labels(lookups, "music")
-    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
+    how = {"distinct": not strict_reference}
     parts = [
         shelf_rows(musicbuddy, labels, **how),
         shop_rows(bandcamp_collection, bandcamp_wishlist),

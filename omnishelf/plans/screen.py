@@ -18,7 +18,6 @@ from omnishelf.functions import (
 from omnishelf.operators import (
     attach,
     attach_creator_country,
-    fits_inline,
     fold_histories,
     map_tokens,
     outer_unify,
@@ -127,7 +126,7 @@ def unify_movies(
 ) -> DataFrame:
     """One row per film over all three apps."""
     labels = genre_labels(lookups, "movies")
-    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
+    how = {"distinct": not strict_reference}
     base = _collection(films_only(moviebuddy, strict_reference), labels, **how)
     diary = letterboxd.select(
         norm_key("film_name").alias("title_key"),
@@ -225,7 +224,7 @@ def unify_anime(
 ) -> DataFrame:
     """One row per animated series. The tracker uses the film genres for shows as well."""
     labels = genre_labels(lookups, "movies")
-    how = {"distinct": not strict_reference, "inline": fits_inline(lookups["genre_mapping"])}
+    how = {"distinct": not strict_reference}
     base = _collection(animated_series(moviebuddy), labels, **how)
     histories = _tracked(
         animated_shows(trakt_watched),

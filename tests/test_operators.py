@@ -129,21 +129,23 @@ def test_outer_unify_with_empty_sides(spark):
 LABELS = [("folk", "Folk et monde"), ("world", "Folk et monde"), ("rock", "Rock"), ("noise", None)]
 
 
-def test_map_tokens_both_ways(spark):
-    mapping = spark.createDataFrame(LABELS, "token_key string, label string")
+@pytest.mark.parametrize("more", [0, 1200])
+def test_map_tokens_for_any_mapping(spark, more):
+    """1,200 further rows of the mapping change nothing, also where rows share an id."""
+    unused = [(f"unused {i}", "Other") for i in range(more)]
+    mapping = spark.createDataFrame(LABELS + unused, "token_key string, label string")
     data = [(1, "World, Folk"), (2, "Noise"), (3, None), (4, "rock ,Jazz,FOLK"), (5, "")]
     df = spark.createDataFrame(data, "id int, g string")
     want = {True: ["Folk et monde", None, None, "Folk et monde,Rock", None]}
     want[False] = ["Folk et monde,Folk et monde", *want[True][1:]]
     for distinct in (True, False):
-        for inline in (True, False, None):
-            got = op.map_tokens(
-                df, split_csv("g"), mapping, "out", ["id"], distinct=distinct, inline=inline
-            )
-            assert [r.out for r in got.orderBy("id").collect()] == want[distinct]
-    assert not op.fits_inline(mapping, limit=3)
-    plan = plan_of(op.map_tokens(df, split_csv("g"), mapping, "out", ["id"], inline=True))
-    assert "Generate" not in plan
+        got = op.map_tokens(df, split_csv("g"), mapping, "out", ["id"], distinct=distinct)
+        assert [r.out for r in got.orderBy("id").collect()] == want[distinct]
+    shared = spark.createDataFrame([(7, "Rock"), (7, "folk,rock"), (None, "Rock")], "id int, g string")
+    once = op.map_tokens(shared, split_csv("g"), mapping, "out", ["id"])
+    assert {(r.id, r.out) for r in once.collect()} == {(7, "Folk et monde,Rock"), (None, None)}
+    every = op.map_tokens(shared, split_csv("g"), mapping, "out", ["id"], distinct=False)
+    assert {r.out for r in every.filter("id = 7").collect()} == {"Folk et monde,Rock,Rock"}
 
 
 def test_lookup_never_multiplies_rows(spark):

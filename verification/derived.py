@@ -98,7 +98,16 @@ RAW: dict[str, str] = {
                CASE WHEN c_acctbal < 1000 THEN 'x' ELSE cast(60 + c_custkey % 90 AS string) END
                    AS runtime,
                CASE WHEN c_acctbal < 2000 THEN '' ELSE cast(c_custkey AS string) END AS tmdb_id
-        FROM {{customer}}""",
+        FROM {{customer}}
+        UNION ALL
+        SELECT CASE WHEN c_mktsegment IN ('MACHINERY', 'FURNITURE') THEN 'Series '
+                    ELSE 'film ' END || c_custkey,
+               CASE c_mktsegment WHEN 'MACHINERY' THEN 'TV Show' WHEN 'FURNITURE' THEN NULL
+                    ELSE 'Movie' END,
+               cast({year_of('c_custkey')} AS string), '', 'Second ' || c_nationkey,
+               CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Animation, Drama, Mystery'
+                    ELSE 'Action,Thriller' END, '', ''
+        FROM {{customer}} WHERE c_custkey % 5 = 0""",
     "musicbuddy": """
         SELECT cast(cast(l_shipdate AS date) AS string) AS date_added,
                CASE l_linestatus WHEN 'F' THEN 'ALBUM ' ELSE 'Album ' END || l_partkey AS title,
@@ -147,7 +156,19 @@ RAW: dict[str, str] = {
                timestamp '2024-01-01 00:00:00' + p_size * interval '1' day AS added_at,
                timestamp '2024-05-01 09:30:00' AS _extracted_at,
                cast(p_size AS bigint) AS total_tracks
-        FROM {part}""",
+        FROM {part}
+        UNION ALL
+        SELECT 'sq' || p_partkey,
+               CASE WHEN p_type IN ('STANDARD', 'LARGE') THEN 'Album ' ELSE 'Mix ' END || p_partkey,
+               CASE WHEN p_type = 'PROMO' THEN 'Artist ' || p_size || ', Guest'
+                    ELSE 'Artist ' || p_size END,
+               CASE WHEN p_type = 'MEDIUM' THEN '[]'
+                    ELSE '["ar' || p_size || '","x"]' END,
+               CASE p_type WHEN 'ECONOMY' THEN '2023' WHEN 'SMALL' THEN '2023-06'
+                    WHEN 'MEDIUM' THEN NULL ELSE '2021-06-15' END,
+               'day', '["rock","world"]', timestamp '2024-03-01 00:00:00',
+               timestamp '2024-05-01 09:30:00', cast(p_size AS bigint)
+        FROM {part} WHERE p_partkey % 3 = 0""",
     "spotify_saved_tracks": """
         SELECT 'tr' || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey
                    AS track_id,

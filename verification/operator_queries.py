@@ -209,11 +209,30 @@ def token_map_json_repeated(t, spark):
 
 @registered(_colour_sql("DISTINCT"))
 def token_map_joined(t, spark):
-    """The way taken when the mapping is too large to travel inside the plan."""
+    """A mapping of many more rows gives the same labels."""
     rows = t("part").select("p_partkey", F.split("p_name", " ").alias("n"))
-    return op.map_tokens(
-        rows, F.col("n"), _colours(spark), "labels", ["p_partkey"], inline=False
-    ).drop("n")
+    more = t("customer").select(
+        F.concat(F.lit("unused "), "c_custkey").alias("token_key"), F.lit("Other").alias("label")
+    )
+    mapping = _colours(spark).select("token_key", "label").union(more)
+    return op.map_tokens(rows, F.col("n"), mapping, "labels", ["p_partkey"]).drop("n")
+
+
+@registered(
+    f"""
+    WITH said AS (SELECT p_size, unnest(string_split(p_name, ' ')) AS token FROM part),
+         grouped AS (SELECT p_size, string_agg(label, ',' ORDER BY label) AS every,
+                            string_agg(DISTINCT label, ',' ORDER BY label) AS once
+                     FROM said JOIN (VALUES {', '.join(COLOURS)}) m(raw, label)
+                          ON lower(raw) = lower(token) GROUP BY p_size)
+    SELECT p_partkey, p.p_size, every, once FROM part p LEFT JOIN grouped g ON p.p_size = g.p_size"""
+)
+def token_map_repeated_id(t, spark):
+    """Rows that share an id get the labels of all of them."""
+    rows = t("part").select("p_partkey", "p_size", F.split("p_name", " ").alias("n"))
+    both = op.map_tokens(rows, F.col("n"), _colours(spark), "once", ["p_size"])
+    both = op.map_tokens(both, F.col("n"), _colours(spark), "every", ["p_size"], distinct=False)
+    return both.drop("n")
 
 
 # ---- matching --------------------------------------------------------------------------------

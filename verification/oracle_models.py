@@ -294,6 +294,16 @@ def _tracker(kind: str, only: str, extra: str) -> dict[str, str]:
     }
 
 
+def genres_by_id(domain: str, item: str, tokens: str, rows: str, strict: bool) -> str:
+    """Labels of all rows that share an item id: item_id, labels."""
+    distinct = "" if strict else "DISTINCT "
+    return f"""
+        SELECT item_id, string_agg({distinct}normalized_genre, ',' ORDER BY normalized_genre) AS labels
+        FROM (SELECT {item} AS item_id, unnest({tokens}) AS token FROM {rows}) JOIN lk_genre_mapping
+             ON domain = '{domain}' AND {k('raw_genre')} = {k('token')}
+        WHERE normalized_genre <> '' GROUP BY item_id"""
+
+
 COLLECTION = f"""
     SELECT *, {k('title')} AS title_key, {k("split_part(directors, ',', 1)")} AS director_key
     FROM st_moviebuddy"""
@@ -317,7 +327,10 @@ def movies_ctes(strict: bool) -> dict[str, str]:
         origin = "coalesce(director_country, film_country, tracker_country)"
         country = f"coalesce({country_label('origin')}, origin)"
     return {
-        "owned": COLLECTION + f" WHERE {keep}",
+        "owned_labels": genres_by_id(
+            "movies", "movie_id", "string_split(genres, ',')", f"st_moviebuddy WHERE {keep}", strict
+        ),
+        "owned": COLLECTION + f" LEFT JOIN owned_labels ON item_id = movie_id WHERE {keep}",
         "diary": f"""
             SELECT *, {k('film_name')} AS title_key,
                    min(watched_date) OVER w AS first_date, count(*) OVER w AS views
@@ -333,7 +346,7 @@ def movies_ctes(strict: bool) -> dict[str, str]:
                    coalesce(o.release_year, d.release_year) AS release_year,
                    o.title_key IS NOT NULL AS has_owned, d.title_key IS NOT NULL AS has_diary,
                    o.title AS owned_title, d.film_name AS diary_title, o.content_type,
-                   o.directors, o.director_key, o.rating AS owned_rating, o.genres AS owned_genres,
+                   o.directors, o.director_key, o.rating AS owned_rating, o.labels AS owned_labels,
                    o.runtime_minutes, o.tmdb_id, d.rating AS letterboxd_rating, d.letterboxd_uri,
                    d.first_date, d.watched_date AS last_date, d.views
             FROM owned o FULL JOIN diary d
@@ -355,7 +368,7 @@ def movies_ctes(strict: bool) -> dict[str, str]:
                        AS film_country,
                    {manual('movies', 'u.title_key', 'IS NOT DISTINCT FROM u.director_key')}
                        AS manual_rating,
-                   coalesce({genre_list('movies', "string_split(u.owned_genres, ',')", strict)},
+                   coalesce(u.owned_labels,
                             CASE WHEN u.title_key IS NOT NULL AND u.release_year IS NOT NULL THEN
                             {genre_list('movies', json_tokens('u.genres'), strict)} END) AS labels,
                    coalesce(has_owned, false) AS o, coalesce(has_diary, false) AS d,
@@ -391,6 +404,7 @@ def movies_ctes(strict: bool) -> dict[str, str]:
 
 
 def anime_ctes(strict: bool) -> dict[str, str]:
+    series = "content_type = 'TV Show' AND lower(genres) LIKE '%animation%'"
     animated = "(lower(genres) LIKE '%animation%' OR lower(genres) LIKE '%anime%')"
     if strict:
         dl, tl = country_label("director_country"), country_label("tracker_country")
@@ -407,15 +421,17 @@ def anime_ctes(strict: bool) -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY rated_key
                                        ORDER BY rated_at DESC NULLS LAST, rating DESC) = 1"""
     return {
-        "series": COLLECTION
-        + " WHERE content_type = 'TV Show' AND lower(genres) LIKE '%animation%'",
+        "series_labels": genres_by_id(
+            "movies", "movie_id", "string_split(genres, ',')", f"st_moviebuddy WHERE {series}", strict
+        ),
+        "series": COLLECTION + f" LEFT JOIN series_labels ON item_id = movie_id WHERE {series}",
         **_tracker("show", animated, "w.status, w.network,"),
         "shows": f"""
             SELECT coalesce(o.title_key, s.title_key) AS title_key,
                    coalesce(o.release_year, s.release_year) AS release_year,
                    o.title_key IS NOT NULL AS o, s.title_key IS NOT NULL AS w,
                    coalesce(o.title, s.title) AS title, o.directors, o.director_key,
-                   o.rating AS owned_rating, o.genres AS owned_genres, s.genres,
+                   o.rating AS owned_rating, o.labels AS owned_labels, s.genres,
                    coalesce(o.runtime_minutes, s.runtime_minutes) AS runtime_minutes,
                    coalesce(o.tmdb_id, s.tmdb_id) AS tmdb_id, s.country AS tracker_country,
                    s.* EXCLUDE (title_key, release_year, title, genres, runtime_minutes, tmdb_id,
@@ -424,7 +440,7 @@ def anime_ctes(strict: bool) -> dict[str, str]:
                  ON o.title_key = s.title_key AND o.release_year = s.release_year""",
         "located_shows": f"""
             SELECT u.*, {_director_country('anime_director_countries')} AS director_country,
-                   coalesce({genre_list('movies', "string_split(u.owned_genres, ',')", strict)},
+                   coalesce(u.owned_labels,
                             CASE WHEN u.title_key IS NOT NULL AND u.release_year IS NOT NULL THEN
                             {genre_list('movies', json_tokens('u.genres'), strict)} END) AS labels
             FROM shows u""",
@@ -450,21 +466,25 @@ def anime_ctes(strict: bool) -> dict[str, str]:
 def music_ctes(strict: bool) -> dict[str, str]:
     zero = "best.rating" if strict else "nullif(best.rating, 0)"
     display = "regexp_replace(artist, ' \\(\\d+\\)$', '')"
-    mapped = genre_list("music", "string_split(m.genres, ',')", strict)
-    streamed = genre_list("music", json_tokens("s.all_genres"), strict)
     return {
         "streamed": """
             SELECT a.*, coalesce(nullif(a.genres, '[]'), f.genres) AS all_genres
             FROM st_spotify_saved_albums a LEFT JOIN st_spotify_followed_artists f
                  ON f.artist_id = json_extract_string(a.artist_ids, '$[0]')""",
+        "shelf_labels": genres_by_id(
+            "music", "album_id", "string_split(genres, ',')", "st_musicbuddy", strict
+        ),
+        "streamed_labels": genres_by_id(
+            "music", sk("album_name", "artists"), json_tokens("all_genres"), "streamed", strict
+        ),
         "listened": f"""
             SELECT 1 AS rank, 'musicbuddy' AS app, 'cd' AS format, album_id, title, artist,
                    {display} AS artist_display, {k('title')} AS title_key,
-                   {k(display)} AS artist_key, {k(display)} AS country_key, {mapped} AS genres,
+                   {k(display)} AS artist_key, {k(display)} AS country_key, l.labels AS genres,
                    release_year, rating, discogs_release_id, NULL AS spotify_album_id,
                    NULL AS total_tracks, NULL AS spotify_added_at, NULL AS bandcamp_item_id,
                    NULL AS bandcamp_item_url, NULL AS bandcamp_added_at, NULL AS origin
-            FROM st_musicbuddy m
+            FROM st_musicbuddy m LEFT JOIN shelf_labels l ON l.item_id = m.album_id
             UNION ALL
             SELECT 2, 'bandcamp', 'digital', album_id, title, artist, artist, {k('title')},
                    {k('artist')}, {k('artist')}, NULL, NULL, NULL, NULL, NULL, NULL, NULL, item_id,
@@ -474,9 +494,10 @@ def music_ctes(strict: bool) -> dict[str, str]:
             UNION ALL
             SELECT 3, 'spotify', 'digital', {sk('album_name', 'artists')}, album_name, artists,
                    artists, {k('album_name')}, {k('artists')}, {k("split_part(artists, ',', 1)")},
-                   {streamed}, {num("split_part(release_date, '-', 1)")}, NULL, NULL, album_id,
+                   l.labels, {num("split_part(release_date, '-', 1)")}, NULL, NULL, album_id,
                    total_tracks, added_at, NULL, NULL, NULL, NULL
-            FROM streamed s""",
+            FROM streamed s
+                 LEFT JOIN streamed_labels l ON l.item_id = {sk('album_name', 'artists')}""",
         "best": """
             SELECT * FROM listened WHERE title_key IS NOT NULL AND artist_key IS NOT NULL
             QUALIFY row_number() OVER (PARTITION BY title_key, artist_key
@@ -490,13 +511,9 @@ def music_ctes(strict: bool) -> dict[str, str]:
                    max(bandcamp_added_at) AS bandcamp_added_at,
                    string_agg(DISTINCT origin, ', ' ORDER BY origin) AS bandcamp_origin,
                    string_agg(DISTINCT format, ', ' ORDER BY format) AS media_format,
-                   CASE string_agg(DISTINCT rank::varchar, '' ORDER BY rank::varchar)
-                        WHEN '123' THEN 'musicbuddy_and_bandcamp_and_spotify'
-                        WHEN '12' THEN 'musicbuddy_and_bandcamp'
-                        WHEN '13' THEN 'musicbuddy_and_spotify'
-                        WHEN '23' THEN 'bandcamp_and_spotify'
-                        WHEN '1' THEN 'musicbuddy' WHEN '2' THEN 'bandcamp'
-                        ELSE 'spotify' END AS source_name,
+                   (SELECT string_agg(name, '_and_' ORDER BY r)
+                    FROM (VALUES (1, 'musicbuddy'), (2, 'bandcamp'), (3, 'spotify')) n(r, name)
+                    WHERE list_contains(list(rank), r)) AS source_name,
                    CASE WHEN count(DISTINCT app) > 1 THEN 'title_artist' END AS match_type
             FROM listened GROUP BY title_key, artist_key""",
         "located_albums": f"""

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from omnishelf.llm.common import prefix_hash, ready, span_hash, steps, word_spans
 from omnishelf.llm.quality import held_out
 
-# Hashed words. With CLASS_ROWS this bounds what the driver holds while fitting.
-TERMS = 1 << 14
+# A term counts if so many of the fitted rows have it.
+TERM_ROWS = 3
 # Labelled training rows, toxic and not, that are fitted; chosen by hash of their id.
 CLASS_ROWS = 2000
 FOLDS = 5
+# Standard errors of its log odds from which on a term gets a weight.
+TELLING = 3.0
 # The chain, in order. Only the first two are labelled columns; the third is derived from them and
 # from the training texts, see ``categories``.
 CATEGORIES = ("low_quality", "toxic", "severe_toxic")
@@ -28,45 +30,48 @@ _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = T
 
 
 def term_rows(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Sorted distinct hashed words (lower case in A-Z) of each text."""
+    """Sorted distinct words (lower case in A-Z) of each text, as 32-bit hashes."""
     with np.errstate(over="ignore"):
         for _, data, offsets in steps(texts):
             starts, stops, rows = word_spans(data, offsets, _LETTER)
             n = len(offsets) - 1
             words = span_hash(prefix_hash(data, lower=True), starts, stops)
             row = np.repeat(np.arange(n, dtype=np.int64), np.diff(rows))
-            flat = np.zeros(n * TERMS, bool)
-            flat[row * TERMS + (words % np.uint64(TERMS)).astype(np.int64)] = True
-            place = np.flatnonzero(flat)
-            cuts = np.searchsorted(place, np.arange(n + 1) * TERMS)
+            both = np.unique((row.astype(np.uint64) << np.uint64(32)) | (words >> np.uint64(32)))
+            cuts = np.searchsorted(both, np.arange(n + 1, dtype=np.uint64) << np.uint64(32))
+            terms = both.astype(np.uint32)
             for r in range(n):
-                yield (place[cuts[r] : cuts[r + 1]] - r * TERMS).astype(np.uint16)
+                yield terms[cuts[r] : cuts[r + 1]]
 
 
 @dataclass
 class Sparse:
-    """Rows of distinct terms, flat."""
+    """Rows of distinct terms, flat; terms are places in a vocabulary of ``width``."""
 
     terms: np.ndarray
     row: np.ndarray
     n: int
+    width: int
 
     @classmethod
-    def of(cls, rows: list[np.ndarray]) -> Sparse:
-        sizes = [len(r) for r in rows]
-        terms = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-        return cls(terms, np.repeat(np.arange(len(rows)), sizes), len(rows))
+    def of(cls, rows: list[np.ndarray], vocabulary: np.ndarray) -> Sparse:
+        """Terms outside the sorted vocabulary are left out."""
+        terms = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
+        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        place = np.minimum(np.searchsorted(vocabulary, terms), max(len(vocabulary) - 1, 0))
+        known = vocabulary[place] == terms if len(vocabulary) else np.zeros(len(terms), bool)
+        return cls(place[known], row[known], len(rows), len(vocabulary))
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.terms], self.n)
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.terms, g[self.row], TERMS)
+        return np.bincount(self.terms, g[self.row], self.width)
 
     def take(self, keep: np.ndarray) -> Sparse:
         inside = keep[self.row]
         number = np.cumsum(keep) - 1
-        return Sparse(self.terms[inside], number[self.row[inside]], int(keep.sum()))
+        return Sparse(self.terms[inside], number[self.row[inside]], int(keep.sum()), self.width)
 
 
 @dataclass
@@ -84,36 +89,57 @@ class Link:
 
 def fit_link(x: Sparse, earlier: np.ndarray, y: np.ndarray, rounds: int = 150,
              ridge: float = 2e-4, rate: float = 0.05) -> Link:
-    """Logistic regression by Adam on the whole sample; classes weigh the same."""
+    """Logistic regression by Adam on the whole sample; classes weigh the same.
+
+    Only terms that tell the classes apart get a weight: ``TERM_ROWS`` rows, and log odds of
+    ``TELLING`` standard errors. Terms start from their log odds, which is most of what a few
+    dozen labelled rows can teach.
+    """
+    a, b = x.back((y > 0).astype(float)), x.back((y <= 0).astype(float))
+    odds = np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / (len(y) - y.sum() + 1))
+    telling = (a + b >= TERM_ROWS) & (np.abs(odds) >= TELLING * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)))
+    inside = telling[x.terms]
+    x = Sparse(x.terms[inside], x.row[inside], x.n, x.width)
+    size = x.width
     ones = max(y.sum(), 1e-9)
     weight = np.where(y > 0, 0.5 / ones, 0.5 / max(len(y) - ones, 1e-9))
-    w = np.zeros(TERMS + earlier.shape[1] + 1)
+    w = np.zeros(size + earlier.shape[1] + 1)
+    w[:size] = np.where(telling, odds, 0)
+    w[-1] = -1.0
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        link = Link(w[:TERMS], w[TERMS:-1], w[-1])
+        link = Link(w[:size], w[size:-1], w[-1])
         g = weight * (link.predict(x, earlier) - y)
-        grad = np.concatenate([x.back(g) + ridge * w[:TERMS], earlier.T @ g, [g.sum()]])
+        grad = np.concatenate([x.back(g) * telling + ridge * w[:size], earlier.T @ g, [g.sum()]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return Link(w[:TERMS], w[TERMS:-1], w[-1])
+    return Link(w[:size], w[size:-1], w[-1])
 
 
 @dataclass
 class Chain:
+    vocabulary: np.ndarray
     links: list[Link] = field(default_factory=list)
 
-    def predict(self, x: Sparse) -> np.ndarray:
+    def predict(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probabilities, category by category; each link sees those before it."""
+        x = Sparse.of(rows, self.vocabulary)
         out = np.zeros((x.n, len(self.links)))
         for k, link in enumerate(self.links):
             out[:, k] = link.predict(x, out[:, :k])
         return out
 
 
-def fit_chain(x: Sparse, y: np.ndarray, folds: np.ndarray) -> Chain:
+def vocabulary_of(rows: list[np.ndarray]) -> np.ndarray:
+    terms, count = np.unique(np.concatenate(rows), return_counts=True)
+    return terms[count >= TERM_ROWS]
+
+
+def fit_chain(x: Sparse, vocabulary: np.ndarray, y: np.ndarray, folds: np.ndarray) -> Chain:
     """Train the links in order. A link is trained on out-of-fold probabilities of the categories
-    before it, so that it sees them as wrong as they will be on new texts."""
-    chain, earlier = Chain(), np.zeros((x.n, 0))
+    before it, so that it sees them as wrong as they will be on new texts. Terms without a weight
+    in any link are dropped from the vocabulary in the end."""
+    chain, earlier = Chain(vocabulary), np.zeros((x.n, 0))
     for k in range(y.shape[1]):
         out_of_fold = np.zeros(x.n)
         for f in range(FOLDS):
@@ -124,6 +150,9 @@ def fit_chain(x: Sparse, y: np.ndarray, folds: np.ndarray) -> Chain:
             out_of_fold[~inside] = link.predict(x.take(~inside), earlier[~inside])
         chain.links.append(fit_link(x, earlier, y[:, k]))
         earlier = np.column_stack([earlier, out_of_fold])
+    used = np.any([link.terms != 0 for link in chain.links], axis=0)
+    chain.vocabulary = vocabulary[used]
+    chain.links = [Link(link.terms[used], link.earlier, link.bias) for link in chain.links]
     return chain
 
 
@@ -134,7 +163,7 @@ def categories(x: Sparse, quality: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     t = toxic > 0
     a, b = x.back(t.astype(float)), x.back((~t).astype(float))
     odds = np.log((a + 0.5) / (t.sum() + 1)) - np.log((b + 0.5) / ((~t).sum() + 1))
-    marker = np.zeros(TERMS)
+    marker = np.zeros(x.width)
     marker[np.argsort(-odds * np.sqrt(a), kind="stable")[:50]] = 1
     found = x.dot(marker)
     least = max(2.0, float(np.median(found[t]))) if t.any() else 2.0
@@ -177,9 +206,11 @@ def train(docs: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> C
     if not len(order) or toxic.min() == toxic.max():
         return None
     terms = rows["terms"].to_pylist()
-    x = Sparse.of([np.frombuffer(terms[i], np.uint16) for i in order])
+    found = [np.frombuffer(terms[i], np.uint32) for i in order]
+    vocabulary = vocabulary_of(found)
+    x = Sparse.of(found, vocabulary)
     y = categories(x, rows["quality"].to_numpy()[order], toxic)
-    return fit_chain(x, y, np.arange(x.n) % FOLDS)
+    return fit_chain(x, vocabulary, y, np.arange(x.n) % FOLDS)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], shared):
@@ -189,7 +220,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared):
         if chain and batch.num_rows:
             rows = list(term_rows(batch.column(1)))
             for a in range(0, len(rows), 512):
-                found[a : a + 512] = chain.predict(Sparse.of(rows[a : a + 512]))
+                found[a : a + 512] = chain.predict(rows[a : a + 512])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *[pa.array(found[:, k].copy()) for k in range(len(CATEGORIES))]],
             ["doc_id", *CATEGORIES],
@@ -200,7 +231,7 @@ def score_toxicity(docs: DataFrame, chain: Chain | None) -> DataFrame:
     """Per row: doc_id, a probability for each category, and is_toxic (toxic from 0.5 on).
 
     Only ``text`` is looked at; a null or empty text is scored without words. Without a chain all
-    probabilities are 0. No shuffle; the broadcast chain is three weight vectors (400 KB).
+    probabilities are 0. No shuffle; the broadcast chain holds the telling terms and three weights each.
     """
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(chain)

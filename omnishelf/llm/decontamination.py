@@ -16,8 +16,9 @@ EDIT_SHARE = 0.08
 # An item within that many edits shares at least length - q + 1 - edits * q grams with its window.
 GRAM = 8
 # Tables of sampled positions, walks they are dealt over, positions a table samples. At one sampled
-# position in five changed, a table agrees with chance 0.26 and one of 16 does with 0.99.
-TABLES, WALKS, SAMPLES = 16, 2, 6
+# position in five changed, a table agrees with chance 0.26 and one of 24 does with 0.999. A walk
+# that an early edit leads astray for long spoils its three tables, so there are eight walks.
+TABLES, WALKS, SAMPLES = 24, 8, 6
 # Items of one class have nearly one length; their windows are sampled alike.
 CLASS_WIDTH = 1.25
 # Shorter items (bytes, normalised) are found only where they occur verbatim.

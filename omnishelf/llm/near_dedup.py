@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,16 @@ from omnishelf.llm.common import (
 
 SHINGLE = 5
 PERCENT = 75
-# 128 registers in 32 bands of 4: a pair at similarity 0.75 meets in no band once in 200,000.
-REGISTERS, BAND = 128, 4
-MANTISSA = 10
+# The first 128 registers make 32 bands of 4: a pair at similarity 0.75 meets in no band once in
+# 200,000. All registers make the estimate.
+REGISTERS, BANDS, BAND = 512, 32, 4
+# A register is a byte: four bits for leading zeros, four for the bits behind them.
+ZEROS, MANTISSA = 4, 4
 # Pairs whose estimate lies this far below the threshold are not checked on their sets. Five
-# standard deviations of 128 registers at 0.75.
-SLACK = 0.2
+# standard deviations of 512 registers at 0.75.
+SLACK = 0.1
+# Members and strays of a band that one task compares by their sketches.
+CELL = 2048
 
 _BITS = np.uint64(64 - REGISTERS.bit_length() + 1)
 _BOUNDS = np.arange(REGISTERS, dtype=np.uint64) << _BITS
@@ -62,7 +67,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     """Registers of a non-empty sorted set: leading zeros and mantissa bits of each bucket's minimum.
 
     The high bits of a hash choose the bucket, so the minimum of bucket b is the first hash from
-    b << 57 on. An empty register copies the first filled one on its fixed list of tries (optimal
+    b << 55 on. An empty register copies the first filled one on its fixed list of tries (optimal
     densification), which keeps the chance that two sets agree in it at their similarity.
     """
     first = np.searchsorted(hashes, _BOUNDS)
@@ -71,7 +76,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     filled = (first < len(hashes)) & ((low >> _BITS) == np.arange(REGISTERS, dtype=np.uint64))
     rest = (low << np.uint64(64 - int(_BITS))) | np.uint64(1)
     mantissa, exponent = np.frexp(rest.astype(np.float64))
-    zeros = 64 - exponent
+    zeros = np.minimum(64 - exponent, (1 << ZEROS) - 1)
     out = (zeros << MANTISSA) + ((mantissa - 0.5) * (2 << MANTISSA)).astype(np.int64)
     empty = np.flatnonzero(~filled)
     for t in range(0, _PROBES.shape[1], 64):
@@ -85,16 +90,16 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
         empty = empty[~done]
     if len(empty):
         out[empty] = out[np.flatnonzero(filled)[0]]
-    return out.astype("<u2")
+    return out.astype("u1")
 
 
 def estimate(agreeing: np.ndarray) -> np.ndarray:
     """Similarity from the number of agreeing registers, less the collisions of unequal minima.
 
-    Two unequal minima agree in leading zeros and mantissa with about 0.17 * 2**(-MANTISSA) times
-    the bucket count's share; the published constant is for sets of one size.
+    Two unequal minima have the same number of leading zeros with chance 1/3 and then the same
+    mantissa bits with 2**-MANTISSA.
     """
-    chance = 0.1699 * 2.0**-MANTISSA
+    chance = 2.0**-MANTISSA / 3
     return np.maximum(0.0, (agreeing / REGISTERS - chance) / (1 - chance))
 
 
@@ -117,7 +122,7 @@ def _describe(batches: Iterator[pa.RecordBatch]):
 def _agree(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         left, right = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, REGISTERS)
+            np.frombuffer(b"".join(batch.column(i).to_pylist()), "u1").reshape(-1, REGISTERS)
             for i in (2, 3)
         )
         likely = estimate((left == right).sum(axis=1)) >= PERCENT / 100 - SLACK
@@ -127,6 +132,26 @@ def _agree(batches: Iterator[pa.RecordBatch]):
         )
 
 
+def _across(part: pd.DataFrame) -> pd.DataFrame:
+    """Likely pairs between the strays of a band's cell and its members in other components."""
+    rows = {}
+    for stray in (True, False):
+        side = part[part["stray"] == stray]
+        sketches = np.frombuffer(b"".join(side["sketch"]), "u1").reshape(-1, REGISTERS)
+        rows[stray] = (side["class_id"].to_numpy(), side["c"].to_numpy(), side["n_shingles"].to_numpy(), sketches)
+    x, c_x, n_x, s_x = rows[True]
+    y, c_y, n_y, s_y = rows[False]
+    out = []
+    for i in range(len(x)):
+        low, high = np.minimum(n_x[i], n_y), np.maximum(n_x[i], n_y)
+        near = np.flatnonzero((c_y != c_x[i]) & (100 * low >= PERCENT * high))
+        likely = estimate((s_y[near] == s_x[i]).sum(axis=1)) >= PERCENT / 100 - SLACK
+        other = y[near[likely]]
+        out.append(np.stack([np.minimum(x[i], other), np.maximum(x[i], other)], axis=1))
+    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return pd.DataFrame(pairs, columns=["a", "b"])
+
+
 def _hashes(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         sets = pa.array([h.tobytes() for h in shingle_sets(batch.column(1))], pa.binary())
@@ -153,12 +178,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     pairs = stored(pairs)
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = stored(
-        docs.join(ids, docs["doc_id"] == ids["id"]).select("doc_id", "text")
+        docs.join(ids.hint("merge"), docs["doc_id"] == ids["id"]).select("doc_id", "text")
         .mapInArrow(_hashes, "id long, hashes binary")
     )
     left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    both = pairs.hint("merge").join(left, "a").join(right.hint("merge"), "b").select("a", "b", "left", "right")
     return stored(both.mapInArrow(_confirm, "a long, b long"))
 
 
@@ -209,47 +234,54 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("class_id", "n_shingles", "sketch")
         .dropDuplicates(["class_id", "n_shingles"])
     )
-    width = 2 * BAND
     bands = F.array(
         *[
-            F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width))
-            for i in range(REGISTERS // BAND)
+            F.xxhash64(F.lit(i), F.substring("sketch", i * BAND + 1, BAND))
+            for i in range(BANDS)
         ]
     )
-    members = classes.select("class_id", "n_shingles", F.explode(bands).alias("band"))
-    shared = stored(
-        members.groupBy("band")
-        .agg(F.min("class_id").alias("first"), F.count("*").alias("size"))
-        .filter("size > 1")
-    )
+    members = classes.select("class_id", F.explode(bands).alias("band"))
+    shared = stored(members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"))
     members = stored(members.join(shared, "band"))
-
-    starred = members.filter("class_id <> first").select(
-        F.col("first").alias("a"), F.col("class_id").alias("b")
+    # A text at the middle of a group meets the others in more bands than they meet each other.
+    central = members.groupBy("class_id").agg(F.sum("size").alias("meets"))
+    members = stored(members.join(central, "class_id").select("band", "class_id", "meets"))
+    pivots = members.groupBy("band").agg(F.max(F.struct("meets", -F.col("class_id"))).alias("top"))
+    pivots = stored(pivots.select("band", (-F.col("top")["col2"]).alias("pivot")))
+    starred = members.join(pivots, "band").filter("class_id <> pivot").select(
+        F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")
     )
     starred = stored(starred.distinct())
     links = _confirmed(docs, _likely(starred, classes))
 
-    placed = members.select("band", "class_id", "n_shingles").join(
+    placed = members.select("band", "class_id").join(
         components(links), F.col("class_id") == F.col("id"), "left"
-    ).select("band", "class_id", "n_shingles", F.coalesce("component", "class_id").alias("c"))
+    ).select("band", "class_id", F.coalesce("component", "class_id").alias("c"))
     placed = stored(placed)
-    split = placed.groupBy("band", "c").agg(F.count("*").alias("n"))
-    split = split.groupBy("band").agg(
-        F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("parts")
-    ).filter("parts > 1").select("band", "main")
-    several = stored(placed.join(stored(split), "band"))
+    split = placed.groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(
+        F.max(F.struct("n", "c")).alias("main"), F.sum("n").alias("size"), F.count("*").alias("parts")
+    ).filter("parts > 1").select(
+        F.col("band").alias("b"), F.col("main")["c"].alias("main"),
+        F.ceil(F.col("size") / CELL).alias("cells"),
+        F.ceil((F.col("size") - F.col("main")["n"]) / CELL).alias("stray_cells"),
+    )
+    several = placed.join(stored(split), F.col("band") == F.col("b")).join(
+        classes.withColumnRenamed("class_id", "id"), F.col("class_id") == F.col("id")
+    )
+    cell = lambda n: F.pmod(F.xxhash64("class_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n).cast("int") - 1))
+    columns = ["class_id", "c", "n_shingles", "sketch", "band"]
+    several = stored(several.select(*columns, "main", "cells", "stray_cells"))
     strays = several.filter("c <> main").select(
-        "band", F.col("class_id").alias("x"), F.col("c").alias("c_x"), F.col("n_shingles").alias("n_x")
+        *columns, every("cells").alias("cell"), cell("stray_cells").alias("stray_cell"), F.lit(True).alias("stray")
+    )
+    others = several.select(
+        *columns, cell("cells").alias("cell"), every("stray_cells").alias("stray_cell"), F.lit(False).alias("stray")
     )
-    fits = 100 * F.least("n_x", "n_shingles") >= PERCENT * F.greatest("n_x", "n_shingles")
-    # Of two strays, the pair is made once.
-    once = (F.col("c") == F.col("main")) | (F.col("x") < F.col("class_id"))
-    across = strays.join(several, "band").filter((F.col("c_x") != F.col("c")) & fits & once)
-    across = across.select(
-        F.least("x", "class_id").alias("a"), F.greatest("x", "class_id").alias("b")
+    across = strays.union(others).groupBy("band", "cell", "stray_cell").applyInPandas(
+        _across, "a long, b long"
     ).distinct().join(starred, ["a", "b"], "left_anti")
-    more = _confirmed(docs, _likely(across, classes))
+    more = _confirmed(docs, across)
 
     linked = components(links.union(more))
     named = stored(

@@ -92,7 +92,7 @@ def test_licenses(spark, docs, rows):
         r = got[i, len(words)]
         assert (r.n_base, r.first_word, r.last_word) == (len(places), min(places, default=None), max(places, default=None))
         assert r.base_labels == ",".join(sorted(labels)) and labels <= {*r.labels.split(",")} and 0 <= r.score <= 1
-    assert got[2003, 7].labels == "apache-2" and got[2003, 7].notices[0].edits == 1
+    assert got[2003, 8].labels == "apache-2" and got[2003, 8].notices[0].edits == 1
     assert got[2005, 6].labels == "cc-by"
 
 

@@ -74,8 +74,11 @@ def split_csv(value: Column | str) -> Column:
 
 
 def split_json(value: Column | str) -> Column:
-    """JSON array text as an array of text; NULL when it is not an array."""
-    return F.from_json(as_column(value), "array<string>")
+    """JSON array text as an array of its scalars as text; NULL when it is not an array. Nested
+    objects and arrays are no scalars and are left out."""
+    return F.filter(
+        F.from_json(as_column(value), "array<string>"), lambda x: ~F.coalesce(x.rlike(r"^\s*[\[{]"), F.lit(False))
+    )
 
 
 def first_token(value: Column | str, separator: str = ",") -> Column:

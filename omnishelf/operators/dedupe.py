@@ -72,12 +72,14 @@ def reduce_for_join(
 ) -> DataFrame:
     """One row per key as the small side of a join; ``keys`` maps output names to key columns.
 
-    The output keys are aggregates (the maximum of equal values), not the grouping columns, so
-    Spark does not take the result as partitioned by them and shuffles it once more for a join that
-    is too large to broadcast. That exchange is wanted: at run time Spark splits the hot partitions
-    of the other side only when the join sits directly on two exchanges.
+    The output keys are expressions over the grouping columns and the count, so Spark does not take
+    the result as partitioned by them and shuffles it once more for a join that is too large to
+    broadcast. That exchange is wanted: at run time Spark splits the hot partitions of the other
+    side only when the join sits directly on two exchanges. The count is what keeps a reduction to
+    bare keys a hash aggregation; it is never 0.
     """
     return df.groupBy(*keys.values()).agg(
-        *[F.max(column).alias(f"_max_{out}") for out, column in keys.items()],
-        *[c.alias(name) for name, c in aggregates.items()],
-    ).select(*[F.col(f"_max_{out}").alias(out) for out in keys], *aggregates)
+        F.count(F.lit(1)).alias("_copies"), *[c.alias(name) for name, c in aggregates.items()]
+    ).select(
+        *[F.when(F.col("_copies") > 0, F.col(c)).alias(out) for out, c in keys.items()], *aggregates
+    )

@@ -92,10 +92,10 @@ def anime_collection(anime: DataFrame) -> DataFrame:
     )
 
 
-def summarise(items: DataFrame, domains: list[str]) -> DataFrame:
+def summarise(items: DataFrame, domains: list[str], tracked: list[str]) -> DataFrame:
     """One row per domain from (domain, is_consumed, rating, country).
 
-    ``is_consumed`` is NULL where a domain does not track consumption, and so are its two counts.
+    Domains outside ``tracked`` do not track consumption: their two counts are NULL.
     A domain without items still gives a row of zeros.
     """
     consumed = F.col("is_consumed")
@@ -107,11 +107,12 @@ def summarise(items: DataFrame, domains: list[str]) -> DataFrame:
         F.round(F.avg("rating"), 2).alias("avg_rating"),
         F.count("country").alias("items_with_country"),
     )
-    return expect_domains(counts, items.sparkSession, domains)
+    return expect_domains(counts, items.sparkSession, domains, tracked)
 
 
-def expect_domains(counts: DataFrame, spark, domains: list[str]) -> DataFrame:
-    tracked = [d for d in domains if d not in ("music", "manga")]
+def expect_domains(
+    counts: DataFrame, spark, domains: list[str], tracked: list[str]
+) -> DataFrame:
     listed = spark.range(1).select(F.explode(F.array(*map(F.lit, domains))).alias("domain"))
     zero = F.lit(0)
     is_tracked = F.col("domain").isin(*tracked)
@@ -141,7 +142,8 @@ def media_summary(marts: Marts) -> DataFrame:
         )
         for d in DOMAINS
     ]
-    return summarise(reduce(DataFrame.unionByName, parts), list(DOMAINS))
+    items = reduce(DataFrame.unionByName, parts)
+    return summarise(items, list(DOMAINS), ["books", "movies", "anime"])
 
 
 def creator_column(domain: str) -> tuple[F.Column, str]:

@@ -57,8 +57,23 @@ def counts_by_decade(df: DataFrame, year: Column | str = "release_year") -> Data
 
 def top_k(df: DataFrame, value: Column | str, name: str, k: int) -> DataFrame:
     """The k most frequent values, ties by value. Spark keeps k rows per task, then merges."""
-    counted = counts_by(df, value, name).filter(F.col(name).isNotNull())
-    return counted.orderBy(F.desc("n_items"), F.asc(name)).limit(k)
+    return top_counted(counts_by(df, value, name), name, k)
+
+
+def top_counted(counted: DataFrame, name: str, k: int) -> DataFrame:
+    known = counted.filter(F.col(name).isNotNull())
+    return known.orderBy(F.desc("n_items"), F.asc(name)).limit(k)
+
+
+def top_creators(
+    items: DataFrame, key: str, names: DataFrame, names_key: str, name: str, k: int
+) -> DataFrame:
+    """The k creators with most items. Items are counted by key first; names join to the counts, not
+    to every item. Keys with one name count together."""
+    counted = counts_by(items, key, "_key")
+    named = counted.join(names, F.col("_key") == F.col(names_key))
+    totals = named.groupBy(F.col(name).alias("creator")).agg(F.sum("n_items").alias("n_items"))
+    return top_counted(totals, "creator", k)
 
 
 def counts_per_year(df: DataFrame, date: Column | str = "first_watched_date") -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import SparkSession
 # Correctness: instants become dates in UTC whatever the cluster's zone is.
 CORRECTNESS = {"spark.sql.session.timeZone": "UTC"}
 
-# Scale: run-time re-planning, splitting of hot join partitions even where the split costs one more
-# exchange, and a broadcast ceiling that Spark checks against the size of every lookup.
+# Scale: run-time re-planning, and splitting of hot join partitions even where the split costs one
+# more exchange. Broadcasts follow the session's own spark.sql.autoBroadcastJoinThreshold.
 SCALE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,41 +15,76 @@ from omnishelf.sources.schemas import CSV_EXPORTS, LOOKUPS, PAYLOADS
 log = logging.getLogger(__name__)
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The declared columns by header name; an absent column is NULL, an extra one is not read.
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files at ``path``, grouped by their header line; one line of each file is read."""
+    groups: dict[str, list[str]] = {}
+    for file in sorted(spark.read.schema("line string").text(path).inputFiles()):
+        line = spark.read.text(file).first()
+        if line is not None:
+            groups.setdefault(line[0].lstrip("\ufeff"), []).append(file)
+    return groups
 
-    All fields arrive as text, so only the header line is looked at before the query runs. Quoted
-    fields may span lines, which keeps Spark from splitting one file: write large exports as a
-    directory of files.
+
+def _typed(value: Column, field: T.StructField) -> Column:
+    """The value in its declared type; text that is none of it fails the load."""
+    if field.dataType == T.StringType():
+        return value
+    wrong = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), value)
+    failed = F.when(value.isNotNull(), F.raise_error(wrong).cast(field.dataType))
+    return F.coalesce(value.try_cast(field.dataType), failed)
+
+
+def _read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, required: bool, multi_line: bool
+) -> DataFrame:
+    """The declared columns by each file's own header; an absent column is NULL, an extra one is
+    not read.
+
+    All fields arrive as text, so only header lines are looked at before the query runs; files with
+    one header are read together. With ``multi_line`` quoted fields may span lines, which keeps
+    Spark from splitting one file: write large exports as a directory of files, or give up line
+    breaks in fields. A missing file is an empty table, or an error where it is ``required``.
     """
     try:
-        raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+        groups = _files_by_header(spark, path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if required or error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("skipped, no file at %s", path)
+        groups = {}
+    parts = []
+    for files in groups.values():
+        raw = spark.read.csv(files, header=True, quote='"', escape='"', multiLine=multi_line)
+        present = {c.lower(): c for c in raw.columns}
+        columns = []
+        for field in schema.fields:
+            name = present.get(field.name.lower())
+            value = F.lit(None).cast("string") if name is None else F.col(f"`{name}`")
+            columns.append(_typed(value, field).cast(field.dataType).alias(field.name))
+        parts.append(raw.select(*columns))
+    if not parts:
         return spark.createDataFrame([], schema)
-    present = {c.lower(): c for c in raw.columns}
-    columns = []
-    for field in schema.fields:
-        name = present.get(field.name.lower())
-        value = F.lit(None) if name is None else F.col(f"`{name}`")
-        columns.append(value.try_cast(field.dataType).alias(field.name))
-    return raw.select(*columns)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All CSV exports ``<folder>/<source>.csv``, each a file or a directory of files."""
+def read_exports(
+    spark: SparkSession, folder: str, multi_line: bool = True
+) -> dict[str, DataFrame]:
+    """All CSV exports ``<folder>/<source>.csv``, each a file or a directory of files; an export
+    that is not there is empty."""
     return {
-        name: _read_csv(spark, f"{folder}/{name}.csv", schema)
+        name: _read_csv(spark, f"{folder}/{name}.csv", schema, False, multi_line)
         for name, schema in CSV_EXPORTS.items()
     }
 
 
-def read_lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All lookup tables ``<folder>/<lookup>.csv``; empty fields are NULL."""
+def read_lookups(
+    spark: SparkSession, folder: str, multi_line: bool = True
+) -> dict[str, DataFrame]:
+    """All lookup tables ``<folder>/<lookup>.csv``; empty fields are NULL. A missing table or a
+    malformed field fails."""
     return {
-        name: _read_csv(spark, f"{folder}/{name}.csv", T.StructType.fromDDL(ddl))
+        name: _read_csv(spark, f"{folder}/{name}.csv", T.StructType.fromDDL(ddl), True, multi_line)
         for name, ddl in LOOKUPS.items()
     }
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -30,27 +29,21 @@ def land(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where jobs may leave intermediate tables: the folder the cluster names for checkpoints.
-
-    A machine-local folder serves only a local session, as in tests.
-    """
+    """Where jobs may leave intermediate tables: the folder the session names for checkpoints."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="omnishelf-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a relation that several plans read, and read it back.
 
     Cuts the lineage: a lost executor costs a reread instead of the whole plan. Unlike a
-    checkpoint, the table keeps column pruning, pushed filters and size statistics.
+    checkpoint, the table keeps column pruning, pushed filters and size statistics. The table lies
+    below ``folder``, or the session's shared folder, and is its owner's to remove.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/stored-{uuid.uuid4().hex}"
     overwrite(df, path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,11 @@
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from omnishelf.sources import payloads
 from omnishelf.sources.readers import read_exports, read_lookups, read_payload
+from omnishelf.sources.schemas import LOOKUPS
 from omnishelf.sources.sinks import land, overwrite, shared_folder, stored
 from tests.conftest import rows
 
@@ -27,7 +31,32 @@ def test_exports_by_header_name(spark, tmp_path):
     assert frames["goodreads"].count() == 0 and len(frames["goodreads"].columns) == 24
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "moviebuddy.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Title,Content Type,Rating\nA,Movie,4\n")
+    (folder / "b.csv").write_text("Title,Rating,Content Type\nB,5,Movie\n")
+    (folder / "c.csv").write_text("")
+    films = read_exports(spark, str(tmp_path), multi_line=False)["moviebuddy"]
+    assert rows(films, "Title", "Content Type", "Rating") == [("A", "Movie", "4"), ("B", "Movie", "5")]
+
+
+def test_lookups_must_be_there_and_well_formed(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_lookups(spark, str(tmp_path))
+    _write_lookups(tmp_path)
+    (tmp_path / "film_countries.csv").write_text("title,release_year,country\nMother,soon,\n")
+    with pytest.raises(Exception, match="release_year is no bigint: soon"):
+        read_lookups(spark, str(tmp_path))["film_countries"].collect()
+
+
+def _write_lookups(folder):
+    for name, ddl in LOOKUPS.items():
+        (folder / f"{name}.csv").write_text(",".join(p.split()[0] for p in ddl.split(", ")) + "\n")
+
+
 def test_lookups_are_typed(spark, tmp_path):
+    _write_lookups(tmp_path)
     (tmp_path / "film_countries.csv").write_text("title,release_year,country\nMother,2009,\n")
     (tmp_path / "genre_mapping.csv").write_text(
         'domain,raw_genre,normalized_genre\nmusic,"Folk, World, & Country",Folk\n'

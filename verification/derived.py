@@ -8,10 +8,14 @@ numbers and dates, shared ISBNs, missing years, unmapped genres.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from omnishelf.plans.staging import STAGES
-from omnishelf.sources.sinks import stored
+from omnishelf.sources.sinks import shared_folder, stored
 
 READ_OFTEN = ("bookbuddy", "goodreads")
 
@@ -341,6 +345,21 @@ def raw_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.toDF(*EXPORT_NAMES[name]) if name in EXPORT_NAMES else df
 
 
+def working_folder(spark: SparkSession) -> str:
+    """The session's shared folder. A local session that names none gets a temporary one, which
+    goes when the process ends."""
+    local = spark.sparkContext.master.startswith("local[")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="omnishelf-"))
+            atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+        return _OWN[0]
+    return shared_folder(spark)
+
+
+_OWN: list[str] = []
+
+
 class Derived:
     """Raw sources, staged sources and lookups of one data folder, made on first use."""
 
@@ -352,7 +371,10 @@ class Derived:
         self.staged = _Lazy(self._stage, RAW)
         # Sources that one plan reads several times are stored first, as the build stores all.
         self.tables = _Lazy(
-            lambda name: stored(self.staged[name]) if name in READ_OFTEN else self.staged[name], RAW
+            lambda name: stored(self.staged[name], working_folder(spark))
+            if name in READ_OFTEN
+            else self.staged[name],
+            RAW,
         )
 
     def _stage(self, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,15 @@ from omnishelf.plans import build, marts, quality
 from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
 from omnishelf.sources.readers import read_exports, read_lookups, read_tables
-from omnishelf.sources.sinks import land, shared_folder
+from omnishelf.sources.schemas import LOOKUPS as LOOKUP_TYPES
+from omnishelf.sources.sinks import land
 from verification import oracle_models as oracle
-from verification.derived import LOOKUPS, RAW, Derived
+from verification.derived import EXPORT_NAMES, LOOKUPS, RAW, Derived, working_folder
+
+LOOKUP_COLUMNS = {
+    name: [column.split(" ")[0] for column in ddl.split(", ")] for name, ddl in LOOKUP_TYPES.items()
+}
+LOOKUP_WIDTH = max(map(len, LOOKUP_COLUMNS.values()))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -84,43 +91,41 @@ def duplicate_titles(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_items(quality.mart_items(collections(d)))
 
 
-def export_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Exports written as CSV, read back by header and staged."""
-    d = Derived(configure(spark), sf)
-    folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
-    for name in ("goodreads", "moviebuddy"):
-        d.raw[name].write.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
-    exports = read_exports(spark, folder)
-    books = STAGES["goodreads"](exports["goodreads"])
-    films = STAGES["moviebuddy"](exports["moviebuddy"])
-    return books.select("title", "author", "isbn", "rating").unionByName(
-        films.select("title", F.col("directors").alias("author"), F.col("genres").alias("isbn"),
-                     F.col("tmdb_id").alias("rating"))
-    )
+def _export_scan(name: str):
+    """An export written as CSV, in two files of different header order, read back and staged."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        raw = Derived(configure(spark), sf).raw[name]
+        folder = f"{working_folder(spark)}/exports-{uuid.uuid4().hex}"
+        halves = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+        for half, columns in enumerate((raw.columns, raw.columns[::-1])):
+            raw.filter(halves == half).select(*[F.col(f"`{c}`") for c in columns]).write.mode(
+                "append"
+            ).csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
+        return plain(STAGES[name](read_exports(spark, folder)[name]))
+
+    return run
 
 
 def lookup_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Lookup tables written as CSV and read back typed; empty fields are NULL."""
+    """All lookup tables written as CSV and read back typed; every field as text."""
     d = Derived(configure(spark), sf)
-    folder = f"{shared_folder(spark)}/lookups-{uuid.uuid4().hex}"
-    for name in ("film_countries", "manual_ratings"):
+    folder = f"{working_folder(spark)}/lookups-{uuid.uuid4().hex}"
+    for name in LOOKUPS:
         d.lookups[name].write.csv(f"{folder}/{name}.csv", header=True, quote='"', escape='"')
-    lookups = read_lookups(spark, folder)
-    ratings = lookups["manual_ratings"].select(
-        "domain", "title", F.col("author_or_director_or_artist").alias("creator"), "rating",
-        F.year("rated_at").cast("bigint").alias("year"),
-    )
-    films = lookups["film_countries"].select(
-        F.lit("film").alias("domain"), "title", F.col("country").alias("creator"),
-        F.lit(None).cast("double").alias("rating"), F.col("release_year").alias("year"),
-    )
-    return ratings.unionByName(films)
+    parts = []
+    for name, df in read_lookups(spark, folder).items():
+        fields = [F.col(c).cast("double" if c == "rating" else "string") for c in df.columns]
+        texts = [F.when(f.isNotNull(), f.cast("string")) for f in fields]
+        texts += [F.lit(None).cast("string")] * (LOOKUP_WIDTH - len(texts))
+        parts.append(df.select(F.lit(name).alias("lookup"), *[c.alias(f"f{i}") for i, c in enumerate(texts)]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """A table written twice holds the second content only."""
     d = Derived(configure(spark), sf)
-    folder = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    folder = f"{working_folder(spark)}/landed-{uuid.uuid4().hex}"
     name = "trakt_ratings"
     land({name: d.raw[name].union(d.raw[name])}, folder)
     land({name: d.raw[name], "not chosen": d.raw["goodreads"]}, folder, tables=[name])
@@ -132,7 +137,7 @@ def full_build(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(configure(spark), sf)
     raw = {name: d.raw[name] for name in RAW}
     lookups = {name: d.lookups[name] for name in LOOKUPS}
-    folder = f"{shared_folder(spark)}/build-{uuid.uuid4().hex}"
+    folder = f"{working_folder(spark)}/build-{uuid.uuid4().hex}"
     return build.build(spark, raw, lookups, folder)["mart.media_summary"]
 
 
@@ -147,13 +152,23 @@ QUERIES = {
     "genre_coverage_models": genre_coverage,
     "manual_rating_orphans_models": manual_rating_orphans,
     "duplicate_titles_models": duplicate_titles,
-    "export_scan": export_scan,
+    **{f"export_scan_{name}": _export_scan(name) for name in EXPORT_NAMES},
     "lookup_scan": lookup_scan,
     "full_refresh": full_refresh,
     "full_build": full_build,
 }
 
 
+def _lookup_sql() -> str:
+    parts = []
+    for name, columns in LOOKUP_COLUMNS.items():
+        texts = [f"nullif({c}::varchar, '')" for c in columns]
+        texts += ["NULL"] * (LOOKUP_WIDTH - len(columns))
+        listed = ", ".join(f"{x} AS f{i}" for i, x in enumerate(texts))
+        parts.append(f"SELECT '{name}' AS lookup, {listed} FROM lk_{name}")
+    return " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **{f"stage_{name}": oracle.staged_oracle(name) for name in RAW},
@@ -170,18 +185,8 @@ def oracle_sql() -> dict[str, str]:
         "genre_coverage_models": oracle.coverage_oracle(),
         "manual_rating_orphans_models": oracle.orphans_oracle(),
         "duplicate_titles_models": oracle.duplicates_oracle(),
-        "export_scan": oracle.assemble(
-            {},
-            """SELECT title, author, isbn, rating FROM st_goodreads
-               UNION ALL SELECT title, directors, genres, tmdb_id FROM st_moviebuddy""",
-        ),
-        "lookup_scan": oracle.assemble(
-            {},
-            """SELECT domain, title, author_or_director_or_artist AS creator, rating,
-                      year(rated_at) AS year FROM lk_manual_ratings
-               UNION ALL SELECT 'film', title, country, NULL, release_year
-               FROM lk_film_countries""",
-        ),
+        **{f"export_scan_{name}": oracle.staged_oracle(name) for name in EXPORT_NAMES},
+        "lookup_scan": oracle.assemble({}, _lookup_sql()),
         "full_refresh": oracle.staged_oracle("trakt_ratings"),
         "full_build": oracle.summary_oracle(),
     }

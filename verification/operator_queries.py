@@ -15,8 +15,7 @@ from omnishelf.plans import marts, quality, reports
 from omnishelf.session import configure
 from omnishelf.sources import payloads
 from omnishelf.sources.readers import read_payload
-from omnishelf.sources.sinks import shared_folder
-from verification.derived import table
+from verification.derived import table, working_folder
 from verification.model_queries import plain
 from verification.oracle_models import sk
 
@@ -518,7 +517,8 @@ def _all_items(t):
     UNION ALL SELECT 'nothing yet', 0, 0, 0, 0, NULL, 0"""
 )
 def media_summary(t, spark):
-    return marts.summarise(_all_items(t), ["customers", "suppliers", "parts", "nothing yet"])
+    domains = ["customers", "suppliers", "parts", "nothing yet"]
+    return marts.summarise(_all_items(t), domains, tracked=domains)
 
 
 @registered(
@@ -710,13 +710,33 @@ def qa_duplicates(t, spark):
     return quality.duplicate_items(items)
 
 
+@registered(
+    """
+    SELECT 'parts' AS domain, lower(title) AS title_key, lower(p_brand) AS creator_key,
+           count(*) AS duplicate_count,
+           string_agg(title, ' | ' ORDER BY title) AS duplicate_titles,
+           string_agg(p_brand, ' | ' ORDER BY p_brand) AS duplicate_creators
+    FROM (SELECT p_brand, CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS title
+          FROM part)
+    GROUP BY ALL HAVING count(*) > 1"""
+)
+def qa_duplicates_copies(t, spark):
+    """Every copy is listed, as often as it occurs."""
+    title = F.when(F.col("p_size") > 25, F.upper("p_name")).otherwise(F.col("p_name"))
+    items = t("part").select(
+        F.lit("parts").alias("domain"), title.alias("title"), F.col("p_brand").alias("creator"),
+        fn.norm_key(title).alias("title_key"), fn.norm_key("p_brand").alias("creator_key"),
+    )
+    return quality.duplicate_items(items, repeat_copies=True)
+
+
 # ---- payloads --------------------------------------------------------------------------------
 
 
 def _payload(df: DataFrame, kind: str, **fields) -> DataFrame:
     """Land rows as JSON lines in the shared folder and read them as the jobs read payloads."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    path = f"{working_folder(spark)}/landed-{uuid.uuid4().hex}"
     document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
     df.select(document.alias("value")).write.text(path)
     return read_payload(spark, path, kind)
@@ -942,11 +962,42 @@ def flatten_fan_items(t, spark):
        JOIN customer ON o_custkey = c_custkey GROUP BY 1 ORDER BY n_items DESC, creator LIMIT 30"""
 )
 def top_creators(t, spark):
-    # The report counts customers by key first; names join to the counts, not to every order.
-    counted = t("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_items"))
-    named = counted.join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    totals = named.groupBy(F.col("c_name").alias("creator")).agg(F.sum("n_items").alias("n_items"))
-    return totals.orderBy(F.desc("n_items"), F.asc("creator")).limit(30)
+    return reports.top_creators(
+        t("orders"), "o_custkey", t("customer"), "c_custkey", "c_name", 30
+    )
+
+
+@registered(
+    """SELECT n_name AS country, count(*) AS n_items FROM customer
+       LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey <> 3 GROUP BY 1"""
+)
+def by_country(t, spark):
+    nation = t("nation").filter("n_nationkey <> 3")
+    items = t("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return reports.counts_by(items, "n_name", "country")
+
+
+@registered(
+    """SELECT CASE WHEN p_size > 5 THEN (p_size % 11) / cast(2 AS double) END AS rating,
+              count(*) AS n_items FROM part GROUP BY 1"""
+)
+def by_rating(t, spark):
+    rating = F.when(F.col("p_size") > 5, F.col("p_size") % 11 / F.lit(2.0))
+    return reports.counts_by(t("part"), rating, "rating")
+
+
+@registered("SELECT p_type AS content_type, count(*) AS n_items FROM part GROUP BY 1")
+def by_content_type(t, spark):
+    return reports.counts_by(t("part"), "p_type", "content_type")
+
+
+@registered(
+    """SELECT n_name AS country, count(*) AS n_items FROM customer
+       JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 ORDER BY n_items DESC, country LIMIT 30"""
+)
+def top_countries(t, spark):
+    items = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return reports.top_k(items, "n_name", "country", 30)
 
 
 @registered(

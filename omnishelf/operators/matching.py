@@ -34,6 +34,7 @@ def match_passes(
     passes: Mapping[str, Sequence[str]],
     right_id: str,
     squeeze: Callable[[DataFrame], DataFrame] | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Match in passes of falling strictness.
 
@@ -43,7 +44,8 @@ def match_passes(
 
     Of several right rows under one key the left row takes the smallest ``right_id``; all of them
     count as matched. ``squeeze`` may drop left rows between passes that cannot survive a later
-    deduplication; it must keep at least one row per pass key and match state.
+    deduplication; it must keep at least one row per pass key and match state. ``store`` writes the
+    state between passes and reads it back, so that a pass is not computed again for each use.
     """
     right_columns = right.columns
     right_type = right.select(
@@ -77,6 +79,8 @@ def match_passes(
         known = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_u_{k}") for k in keys])
         rest = rest.join(used, known, "left_anti")
         pending = joined.unionByName(pending.filter(~complete)) if first else joined
+        if store is not None and n + 1 < len(passes):
+            pending, rest = store(pending), store(rest)
         seen = pending
         if squeeze is not None:
             pending = squeeze(pending)

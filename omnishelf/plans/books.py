@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,26 +50,42 @@ def _with_author_key(df: DataFrame, lookups: Lookups) -> DataFrame:
 
 
 def unify_books(
-    bookbuddy: DataFrame, goodreads: DataFrame, lookups: Lookups, strict_reference: bool = False
+    bookbuddy: DataFrame,
+    goodreads: DataFrame,
+    lookups: Lookups,
+    strict_reference: bool = False,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per (title, author), with the columns of both apps where they match.
 
-    Both inputs are read once per match pass: give stored tables, not long plans.
+    The books of both apps get their canonical author and their manual rating in one step, on the
+    union. ``store`` writes a relation and reads it back: it is applied to that union and to the
+    state after the first match pass, which are read several times.
     """
     keep = "raw_author_key" if strict_reference else "author_key"
-
-    def rated(df: DataFrame) -> DataFrame:
-        """The rating that ranks duplicates is the final one, manual fallback included."""
-        own = F.col("rating") if strict_reference else zero_to_null("rating")
-        filled = attach_manual_rating(df, lookups, "books", "title_key", "author_key")
-        return filled.withColumn("rating", F.coalesce(own, "manual_rating")).drop("manual_rating")
+    zero_counts = F.lit(strict_reference)
+    sides = {"left": books_only(bookbuddy, strict_reference).drop("status"), "right": goodreads}
+    rows = [
+        df.select("title", "author", F.struct(*df.columns).alias(side))
+        for side, df in sides.items()
+    ]
+    enriched = attach_manual_rating(
+        _with_author_key(rows[0].unionByName(rows[1], allowMissingColumns=True), lookups),
+        lookups, "books", "title_key", "author_key",
+    )
+    if store is not None:
+        enriched = store(enriched)
+    keys = ["title_key", "raw_author_key", "author_key", "manual_rating"]
+    left, right = (
+        enriched.filter(F.col(side).isNotNull()).select(f"{side}.*", *keys) for side in sides
+    )
+    # The rating that ranks duplicates is the final one, manual fallback included.
+    own = F.when(zero_counts, F.col("rating")).otherwise(zero_to_null("rating"))
+    left = left.withColumn("rating", F.coalesce(own, "manual_rating")).drop("manual_rating")
 
     def missing(column: str) -> F.Column:
         return F.col(column).isNull()
 
-    left = rated(_with_author_key(books_only(bookbuddy, strict_reference), lookups))
-    right = _with_author_key(goodreads, lookups)
-
     def squeeze(rows: DataFrame) -> DataFrame:
         """Within one output key and match state only the best row can survive; dropping the rest
         here keeps a very common title from reaching the next join."""
@@ -75,11 +93,12 @@ def unify_books(
         return first_per_key(rows, ["title_key", keep, missing("match_type")], order)
 
     matched, right_rest = match_passes(
-        left.drop("status"),
+        left,
         right,
         {"isbn": ["isbn"], "title_author": ["title_key", "author_key"]},
         right_id="book_id",
         squeeze=squeeze,
+        store=store,
     )
     keys = ["title_key", "raw_author_key", "author_key"]
     from_left = matched.select(
@@ -94,14 +113,14 @@ def unify_books(
     right_rows = right_rest.select(
         surrogate_key("title", "author").alias("book_id"),
         *["title", "author"],
-        F.lit(None).cast("double").alias("rating"),
+        F.col("manual_rating").alias("rating"),
         "isbn",
         F.col("book_id").alias("goodreads_id"),
         *["year_published", "publisher"],
         F.col("rating").alias("goodreads_rating"),
         *keys,
     )
-    both = from_left.unionByName(rated(right_rows), allowMissingColumns=True)
+    both = from_left.unionByName(right_rows, allowMissingColumns=True)
     order = [missing("match_type"), missing("goodreads_id"), missing("isbn"), missing("rating")]
     order += [F.col("book_id"), F.col("goodreads_id")]
     one = first_per_key(both, ["title_key", keep], order)

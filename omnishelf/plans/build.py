@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +22,7 @@ from omnishelf.plans.screen import unify_anime, unify_movies
 from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
 from omnishelf.sources.readers import read_tables
-from omnishelf.sources.sinks import land
+from omnishelf.sources.sinks import land, stored
 
 
 def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -34,10 +34,14 @@ def unify(
     staged: Mapping[str, DataFrame],
     lookups: Mapping[str, DataFrame],
     strict_reference: bool = False,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The unified table of one domain; only the sources of that domain are looked up."""
+    """The unified table of one domain; only the sources of that domain are looked up. ``store``
+    is for the steps in between, see ``unify_books``."""
     if domain == "books":
-        return unify_books(staged["bookbuddy"], staged["goodreads"], lookups, strict_reference)
+        return unify_books(
+            staged["bookbuddy"], staged["goodreads"], lookups, strict_reference, store
+        )
     if domain == "manga":
         return unify_manga(staged["bookbuddy"], lookups)
     if domain == "movies":
@@ -92,14 +96,15 @@ def build(
     land(staged, folders["staging"])
     staged = read_tables(spark, folders["staging"], staged)
 
-    unified = {d: unify(d, staged, lookups, strict_reference) for d in DOMAINS}
+    between = lambda df: stored(df, f"{out_dir}/between")
+    unified = {d: unify(d, staged, lookups, strict_reference, between) for d in DOMAINS}
     land(unified, folders["unified"])
     unified = read_tables(spark, folders["unified"], unified)
 
     collections = {d: collect(d, df, strict_reference) for d, df in unified.items()}
     land({f"{d}_collection": df for d, df in collections.items()}, folders["mart"])
-    stored = read_tables(spark, folders["mart"], [f"{d}_collection" for d in collections])
-    by_domain = {d: stored[f"{d}_collection"] for d in collections}
+    tables = read_tables(spark, folders["mart"], [f"{d}_collection" for d in collections])
+    by_domain = {d: tables[f"{d}_collection"] for d in collections}
 
     cross = {
         "media_summary": media_summary(by_domain),
@@ -109,6 +114,6 @@ def build(
     return {
         **{f"staging.{n}": df for n, df in staged.items()},
         **{f"unified.{n}": df for n, df in unified.items()},
-        **{f"mart.{n}": df for n, df in stored.items()},
+        **{f"mart.{n}": df for n, df in tables.items()},
         **{f"mart.{n}": df for n, df in read_tables(spark, folders["mart"], cross).items()},
     }

@@ -363,7 +363,8 @@ _OWN: list[str] = []
 class Derived:
     """Raw sources, staged sources and lookups of one data folder, made on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, read_often=READ_OFTEN):
+        """``read_often`` names the sources that are stored after staging."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.lookups = _Lazy(lambda name: run(spark, sf_dir, LOOKUPS[name]), LOOKUPS)
@@ -372,7 +373,7 @@ class Derived:
         # Sources that one plan reads several times are stored first, as the build stores all.
         self.tables = _Lazy(
             lambda name: stored(self.staged[name], working_folder(spark))
-            if name in READ_OFTEN
+            if name in read_often
             else self.staged[name],
             RAW,
         )

@@ -14,7 +14,7 @@ from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
 from omnishelf.sources.readers import read_exports, read_lookups, read_tables
 from omnishelf.sources.schemas import LOOKUPS as LOOKUP_TYPES
-from omnishelf.sources.sinks import land
+from omnishelf.sources.sinks import land, stored
 from verification import oracle_models as oracle
 from verification.derived import EXPORT_NAMES, LOOKUPS, RAW, Derived, working_folder
 
@@ -40,15 +40,23 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def unified(d: Derived, domain: str, strict: bool = False) -> DataFrame:
-    return build.unify(domain, d.tables, d.lookups, strict)
+    folder = working_folder(d.spark)
+    return build.unify(domain, d.tables, d.lookups, strict, lambda df: stored(df, folder))
 
 
 def collection(d: Derived, domain: str, strict: bool = False) -> DataFrame:
     return build.collect(domain, unified(d, domain, strict), strict)
 
 
+def layered(spark: SparkSession, sf: str) -> Derived:
+    """Staged sources are stored once, as the build does, since several domains read them."""
+    return Derived(configure(spark), sf, RAW)
+
+
 def collections(d: Derived, strict: bool = False) -> dict[str, DataFrame]:
-    return {domain: collection(d, domain, strict) for domain in marts.DOMAINS}
+    """Stored collection tables of all domains."""
+    folder = working_folder(d.spark)
+    return {domain: stored(collection(d, domain, strict), folder) for domain in marts.DOMAINS}
 
 
 def _staged(name: str):
@@ -64,12 +72,12 @@ def _collection(domain: str):
 
 
 def media_summary_models(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.media_summary(collections(Derived(configure(spark), sf)))
+    return marts.media_summary(collections(layered(spark, sf)))
 
 
 def _country_index(strict: bool):
     def run(spark, sf):
-        d = Derived(configure(spark), sf)
+        d = layered(spark, sf)
         return marts.country_index(collections(d, strict), d.lookups, strict)
 
     return run
@@ -81,13 +89,13 @@ def genre_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manual_rating_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    d = Derived(configure(spark), sf)
+    d = layered(spark, sf)
     items = quality.mart_items(collections(d))
     return quality.orphaned_manual_ratings(items, d.lookups["manual_ratings"])
 
 
 def duplicate_titles(spark: SparkSession, sf: str) -> DataFrame:
-    d = Derived(configure(spark), sf)
+    d = layered(spark, sf)
     return quality.duplicate_items(quality.mart_items(collections(d)))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,24 +131,46 @@ def _agree(batches: Iterator[pa.RecordBatch]):
         )
 
 
-def _across(part: pd.DataFrame) -> pd.DataFrame:
+def _cell_pairs(ids, parts, sizes, sketches, stray) -> np.ndarray:
     """Likely pairs between the strays of a band's cell and its members in other components."""
-    rows = {}
-    for stray in (True, False):
-        side = part[part["stray"] == stray]
-        sketches = np.frombuffer(b"".join(side["sketch"]), "u1").reshape(-1, REGISTERS)
-        rows[stray] = (side["class_id"].to_numpy(), side["c"].to_numpy(), side["n_shingles"].to_numpy(), sketches)
-    x, c_x, n_x, s_x = rows[True]
-    y, c_y, n_y, s_y = rows[False]
-    out = []
-    for i in range(len(x)):
-        low, high = np.minimum(n_x[i], n_y), np.maximum(n_x[i], n_y)
-        near = np.flatnonzero((c_y != c_x[i]) & (100 * low >= PERCENT * high))
-        likely = estimate((s_y[near] == s_x[i]).sum(axis=1)) >= PERCENT / 100 - SLACK
-        other = y[near[likely]]
-        out.append(np.stack([np.minimum(x[i], other), np.maximum(x[i], other)], axis=1))
-    pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-    return pd.DataFrame(pairs, columns=["a", "b"])
+    x, y = np.flatnonzero(stray), np.flatnonzero(~stray)
+    out = [np.zeros((0, 2), np.int64)]
+    for i in x:
+        fits = 100 * np.minimum(sizes[i], sizes[y]) >= PERCENT * np.maximum(sizes[i], sizes[y])
+        near = y[fits & (parts[y] != parts[i])]
+        if len(near):
+            likely = estimate((sketches[near] == sketches[i]).sum(axis=1)) >= PERCENT / 100 - SLACK
+            other = ids[near[likely]]
+            out.append(np.stack([np.minimum(ids[i], other), np.maximum(ids[i], other)], axis=1))
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def _across(batches: Iterator[pa.RecordBatch]):
+    """Cells one after the other; rows come sorted by cell, so one cell is held at a time."""
+    held: list[tuple] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        rest = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3, 7)]
+        sketches = np.frombuffer(b"".join(batch.column(7).to_pylist()), "u1").reshape(-1, REGISTERS)
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        found = []
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if held and (held[0][0] != key[:, lo]).any():
+                found.append(_cell_pairs(*_joined(held)))
+                held = []
+            held.append((key[:, lo], *[r[lo:hi] for r in rest], sketches[lo:hi]))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    if held:
+        pairs = _cell_pairs(*_joined(held))
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _joined(held: list[tuple]):
+    stray, ids, parts, sizes, sketches = (np.concatenate(c) for c in list(zip(*held, strict=True))[1:])
+    return ids, parts, sizes, sketches, stray
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]):
@@ -278,7 +299,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     others = several.select(
         *columns, cell("cells").alias("cell"), every("stray_cells").alias("stray_cell"), F.lit(False).alias("stray")
     )
-    across = strays.union(others).groupBy("band", "cell", "stray_cell").applyInPandas(
+    cells = ["band", "cell", "stray_cell"]
+    across = strays.union(others).select(
+        *cells, "stray", "class_id", "c", "n_shingles", "sketch"
+    ).repartition(*cells).sortWithinPartitions(*cells).mapInArrow(
         _across, "a long, b long"
     ).distinct().join(starred, ["a", "b"], "left_anti")
     more = _confirmed(docs, across)

@@ -132,15 +132,23 @@ def _agree(batches: Iterator[pa.RecordBatch]):
 
 
 def _cell_pairs(ids, parts, sizes, sketches, stray) -> np.ndarray:
-    """Likely pairs between the strays of a band's cell and its members in other components."""
+    """Likely pairs between the strays of a band's cell and its members in other components.
+
+    Two sketches may agree in several bands; their pair is reported in the first of them only. The
+    cell's own band is one of those in which all its members agree.
+    """
     x, y = np.flatnonzero(stray), np.flatnonzero(~stray)
+    bands = sketches[:, : BANDS * BAND].reshape(-1, BANDS, BAND)
+    own = (bands == bands[0]).all(axis=(0, 2))
     out = [np.zeros((0, 2), np.int64)]
     for i in x:
         fits = 100 * np.minimum(sizes[i], sizes[y]) >= PERCENT * np.maximum(sizes[i], sizes[y])
         near = y[fits & (parts[y] != parts[i])]
         if len(near):
             likely = estimate((sketches[near] == sketches[i]).sum(axis=1)) >= PERCENT / 100 - SLACK
-            other = ids[near[likely]]
+            near = near[likely]
+            first = (bands[near] == bands[i]).all(axis=2).argmax(axis=1)
+            other = ids[near[own[first]]]
             out.append(np.stack([np.minimum(ids[i], other), np.maximum(ids[i], other)], axis=1))
     return np.unique(np.concatenate(out), axis=0)
 
@@ -232,7 +240,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     class of each of its bands, which settles a group of near copies in as many pairs as it has
     members. Then, in bands that still hold several components, the members outside the band's
     largest component are checked against all members of other components. No pair within a band
-    is left out unless its two sides are linked already, their sizes rule the similarity out, or
+    is left out unless its two sides are known to be linked, their sizes rule the similarity out, or
     the sketch estimate lies ``SLACK`` below it.
 
     doc_id is a key; rows that repeat it with one text get one result, a null doc_id takes no part
@@ -276,7 +284,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _confirmed(docs, _likely(starred, classes))
 
     placed = members.select("band", "class_id").join(
-        components(links), F.col("class_id") == F.col("id"), "left"
+        components(links, rounds=2, settle=False), F.col("class_id") == F.col("id"), "left"
     ).select("band", "class_id", F.coalesce("component", "class_id").alias("c"))
     placed = stored(placed)
     split = placed.groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(

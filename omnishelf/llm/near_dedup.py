@@ -269,15 +269,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             for i in range(BANDS)
         ]
     )
-    members = classes.select("class_id", F.explode(bands).alias("band"))
+    members = classes.select("class_id", "n_shingles", F.explode(bands).alias("band"))
     shared = stored(members.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"))
     members = stored(members.join(shared, "band"))
     # A text at the middle of a group meets the others in more bands than they meet each other.
     central = members.groupBy("class_id").agg(F.sum("size").alias("meets"))
-    members = stored(members.join(central, "class_id").select("band", "class_id", "meets"))
-    pivots = members.groupBy("band").agg(F.max(F.struct("meets", -F.col("class_id"))).alias("top"))
-    pivots = stored(pivots.select("band", (-F.col("top")["col2"]).alias("pivot")))
-    starred = members.join(pivots, "band").filter("class_id <> pivot").select(
+    members = stored(
+        members.join(central, "class_id").select("band", "class_id", "n_shingles", "meets")
+    )
+    top = F.struct("meets", (-F.col("class_id")).alias("first"), "n_shingles")
+    pivots = members.groupBy("band").agg(F.max(top).alias("top"))
+    pivots = stored(
+        pivots.select("band", (-F.col("top.first")).alias("pivot"), F.col("top.n_shingles").alias("n"))
+    )
+    # Sizes that rule the similarity out need no sketches.
+    fits = 100 * F.least("n", "n_shingles") >= PERCENT * F.greatest("n", "n_shingles")
+    starred = members.join(pivots, "band").filter(fits & (F.col("class_id") != F.col("pivot"))).select(
         F.least("pivot", "class_id").alias("a"), F.greatest("pivot", "class_id").alias("b")
     )
     starred = stored(starred.distinct())

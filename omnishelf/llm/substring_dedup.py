@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +27,51 @@ from omnishelf.llm.common import (
 UNIT_WORDS = 6
 # In longer units one word in 16, chosen by its hash, closes the unit too.
 LONG_UNIT_WORDS = 24
-# Repeated units are removed where so many words of them stand in a row. Shorter repeats, such as
-# "It is.", come about by chance.
-RUN_WORDS = 12
+# Repeated units inside lines go where those in a row, within one line, have so many bytes in their
+# words. Shorter repeats, such as "It is.", come about by chance. Whole lines have no such bound.
+LEAST_BYTES = 32
+# Short lines and lines of several units are compared with lines only.
+_LINE = np.uint64(0x5851F42D4C957F2D)
 
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[[ord(c) for c in ".!?"]] = True
 
 
-def units(texts: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per text: digests, first and last byte offset (exclusive) and words of its units, in order.
+def _closes(data, words, stops, rows, ends_line) -> np.ndarray:
+    """Which words close a unit."""
+    kind = np.where(words & np.uint64(15) == 0, 1, 0)
+    kind[_SENTENCE_END[data[stops - 1]]] = 2
+    kind[ends_line] = 3
+    closes, last = ends_line.copy(), 0
+    for m in np.flatnonzero(kind).tolist():
+        size = m + 1 - last
+        if kind[m] == 3 or kind[m] == 2 and size >= UNIT_WORDS or size >= LONG_UNIT_WORDS:
+            last, closes[m] = m + 1, True
+    return closes
 
-    A unit is a line or, within a line, some sentences; its digest covers its words in lower case
-    (A-Z), so blanks and letter case do not matter. Every byte of a word lies in one unit.
+
+class Units(NamedTuple):
+    """Of one text, in order of place: units (sentences or parts of them) and compared digests.
+
+    A digest covers the units ``lo`` to ``hi``: one, or with ``whole`` all of a line.
+    """
+
+    digest: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    whole: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    size: np.ndarray
+    line: np.ndarray
+
+
+def units(texts: pa.Array) -> Iterator[Units]:
+    """Per text its units with first and last byte offset (exclusive), bytes in words, and line.
+
+    A unit is a line or, within a line, some sentences; every byte of a word lies in one unit. A
+    digest covers words in lower case (A-Z), so blanks and letter case do not matter. Lines of
+    several units have a digest too; lines of less than ``LEAST_BYTES`` have only that.
     """
     with np.errstate(over="ignore"):
         for _, data, offsets in steps(texts):
@@ -47,51 +80,70 @@ def units(texts: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
             powers, inverses = _powers(len(words) + 1)
             prefix = np.zeros(len(words) + 1, np.uint64)
             np.cumsum(words * powers[: len(words)], out=prefix[1:])
+
+            def digest(lo, hi, prefix=prefix, inverses=inverses):
+                return (prefix[hi] - prefix[lo]) * inverses[lo] + (hi - lo).astype(np.uint64)
+
             lines = np.zeros(len(data) + 1, np.int32)
             np.cumsum(data == 10, out=lines[1:])
-            kind = np.where(words & np.uint64(15) == 0, 1, 0)
-            kind[_SENTENCE_END[data[stops - 1]]] = 2
-            kind[:-1][lines[starts[1:]] > lines[stops[:-1]]] = 3
-            marks = np.flatnonzero(kind)
-            spans = np.searchsorted(marks, rows).tolist()
-            ends, kinds = (marks + 1).tolist(), kind[marks].tolist()
+            ends_line = np.zeros(len(words), bool)
+            ends_line[:-1] = lines[starts[1:]] > lines[stops[:-1]]
+            ends_line[rows[1:][rows[1:] > 0] - 1] = True
+            hi = np.flatnonzero(_closes(data, words, stops, rows, ends_line)) + 1
+            lo = np.concatenate([[0], hi])[: len(hi)]
+            line_hi = np.flatnonzero(ends_line) + 1
+            line_lo = np.concatenate([[0], line_hi])[: len(line_hi)]
+            heavy = np.concatenate([[0], np.cumsum(stops - starts)])
+            size = heavy[hi] - heavy[lo]
+            line = np.searchsorted(line_hi, hi)
+            many = np.bincount(line, minlength=len(line_hi)) > 1
+            short = heavy[line_hi] - heavy[line_lo] < LEAST_BYTES
+            single = np.flatnonzero((many | ~short)[line])
+            whole = np.flatnonzero(many | short)
+            first = np.concatenate([single, np.searchsorted(lo, line_lo[whole])])
+            behind = np.concatenate([single, np.searchsorted(hi, line_hi[whole])]) + 1
+            digests = np.concatenate([
+                mix(digest(lo[single], hi[single])),
+                mix(digest(line_lo[whole], line_hi[whole]) ^ _LINE),
+            ])
+            is_line = np.arange(len(digests)) >= len(single)
+            order = np.lexsort((is_line, first))
+            first, behind, is_line, digests = (x[order] for x in (first, behind, is_line, digests))
+            at = np.searchsorted(lo, rows)
+            of = np.searchsorted(first, at)
             for r in range(len(rows) - 1):
-                a, b = int(rows[r]), int(rows[r + 1])
-                cuts, last = [a], a
-                for m in range(spans[r], spans[r + 1]):
-                    k, size = kinds[m], ends[m] - last
-                    if k == 3 or k == 2 and size >= UNIT_WORDS or size >= LONG_UNIT_WORDS:
-                        last = ends[m]
-                        cuts.append(last)
-                if last < b:
-                    cuts.append(b)
-                cuts = np.array(cuts)
-                lo, hi = cuts[:-1], cuts[1:]
-                digest = mix((prefix[hi] - prefix[lo]) * inverses[lo] + hi.astype(np.uint64) - lo.astype(np.uint64))
-                yield digest, starts[lo] - offsets[r], stops[hi - 1] - offsets[r], hi - lo
-
-
-def removable(digest: np.ndarray, words: np.ndarray, repeated: np.ndarray, own: np.ndarray):
-    """Which units go: repeated ones, but not the first of those whose earliest document this is,
-    where ``RUN_WORDS`` words of them stand in a row."""
+                a, b, c, d = at[r], at[r + 1], of[r], of[r + 1]
+                yield Units(
+                    digests[c:d], first[c:d] - a, behind[c:d] - a, is_line[c:d],
+                    starts[lo[a:b]] - offsets[r], stops[hi[a:b] - 1] - offsets[r], size[a:b], line[a:b],
+                )
+
+
+def removable(of: Units, repeated: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which units go: those of repeated lines, and repeated ones of which ``LEAST_BYTES`` stand in
+    a row of their line; but not the first of a digest whose earliest document this is."""
     gone = repeated.copy()
     mine = np.flatnonzero(own)
-    gone[mine[np.unique(digest[mine], return_index=True)[1]]] = False
-    edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-    total = np.concatenate([[0], np.cumsum(words)])
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-        if total[b] - total[a] < RUN_WORDS:
-            gone[a:b] = False
-    return gone
+    gone[mine[np.unique(of.digest[mine], return_index=True)[1]]] = False
+    one = np.zeros(len(of.size), bool)
+    one[of.lo[gone & ~of.whole]] = True
+    turns = np.ones(len(one), bool)
+    turns[1:] = (one[1:] != one[:-1]) | (of.line[1:] != of.line[:-1])
+    row = np.cumsum(turns) - 1
+    one &= np.bincount(row, of.size)[row] >= LEAST_BYTES
+    lines = np.zeros(len(one) + 1, np.int64)
+    lines[of.lo[gone & of.whole]] += 1
+    lines[of.hi[gone & of.whole]] -= 1
+    return one | (np.cumsum(lines)[:-1] > 0)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         digests, counts = [], []
-        for digest, *_ in units(batch.column(1)):
-            digests.append(digest)
-            counts.append(len(digest))
+        for of in units(batch.column(1)):
+            digests.append(of.digest)
+            counts.append(len(of.digest))
         if counts:
             numbers = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
             yield pa.RecordBatch.from_arrays(
@@ -105,18 +157,17 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, names: list[str]):
     for batch in batches:
         texts, marks = batch.column(text_at), batch.column(len(names))
         out = {k: [] for k in ("text", "n_units", "n_removed_units", "n_bytes", "n_removed", "spans")}
-        for (digest, start, stop, words), text, marked in zip(
-            units(texts), texts, marks, strict=True
-        ):
+        for of, text, marked in zip(units(texts), texts, marks, strict=True):
             body = b"" if text.as_py() is None else text.as_py().encode()
-            spans, gone = [], np.zeros(len(digest), bool)
+            start, spans, gone = of.start, [], np.zeros(len(of.start), bool)
             if marked.is_valid:
-                own, repeated = np.zeros_like(gone), np.zeros_like(gone)
+                repeated = np.zeros(len(of.digest), bool)
+                own = repeated.copy()
                 at = np.array(marked.as_py(), np.int64)
-                # A mark is twice the unit number, plus one in the digest's earliest document.
+                # A mark is twice the digest's number, plus one in the digest's earliest document.
                 repeated[at >> 1] = True
                 own[at[at & 1 == 1] >> 1] = True
-                gone = removable(digest, words, repeated, own)
+                gone = removable(of, repeated, own)
             kept, last = [], 0
             edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
             for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
@@ -128,7 +179,7 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, names: list[str]):
             kept.append(body[last:])
             left = b"".join(kept)
             out["text"].append(left.decode() if spans else text.as_py())
-            out["n_units"].append(len(digest))
+            out["n_units"].append(len(start))
             out["n_removed_units"].append(int(gone.sum()))
             out["n_bytes"].append(len(body))
             out["n_removed"].append(len(body) - len(left))
@@ -150,7 +201,9 @@ def dedup_units(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated units cut out of ``text``, and what was cut.
 
     Adds n_units, n_removed_units, n_bytes, n_removed (bytes) and spans (offsets in the bytes of the
-    input text). Units are ranked by doc_id and position; the first of each digest stays. Digests
+    input text). Every later copy of a line goes, whatever its length, in the order of doc_id and
+    position. Inside a line, later copies of sentences go where the repeated ones in a row hold
+    ``LEAST_BYTES`` or more in their words; shorter ones stay. Digests
     are counted with partial sums, and their earliest document is joined back on two exchanges, so
     that Spark can split a line which fills a third of the corpus. What one document has of repeated
     units is gathered per document, never per digest.

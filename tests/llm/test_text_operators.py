@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -129,6 +130,24 @@ def test_substring_dedup(docs, rows):
     assert got[75][0].n_removed > 700
 
 
+def test_substring_dedup_removes_every_later_line(spark):
+    rng = random.Random(6)
+    few = ["Yes.", "It is. No.", "same nine words of a line that comes often", "a  B", "one two. three four. five"]
+    texts = []
+    for i in range(60):
+        lines = [rng.choice(few) if rng.random() < 0.5 else f"only here {i} {k}" for k in range(8)]
+        texts.append("\n".join(x.upper() if rng.random() < 0.2 else x for x in lines))
+    out = substring_dedup.dedup_units(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"))
+    got, seen = {r.doc_id: r for r in out.collect()}, set()
+    fold = lambda t: " ".join(t.lower().split())
+    for i, text in enumerate(texts):
+        want = []
+        for x in map(fold, text.split("\n")):
+            want += [] if x in seen else [x]
+            seen.add(x)
+        assert [fold(x) for x in got[i].text.split("\n") if x.strip()] == want
+
+
 def test_packing(docs, rows):
     got = packing.pack(docs, BYTE_BPE, window=64, group_pieces=50).toPandas()
     tok = Tokenizer.from_file(BYTE_BPE)

@@ -23,10 +23,10 @@ from omnishelf.llm.common import (
     word_spans,
 )
 
-# A sentence end closes a unit that has so many words; a line end always does.
-UNIT_WORDS = 6
-# In longer units one word in 16, chosen by its hash, closes the unit too.
-LONG_UNIT_WORDS = 24
+# Of so many words in a row of one sentence at least one closes a unit: the last of least hash. Equal
+# passages of one line are so cut alike but for less than so many words at either end, and of 51
+# words at least 20 match.
+WINDOW = 16
 # Repeated units inside lines go where those in a row, within one line, have so many bytes in their
 # words. Shorter repeats, such as "It is.", come about by chance. Whole lines have no such bound.
 LEAST_BYTES = 32
@@ -35,18 +35,54 @@ _LINE = np.uint64(0x5851F42D4C957F2D)
 
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[[ord(c) for c in ".!?"]] = True
+_OTHER_ENDS = [c.encode() for c in "\u0589\u061f\u06d4\u0964\u0965\u0f0d\u104b\u1362\u1367\u17d4\u2026\u203c\u2047\u2048\u2049\u3002\ufe52\uff01\uff0e\uff1f\uff61"]
+_CLOSING = [c.encode() for c in "\"')]}\u00bb\u2019\u201d\u300d\u300f\uff09"]
+_LEAD = np.zeros(256, bool)
+_LEAD[[c[0] for c in _OTHER_ENDS]] = True
 
 
-def _closes(data, words, stops, rows, ends_line) -> np.ndarray:
-    """Which words close a unit."""
-    kind = np.where(words & np.uint64(15) == 0, 1, 0)
-    kind[_SENTENCE_END[data[stops - 1]]] = 2
-    kind[ends_line] = 3
-    closes, last = ends_line.copy(), 0
-    for m in np.flatnonzero(kind).tolist():
-        size = m + 1 - last
-        if kind[m] == 3 or kind[m] == 2 and size >= UNIT_WORDS or size >= LONG_UNIT_WORDS:
-            last, closes[m] = m + 1, True
+def _behind(data: np.ndarray, at: np.ndarray, marks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the places ``at`` hold one of the marks, and where that ends."""
+    held, stop = np.zeros(len(at), bool), at.copy()
+    for mark in marks:
+        here = at + len(mark) <= len(data)
+        for k, byte in enumerate(mark):
+            here[here] = data[at[here] + k] == byte
+        held |= here
+        stop[here] += len(mark)
+    return held, stop
+
+
+def _sentences(data: np.ndarray, offsets: np.ndarray):
+    """Where sentences may end (flags), with closing quotes and brackets, and where words end for
+    want of blanks: at ideographs and kana, one word each, and at sentence ends beyond ASCII."""
+    lead = np.flatnonzero(_LEAD[data])
+    held, stop = _behind(data, lead, _OTHER_ENDS)
+    others = stop[held]
+    ends = np.concatenate([np.flatnonzero(_SENTENCE_END[data]) + 1, others])
+    beyond = np.arange(len(ends)) >= len(ends) - len(others)
+    for _ in range(2):
+        held, stop = _behind(data, ends, _CLOSING)
+        held &= ~np.isin(ends, offsets)
+        ends = np.where(held, stop, ends)
+    flags = np.zeros(len(data) + 1, bool)
+    flags[ends] = True
+    wide = np.flatnonzero((data >= 0xE3) & (data <= 0xE9))
+    return flags, np.unique(np.concatenate([offsets, ends[beyond], wide, wide + 3]))
+
+
+def _closes(words: np.ndarray, sentence_end: np.ndarray) -> np.ndarray:
+    """Which words close a unit: sentence ends, and of each ``WINDOW`` words within a sentence the
+    last one of least hash. Nothing else counts, so equal words are cut alike wherever they stand."""
+    closes, n = sentence_end.copy(), len(words)
+    if n >= WINDOW:
+        sentence = np.cumsum(sentence_end) - sentence_end
+        least, span = np.arange(n), 1
+        while span < WINDOW:
+            left, right = least[:-span], least[span:]
+            least = np.where(words[right] <= words[left], right, left)
+            span *= 2
+        closes[least[sentence[: n - WINDOW + 1] == sentence[WINDOW - 1 :]]] = True
     return closes
 
 
@@ -69,13 +105,15 @@ class Units(NamedTuple):
 def units(texts: pa.Array) -> Iterator[Units]:
     """Per text its units with first and last byte offset (exclusive), bytes in words, and line.
 
-    A unit is a line or, within a line, some sentences; every byte of a word lies in one unit. A
+    A unit is a line or, within a line, a sentence or a part of a long one; every byte of a word lies in one unit. A
     digest covers words in lower case (A-Z), so blanks and letter case do not matter. Lines of
     several units have a digest too; lines of less than ``LEAST_BYTES`` have only that.
     """
     with np.errstate(over="ignore"):
         for _, data, offsets in steps(texts):
-            starts, stops, rows = word_spans(data, offsets, NOT_SPACE)
+            sentence_end, bounds = _sentences(data, offsets)
+            starts, stops, _ = word_spans(data, bounds, NOT_SPACE)
+            rows = np.searchsorted(starts, offsets)
             words = span_hash(prefix_hash(data, lower=True), starts, stops)
             powers, inverses = _powers(len(words) + 1)
             prefix = np.zeros(len(words) + 1, np.uint64)
@@ -89,7 +127,7 @@ def units(texts: pa.Array) -> Iterator[Units]:
             ends_line = np.zeros(len(words), bool)
             ends_line[:-1] = lines[starts[1:]] > lines[stops[:-1]]
             ends_line[rows[1:][rows[1:] > 0] - 1] = True
-            hi = np.flatnonzero(_closes(data, words, stops, rows, ends_line)) + 1
+            hi = np.flatnonzero(_closes(words, sentence_end[stops] | ends_line)) + 1
             lo = np.concatenate([[0], hi])[: len(hi)]
             line_hi = np.flatnonzero(ends_line) + 1
             line_lo = np.concatenate([[0], line_hi])[: len(line_hi)]
@@ -202,7 +240,7 @@ def dedup_units(docs: DataFrame) -> DataFrame:
 
     Adds n_units, n_removed_units, n_bytes, n_removed (bytes) and spans (offsets in the bytes of the
     input text). Every later copy of a line goes, whatever its length, in the order of doc_id and
-    position. Inside a line, later copies of sentences go where the repeated ones in a row hold
+    position. Inside a line, later copies of sentences and of parts of long ones go where the repeated ones in a row hold
     ``LEAST_BYTES`` or more in their words; shorter ones stay. Digests
     are counted with partial sums, and their earliest document is joined back on two exchanges, so
     that Spark can split a line which fills a third of the corpus. What one document has of repeated

@@ -148,6 +148,31 @@ def test_substring_dedup_removes_every_later_line(spark):
         assert [fold(x) for x in got[i].text.split("\n") if x.strip()] == want
 
 
+def test_passages_are_cut_alike_in_any_line(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, least = [], {}
+    for i in range(300):
+        words = [word() for _ in range(51)]
+        for k in range(0, 51, 20) if i % 3 == 1 else range(0, 51, 10) if i % 3 == 2 else ():
+            words[k] += "."
+        rows += [(2 * i, f"{text(rng.randint(0, 40))} {' '.join(words)} {text(rng.randint(0, 40))}"),
+                 (2 * i + 1, f"{text(rng.randint(1, 40))} {' '.join(words)} {text(rng.randint(1, 40))}")]
+        # All but less than a window of words at either end is removed.
+        inner = " ".join(words[16:-16])
+        least[2 * i + 1] = len(inner) if i % 3 == 0 else 40
+    for k, stop in enumerate(["\u3002", "\u0964", ".\u201d", "\u061f"]):
+        wide = "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(30)) if k == 0 else text(12)
+        for j in (0, 1):
+            rows.append((1000 + 2 * k + j, f"{text(3)}{stop}{' ' * (k > 1)}{wide}{stop} {text(4)}"))
+        least[1001 + 2 * k] = len(wide.encode())
+    out = substring_dedup.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.n_removed for r in out.collect()}
+    assert all(got[i] >= n for i, n in least.items())
+    assert all(n == 0 for i, n in got.items() if i not in least)
+
+
 def test_packing(docs, rows):
     got = packing.pack(docs, BYTE_BPE, window=64, group_pieces=50).toPandas()
     tok = Tokenizer.from_file(BYTE_BPE)

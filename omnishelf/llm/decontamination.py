@@ -15,9 +15,10 @@ from omnishelf.llm.common import ready, steps
 EDIT_SHARE = 0.08
 # An item within that many edits shares at least length - q + 1 - edits * q grams with its window.
 GRAM = 8
-# Tables of sampled positions, walks they are dealt over, positions a table samples. At one sampled
-# position in five changed, a table agrees with chance 0.26 and one of 24 does with 0.999. A walk
-# that an early edit leads astray for long spoils its three tables, so there are eight walks.
+# Tables of sampled positions, walks they are dealt over, positions a table samples. Near the bound
+# about half the sampled positions differ, so the tables alone miss many items with inserted or
+# deleted bytes. What they miss is proposed by parts: an item with room for e edits is cut into e + 1
+# parts, one of which any stretch within the edits holds unchanged. Parts have nine bytes or more.
 TABLES, WALKS, SAMPLES = 24, 8, 6
 # Items of one class have nearly one length; their windows are sampled alike.
 CLASS_WIDTH = 1.25
@@ -43,13 +44,21 @@ def normalise(data: np.ndarray, offsets: np.ndarray):
     return folded[at], np.searchsorted(at, offsets), at
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """Filter slot of the eight bytes from each position on."""
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as one number."""
     n = max(0, len(data) - GRAM + 1)
-    words = np.ndarray((n,), "<u8", np.ascontiguousarray(data).tobytes(), 0, (1,))
+    return np.ndarray((n,), "<u8", np.ascontiguousarray(data).tobytes(), 0, (1,))
+
+
+def _slots(words: np.ndarray) -> np.ndarray:
     return ((words * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Filter slot of the eight bytes from each position on."""
+    return _slots(_words(data))
+
+
 def edit_search(pattern: bytes, text: bytes) -> tuple[int, int]:
     """Least edits between ``pattern`` and any substring of ``text``, and where that ends.
 
@@ -113,6 +122,7 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.classes, self.short, self.grams = [], [], {}
+        parts: list[tuple[int, int, int, int, int]] = []
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         long = []
         for item_id, text in items:
@@ -121,10 +131,25 @@ class Benchmark:
             body = data.tobytes().strip()
             if len(body) >= LEAST_BYTES:
                 long.append((item_id, body))
-                self.grams[item_id] = np.unique(_grams(np.frombuffer(body, np.uint8)))
+                data = np.frombuffer(body, np.uint8)
+                self.grams[item_id] = np.unique(_grams(data))
                 self.filter[self.grams[item_id]] = True
+                words, m = _words(data), len(body)
+                edits = int(EDIT_SHARE * m)
+                size = m // (edits + 1)
+                for at in range(0, size * (edits + 1), size):
+                    parts.append((int(words[at]), int(words[at + size - GRAM]), at, size, len(long) - 1))
             elif body:
                 self.short.append((item_id, body))
+        self.long = list(long)
+        heads = np.array([x[0] for x in parts], np.uint64)
+        order = np.argsort(heads, kind="stable")
+        self.heads = heads[order]
+        self.tails = np.array([x[1] for x in parts], np.uint64)[order]
+        self.parts = np.array([x[2:] for x in parts], np.int64).reshape(-1, 3)[order]
+        self.head_filter = np.zeros(1 << _FILTER_BITS, bool)
+        self.head_filter[_slots(self.heads)] = True
+        self.lengths = np.array([len(b) for _, b in long], np.int64)
         long.sort(key=lambda x: (len(x[1]), x[0]))
         while long:
             length = len(long[0][1])
@@ -146,12 +171,55 @@ class Benchmark:
         """Grams that any stretch within the edits of an item of ``length`` bytes shares with it."""
         return max(1, length - GRAM + 1 - int(EDIT_SHARE * length) * GRAM)
 
-    def candidates(self, data: np.ndarray, starts: np.ndarray, padded: np.ndarray):
-        """(start, item id, item) whose keys agree in some table, without repeats."""
+    def candidates(self, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, padded: np.ndarray):
+        """(row, item id, item, stretches of the data that may hold it, apart and in order)."""
+        words = _words(data)
+        slots = _slots(words)
         hit = np.zeros(len(data) + 1, np.int32)
         if len(data) >= GRAM:
-            np.cumsum(self.filter[_grams(data)], out=hit[1 : len(data) - GRAM + 2])
+            np.cumsum(self.filter[slots], out=hit[1 : len(data) - GRAM + 2])
             hit[len(data) - GRAM + 2 :] = hit[len(data) - GRAM + 1]
+        found: dict = {}
+        for start, item in self.proposed(hit, data, starts, padded):
+            row = int(np.searchsorted(bounds, start, "right")) - 1
+            found.setdefault((row, *item), set()).add(start)
+        for row, start, k in self.parted(hit, words, slots, bounds):
+            found.setdefault((row, *self.long[k]), set()).add(start)
+        out = []
+        for (row, item_id, body), places in found.items():
+            m, spans = len(body), []
+            edits = int(EDIT_SHARE * m)
+            for start in sorted(places):
+                lo, hi = max(int(bounds[row]), start - edits), min(int(bounds[row + 1]), start + m + edits)
+                if spans and lo <= spans[-1][1]:
+                    spans[-1][1] = max(hi, spans[-1][1])
+                else:
+                    spans.append([lo, hi])
+            out.append((row, item_id, body, spans))
+        return out
+
+    def parted(self, hit: np.ndarray, words: np.ndarray, slots: np.ndarray, bounds: np.ndarray):
+        """(row, start, place of the item) where a part of an item stands and there are grams enough."""
+        at = np.flatnonzero(self.head_filter[slots])
+        low = np.searchsorted(self.heads, words[at], "left")
+        count = np.searchsorted(self.heads, words[at], "right") - low
+        at, first = np.repeat(at, count), np.cumsum(count) - count
+        part = np.arange(len(at)) - np.repeat(first - low, count)
+        offset, size, item = self.parts[part].T
+        last = np.minimum(at + size - GRAM, len(words) - 1)
+        same = words[last] == self.tails[part]
+        at, start, item = at[same], (at - offset)[same], item[same]
+        row = np.searchsorted(bounds, at, "right") - 1
+        m = self.lengths[item]
+        edits = (EDIT_SHARE * m).astype(np.int64)
+        lo = np.maximum(bounds[row], start - edits)
+        hi = np.minimum(bounds[row + 1], start + m + edits)
+        need = m - GRAM + 1 - edits * GRAM
+        fine = hit[np.maximum(hi - GRAM + 1, lo)] - hit[lo] >= need
+        return zip(row[fine].tolist(), start[fine].tolist(), item[fine].tolist(), strict=True)
+
+    def proposed(self, hit: np.ndarray, data: np.ndarray, starts: np.ndarray, padded: np.ndarray):
+        """(start, item) whose keys agree in some table, without repeats."""
         seen = set()
         for embedding, least, items, keys, order in self.classes:
             stop = np.minimum(starts + embedding.length - GRAM + 1, len(data))
@@ -165,7 +233,7 @@ class Benchmark:
                 for i in np.flatnonzero(high > low).tolist():
                     for k in order[t, low[i] : high[i]].tolist():
                         seen.add((int(chosen[i]), items[k]))
-        return sorted(seen)
+        return seen
 
 
 def _find(batches: Iterator[pa.RecordBatch], shared):
@@ -181,25 +249,23 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
             first[bounds[:-1][bounds[:-1] < len(data)]] = True
             starts = np.flatnonzero(first & (data != 32))
             padded = np.append(data, np.zeros(reach, np.uint8))
+            padded = np.append(data, np.zeros(reach, np.uint8))
             rows = np.searchsorted(bounds, starts, "right") - 1
             owner = dict(zip(starts.tolist(), rows.tolist(), strict=True))
             best: dict = {}
-            for start, (item_id, body) in bench.candidates(data, starts, padded):
-                r, m = owner[start], len(body)
+            for r, item_id, body, spans in bench.candidates(data, bounds, starts, padded):
+                m = len(body)
                 edits = int(EDIT_SHARE * m)
-                lo = max(int(bounds[r]), start - edits)
-                hi = min(int(bounds[r + 1]), start + m + edits)
-                known = best.get((r, item_id))
-                if known and known[0] == 0:
-                    continue
-                # The gram count again, now with this item's grams: far cheaper than the edits.
-                if np.isin(_grams(data[lo:hi]), bench.grams[item_id]).sum() < bench.least(m):
-                    continue
-                text = data[lo:hi].tobytes()
-                distance, end = edit_search(body, text)
-                if distance <= edits and (known is None or distance < known[0]):
-                    back, size = edit_search(body[::-1], text[:end][::-1])
-                    best[r, item_id] = (distance, lo + end - size, lo + end, m)
+                for lo, hi in spans:
+                    known = best.get((r, item_id))
+                    # The gram count again, now with this item's grams: far cheaper than the edits.
+                    if np.isin(_grams(data[lo:hi]), bench.grams[item_id]).sum() < bench.least(m):
+                        continue
+                    text = data[lo:hi].tobytes()
+                    distance, end = edit_search(body, text)
+                    if distance <= edits and (known is None or distance < known[0]):
+                        back, size = edit_search(body[::-1], text[:end][::-1])
+                        best[r, item_id] = (distance, lo + end - size, lo + end, m)
             for item_id, body in bench.short:
                 whole, place = data.tobytes(), -1
                 while (place := whole.find(body, place + 1)) >= 0:
@@ -223,9 +289,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     A document holds an item if some stretch of it lies within ``EDIT_SHARE`` edits of the item,
     both in lower case with single blanks; edits, start and stop count bytes of the (input) text.
-    The best stretch of each item is reported, the earliest on a tie. Windows start at words. A
-    window is embedded only if it has as many grams of the benchmark as an item within the edits
-    must have, which loses nothing; agreement of a table proposes an item and the edit distance
+    The best stretch of each item is reported, the earliest on a tie. Two ways propose items: the
+    tables, for windows that start at words and have grams of the benchmark enough, which misses
+    some; and unchanged parts with enough grams around them, which misses none. The edit distance
     decides. ``docs`` is read once per ``BLOCK_BYTES`` of benchmark text and never shuffled.
 
     Null or empty texts and items hold nothing. Rows repeated in ``docs`` are reported each, items

@@ -265,6 +265,32 @@ def test_decontamination(spark, docs, rows):
     assert fold(texts[2].encode()[r.start : r.stop].decode()) == fold(items[0][1]) and r.edits == 0
 
 
+@pytest.mark.parametrize("kind", ["insert", "delete", "replace", "mixed"])
+def test_decontamination_finds_edits_up_to_the_bound(spark, kind):
+    rng = random.Random(kind)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items, rows = [], []
+    for i in range(60):
+        body = text(rng.randint(6, 60)).ljust(decontamination.LEAST_BYTES, "k")
+        items.append((i, body))
+        body, edits = list(body), int(decontamination.EDIT_SHARE * len(body))
+        places = sorted(rng.sample(range(len(body)), edits), reverse=True)
+        for k in places:
+            how = rng.choice(["insert", "delete", "replace"]) if kind == "mixed" else kind
+            body[k : k + (how != "insert")] = [] if how == "delete" else ["z"]
+        rows.append((i, f"{text(20)} {''.join(body)} {text(20)}"))
+    got = decontamination.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    fold = lambda t: " ".join(t.split()).encode()
+    # Where blanks meet, the text may be beyond the bound.
+    want = {(i, i) for i in range(60) if decontamination.edit_search(fold(items[i][1]), fold(rows[i][1]))[0]
+            <= int(decontamination.EDIT_SHARE * len(fold(items[i][1])))}
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 50
+
+
 def test_near_duplicates(docs, rows):
     sets = {}
     for i, t in rows:

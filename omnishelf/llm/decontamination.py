@@ -219,7 +219,11 @@ class Benchmark:
         return zip(row[fine].tolist(), start[fine].tolist(), item[fine].tolist(), strict=True)
 
     def proposed(self, hit: np.ndarray, data: np.ndarray, starts: np.ndarray, padded: np.ndarray):
-        """(start, item) whose keys agree in some table, without repeats."""
+        """(start, item) whose keys agree in some table, without repeats.
+
+        A class counts grams by its shortest item. Of a longer one all edits may lie in the window,
+        which then has too few; such items are left to their parts, which count by the item.
+        """
         seen = set()
         for embedding, least, items, keys, order in self.classes:
             stop = np.minimum(starts + embedding.length - GRAM + 1, len(data))

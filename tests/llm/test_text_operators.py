@@ -265,7 +265,7 @@ def test_decontamination(spark, docs, rows):
     assert fold(texts[2].encode()[r.start : r.stop].decode()) == fold(items[0][1]) and r.edits == 0
 
 
-@pytest.mark.parametrize("kind", ["insert", "delete", "replace", "mixed"])
+@pytest.mark.parametrize("kind", ["insert", "delete", "replace", "mixed", "front"])
 def test_decontamination_finds_edits_up_to_the_bound(spark, kind):
     rng = random.Random(kind)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
@@ -275,9 +275,12 @@ def test_decontamination_finds_edits_up_to_the_bound(spark, kind):
         body = text(rng.randint(6, 60)).ljust(decontamination.LEAST_BYTES, "k")
         items.append((i, body))
         body, edits = list(body), int(decontamination.EDIT_SHARE * len(body))
+        # "front": as dense as the edits can stand over the first half.
         places = sorted(rng.sample(range(len(body)), edits), reverse=True)
+        if kind == "front":
+            places = range(6 * edits - 6, -1, -6)
         for k in places:
-            how = rng.choice(["insert", "delete", "replace"]) if kind == "mixed" else kind
+            how = rng.choice(["insert", "delete", "replace"]) if kind in ("mixed", "front") else kind
             body[k : k + (how != "insert")] = [] if how == "delete" else ["z"]
         rows.append((i, f"{text(20)} {''.join(body)} {text(20)}"))
     got = decontamination.contaminated(

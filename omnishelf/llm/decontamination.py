@@ -120,27 +120,29 @@ class Embedding:
 class Benchmark:
     """One block of items, made ready for the search."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
+        # Inside, an item goes by its place in the block: ids may repeat or be null.
+        self.ids = [item_id for item_id, _ in items]
         self.classes, self.short, self.grams = [], [], {}
         parts: list[tuple[int, int, int, int, int]] = []
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         long = []
-        for item_id, text in items:
+        for place, (_, text) in enumerate(items):
             raw = np.frombuffer((text or "").encode(), np.uint8)
             data, _, _ = normalise(raw, np.array([0, len(raw)]))
             body = data.tobytes().strip()
             if len(body) >= LEAST_BYTES:
-                long.append((item_id, body))
+                long.append((place, body))
                 data = np.frombuffer(body, np.uint8)
-                self.grams[item_id] = np.unique(_grams(data))
-                self.filter[self.grams[item_id]] = True
+                self.grams[place] = np.unique(_grams(data))
+                self.filter[self.grams[place]] = True
                 words, m = _words(data), len(body)
                 edits = int(EDIT_SHARE * m)
                 size = m // (edits + 1)
                 for at in range(0, size * (edits + 1), size):
                     parts.append((int(words[at]), int(words[at + size - GRAM]), at, size, len(long) - 1))
             elif body:
-                self.short.append((item_id, body))
+                self.short.append((place, body))
         self.long = list(long)
         heads = np.array([x[0] for x in parts], np.uint64)
         order = np.argsort(heads, kind="stable")
@@ -172,7 +174,7 @@ class Benchmark:
         return max(1, length - GRAM + 1 - int(EDIT_SHARE * length) * GRAM)
 
     def candidates(self, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, padded: np.ndarray):
-        """(row, item id, item, stretches of the data that may hold it, apart and in order)."""
+        """(row, place of the item, item, stretches of the data that may hold it, apart and in order)."""
         words = _words(data)
         slots = _slots(words)
         hit = np.zeros(len(data) + 1, np.int32)
@@ -186,7 +188,7 @@ class Benchmark:
         for row, start, k in self.parted(hit, words, slots, bounds):
             found.setdefault((row, *self.long[k]), set()).add(start)
         out = []
-        for (row, item_id, body), places in found.items():
+        for (row, item, body), places in found.items():
             m, spans = len(body), []
             edits = int(EDIT_SHARE * m)
             for start in sorted(places):
@@ -195,7 +197,7 @@ class Benchmark:
                     spans[-1][1] = max(hi, spans[-1][1])
                 else:
                     spans.append([lo, hi])
-            out.append((row, item_id, body, spans))
+            out.append((row, item, body, spans))
         return out
 
     def parted(self, hit: np.ndarray, words: np.ndarray, slots: np.ndarray, bounds: np.ndarray):
@@ -257,29 +259,29 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
             rows = np.searchsorted(bounds, starts, "right") - 1
             owner = dict(zip(starts.tolist(), rows.tolist(), strict=True))
             best: dict = {}
-            for r, item_id, body, spans in bench.candidates(data, bounds, starts, padded):
+            for r, item, body, spans in bench.candidates(data, bounds, starts, padded):
                 m = len(body)
                 edits = int(EDIT_SHARE * m)
                 for lo, hi in spans:
-                    known = best.get((r, item_id))
+                    known = best.get((r, item))
                     # The gram count again, now with this item's grams: far cheaper than the edits.
-                    if np.isin(_grams(data[lo:hi]), bench.grams[item_id]).sum() < bench.least(m):
+                    if np.isin(_grams(data[lo:hi]), bench.grams[item]).sum() < bench.least(m):
                         continue
                     text = data[lo:hi].tobytes()
                     distance, end = edit_search(body, text)
                     if distance <= edits and (known is None or distance < known[0]):
                         back, size = edit_search(body[::-1], text[:end][::-1])
-                        best[r, item_id] = (distance, lo + end - size, lo + end, m)
-            for item_id, body in bench.short:
+                        best[r, item] = (distance, lo + end - size, lo + end, m)
+            for item, body in bench.short:
                 whole, place = data.tobytes(), -1
                 while (place := whole.find(body, place + 1)) >= 0:
                     r = int(np.searchsorted(bounds, place, "right")) - 1
-                    if place + len(body) <= bounds[r + 1] and (r, item_id) not in best:
-                        best[r, item_id] = (0, place, place + len(body), len(body))
-            for (r, item_id), (distance, lo, hi, m) in sorted(best.items()):
+                    if place + len(body) <= bounds[r + 1] and (r, item) not in best:
+                        best[r, item] = (0, place, place + len(body), len(body))
+            for (r, item), (distance, lo, hi, m) in sorted(best.items()):
                 start = int(at[lo]) - int(offsets[r])
                 stop = int(at[hi - 1]) + 1 - int(offsets[r])
-                out.append((ids[row + r].as_py(), item_id, start, stop, distance, 1 - distance / m))
+                out.append((ids[row + r].as_py(), bench.ids[item], start, stop, distance, 1 - distance / m))
         columns = zip(*out, strict=True) if out else [[]] * 6
         kinds = [pa.int64()] * 5 + [pa.float64()]
         yield pa.RecordBatch.from_arrays(
@@ -298,14 +300,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     some; and unchanged parts with enough grams around them, which misses none. The edit distance
     decides. ``docs`` is read once per ``BLOCK_BYTES`` of benchmark text and never shuffled.
 
-    Null or empty texts and items hold nothing. Rows repeated in ``docs`` are reported each, items
-    repeated under one id once. Other columns are ignored. An empty table gives no rows.
+    Null or empty texts and items hold nothing. Rows repeated in ``docs`` are reported each. Equal
+    texts under one item_id are one item; different texts under one id, or under null, are an item
+    each, reported in rows of their own with that id. Other columns are ignored. An empty table gives no rows.
     """
     spark = ready(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
     # Running bytes in id order; one small row per item passes the window.
     running = F.sum(F.octet_length("text")).over(
-        Window.orderBy("item_id").rowsBetween(Window.unboundedPreceding, 0)
+        Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, 0)
     )
     items = items.dropDuplicates().withColumn("block", F.floor(running / BLOCK_BYTES))
     blocks = [r[0] for r in items.select("block").distinct().collect()]
@@ -313,7 +316,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, start long, stop long, edits long, similarity double"
     out = spark.createDataFrame([], schema)
     for block in sorted(blocks):
-        rows = items.filter(F.col("block") == block).orderBy("item_id").collect()
+        rows = items.filter(F.col("block") == block).orderBy("item_id", "text").collect()
         shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
         found = slim.mapInArrow(lambda b, shared=shared: _find(b, shared), schema)
         out = out.union(found) if len(blocks) > 1 else found

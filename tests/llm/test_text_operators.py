@@ -294,6 +294,19 @@ def test_decontamination_finds_edits_up_to_the_bound(spark, kind):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 50
 
 
+def test_decontamination_with_repeated_and_null_item_ids(spark):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(20 + 9 * i)) for i in range(4)]
+    items = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (None, "few words"), (1, "y z")]
+    rows = [(i, f"before {t} behind") for i, t in enumerate(texts)] + [(9, "few words, y z, " + " ".join(texts))]
+    got = decontamination.contaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    want = Counter({(0, 1): 1, (1, 1): 1, (2, None): 1, (3, None): 1, (9, 1): 3, (9, None): 3})
+    assert Counter((r.doc_id, r.item_id) for r in got.collect() if r.edits == 0) == want
+
+
 def test_near_duplicates(docs, rows):
     sets = {}
     for i, t in rows:

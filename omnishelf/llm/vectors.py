@@ -17,8 +17,10 @@ NEAREST = 20
 # Rows (smallest hashes of the id) that the lists are fitted on; every row is indexed.
 SAMPLE_ROWS = 20_000
 MOST_LISTS = 1024
-# Share of the lists that a query probes, and how many at least.
+# Share of the lists that a query probes and how many, both at least. More are probed where queries
+# from the sample need them to reach the recall: so many queries, spread over the sample.
 PROBE_SHARE, LEAST_PROBES = 0.6, 12
+RECALL, RECALL_QUERIES = 0.96, 400
 # Columns that one step adds to the partial distances.
 COLUMNS = 16
 # A candidate is abandoned when its partial distance, carried on to all columns, passes the bound by
@@ -68,6 +70,27 @@ def nearest_centre(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def needed_probes(index: Index, sample: np.ndarray, k: int, recall: float = RECALL) -> int:
+    """Lists to probe so that queries from the sample find ``recall`` of their ``k`` nearest in it.
+
+    The sample is thinner than the table, so its neighbours lie further off and need more lists.
+    """
+    asked = np.arange(0, len(sample), max(1, len(sample) // RECALL_QUERIES))
+    near = nearest_centre(index.place(sample, query=False), index.centroids)
+    norm = (index.centroids**2).sum(axis=1)
+    need = []
+    for q in asked:
+        score = sample @ sample[q]
+        score[q] = -np.inf
+        best = np.argsort(-score, kind="stable")[: min(k, len(sample) - 1)]
+        order = (norm - 2 * (index.place(sample[[q]], query=True) @ index.centroids.T)[0]).argsort()
+        turn = np.empty(len(order), np.int64)
+        turn[order] = np.arange(len(order))
+        need.append(turn[near[best]] + 1)
+    need = np.sort(np.concatenate(need))
+    return int(need[max(0, int(np.ceil(recall * len(need))) - 1)]) if len(need) else 1
+
+
 def scan_cell(index: Index, ids: np.ndarray, raw: np.ndarray, points: np.ndarray,
               query_id: int, query: np.ndarray, target: np.ndarray, k: int):
     """The ``k`` best of a cell for one query: ids and inner products; ties to smaller ids.
@@ -169,8 +192,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     Queries are the rows whose vec_id is divisible by ``every``; candidates all other rows. Vectors
     get one more coordinate that turns inner product into distance, and a random rotation that makes
     partial distances tell. Lists come from k-means on at most ``SAMPLE_ROWS`` rows; every row is
-    put in its list. A query probes the nearest ``PROBE_SHARE`` of the lists, and more where they
-    hold fewer than ``k`` candidates. Lists are cut into cells of about ``CELL_VECTORS``, and the
+    put in its list. A query probes the nearest ``PROBE_SHARE`` of the lists, more if queries from
+    the sample miss ``RECALL`` with so many, and more where they hold fewer than ``k`` candidates. Lists are cut into cells of about ``CELL_VECTORS``, and the
     queries of a list likewise, so a hot list is shared by many tasks. Scores are inner products of
     the original vectors in double precision; ties go to the smaller vec_id.
 
@@ -203,7 +226,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     counts = np.zeros(lists, np.int64)
     for row in kept.groupBy("list").count().collect():  # one row per list: at most MOST_LISTS
         counts[row["list"]] = row["count"]
-    probes = min(lists, max(LEAST_PROBES, round(PROBE_SHARE * lists)))
+    needed = needed_probes(index, sample, k)
+    probes = min(lists, max(LEAST_PROBES, round(PROBE_SHARE * lists), needed))
     asked = kept.filter(F.col("vec_id") % every == 0).select(
         F.col("vec_id").alias("query_id"), F.col("vector").alias("query")
     )

@@ -85,3 +85,20 @@ def test_nearest(spark):
     few = vectors.nearest(frame.filter("vec_id < 4 OR vec_id = 20")).collect()
     assert len(few) == 8
     assert vectors.nearest(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_recall_on_registered_table(spark, folder):
+    frame = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    rows = [(i, v) for i, v in frame.select("vec_id", "embedding").collect() if i is not None and v is not None]
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    got = {}
+    for r in vectors.nearest(frame).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = total = 0
+    for q, found in got.items():
+        score = x @ x[ids == q][0]
+        order = [int(ids[k]) for k in np.lexsort((ids, -score)) if ids[k] != q][:20]
+        hits, total = hits + len(found & {*order}), total + len(order)
+    print(f"recall on {folder}: {hits / total:.4f}")
+    assert len(got) == sum(ids % 20 == 0) and hits >= 0.93 * total

@@ -106,13 +106,16 @@ class Scanner:
         """(notice, start, stop, edits) in ``line``, words joined by single blanks."""
         hits = []
         for i, spans in self.candidates(line).items():
-            for lo, hi in spans:
-                at = lo
-                while at < hi and (m := self.patterns[i].search(line, at, hi)):
-                    marks = _MARK.findall(self.notices[i][0])
-                    if not marks or marks == _MARK.findall(m[0]):
-                        hits.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    at = max(m.end(), at + 1)
+            marks = _MARK.findall(self.notices[i][0])
+            while spans:
+                lo, hi = spans.pop()
+                m = self.patterns[i].search(line, lo, hi) if lo < hi else None
+                if not m or m.start() == m.end():
+                    continue
+                if not marks or marks == _MARK.findall(m[0]):
+                    hits.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                # The best match need not be the only one: what lies before and behind is searched.
+                spans += [[lo, m.start()], [m.end(), hi]]
         return hits
 
     def scan(self, text: str | None) -> tuple:

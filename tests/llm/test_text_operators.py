@@ -97,6 +97,17 @@ def test_licenses(spark, docs, rows):
     assert got[2005, 6].labels == "cc-by"
 
 
+def test_adjacent_notices_are_all_found():
+    scan = licenses.Scanner().fuzzy
+    names = lambda line: sorted((lo, licenses.NOTICES[n], e) for n, lo, e in
+                                ((list(licenses.NOTICES)[i], lo, e) for i, lo, _, e in scan(line)))
+    two = names("licenced under the mit license licensed under the mit license")
+    assert two == [(0, "mit", 1), (31, "mit", 0)]
+    text = "the gnu general public {} version"
+    line = f"licenced under {text.format('licence')} 3 licensed under {text.format('license')} 2"
+    assert {label for _, label, _ in names(line)} == {"gpl-2", "gpl-3"}
+
+
 def test_substring_dedup(docs, rows):
     out = substring_dedup.dedup_units(docs)
     assert out.columns[:6] == ["doc_id", "text", "lang", "source", "n_chars", "score"]

@@ -15,6 +15,7 @@ from omnishelf.llm import (
     near_dedup,
     oracles,
     packing,
+    periodic_runs,
     quality,
     substring_dedup,
     suffix_dedup,
@@ -91,6 +92,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("doc_id").cast("long"), held_out, "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs, plant=True, keep_text=False)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations")
     repaired = conversation_repair.repair_conversations(conversation_repair.damaged(turns))
@@ -118,12 +124,13 @@ QUERIES = {
     "op8_vector_search": op8_vector_search,
     "op9_near_dedup": op9_near_dedup,
     "op10_quality": op10_quality,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_chat_format": op13_chat_format,
 }
 
-# The others have no entry: SQL has no tokenizers, fuzzy matching, packing, approximate search or
-# trained models. Tests hold them against brute force, a round trip or held-out labels.
+# The others have no entry: SQL has no tokenizers, fuzzy matching, packing, approximate search,
+# trained models, or a way to find runs that is not quadratic in a text. Tests hold them against brute force, a round trip or held-out labels.
 ORACLE: dict[str, str] = {
     "op1_suffix_array_dedup": oracles.SUFFIX_ARRAY_DEDUP,
     "op9_near_dedup": oracles.NEAR_DEDUP,

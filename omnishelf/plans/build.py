@@ -1,4 +1,4 @@
-"""Build all tables: plain calls in dependency order, each stage written once and read back."""
+"""Build all tables in dependency order, each stage written once and read back."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ from omnishelf.plans.screen import unify_anime, unify_movies
 from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
 from omnishelf.sources.readers import read_tables
-from omnishelf.sources.sinks import land, stored
+from omnishelf.sources.sinks import clustered, in_threads, land, scratch
 
 
 def stage_all(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -47,12 +47,12 @@ def unify(
     if domain == "movies":
         return unify_movies(
             staged["moviebuddy"], staged["letterboxd"], staged["trakt_watched_movies"],
-            staged["trakt_ratings"], lookups, strict_reference,
+            staged["trakt_ratings"], lookups, strict_reference, store,
         )
     if domain == "anime":
         return unify_anime(
             staged["moviebuddy"], staged["trakt_watched_shows"], staged["trakt_ratings"],
-            lookups, strict_reference,
+            lookups, strict_reference, store,
         )
     if domain == "music":
         return unify_music(
@@ -82,35 +82,46 @@ def build(
     lookups: Mapping[str, DataFrame],
     out_dir: str,
     strict_reference: bool = False,
+    threads: int = 4,
 ) -> dict[str, DataFrame]:
     """Write staging, unified, collection and cross-domain tables under ``out_dir``.
 
     ``out_dir`` must be shared storage. Each layer is stored, so several consumers of one staged
     source read columns of a table instead of running its plan again, and the work of a lost
-    executor is repeated from the last stored layer only.
+    executor is repeated from the last stored layer only. Within a layer ``threads`` tables are made
+    at a time, so that the last tasks of one do not leave the cluster idle. Tables in between are
+    removed at the end. Collections are written in the order of country and id, with a filter of
+    their ids, for ``reports``.
     """
     configure(spark)
     folders = {layer: f"{out_dir}/{layer}" for layer in ("staging", "unified", "mart")}
 
-    staged = stage_all(raw)
-    land(staged, folders["staging"])
-    staged = read_tables(spark, folders["staging"], staged)
+    land(stage_all(raw), folders["staging"], threads=threads)
+    staged = read_tables(spark, folders["staging"], raw)
 
-    between = lambda df: stored(df, f"{out_dir}/between")
-    unified = {d: unify(d, staged, lookups, strict_reference, between) for d in DOMAINS}
-    land(unified, folders["unified"])
-    unified = read_tables(spark, folders["unified"], unified)
+    def domain(name: str, store: Callable[[DataFrame], DataFrame]) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            rows = unify(name, staged, lookups, strict_reference, store)
+            land({name: rows}, folders["unified"])
+            done = read_tables(spark, folders["unified"], [name])[name]
+            rows = collect(name, done, strict_reference)
+            table, key = f"{name}_collection", DOMAINS[name]
+            rows = clustered(rows, "country", key)
+            land({table: rows}, folders["mart"], bloom={table: [key]})
+            return done
 
-    collections = {d: collect(d, df, strict_reference) for d, df in unified.items()}
-    land({f"{d}_collection": df for d, df in collections.items()}, folders["mart"])
-    tables = read_tables(spark, folders["mart"], [f"{d}_collection" for d in collections])
-    by_domain = {d: tables[f"{d}_collection"] for d in collections}
+        return make
+
+    with scratch(spark, out_dir) as store:
+        unified = in_threads(spark, {name: domain(name, store) for name in DOMAINS}, threads)
+    tables = read_tables(spark, folders["mart"], [f"{name}_collection" for name in DOMAINS])
+    by_domain = {name: tables[f"{name}_collection"] for name in DOMAINS}
 
     cross = {
         "media_summary": media_summary(by_domain),
         "country_index": country_index(by_domain, lookups, strict_reference),
     }
-    land(cross, folders["mart"])
+    land(cross, folders["mart"], threads=threads)
     return {
         **{f"staging.{n}": df for n, df in staged.items()},
         **{f"unified.{n}": df for n, df in unified.items()},

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,10 @@ def filter_collection(
     rated_only: bool = False,
     watched_only: bool = False,
 ) -> DataFrame:
-    """Items of a collection table that meet all given conditions."""
+    """Items of a collection table that meet all given conditions.
+
+    Collections are written by country, so a country reads the row groups that hold it only.
+    """
     if genre is not None:
         column = "genres" if "genres" in df.columns else "genre"
         df = df.filter(F.array_contains(split_csv(column), genre))
@@ -35,6 +38,12 @@ def filter_collection(
     return df
 
 
+def find_items(df: DataFrame, id_column: str, ids: Sequence[str]) -> DataFrame:
+    """The items with the given ids. Collections carry a filter of their ids per row group, so row
+    groups without any of them are not read."""
+    return df.filter(F.col(id_column).isin(list(ids)))
+
+
 def counts_by(df: DataFrame, value: Column | str, name: str, n: str = "n_items") -> DataFrame:
     """Items per value; NULL values form a group."""
     column = F.col(value) if isinstance(value, str) else value

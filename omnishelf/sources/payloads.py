@@ -11,6 +11,7 @@ from omnishelf.functions import first_nonblank
 from omnishelf.operators.dedupe import reduce_for_join
 from omnishelf.sources.schemas import FAN_ITEM, LANDED
 
+# The features that the service names.
 AUDIO_FEATURES = [
     "danceability", "energy", "valence", "tempo",
     "acousticness", "instrumentalness", "liveness", "speechiness",
@@ -151,9 +152,15 @@ def flatten_ratings(movies: DataFrame, shows: DataFrame, run_at) -> DataFrame:
     return conform(both, "trakt_ratings")
 
 
+def canonical_json(text: Column | str) -> Column:
+    """The document without blanks, keys of all its objects in order, so equal documents give equal
+    text. What is no JSON, or names a key twice, stays as it is."""
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
 def flatten_fan_items(pages: DataFrame, run_at) -> DataFrame:
     """Collection or wishlist items. The service renames fields without notice, hence the
-    alternatives and the kept JSON text."""
+    alternatives and the kept JSON text, in canonical form."""
     items = pages.select(F.explode("items").alias("raw_json"))
     parsed = items.withColumn("i", F.from_json("raw_json", FAN_ITEM))
     flat = parsed.select(
@@ -167,7 +174,7 @@ def flatten_fan_items(pages: DataFrame, run_at) -> DataFrame:
         "i.art_url",
         "i.token",
         first_nonblank("i.added_at", "i.added", "i.purchased", "i.wishlisted").alias("added_at"),
-        "raw_json",
+        canonical_json("raw_json").alias("raw_json"),
         _stamp(run_at).alias("_extracted_at"),
     )
     return conform(flat, "bandcamp_collection")

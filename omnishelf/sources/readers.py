@@ -3,25 +3,52 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from omnishelf.sources.schemas import CSV_EXPORTS, LOOKUPS, PAYLOADS
+from omnishelf.sources.versions import read_current
 
 log = logging.getLogger(__name__)
 
 
+# Above any file's size: each file is a partition of its own.
+WHOLE_FILE = str(1 << 50)
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of the task's one file. Batches hold one line, so ending here ends the read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
 def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The files at ``path``, grouped by their header line; one line of each file is read."""
+    """The files at ``path``, grouped by their first line that is not blank; found in one job.
+
+    Every file is read by a task of its own, which stops at that line, so the work is one open and
+    one block read per file, spread over the cluster, whatever the files' number and size. Paths and
+    header lines reach the driver, which lists the files anyway to plan the read.
+    """
+    reading = spark.newSession()
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": WHOLE_FILE,
+        "spark.sql.files.openCostInBytes": WHOLE_FILE,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+    }.items():
+        reading.conf.set(key, value)
+    lines = reading.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    firsts = lines.filter(F.trim("value") != "").mapInArrow(_first_lines, lines.schema)
     groups: dict[str, list[str]] = {}
-    for file in sorted(spark.read.schema("line string").text(path).inputFiles()):
-        line = spark.read.text(file).first()
-        if line is not None:
-            groups.setdefault(line[0].lstrip("\ufeff"), []).append(file)
+    for file, line in sorted(tuple(row) for row in firsts.collect()):
+        groups.setdefault(line.lstrip("\ufeff"), []).append(file)
     return groups
 
 
@@ -40,8 +67,8 @@ def _read_csv(
     """The declared columns by each file's own header; an absent column is NULL, an extra one is
     not read.
 
-    All fields arrive as text, so only header lines are looked at before the query runs; files with
-    one header are read together. With ``multi_line`` quoted fields may span lines, which keeps
+    All fields arrive as text, so only header lines are looked at before the query runs, in one job
+    over all files; files with one header are read together. With ``multi_line`` quoted fields may span lines, which keeps
     Spark from splitting one file: write large exports as a directory of files, or give up line
     breaks in fields. A missing file is an empty table, or an error where it is ``required``.
     """
@@ -98,4 +125,5 @@ def read_payload(
 
 
 def read_tables(spark: SparkSession, folder: str, names) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+    """The current rows of landed tables."""
+    return {name: read_current(spark, f"{folder}/{name}") for name in names}

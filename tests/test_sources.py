@@ -1,12 +1,20 @@
 import json
+import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
 
-from omnishelf.sources import payloads
-from omnishelf.sources.readers import read_exports, read_lookups, read_payload
+from omnishelf.plans.reports import filter_collection, find_items
+from omnishelf.sources import payloads, versions
+from omnishelf.sources.readers import (
+    _files_by_header,
+    read_exports,
+    read_lookups,
+    read_payload,
+    read_tables,
+)
 from omnishelf.sources.schemas import LOOKUPS
-from omnishelf.sources.sinks import land, overwrite, shared_folder, stored
+from omnishelf.sources.sinks import clustered, land, overwrite, scratch, shared_folder, stored
 from tests.conftest import rows
 
 RUN_AT = "2024-05-01 09:30:00"
@@ -127,17 +135,119 @@ def test_fan_items_keep_raw_json(spark, tmp_path):
     page = {"items": [item], "more_available": False}
     row = payloads.flatten_fan_items(landed(spark, tmp_path, "fan_items", page), RUN_AT).first()
     assert (row.title, row.artist, row.added_at, row.tralbum_id) == ("T", "S", "p", 5)
-    assert json.loads(row.raw_json) == item
+    assert row.raw_json == json.dumps(item, sort_keys=True, separators=(",", ":"))
+
+
+def test_canonical_json(spark):
+    texts = ['{"b": {"z": [3, {"y": 1, "x": null}], "a": "\u00e9\\n"}, "a": true}', "no json", None, '{"a":1,"a":2}']
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(payloads.canonical_json("t"))
+    assert [r[0] for r in got.collect()] == [
+        '{"a":true,"b":{"a":"é\\n","z":[3,{"x":null,"y":1}]}}', "no json", None, '{"a":1,"a":2}',
+    ]
 
 
 def test_sinks(spark, tmp_path):
     a, b = spark.range(3), spark.range(2)
-    assert land({"a": a, "b": b}, str(tmp_path), dry_run=True) == {"a": 3, "b": 2}
+    none = spark.range(0)
+    assert land({"a": a, "b": b, "c": none}, str(tmp_path), dry_run=True) == {"a": 3, "b": 2, "c": 0}
     assert not (tmp_path / "a").exists()
-    land({"a": a, "b": b}, str(tmp_path), tables=["a"])
+    assert land({"a": a, "b": b}, str(tmp_path), tables=["a"]) == {"a": 3}
     assert not (tmp_path / "b").exists()
-    overwrite(b, str(tmp_path / "a"))
-    assert spark.read.parquet(str(tmp_path / "a")).count() == 2
+    assert land({"a": b, "b": a, "c": none}, str(tmp_path), threads=3) == {"a": 2, "b": 3, "c": 0}
+    found = read_tables(spark, str(tmp_path), ["a", "b", "c"])
+    assert [found[n].count() for n in "abc"] == [2, 3, 0]
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    overwrite(spark.range(5), table)
+    before = versions.read_current(spark, table)
+    broken = spark.range(100).selectExpr("IF(id = 77, raise_error('stop'), id) AS id")
+    with pytest.raises(Exception, match="stop"):
+        overwrite(broken, table)
+    assert versions.read_current(spark, table).count() == 5
+    assert len(list(tmp_path.glob("t/version-*"))) == 1
+    # A table may be made from itself, and a reader of the version before goes on.
+    assert overwrite(versions.read_current(spark, table).union(spark.range(2)), table) == 7
+    assert versions.read_current(spark, table).count() == 7 and before.count() == 5
+    overwrite(spark.range(1), table)
+    assert len(list(tmp_path.glob("t/version-*"))) == 2
+
+
+def test_vacuum_removes_what_no_pointer_names(spark, tmp_path):
+    table = str(tmp_path / "t")
+    overwrite(spark.range(5), table)
+    spark.range(9).write.parquet(f"{table}/version-left-behind")
+    assert versions.vacuum(spark, table) == []
+    assert versions.vacuum(spark, table, older_than_seconds=-5) == ["version-left-behind"]
+    assert versions.read_current(spark, table).count() == 5
+    assert versions.vacuum(spark, str(tmp_path / "none")) == []
+
+
+def test_plain_folders_are_read_as_they_are(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "p"))
+    assert read_tables(spark, str(tmp_path), ["p"])["p"].count() == 4
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    with scratch(spark, str(tmp_path)) as store:
+        assert store(spark.range(3)).count() == 3
+        assert len(list(tmp_path.glob("scratch-*/stored-*"))) == 1
+    with pytest.raises(ValueError), scratch(spark, str(tmp_path)) as store:
+        store(spark.range(3))
+        raise ValueError
+    assert not list(tmp_path.iterdir())
+
+
+def jobs_of(spark, call):
+    """Number of Spark jobs that a call starts."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "count")
+    try:
+        call()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_take_one_job_however_many_files(spark, tmp_path):
+    counts = []
+    for n in (2, 30):
+        folder = tmp_path / f"{n}" / "letterboxd.csv"
+        folder.mkdir(parents=True)
+        for i in range(n):
+            head = "Date,Name,Year" if i % 2 else "\nName,Year,Date"
+            row = "2024-01-01,Film,1999" if i % 2 else "Film,1999,2024-01-01"
+            (folder / f"{i:02}.csv").write_text(f"{head}\n" + f"{row}\n" * 300)
+        counts.append(jobs_of(spark, lambda f=folder: _files_by_header(spark, str(f))))
+        films = read_exports(spark, str(tmp_path / f"{n}"), multi_line=False)["letterboxd"]
+        assert films.count() == 300 * n
+        assert rows(films.distinct(), "Date", "Name", "Year") == [("2024-01-01", "Film", "1999")]
+    assert counts == [1, 1]
+
+
+def rows_read(df):
+    """Rows that a plan of one scan and a filter takes from its files."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_clustered_tables_skip_row_groups(spark, tmp_path):
+    table = str(tmp_path / "items")
+    items = spark.range(200_000).selectExpr(
+        "md5(cast(id AS string)) AS item_id",
+        "concat('country ', IF(id % 3 = 0, 0, id % 20)) AS country", "uuid() AS title",
+    )
+    small = {"parquet.block.size": "200000", "parquet.enable.dictionary": "false"}
+    overwrite(clustered(items, "country", "item_id"), table, ["item_id"], small)
+    found = versions.read_current(spark, table)
+    by_country = filter_collection(found, country="country 7")
+    n = by_country.count()
+    assert n <= rows_read(by_country) < 30_000
+    wanted = [r.item_id for r in by_country.limit(2).collect()] + ["not there"]
+    by_id = find_items(found, "item_id", wanted)
+    assert by_id.count() == 2 and rows_read(by_id) < 60_000
 
 
 def test_stored_uses_the_named_folder(spark):

@@ -15,7 +15,13 @@ from omnishelf.operators.dedupe import (
     reduce_for_join,
 )
 from omnishelf.operators.lookup import attach, attach_creator_country, unique_lookup
-from omnishelf.operators.matching import fold_histories, match_passes, outer_unify
+from omnishelf.operators.matching import (
+    attach_repeats,
+    fold_histories,
+    match_passes,
+    numbered,
+    outer_unify,
+)
 from omnishelf.operators.rollup import rollup_sources
 from omnishelf.operators.tokens import map_tokens
 
@@ -23,6 +29,7 @@ __all__ = [
     "accepted_values",
     "attach",
     "attach_creator_country",
+    "attach_repeats",
     "between",
     "case_insensitive_unique",
     "first_per_key",
@@ -32,6 +39,7 @@ __all__ = [
     "map_tokens",
     "match_passes",
     "not_null",
+    "numbered",
     "outer_unify",
     "reduce_for_join",
     "relationship",

@@ -1,8 +1,11 @@
-"""Entity matching across sources without ever forming the pairs of a group.
+"""Entity matching across sources without forming the pairs of a group.
 
 A match pass pairs each left row with one right row of its key, and a history fold keeps one row per
 key and source, so each key costs work linear in its rows. A key with a million copies on both sides
 gives a million rows, not a million squared.
+
+Only where the pairs of repeated rows are themselves the wanted result (``outer_unify`` with
+``repeats``) are they formed, from counted rows and dealt over tasks by their number.
 """
 
 from __future__ import annotations
@@ -110,15 +113,21 @@ def fold_histories(
     totals: Mapping[str, Mapping[str, Column]] | None = None,
     base: DataFrame | None = None,
     base_name: str = "base",
+    repeats: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Fold the histories of several sources into one row per key, in one shuffle.
 
     For each source the result has a struct column named after it: its latest row by
     ``latest[source]`` (all other columns break ties), NULL when the source lacks the key.
     ``totals[source]`` adds aggregates over all its rows as further columns. The keys of ``base``
-    take part as well and set ``in_base``, which prepares ``outer_unify``.
+    take part as well and set ``in_base``, which prepares ``outer_unify``. Of the sources in
+    ``repeats`` only the keys take part: ``n_<source>`` counts their rows, for ``attach_repeats``,
+    and ``n_base`` those of ``base``.
     """
-    tagged = []
+    tagged = [
+        df.select(match_key(keys, name).alias("match_key"), *keys, F.lit(True).alias(f"is_{name}"))
+        for name, df in (repeats or {}).items()
+    ]
     for name, df in sources.items():
         lead = latest[name]
         row = F.struct(lead, *[c for c in df.columns if c != lead and c not in keys])
@@ -135,24 +144,94 @@ def fold_histories(
         aggregates += [c.alias(out) for out, c in wanted.items()]
     if base is not None:
         aggregates.append(F.coalesce(F.max("in_base"), F.lit(False)).alias("in_base"))
+    if repeats:
+        aggregates += [F.count(f"is_{name}").alias(f"n_{name}") for name in repeats]
+        aggregates.append(F.count("in_base").alias("n_base"))
     aggregates.append(F.max("match_key").alias("join_key"))
     return rows.groupBy("match_key").agg(*aggregates)
 
 
-def outer_unify(base: DataFrame, name: str, spine: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach_repeats(
+    spine: DataFrame, rows: DataFrame, name: str, keys: Sequence[str]
+) -> DataFrame:
+    """The spine with each of its rows as often as ``rows`` has its key, and the row as a struct.
+
+    ``spine`` counted the rows in ``fold_histories``. It is unique on its key, so this is linear in
+    ``rows``, and Spark can split a hot key. Spine rows without such a row stay, with NULL.
+    """
+    payload = F.struct(*[c for c in rows.columns if c not in keys]).alias(name)
+    packed = rows.select(match_key(keys, name).alias("row_key"), payload)
+    met = packed.join(spine.filter(f"n_{name} > 0"), F.col("row_key") == F.col("join_key"))
+    alone = spine.filter(f"n_{name} = 0")
+    return met.drop("row_key").unionByName(alone, allowMissingColumns=True)
+
+
+# Pairs of one key that one task may make.
+PAIRS_PER_TASK = 1_000_000
+
+
+def numbered(df: DataFrame, store: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """Rows with a number that tells repeats of a key apart and never changes: written with the row
+    where ``store`` is given, else a hash of the row, which exact copies share."""
+    if store is None:
+        return df.withColumn("row_number", F.xxhash64(*df.columns))
+    return store(df.withColumn("row_number", F.monotonically_increasing_id()))
+
+
+def _parts(number: str, splits: Column, n_parts: Column) -> Column:
+    """The parts of a hot key that a row goes to: its own one, or all of them."""
+    every = F.sequence(F.lit(0).cast("long"), n_parts - 1)
+    return F.when(splits, F.array(F.pmod(F.col(number), n_parts))).otherwise(every)
+
+
+def outer_unify(
+    base: DataFrame,
+    name: str,
+    spine: DataFrame,
+    keys: Sequence[str],
+    repeats: str | None = None,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
     """Full outer join of ``base`` with a spine that ``fold_histories`` made for it.
 
     The base row arrives as the struct ``name``. It may repeat a key: each of its rows is kept and
     meets the one spine row of its key. As the spine knows every base key, an inner join and the
     spine rows without a base row make the outer join; Spark can split a hot partition of an inner
     join but not of a full outer join.
+
+    With ``repeats`` the spine has been through ``attach_repeats`` for that source and every pair is
+    wanted; both sides are ``numbered``. A key whose counts promise more than ``pairs_per_task``
+    pairs is dealt into parts: the side with more rows by their numbers, the other copied to each.
     """
-    payload = F.struct(*[c for c in base.columns if c not in keys]).alias(name)
-    packed = base.select(match_key(keys, name).alias("base_key"), payload)
+    extra = [] if repeats is None else ["row_number"]
+    payload = F.struct(*[c for c in base.columns if c not in [*keys, *extra]]).alias(name)
+    packed = base.select(match_key(keys, name).alias("base_key"), payload, *extra)
     # Both branches filter on in_base and keep join_key, so they share the shuffle of the fold. The
     # join uses join_key, which gets its own exchange, for the reason given in reduce_for_join.
-    met = packed.join(spine.filter("in_base"), F.col("base_key") == F.col("join_key"))
+    known = spine.filter("in_base")
     alone = spine.filter("NOT in_base AND join_key IS NOT NULL")
-    return met.drop("base_key").unionByName(alone, allowMissingColumns=True).drop(
-        "match_key", "join_key", "in_base"
+    same = F.col("base_key") == F.col("join_key")
+    if repeats is not None:
+        rows = F.greatest(F.col(f"n_{repeats}"), F.lit(1).cast("long"))
+        needed = F.ceil(F.col("n_base") * rows / F.lit(pairs_per_task))
+        n_parts = F.least(needed, F.greatest(F.col("n_base"), rows))
+        base_splits = F.col("n_base") >= rows
+        # Keys of so many pairs are few: each stands for more than pairs_per_task rows of the result.
+        hot = reduce_for_join(
+            known.filter(n_parts > 1).select(
+                "join_key", n_parts.alias("n_parts"), base_splits.alias("base_splits")
+            ),
+            {"hot_key": "join_key"},
+            {"n_parts": F.max("n_parts"), "base_splits": F.max("base_splits")},
+        )
+        whole = F.array(F.lit(0).cast("long"))
+        dealt = packed.join(hot, F.col("base_key") == F.col("hot_key"), "left")
+        parts = F.coalesce(_parts("row_number", F.col("base_splits"), F.col("n_parts")), whole)
+        packed = dealt.select("base_key", name, F.explode(parts).alias("base_part"))
+        known = known.withColumn("part", F.explode(_parts("row_number", ~base_splits, n_parts)))
+        same = same & (F.col("base_part") == F.col("part"))
+    met = packed.join(known, same)
+    return met.unionByName(alone, allowMissingColumns=True).drop(
+        "base_key", "match_key", "join_key", "in_base", "base_part", "part", "row_number",
+        "n_base", f"n_{repeats}",
     )

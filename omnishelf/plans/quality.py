@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions import norm_key, split_csv, split_json, uni_trim
-from omnishelf.operators import checks
+from omnishelf.operators.matching import match_key
 from omnishelf.plans.enrich import Lookups
 from omnishelf.plans.marts import DOMAINS, Marts, creator_column
 
@@ -173,6 +173,17 @@ LOOKUP_RULES: dict[str, Rules] = {
 ALL_RULES = {**STAGING_RULES, **UNIFIED_RULES, **MART_RULES, **LOOKUP_RULES}
 
 
+@dataclass(frozen=True)
+class _Rule:
+    """One line of the report. ``repeats`` counts keys held twice, ``parent`` rows whose key no
+    parent holds, ``row`` bad rows."""
+
+    check: str
+    relation: str
+    column: str
+    kind: str
+
+
 def _bad_rows(rules: Rules) -> dict[tuple[str, str], Column]:
     """Conditions of the rules that look at one row only."""
     bad = {("not_null", c): F.col(c).isNull() for c in rules.not_null}
@@ -181,13 +192,41 @@ def _bad_rows(rules: Rules) -> dict[tuple[str, str], Column]:
     return bad
 
 
-def _counted(violations: DataFrame, check: str, relation: str, column: str) -> DataFrame:
-    return violations.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(check).alias("check"),
-        F.lit(relation).alias("relation"),
-        F.lit(column).alias("column"),
-        "violations",
-    )
+def _entries(
+    frames: Mapping[str, DataFrame], rules: Mapping[str, Rules]
+) -> tuple[list[_Rule], dict[str, list[Column]]]:
+    """The rules, and per relation what a row of it contributes: (rule, key, row, parent) or NULL."""
+    listed: list[_Rule] = []
+    found: dict[str, list[Column]] = {name: [] for name in frames}
+
+    def entry(key: Column, when: Column, parent: bool = False) -> Column:
+        counts = [F.lit(not parent).cast("long").alias("n_rows"), F.lit(parent).alias("parent")]
+        rule = F.lit(len(listed) - 1).alias("rule")
+        return F.when(when, F.struct(rule, key.cast("string").alias("key"), *counts))
+
+    for relation in frames:
+        r = rules.get(relation, Rules())
+        for (check, column), bad in _bad_rows(r).items():
+            listed.append(_Rule(check, relation, column, "row"))
+            found[relation].append(entry(F.lit(None), bad))
+        for column in r.unique:
+            listed.append(_Rule("unique", relation, column, "repeats"))
+            found[relation].append(entry(F.col(column), F.col(column).isNotNull()))
+        for column in r.case_insensitive_unique:
+            listed.append(_Rule("case_insensitive_unique", relation, column, "repeats"))
+            found[relation].append(entry(norm_key(column), norm_key(column).isNotNull()))
+        for columns in r.unique_combination:
+            listed.append(_Rule("unique_combination", relation, ", ".join(columns), "repeats"))
+            # NULLs are equal here, so the key has no source name.
+            found[relation].append(entry(match_key(columns, ""), F.lit(True)))
+        for column, (parent, parent_column) in r.parent.items():
+            if parent not in frames:
+                continue
+            listed.append(_Rule("relationship", relation, column, "parent"))
+            found[relation].append(entry(F.col(column), F.col(column).isNotNull()))
+            has_key = F.col(parent_column).isNotNull()
+            found[parent].append(entry(F.col(parent_column), has_key, parent=True))
+    return listed, found
 
 
 def run_checks(
@@ -195,33 +234,41 @@ def run_checks(
 ) -> DataFrame:
     """(check, relation, column, violations) for every rule of the given relations.
 
-    All row-level rules of a relation share one scan; each uniqueness rule is one aggregation. A
-    parent check is skipped when its parent relation is not among ``frames``.
+    Each relation is read once and each row adds an entry per rule it matters to: its key for the
+    uniqueness and parent rules, itself where it breaks a row rule, its key as a parent for the
+    relations that refer to it. Entries are counted per rule and key, in each task first, so one
+    shuffle serves all rules and a key that repeats millions of times sends one row per task. Keys
+    are compared as text of one column's type. A parent check is skipped when its parent relation is
+    not among ``frames``.
     """
-    results = []
-    for relation, df in frames.items():
-        r = rules.get(relation, Rules())
-        bad = _bad_rows(r)
-        if bad:
-            results.append(checks.row_checks(df, relation, bad))
-        results += [_counted(checks.unique(df, c), "unique", relation, c) for c in r.unique]
-        results += [
-            _counted(
-                checks.case_insensitive_unique(df, c), "case_insensitive_unique", relation, c
-            )
-            for c in r.case_insensitive_unique
-        ]
-        results += [
-            _counted(
-                checks.unique_combination(df, cs), "unique_combination", relation, ", ".join(cs)
-            )
-            for cs in r.unique_combination
-        ]
-        for column, (parent, parent_column) in r.parent.items():
-            if parent in frames:
-                orphans = checks.relationship(df, column, frames[parent], parent_column)
-                results.append(_counted(orphans, "relationship", relation, column))
-    return reduce(DataFrame.unionByName, results)
+    spark = next(iter(frames.values())).sparkSession
+    listed, found = _entries(frames, rules)
+    schema = "rule int, key string, n_rows long, parent boolean"
+    # One empty entry per rule, so that a rule that nothing breaks is reported with 0.
+    parts = [spark.createDataFrame([(i, None, 0, False) for i in range(len(listed))], schema)]
+    for relation, entries in found.items():
+        if entries:
+            made = F.explode(F.array_compact(F.array(*entries))).alias("e")
+            parts.append(frames[relation].select(made).select("e.*"))
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
+        F.sum("n_rows").alias("n_rows"), F.max("parent").alias("parent")
+    )
+
+    def of(kind: str) -> Column:
+        return F.col("rule").isin([i for i, rule in enumerate(listed) if rule.kind == kind])
+
+    broken = (
+        F.when(of("repeats"), (F.col("n_rows") > 1).cast("long"))
+        .when(of("parent") & F.col("parent"), F.lit(0).cast("long"))
+        .otherwise(F.col("n_rows"))
+    )
+    counted = per_key.groupBy("rule").agg(F.sum(broken).alias("violations"))
+    names = [
+        F.element_at(F.array(*[F.lit(getattr(rule, part)) for rule in listed]), F.col("rule") + 1)
+        .alias(part)
+        for part in ("check", "relation", "column")
+    ]
+    return counted.select(*names, "violations")
 
 
 # Where raw genres come from (relation, domain, column, encoding).

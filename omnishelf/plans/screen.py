@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ from omnishelf.functions import (
 from omnishelf.operators import (
     attach,
     attach_creator_country,
+    attach_repeats,
     fold_histories,
     map_tokens,
+    numbered,
     outer_unify,
     unique_lookup,
 )
@@ -116,6 +120,47 @@ def _tracker_genres(df: DataFrame, labels: DataFrame, **how) -> DataFrame:
     return map_tokens(df, tokens, labels, "tracker_labels", ["match_key"], **how)
 
 
+def _merged(
+    base: DataFrame,
+    histories: dict[str, DataFrame],
+    latest: dict[str, str],
+    totals: dict[str, dict[str, Column]],
+    labels: DataFrame,
+    strict_reference: bool,
+    store: Callable[[DataFrame], DataFrame] | None,
+) -> DataFrame:
+    """The collection joined with the histories of its keys, as ``owned`` and a struct each.
+
+    Watch histories are rolled up, ``plays`` over all their rows. In strict mode each of their rows
+    pairs with each collection row of its key, with its own plays, and the genres of a key are those
+    of all its rows.
+    """
+    kept = store or (lambda df: df)
+    latest = {"rated": "rated_at", **latest}
+    fold = {"keys": KEYS, "base_name": "owned"}
+    if not strict_reference:
+        base = kept(base)
+        spine = fold_histories(
+            histories,
+            latest={"watched": "last_watched_at", **latest},
+            totals={"watched": {"plays": F.sum("watched.watch_count")}, **totals},
+            base=base,
+            **fold,
+        )
+        spine = kept(_tracker_genres(spine, labels, distinct=True))
+        return outer_unify(base, "owned", spine, KEYS)
+    base = numbered(base, store)
+    watched = histories["watched"]
+    folded = {name: df for name, df in histories.items() if name != "watched"}
+    spine = fold_histories(
+        folded, latest=latest, totals=totals, base=base, repeats={"watched": watched}, **fold
+    )
+    spine = attach_repeats(kept(spine), watched, "watched", KEYS)
+    spine = _tracker_genres(spine, labels, distinct=False)
+    spine = numbered(spine.withColumn("plays", F.col("watched.watch_count")), store)
+    return outer_unify(base, "owned", spine, KEYS, repeats="watched")
+
+
 def unify_movies(
     moviebuddy: DataFrame,
     letterboxd: DataFrame,
@@ -123,8 +168,10 @@ def unify_movies(
     trakt_ratings: DataFrame,
     lookups: Lookups,
     strict_reference: bool = False,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per film over all three apps."""
+    """One row per film over all three apps, or with ``strict_reference`` one per pair of repeated
+    rows. ``store`` writes the collection and the folded histories, which are read twice each."""
     labels = genre_labels(lookups, "movies")
     how = {"distinct": not strict_reference}
     base = _collection(films_only(moviebuddy, strict_reference), labels, **how)
@@ -136,22 +183,11 @@ def unify_movies(
         **_tracked(trakt_watched, _ratings(trakt_ratings, "movie"), "trakt_movie_id"),
         "diary": diary,
     }
-    spine = fold_histories(
-        histories,
-        KEYS,
-        latest={"watched": "last_watched_at", "rated": "rated_at", "diary": "watched_date"},
-        totals={
-            "watched": {"plays": F.sum("watched.watch_count")},
-            "diary": {
-                "diary_first": F.min("diary.watched_date"),
-                "diary_count": F.count("diary"),
-            },
-        },
-        base=base,
-        base_name="owned",
-    )
-    spine = _tracker_genres(spine, labels, **how)
-    merged = outer_unify(base, "owned", spine, KEYS)
+    totals = {
+        "diary": {"diary_first": F.min("diary.watched_date"), "diary_count": F.count("diary")}
+    }
+    latest = {"diary": "watched_date"}
+    merged = _merged(base, histories, latest, totals, labels, strict_reference, store)
 
     has_trakt = F.col("watched").isNotNull() | F.col("rated").isNotNull()
     flags = {
@@ -221,8 +257,10 @@ def unify_anime(
     trakt_ratings: DataFrame,
     lookups: Lookups,
     strict_reference: bool = False,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per animated series. The tracker uses the film genres for shows as well."""
+    """One row per animated series, or with ``strict_reference`` one per pair of repeated rows. The
+    tracker uses the film genres for shows as well. ``store`` as in ``unify_movies``."""
     labels = genre_labels(lookups, "movies")
     how = {"distinct": not strict_reference}
     base = _collection(animated_series(moviebuddy), labels, **how)
@@ -231,16 +269,7 @@ def unify_anime(
         animated_shows(_ratings(trakt_ratings, "show")),
         "trakt_show_id",
     )
-    spine = fold_histories(
-        histories,
-        KEYS,
-        latest={"watched": "last_watched_at", "rated": "rated_at"},
-        totals={"watched": {"plays": F.sum("watched.watch_count")}},
-        base=base,
-        base_name="owned",
-    )
-    spine = _tracker_genres(spine, labels, **how)
-    merged = outer_unify(base, "owned", spine, KEYS)
+    merged = _merged(base, histories, {}, {}, labels, strict_reference, store)
 
     has_trakt = F.col("watched").isNotNull() | F.col("rated").isNotNull()
     flags = {"trakt": has_trakt, "moviebuddy": F.col("owned").isNotNull()}

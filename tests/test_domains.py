@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from omnishelf.plans import build as plans
 from omnishelf.plans import marts, quality
+from omnishelf.sources.readers import read_tables
+from omnishelf.sources.sinks import land, scratch
 from tests import fixtures
 from tests.conftest import plan_of, rows
 
@@ -226,6 +228,33 @@ def test_every_source_row_lands_once(ours):
     assert kept == movies
 
 
+def test_build_leaves_named_tables_only(spark, lookups, tmp_path):
+    plans.build(spark, fixtures.raw_sources(spark), lookups, str(tmp_path), threads=3)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["mart", "staging", "unified"]
+    tables = {p.parent.name for p in tmp_path.glob("*/*/CURRENT")}
+    assert {p.name for p in tmp_path.glob("*/*")} == tables
+    assert len(tables) == 13 + 5 + 5 + 2
+
+
+def test_screen_plans_read_stored_steps(spark, lookups, tmp_path):
+    """What is read twice is stored first: the plan that is left reads few tables."""
+    raw = fixtures.raw_sources(spark)
+    land({n: plans.STAGES[n](df) for n, df in raw.items()}, str(tmp_path))
+    staged = read_tables(spark, str(tmp_path), raw)
+    with scratch(spark, str(tmp_path)) as store:
+        for domain in ("movies", "anime"):
+            for strict in (False, True):
+                plan = plan_of(plans.unify(domain, staged, lookups, strict, store))
+                assert plan.count("FileScan") <= 12, (domain, strict)
+
+
+def test_checks_read_each_relation_once(ours, lookups):
+    frames = {"movies": ours["unified.movies"], "movies_collection": ours["mart.movies_collection"]}
+    plan = plan_of(quality.run_checks(frames))
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_checks_on_the_build(spark, ours, lookups):
     frames = {n.split(".", 1)[1]: df for n, df in ours.items()} | lookups
     found = {

@@ -270,6 +270,59 @@ def test_hot_key_is_split_in_outer_unify(skewed):
     assert merged.count() == 60_000 + 1000
 
 
+def test_pairs_of_repeated_rows_match_a_full_join(spark):
+    """Owned and watched rows that repeat a key, with keys of one side only and incomplete keys."""
+    rng = random.Random(5)
+    key = lambda: rng.choice(["a", "b", "c", "d", None])
+    for _ in range(3):
+        owned = [(key(), rng.choice([1, 2, None]), i) for i in range(rng.randint(0, 12))]
+        seen = [(key(), rng.choice([1, 2, None]), i) for i in range(rng.randint(0, 12))]
+        base = spark.createDataFrame(owned, "t string, y int, o int")
+        watched = spark.createDataFrame(seen, "t string, y int, w int")
+        diary = watched.filter("w % 2 = 0").withColumnRenamed("w", "d")
+        for limit in (1, 1000):
+            numbers = op.numbered(base, None)
+            spine = op.fold_histories(
+                {"diary": diary}, ["t", "y"], {"diary": "d"}, base=numbers, base_name="owned",
+                repeats={"watched": watched},
+            )
+            spine = op.numbered(op.attach_repeats(spine, watched, "watched", ["t", "y"]), None)
+            got = op.outer_unify(
+                numbers, "owned", spine, ["t", "y"], repeats="watched", pairs_per_task=limit
+            )
+            base.createOrReplaceTempView("b")
+            watched.createOrReplaceTempView("w")
+            want = spark.sql("""
+                SELECT coalesce(b.t, w.t) AS t, coalesce(b.y, w.y) AS y, o, w
+                FROM b FULL JOIN w ON b.t = w.t AND b.y = w.y""")
+            pairs = got.select("t", "y", "owned.o", "watched.w").filter(
+                "o IS NOT NULL OR w IS NOT NULL"
+            )
+            assert rows(pairs) == rows(want)
+
+
+def test_hot_pairs_are_dealt_over_tasks(spark):
+    base = spark.range(3000).selectExpr("IF(id < 900, 'hot', cast(id AS string)) AS code", "id AS o")
+    watched = spark.range(1000).selectExpr("IF(id < 700, 'hot', cast(id AS string)) AS code", "id AS w")
+    base = op.numbered(base, None)
+    spine = op.fold_histories({}, ["code"], {}, base=base, base_name="b", repeats={"w": watched})
+    spine = op.numbered(op.attach_repeats(spine, watched, "w", ["code"]), None)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = op.outer_unify(base, "b", spine, ["code"], repeats="w", pairs_per_task=10_000)
+        tasks = got.filter("code = 'hot' OR b.o < 900").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    counts = [r["count"] for r in tasks]
+    assert sum(counts) == 900 * 700
+    assert len(counts) >= 6 and max(counts) < 900 * 700 / 3
+
+
 def test_hot_key_is_split_in_lookups_and_checks(skewed):
     names = skewed.range(5000).select(F.col("id").cast("string").alias("name"), F.col("id").alias("v"))
     lookup = op.unique_lookup(names, {"k": norm_key("name")}, ["v"])

@@ -47,6 +47,10 @@ def tracker_genres(column: str) -> str:
     return TRACKER_GENRES.replace("{t}", column)
 
 
+# Every third part was watched in another year as well, under another spelling.
+AGAIN_AT = """timestamp '2000-03-01 22:00:00'
+                   + (CASE WHEN p_partkey % 2 = 0 THEN 900 ELSE -900 END) * interval '1' day"""
+
 RAW: dict[str, str] = {
     "goodreads": """
         SELECT cast(c_custkey AS string) AS book_id,
@@ -133,7 +137,16 @@ RAW: dict[str, str] = {
                'https://shop.example/art' AS art_url, 't' || p_partkey AS token,
                '2023-01-' || lpad(cast(1 + p_size % 28 AS string), 2, '0') AS added_at,
                '[]' AS raw_json, timestamp '2024-05-01 09:30:00' AS _extracted_at
-        FROM {part}""",
+        FROM {part}
+        UNION ALL
+        SELECT p_partkey + 1, 'album', p_partkey + 1, 'a',
+               CASE WHEN p_type IN ('LARGE', 'PROMO') THEN 'Solo ' ELSE 'Album ' END || p_partkey,
+               'Artist ' || p_size, 'https://shop.example/' || p_brand,
+               'https://shop.example/art2', 'u' || p_partkey, '2023-03-01', '[1]',
+               CASE p_partkey % 9 WHEN 0 THEN timestamp '2024-05-02 09:30:00'
+                    WHEN 3 THEN timestamp '2024-04-02 09:30:00'
+                    ELSE timestamp '2024-05-01 09:30:00' END
+        FROM {part} WHERE p_partkey % 3 = 0""",
     "bandcamp_wishlist": """
         SELECT p_partkey AS item_id, 'album' AS item_type, p_partkey AS tralbum_id,
                'a' AS tralbum_type,
@@ -144,7 +157,15 @@ RAW: dict[str, str] = {
                'https://shop.example/art' AS art_url, 'w' || p_partkey AS token,
                '2023-02-' || lpad(cast(1 + p_size % 28 AS string), 2, '0') AS added_at,
                '[]' AS raw_json, timestamp '2024-05-01 09:30:00' AS _extracted_at
-        FROM {part}""",
+        FROM {part}
+        UNION ALL
+        SELECT p_partkey, 'album', p_partkey, 'a',
+               CASE WHEN p_type IN ('LARGE', 'SMALL') THEN 'Album ' ELSE 'Wish ' END || p_partkey,
+               'artist ' || p_size, 'https://shop.example/wish', 'https://shop.example/art',
+               'v' || p_partkey, '2023-04-01', '[]',
+               CASE p_partkey % 2 WHEN 0 THEN timestamp '2024-05-03 09:30:00'
+                    ELSE timestamp '2024-05-01 09:30:00' END
+        FROM {part} WHERE p_partkey % 3 = 1""",
     "spotify_saved_albums": """
         SELECT 'sp' || p_partkey AS album_id,
                CASE WHEN p_type IN ('STANDARD', 'LARGE') THEN 'Album ' ELSE 'Mix ' END || p_partkey
@@ -205,7 +226,13 @@ RAW: dict[str, str] = {
                {tracker_genres('p_type')} AS genres, 90 + p_partkey % 60 AS runtime_minutes,
                CASE WHEN p_size < 10 THEN NULL ELSE 'NATION_' || p_size % 30 END AS country,
                timestamp '2024-05-01 09:30:00' AS _extracted_at
-        FROM {{part}}""",
+        FROM {{part}}
+        UNION ALL
+        SELECT p_partkey, 'film-again-' || p_partkey, NULL, p_partkey, 'FILM ' || p_partkey,
+               {year_of('p_partkey')}, cast(p_size + 100 AS bigint), {AGAIN_AT},
+               timestamp '2024-01-02 00:00:00', '["mystery","action"]', 91 + p_partkey % 60,
+               'NATION_' || p_size % 7, timestamp '2024-05-01 09:30:00'
+        FROM {{part}} WHERE p_partkey % 3 = 0""",
     "trakt_watched_shows": f"""
         SELECT p_partkey AS trakt_show_id, 'series-' || p_partkey AS slug,
                'tt' || p_partkey AS imdb_id, p_partkey AS tmdb_id,
@@ -217,7 +244,13 @@ RAW: dict[str, str] = {
                'ended' AS status, 'Net ' || p_brand AS network,
                CASE WHEN p_size < 10 THEN NULL ELSE 'NATION_' || p_size % 30 END AS country,
                timestamp '2024-05-01 09:30:00' AS _extracted_at
-        FROM {{part}}""",
+        FROM {{part}}
+        UNION ALL
+        SELECT p_partkey, 'series-again-' || p_partkey, NULL, p_partkey, 'series ' || p_partkey,
+               {year_of('p_partkey')}, cast(p_size + 100 AS bigint), {AGAIN_AT},
+               timestamp '2024-01-02 00:00:00', '["anime","drama"]', 21 + p_partkey % 20, 'ended',
+               'Other net', 'NATION_' || p_size % 7, timestamp '2024-05-01 09:30:00'
+        FROM {{part}} WHERE p_partkey % 3 = 0""",
     # Views rate films by event, clicks rate films again and again by user, the rest rates series.
     "trakt_ratings": f"""
         SELECT CASE WHEN event_type IN ('view', 'click') THEN 'movie' ELSE 'show' END
@@ -388,6 +421,9 @@ class _Lazy(dict):
         self._make = make
         self._names = names
 
+    def all(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in self._names}
+
     def __missing__(self, name: str) -> DataFrame:
         self[name] = self._make(name)
         return self[name]

@@ -14,7 +14,7 @@ from omnishelf.plans.staging import STAGES
 from omnishelf.session import configure
 from omnishelf.sources.readers import read_exports, read_lookups, read_tables
 from omnishelf.sources.schemas import LOOKUPS as LOOKUP_TYPES
-from omnishelf.sources.sinks import land, stored
+from omnishelf.sources.sinks import count_rows, land, stored
 from verification import oracle_models as oracle
 from verification.derived import EXPORT_NAMES, LOOKUPS, RAW, Derived, working_folder
 
@@ -22,6 +22,7 @@ LOOKUP_COLUMNS = {
     name: [column.split(" ")[0] for column in ddl.split(", ")] for name, ddl in LOOKUP_TYPES.items()
 }
 LOOKUP_WIDTH = max(map(len, LOOKUP_COLUMNS.values()))
+LANDED_FIRST = ["bookbuddy", "trakt_ratings", "bandcamp_wishlist"]
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -140,6 +141,20 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return plain(STAGES[name](read_tables(spark, folder, [name])[name]))
 
 
+def land_dry_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a load of all staged sources would write, counted in one job."""
+    return count_rows(Derived(configure(spark), sf).staged.all())
+
+
+def land_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a load of three sources says it wrote, beside those found in the tables."""
+    d = Derived(configure(spark), sf)
+    folder = f"{working_folder(spark)}/landed-{uuid.uuid4().hex}"
+    written = land({name: d.staged[name] for name in LANDED_FIRST}, folder, threads=2)
+    claimed = spark.createDataFrame([*written.items()], "table string, n_written long")
+    return claimed.join(count_rows(read_tables(spark, folder, written)), "table")
+
+
 def full_build(spark: SparkSession, sf: str) -> DataFrame:
     """Every layer built and stored, the summary read from the stored mart."""
     d = Derived(configure(spark), sf)
@@ -163,6 +178,8 @@ QUERIES = {
     **{f"export_scan_{name}": _export_scan(name) for name in EXPORT_NAMES},
     "lookup_scan": lookup_scan,
     "full_refresh": full_refresh,
+    "land_dry_run": land_dry_run,
+    "land_counts": land_counts,
     "full_build": full_build,
 }
 
@@ -177,6 +194,11 @@ def _lookup_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _count_sql(names, *columns: str) -> str:
+    counts = ", ".join(f"count(*) AS {c}" for c in columns)
+    return " UNION ALL ".join(f"SELECT '{n}' AS \"table\", {counts} FROM st_{n}" for n in names)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **{f"stage_{name}": oracle.staged_oracle(name) for name in RAW},
@@ -196,5 +218,7 @@ def oracle_sql() -> dict[str, str]:
         **{f"export_scan_{name}": oracle.staged_oracle(name) for name in EXPORT_NAMES},
         "lookup_scan": oracle.assemble({}, _lookup_sql()),
         "full_refresh": oracle.staged_oracle("trakt_ratings"),
+        "land_dry_run": oracle.assemble({}, _count_sql(RAW, "n_rows")),
+        "land_counts": oracle.assemble({}, _count_sql(LANDED_FIRST, "n_rows", "n_written")),
         "full_build": oracle.summary_oracle(),
     }

@@ -14,7 +14,8 @@ from omnishelf.operators.rollup import joined_ranked_set, joined_set
 from omnishelf.plans import marts, quality, reports
 from omnishelf.session import configure
 from omnishelf.sources import payloads
-from omnishelf.sources.readers import read_payload
+from omnishelf.sources.readers import read_payload, read_tables
+from omnishelf.sources.sinks import clustered, overwrite
 from verification.derived import table, working_folder
 from verification.model_queries import plain
 from verification.oracle_models import sk
@@ -248,8 +249,9 @@ def token_map_repeated_id(t, spark):
         SELECT p_partkey AS cat_id, CASE WHEN p_type <> 'PROMO' THEN p_partkey END AS code,
                p_size AS size_key, CASE WHEN p_brand = 'Brand#1' THEN 'FO' ELSE 'FF' END AS line_key
         FROM part),
-    first AS (SELECT s.*, min(cat_id) AS cat_id FROM shelf s JOIN catalogue c USING (code)
-              GROUP BY ALL),
+    first AS (
+        SELECT s.*, (SELECT min(cat_id) FROM catalogue c WHERE c.code = s.code) AS cat_id
+        FROM shelf s WHERE s.code IN (SELECT code FROM catalogue)),
     open_cat AS (SELECT * FROM catalogue c WHERE NOT EXISTS (
         FROM shelf s WHERE s.code = c.code)),
     second AS (
@@ -257,21 +259,19 @@ def token_map_repeated_id(t, spark):
                      WHERE c.size_key = s.size_key AND c.line_key = s.line_key) AS cat_id
         FROM shelf s WHERE s.code IS NULL OR s.code NOT IN (
             SELECT code FROM catalogue WHERE code IS NOT NULL))
-    SELECT match_type, count(*) AS n_rows, sum(l_orderkey)::bigint AS orders,
-           sum(cat_id)::bigint AS matched
-    FROM (SELECT 'code' AS match_type, l_orderkey, cat_id FROM first
-          UNION ALL
-          SELECT CASE WHEN cat_id IS NOT NULL THEN 'size' END, l_orderkey, cat_id FROM second
-          UNION ALL
-          SELECT 'catalogue only', cat_id, cat_id FROM open_cat c WHERE NOT EXISTS (
-              FROM second s WHERE s.size_key = c.size_key AND s.line_key = c.line_key))
-    GROUP BY ALL"""
+    SELECT 'code' AS match_type, l_orderkey, l_linenumber, cat_id FROM first
+    UNION ALL
+    SELECT CASE WHEN cat_id IS NOT NULL THEN 'size' END, l_orderkey, l_linenumber, cat_id FROM second
+    UNION ALL
+    SELECT 'catalogue only', NULL, NULL, cat_id FROM open_cat c WHERE NOT EXISTS (
+        FROM second s WHERE s.size_key = c.size_key AND s.line_key = c.line_key)"""
 )
 def two_pass_match(t, spark):
     """Every line of an order against the part catalogue: first by part number, then by size and
     line. Many lines share a key with many parts; no pairs are formed."""
     shelf = t("lineitem").select(
         "l_orderkey",
+        "l_linenumber",
         F.when(F.col("l_returnflag") != "N", F.col("l_partkey")).alias("code"),
         (F.col("l_suppkey") % 50).alias("size_key"),
         F.concat(F.lit("F"), "l_linestatus").alias("line_key"),
@@ -284,15 +284,11 @@ def two_pass_match(t, spark):
     )
     passes = {"code": ["code"], "size": ["size_key", "line_key"]}
     matched, rest = op.match_passes(shelf, catalogue, passes, right_id="cat_id")
-    rows = matched.select("match_type", "l_orderkey", F.col("right.cat_id").alias("cat_id"))
-    only = rest.select(
-        F.lit("catalogue only").alias("match_type"), F.col("cat_id").alias("l_orderkey"), "cat_id"
-    )
-    return rows.unionByName(only).groupBy("match_type").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("l_orderkey").alias("orders"),
-        F.sum("cat_id").alias("matched"),
+    rows = matched.select(
+        "match_type", "l_orderkey", "l_linenumber", F.col("right.cat_id").alias("cat_id")
     )
+    only = rest.select(F.lit("catalogue only").alias("match_type"), "cat_id")
+    return rows.unionByName(only, allowMissingColumns=True)
 
 
 @registered(
@@ -733,11 +729,12 @@ def qa_duplicates_copies(t, spark):
 # ---- payloads --------------------------------------------------------------------------------
 
 
-def _payload(df: DataFrame, kind: str, **fields) -> DataFrame:
+def _payload(df: DataFrame, kind: str, keep_nulls: bool = False, **fields) -> DataFrame:
     """Land rows as JSON lines in the shared folder and read them as the jobs read payloads."""
     spark = df.sparkSession
     path = f"{working_folder(spark)}/landed-{uuid.uuid4().hex}"
-    document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    nulls = {"ignoreNullFields": str(not keep_nulls).lower()}
+    document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), nulls)
     df.select(document.alias("value")).write.text(path)
     return read_payload(spark, path, kind)
 
@@ -785,19 +782,42 @@ def flatten_saved_albums(t, spark):
     return payloads.flatten_saved_albums(pages, RUN_AT)
 
 
+# What each feature of a line is; the same text in both engines.
+FEATURE_SQL = {
+    "danceability": "cast(l_discount AS double)",
+    "energy": "cast(l_tax AS double)",
+    "valence": "CASE WHEN l_linenumber <> 3 THEN cast(l_quantity AS double) / 64 END",
+    "tempo": "cast(l_quantity AS double) + 60",
+    "acousticness": "cast(l_linenumber AS double) / 8",
+    "instrumentalness": "CASE WHEN l_returnflag = 'R' THEN cast(0.5 AS double) END",
+    "liveness": "cast(l_suppkey AS double) / 1024",
+    "speechiness": "cast(l_orderkey % 8 AS double) / 8",
+}
+
+
 @registered(
     f"""
-    WITH features AS (SELECT 't' || l_partkey AS id, max(l_discount) AS energy
-                      FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL)
-    SELECT l_orderkey, 't' || l_partkey AS track_id, 'Track ' || l_linenumber AS name,
+    WITH features AS (
+        SELECT 't' || l_partkey AS id, {', '.join(f'{x} AS {c}' for c, x in FEATURE_SQL.items())}
+        FROM lineitem WHERE l_returnflag <> 'N'
+        QUALIFY row_number() OVER (
+            PARTITION BY l_partkey
+            ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in payloads.AUDIO_FEATURES)}) = 1)
+    SELECT 't' || l_partkey AS track_id, 'Track ' || l_linenumber AS name,
            'Artist a' || l_suppkey || ', Artist b' || l_suppkey AS artists,
-           coalesce(l_returnflag = 'R', false) AS explicit, l_quantity::bigint * 1000
-               AS duration_ms, energy
+           '["a' || l_suppkey || '","b' || l_suppkey || '"]' AS artist_ids,
+           l_orderkey::varchar AS album_id, 'Album ' || l_partkey AS album_name,
+           l_quantity::bigint * 1000 AS duration_ms,
+           coalesce(l_returnflag = 'R', false) AS explicit, l_linenumber::bigint AS popularity,
+           CASE WHEN l_linenumber <> 4 THEN epoch_us(timestamp '2024-01-01 00:00:00') END
+               AS added_at,
+           features.* EXCLUDE (id), {STAMP} AS _extracted_at
     FROM (SELECT * FROM lineitem WHERE l_linenumber <> 2) LEFT JOIN features
         ON id = 't' || l_partkey"""
 )
 def flatten_saved_tracks(t, spark):
-    """One page per order line pair; line 2 stands for a local file without an id."""
+    """One page per line; line 2 stands for a local file without an id, line 4 has a time that is
+    none. Parts that several lines name have several rows of features."""
     lines = t("lineitem")
     has_id = F.col("l_linenumber") != 2
     track = F.struct(
@@ -805,28 +825,23 @@ def flatten_saved_tracks(t, spark):
         F.concat(F.lit("Track "), "l_linenumber").alias("name"),
         _artists("l_suppkey").alias("artists"),
         F.struct(
-            F.col("l_orderkey").cast("string").alias("id"), F.lit("Album").alias("name")
+            F.col("l_orderkey").cast("string").alias("id"),
+            F.concat(F.lit("Album "), "l_partkey").alias("name"),
         ).alias("album"),
         (F.col("l_quantity").cast("bigint") * 1000).alias("duration_ms"),
         F.when(F.col("l_returnflag") == "R", F.lit(True)).alias("explicit"),
         F.col("l_linenumber").alias("popularity"),
     )
-    local_file = F.struct(F.lit("2024-01-01T00:00:00Z").alias("added_at"),
+    when = F.when(F.col("l_linenumber") == 4, "no time").otherwise("2024-01-01T00:00:00Z")
+    local_file = F.struct(when.alias("added_at"),
                           F.lit(None).cast(_type_of(lines, track)).alias("track"))
-    item = F.struct(F.lit("2024-01-01T00:00:00Z").alias("added_at"), track.alias("track"))
+    item = F.struct(when.alias("added_at"), track.alias("track"))
     pages = _payload(lines, "saved_tracks", items=F.array(item, local_file))
     features = lines.filter("l_returnflag <> 'N'").select(
         F.concat(F.lit("t"), "l_partkey").alias("id"),
-        *[
-            (F.col("l_discount") if c == "energy" else F.lit(None).cast("double")).alias(c)
-            for c in payloads.AUDIO_FEATURES
-        ],
-    )
-    flat = payloads.flatten_saved_tracks(pages, features, RUN_AT)
-    return flat.select(
-        F.col("album_id").cast("bigint").alias("l_orderkey"), "track_id", "name", "artists",
-        "explicit", "duration_ms", "energy",
+        *[F.expr(FEATURE_SQL[c]).alias(c) for c in payloads.AUDIO_FEATURES],
     )
+    return payloads.flatten_saved_tracks(pages, features, RUN_AT)
 
 
 def _type_of(df: DataFrame, column):
@@ -904,10 +919,15 @@ def flatten_watched_shows(t, spark):
 
 
 @registered(
-    """
+    f"""
     SELECT CASE WHEN kind = 1 THEN 'movie' ELSE 'show' END AS media_type, event_id AS trakt_id,
-           event_type AS title, r AS rating_raw, r / cast(2 AS double) AS rating,
-           epoch_us(timestamp '2024-02-01 20:00:00') AS rated_at
+           's-' || event_id AS slug, 'tt' || event_id AS imdb_id, event_id AS tmdb_id,
+           event_type AS title, 1950 + event_id % 70 AS release_year, r AS rating_raw,
+           r / cast(2 AS double) AS rating,
+           epoch_us(timestamp '2024-02-01 20:00:00') AS rated_at,
+           CASE event_type WHEN 'view' THEN '[]' ELSE '["' || event_type || '","drama"]' END
+               AS genres,
+           90::bigint AS runtime_minutes, 'fr' AS country, {STAMP} AS _extracted_at
     FROM (SELECT *, CASE WHEN event_type <> 'error' THEN 1 + event_id % 10 END AS r FROM events)
     CROSS JOIN (VALUES (1), (2)) k(kind)"""
 )
@@ -915,43 +935,55 @@ def flatten_ratings(t, spark):
     """Every event rated once as a movie and once as a show; errors carry no rating."""
     events = t("events")
     rating = F.when(F.col("event_type") != "error", 1 + F.col("event_id") % 10)
-    media = _media_object("event_id", "event_type", F.array(F.lit("drama")))
+    genres = F.when(F.col("event_type") != "view", F.array(F.col("event_type"), F.lit("drama")))
+    media = _media_object("event_id", "event_type", genres)
     rated_at = F.lit("2024-02-01T20:00:00.000Z")
     movies = _payload(events, "movie_ratings", rating=rating, rated_at=rated_at, movie=media)
     shows = _payload(events, "show_ratings", rating=rating, rated_at=rated_at, show=media)
-    flat = payloads.flatten_ratings(movies, shows, RUN_AT)
-    return flat.select("media_type", "trakt_id", "title", "rating_raw", "rating", "rated_at")
+    return payloads.flatten_ratings(movies, shows, RUN_AT)
 
 
 @registered(
-    """
-    SELECT conv_id AS item_id, 'a' AS tralbum_type, text AS title,
-           CASE role WHEN 'user' THEN 'band ' || conv_id ELSE role END AS artist,
-           turn::varchar AS added_at, 'w' || turn AS token, true AS kept_json
+    f"""
+    SELECT conv_id AS item_id, 'album' AS item_type, turn AS tralbum_id, 'a' AS tralbum_type,
+           text AS title, CASE role WHEN 'user' THEN 'band ' || conv_id ELSE role END AS artist,
+           NULL AS item_url, NULL AS art_url, 'w' || turn AS token, turn::varchar AS added_at,
+           {STAMP} AS _extracted_at,
+           json_object(
+               'Unknown', json_object('a', [2, 1], 'b', json_object('c', true, 'd', NULL)),
+               'added_at', '', 'album_title', CASE role WHEN 'user' THEN text ELSE '' END,
+               'artist', role, 'band_name', CASE role WHEN 'user' THEN 'band ' || conv_id ELSE '' END,
+               'item_id', conv_id, 'item_title', coalesce(text, ''), 'item_type', 'album',
+               'purchased', turn::varchar, 'title', coalesce(text, ''), 'token', 'w' || turn,
+               'tralbum_id', turn, 'tralbum_type', 'a')::varchar AS raw_json
     FROM conversations"""
 )
 def flatten_fan_items(t, spark):
-    """Turns as shop items: the text sits in one of three title fields, the rest is blank."""
+    """Turns as shop items: the text sits in one of three title fields, the rest is blank. The kept
+    JSON has its keys in order, nested ones too."""
     rows = t("conversations")
-    role = F.col("role")
+    role, text = F.col("role"), F.coalesce("text", F.lit(""))
+    nested = F.struct(
+        F.struct(F.lit(None).cast("string").alias("d"), F.lit(True).alias("c")).alias("b"),
+        F.array(F.lit(2), F.lit(1)).alias("a"),
+    )
     item = F.struct(
+        F.concat(F.lit("w"), "turn").alias("token"),
         F.col("conv_id").alias("item_id"),
+        F.lit("album").alias("item_type"),
         F.lit("a").alias("tralbum_type"),
-        F.when(role == "user", F.col("text")).otherwise("").alias("album_title"),
-        F.when(role == "assistant", F.col("text")).alias("item_title"),
-        F.col("text").alias("title"),
+        F.col("turn").alias("tralbum_id"),
+        F.when(role == "user", text).otherwise("").alias("album_title"),
+        text.alias("item_title"),
+        text.alias("title"),
         F.when(role == "user", F.concat(F.lit("band "), "conv_id")).otherwise("").alias("band_name"),
         role.alias("artist"),
         F.lit("").alias("added_at"),
         F.col("turn").cast("string").alias("purchased"),
-        F.concat(F.lit("w"), "turn").alias("token"),
-        F.lit(1).alias("unknown_field"),
-    )
-    flat = payloads.flatten_fan_items(_payload(rows, "fan_items", items=F.array(item)), RUN_AT)
-    return flat.select(
-        "item_id", "tralbum_type", "title", "artist", "added_at", "token",
-        F.get_json_object("raw_json", "$.unknown_field").isNotNull().alias("kept_json"),
+        nested.alias("Unknown"),
     )
+    pages = _payload(rows, "fan_items", keep_nulls=True, items=F.array(item))
+    return payloads.flatten_fan_items(pages, RUN_AT)
 
 
 # ---- consumer queries ------------------------------------------------------------------------
@@ -1080,3 +1112,24 @@ def filtered_collection(t, spark):
     return reports.filter_collection(
         items, "red", "PROMO", "dear", rated_only=True, watched_only=True
     ).select("p_partkey")
+
+
+WANTED = [str(3 * i) for i in range(1, 60)]
+
+
+@registered(
+    f"""SELECT p_partkey::varchar AS item_id, p_type AS country, p_name AS title
+        FROM part WHERE p_type = 'PROMO' AND p_partkey::varchar IN ({str(WANTED)[1:-1]})"""
+)
+def clustered_items(t, spark):
+    """A collection written by country and id, with a filter on the ids, and read by both."""
+    items = t("part").select(
+        F.col("p_partkey").cast("string").alias("item_id"),
+        F.col("p_type").alias("country"),
+        F.col("p_name").alias("title"),
+    )
+    folder = f"{working_folder(spark)}/clustered-{uuid.uuid4().hex}"
+    overwrite(clustered(items, "country", "item_id"), f"{folder}/items", bloom=["item_id"])
+    stored_items = read_tables(spark, folder, ["items"])["items"]
+    wanted = reports.filter_collection(stored_items, country="PROMO")
+    return reports.find_items(wanted, "item_id", WANTED)

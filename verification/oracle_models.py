@@ -4,13 +4,10 @@ is formed and the survivors are picked afterwards. Fit for small data only, whic
 from __future__ import annotations
 
 from omnishelf.functions.keys import NULL_FIELD, WHITE_SPACE
+from omnishelf.sources.payloads import AUDIO_FEATURES
 from verification.derived import LOOKUPS, RAW, duck
 
 SPACES = "||".join(f"chr({ord(c)})" for c in WHITE_SPACE)
-FEATURES = [
-    "danceability", "energy", "valence", "tempo", "acousticness", "instrumentalness", "liveness",
-    "speechiness",
-]
 
 
 def t(x: str) -> str:
@@ -90,7 +87,7 @@ STAGED = {
     "spotify_saved_tracks": f"""
         SELECT track_id, name AS track_name, artists, artist_ids, album_id, album_name,
                duration_ms, explicit, added_at, _extracted_at, {num('popularity')} AS popularity,
-               {', '.join(f'try_cast({c} AS double) AS {c}' for c in FEATURES)}
+               {', '.join(f'try_cast({c} AS double) AS {c}' for c in AUDIO_FEATURES)}
         FROM raw_spotify_saved_tracks""",
     "spotify_followed_artists": f"""
         SELECT artist_id, name AS artist_name, genres, _extracted_at,
@@ -170,14 +167,6 @@ def genre_one(domain: str, genre: str) -> str:
         WHERE domain = '{domain}' AND {k('raw_genre')} = {k(genre)})"""
 
 
-def genre_list(domain: str, tokens: str, strict: bool) -> str:
-    distinct = "" if strict else "DISTINCT "
-    return f"""(SELECT string_agg({distinct}normalized_genre, ',' ORDER BY normalized_genre)
-        FROM (SELECT unnest({tokens}) AS token) JOIN lk_genre_mapping
-        ON domain = '{domain}' AND {k('raw_genre')} = {k('token')}
-        WHERE normalized_genre <> '')"""
-
-
 def json_tokens(x: str) -> str:
     return f"CASE WHEN json_valid({x}) THEN json_extract_string({x}, '$[*]') END"
 
@@ -268,9 +257,20 @@ def manga_ctes(strict: bool) -> dict[str, str]:
     }
 
 
-def _tracker(kind: str, only: str, extra: str) -> dict[str, str]:
-    """Watched and rated items of the tracker, one row per title and year."""
+def _tracker(kind: str, only: str, extra: str, strict: bool) -> dict[str, str]:
+    """Watched and rated items of the tracker. Ratings have one row per title and year, and so have
+    watched items unless ``strict``: then each of them is joined."""
     table = {"movie": "st_trakt_watched_movies", "show": "st_trakt_watched_shows"}[kind]
+    watched = f"SELECT *, {k('title')} AS title_key FROM {table} WHERE {only}"
+    if not strict:
+        watched = f"""
+            SELECT * REPLACE (sum(watch_count) OVER (PARTITION BY title_key, release_year)::bigint
+                              AS watch_count)
+            FROM ({watched})
+            QUALIFY row_number() OVER (
+                PARTITION BY title_key, release_year
+                ORDER BY last_watched_at DESC NULLS LAST, watch_count DESC NULLS LAST,
+                         trakt_{kind}_id DESC, title DESC, slug DESC) = 1"""
     pick = [
         "title", "slug", "imdb_id", "tmdb_id", "genres", "runtime_minutes", "country",
     ]
@@ -288,9 +288,18 @@ def _tracker(kind: str, only: str, extra: str) -> dict[str, str]:
                    w.watch_count, w.last_watched_at, {extra}
                    r.rating AS trakt_rating, r.rating_raw AS trakt_rating_raw,
                    r.rated_at AS trakt_rated_at
-            FROM (SELECT *, {k('title')} AS title_key FROM {table} WHERE {only}) w
+            FROM ({watched}) w
             FULL JOIN {kind}_rated r
                  ON w.title_key = r.title_key AND w.release_year = r.release_year""",
+        # Labels of all rows of a title and year.
+        f"{kind}_labels": f"""
+            SELECT title_key AS label_title, release_year AS label_year,
+                   string_agg({'' if strict else 'DISTINCT '}normalized_genre, ','
+                              ORDER BY normalized_genre) AS tracker_labels
+            FROM (SELECT title_key, release_year, unnest({json_tokens('genres')}) AS token
+                  FROM {kind}_tracked)
+                 JOIN lk_genre_mapping ON domain = 'movies' AND {k('raw_genre')} = {k('token')}
+            WHERE normalized_genre <> '' GROUP BY ALL""",
     }
 
 
@@ -340,7 +349,7 @@ def movies_ctes(strict: bool) -> dict[str, str]:
                 PARTITION BY {k('film_name')}, release_year
                 ORDER BY watched_date DESC NULLS LAST, film_name DESC NULLS LAST,
                          rating DESC NULLS LAST, letterboxd_uri DESC NULLS LAST) = 1""",
-        **_tracker("movie", "true", ""),
+        **_tracker("movie", "true", "", strict),
         "two": """
             SELECT coalesce(o.title_key, d.title_key) AS title_key,
                    coalesce(o.release_year, d.release_year) AS release_year,
@@ -368,12 +377,11 @@ def movies_ctes(strict: bool) -> dict[str, str]:
                        AS film_country,
                    {manual('movies', 'u.title_key', 'IS NOT DISTINCT FROM u.director_key')}
                        AS manual_rating,
-                   coalesce(u.owned_labels,
-                            CASE WHEN u.title_key IS NOT NULL AND u.release_year IS NOT NULL THEN
-                            {genre_list('movies', json_tokens('u.genres'), strict)} END) AS labels,
+                   coalesce(u.owned_labels, tracker_labels) AS labels,
                    coalesce(has_owned, false) AS o, coalesce(has_diary, false) AS d,
                    has_trakt AS w
-            FROM united u""",
+            FROM united u LEFT JOIN movie_labels
+                 ON u.title_key = label_title AND u.release_year = label_year""",
         "sourced": f"SELECT *, {origin} AS origin FROM located",
         "movies": f"""
             SELECT {sk('title', 'release_year')} AS movie_id, * FROM (
@@ -425,7 +433,7 @@ def anime_ctes(strict: bool) -> dict[str, str]:
             "movies", "movie_id", "string_split(genres, ',')", f"st_moviebuddy WHERE {series}", strict
         ),
         "series": COLLECTION + f" LEFT JOIN series_labels ON item_id = movie_id WHERE {series}",
-        **_tracker("show", animated, "w.status, w.network,"),
+        **_tracker("show", animated, "w.status, w.network,", strict),
         "shows": f"""
             SELECT coalesce(o.title_key, s.title_key) AS title_key,
                    coalesce(o.release_year, s.release_year) AS release_year,
@@ -440,10 +448,9 @@ def anime_ctes(strict: bool) -> dict[str, str]:
                  ON o.title_key = s.title_key AND o.release_year = s.release_year""",
         "located_shows": f"""
             SELECT u.*, {_director_country('anime_director_countries')} AS director_country,
-                   coalesce(u.owned_labels,
-                            CASE WHEN u.title_key IS NOT NULL AND u.release_year IS NOT NULL THEN
-                            {genre_list('movies', json_tokens('u.genres'), strict)} END) AS labels
-            FROM shows u""",
+                   coalesce(u.owned_labels, tracker_labels) AS labels
+            FROM shows u LEFT JOIN show_labels
+                 ON u.title_key = label_title AND u.release_year = label_year""",
         "sourced_shows": f"SELECT *, {origin} AS origin FROM located_shows",
         "anime_manual": ratings,
         "anime": f"""

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.functions import norm_key, split_csv, split_json, uni_trim
-from omnishelf.operators.matching import match_key
 from omnishelf.plans.enrich import Lookups
 from omnishelf.plans.marts import DOMAINS, Marts, creator_column
 
@@ -173,17 +172,6 @@ LOOKUP_RULES: dict[str, Rules] = {
 ALL_RULES = {**STAGING_RULES, **UNIFIED_RULES, **MART_RULES, **LOOKUP_RULES}
 
 
-@dataclass(frozen=True)
-class _Rule:
-    """One line of the report. ``repeats`` counts keys held twice, ``parent`` rows whose key no
-    parent holds, ``row`` bad rows."""
-
-    check: str
-    relation: str
-    column: str
-    kind: str
-
-
 def _bad_rows(rules: Rules) -> dict[tuple[str, str], Column]:
     """Conditions of the rules that look at one row only."""
     bad = {("not_null", c): F.col(c).isNull() for c in rules.not_null}
@@ -192,41 +180,84 @@ def _bad_rows(rules: Rules) -> dict[tuple[str, str], Column]:
     return bad
 
 
-def _entries(
-    frames: Mapping[str, DataFrame], rules: Mapping[str, Rules]
-) -> tuple[list[_Rule], dict[str, list[Column]]]:
-    """The rules, and per relation what a row of it contributes: (rule, key, row, parent) or NULL."""
-    listed: list[_Rule] = []
-    found: dict[str, list[Column]] = {name: [] for name in frames}
-
-    def entry(key: Column, when: Column, parent: bool = False) -> Column:
-        counts = [F.lit(not parent).cast("long").alias("n_rows"), F.lit(parent).alias("parent")]
-        rule = F.lit(len(listed) - 1).alias("rule")
-        return F.when(when, F.struct(rule, key.cast("string").alias("key"), *counts))
-
-    for relation in frames:
-        r = rules.get(relation, Rules())
-        for (check, column), bad in _bad_rows(r).items():
-            listed.append(_Rule(check, relation, column, "row"))
-            found[relation].append(entry(F.lit(None), bad))
-        for column in r.unique:
-            listed.append(_Rule("unique", relation, column, "repeats"))
-            found[relation].append(entry(F.col(column), F.col(column).isNotNull()))
-        for column in r.case_insensitive_unique:
-            listed.append(_Rule("case_insensitive_unique", relation, column, "repeats"))
-            found[relation].append(entry(norm_key(column), norm_key(column).isNotNull()))
-        for columns in r.unique_combination:
-            listed.append(_Rule("unique_combination", relation, ", ".join(columns), "repeats"))
-            # NULLs are equal here, so the key has no source name.
-            found[relation].append(entry(match_key(columns, ""), F.lit(True)))
-        for column, (parent, parent_column) in r.parent.items():
-            if parent not in frames:
-                continue
-            listed.append(_Rule("relationship", relation, column, "parent"))
-            found[relation].append(entry(F.col(column), F.col(column).isNotNull()))
-            has_key = F.col(parent_column).isNotNull()
-            found[parent].append(entry(F.col(parent_column), has_key, parent=True))
-    return listed, found
+def _check_relation(
+    relation: str, frames: Mapping[str, DataFrame], rules: Rules
+) -> DataFrame | None:
+    """The report of one relation; None if it has no rules."""
+    df = frames[relation]
+    names: dict[tuple[str, str], str] = {}
+
+    def key(column: str, kind: str = "value") -> str:
+        return names.setdefault((column, kind), f"k{len(names)}")
+
+    # What each rule finds in the group of one key: (check, column, key columns, violations).
+    repeats = (F.col("n_rows") > 1).cast("long")
+    grouped: list[tuple[str, str, list[str], Column]] = []
+    for column in rules.unique:
+        k = key(column)
+        grouped.append(("unique", column, [k], F.when(F.col(k).isNotNull(), repeats)))
+    for column in rules.case_insensitive_unique:
+        k = key(column, "spelling")
+        found = F.when(F.col(k).isNotNull(), repeats)
+        grouped.append(("case_insensitive_unique", column, [k], found))
+    for columns in rules.unique_combination:
+        ks = [key(column) for column in columns]
+        grouped.append(("unique_combination", ", ".join(columns), ks, repeats))
+    parents = []
+    for column, (parent, parent_column) in rules.parent.items():
+        if parent in frames:
+            k, n = key(column), len(parents)
+            value = F.col(parent_column).cast(df.schema[column].dataType)
+            parents.append(frames[parent].select(value.alias(k), F.lit(n).alias("parent_of")))
+            orphan = F.col(k).isNotNull() & ~F.col(f"parent_{n}")
+            grouped.append(("relationship", column, [k], F.when(orphan, F.col("n_rows"))))
+    bad = _bad_rows(rules)
+    grouped += [(check, c, [], F.col(f"bad_{i}")) for i, (check, c) in enumerate(bad)]
+    if not grouped:
+        return None
+
+    rows = df.select(
+        *[
+            (norm_key(column) if kind == "spelling" else F.col(column)).alias(name)
+            for (column, kind), name in names.items()
+        ],
+        *[F.when(breaks, True).alias(f"bad_{i}") for i, breaks in enumerate(bad.values())],
+        F.lit(-1).alias("parent_of"),
+    )
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [rows, *parents])
+    sets = [list(ks) for ks in dict.fromkeys(tuple(ks) for _, _, ks, _ in grouped)]
+    every = list(names.values())
+    by_key = rows.groupingSets(sets, *every) if every else rows.groupBy()
+    groups = by_key.agg(
+        F.count(F.when(F.col("parent_of") < 0, True)).alias("n_rows"),
+        *[F.count(f"bad_{i}").alias(f"bad_{i}") for i in range(len(bad))],
+        *[
+            F.max(F.col("parent_of") == n).alias(f"parent_{n}") for n in range(len(parents))
+        ],
+        (F.grouping_id() if every else F.lit(0)).alias("grouped_by"),
+    )
+
+    def of(ks: list[str]) -> Column:
+        """Groups by these columns: the grouping id has a bit per column, the first one highest,
+        which is set where the column is left out."""
+        return F.col("grouped_by") == int("0" + "".join("01"[k not in ks] for k in every), 2)
+
+    totals = groups.agg(
+        *[F.sum(F.when(of(ks), found)).alias(f"v{i}") for i, (*_, ks, found) in enumerate(grouped)]
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(check).alias("check"),
+                F.lit(column).alias("column"),
+                F.coalesce(f"v{i}", F.lit(0).cast("long")).alias("violations"),
+            )
+            for i, (check, column, _, _) in enumerate(grouped)
+        ]
+    )
+    return totals.select(F.explode(entries).alias("e")).select(
+        "e.check", F.lit(relation).alias("relation"), "e.column", "e.violations"
+    )
 
 
 def run_checks(
@@ -234,41 +265,14 @@ def run_checks(
 ) -> DataFrame:
     """(check, relation, column, violations) for every rule of the given relations.
 
-    Each relation is read once and each row adds an entry per rule it matters to: its key for the
-    uniqueness and parent rules, itself where it breaks a row rule, its key as a parent for the
-    relations that refer to it. Entries are counted per rule and key, in each task first, so one
-    shuffle serves all rules and a key that repeats millions of times sends one row per task. Keys
-    are compared as text of one column's type. A parent check is skipped when its parent relation is
-    not among ``frames``.
+    A relation is read once and shuffled once: all its rules are sets of one grouping, uniqueness
+    rules by their columns, row rules over all rows, and parent rules by the child's column, with
+    the parent's keys as rows that only this set counts. Groups are counted in each task first, so a
+    key that repeats millions of times sends one row per task and rule. A parent check is skipped
+    when its parent relation is not among ``frames``.
     """
-    spark = next(iter(frames.values())).sparkSession
-    listed, found = _entries(frames, rules)
-    schema = "rule int, key string, n_rows long, parent boolean"
-    # One empty entry per rule, so that a rule that nothing breaks is reported with 0.
-    parts = [spark.createDataFrame([(i, None, 0, False) for i in range(len(listed))], schema)]
-    for relation, entries in found.items():
-        if entries:
-            made = F.explode(F.array_compact(F.array(*entries))).alias("e")
-            parts.append(frames[relation].select(made).select("e.*"))
-    per_key = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
-        F.sum("n_rows").alias("n_rows"), F.max("parent").alias("parent")
-    )
-
-    def of(kind: str) -> Column:
-        return F.col("rule").isin([i for i, rule in enumerate(listed) if rule.kind == kind])
-
-    broken = (
-        F.when(of("repeats"), (F.col("n_rows") > 1).cast("long"))
-        .when(of("parent") & F.col("parent"), F.lit(0).cast("long"))
-        .otherwise(F.col("n_rows"))
-    )
-    counted = per_key.groupBy("rule").agg(F.sum(broken).alias("violations"))
-    names = [
-        F.element_at(F.array(*[F.lit(getattr(rule, part)) for rule in listed]), F.col("rule") + 1)
-        .alias(part)
-        for part in ("check", "relation", "column")
-    ]
-    return counted.select(*names, "violations")
+    reports = [_check_relation(r, frames, rules.get(r, Rules())) for r in frames]
+    return reduce(DataFrame.unionByName, [report for report in reports if report is not None])
 
 
 # Where raw genres come from (relation, domain, column, encoding).

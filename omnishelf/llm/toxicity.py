@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from omnishelf.llm.common import prefix_hash, ready, span_hash, steps, word_spans
-from omnishelf.llm.quality import held_out
+from omnishelf.llm.quality import held_out, one_per_id
 
 # A term counts if so many of the fitted rows have it.
 TERM_ROWS = 3
@@ -174,8 +174,8 @@ def _collect(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         terms = pa.array([r.tobytes() for r in term_rows(batch.column(1))], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), terms, batch.column(2), batch.column(3)],
-            ["doc_id", "terms", "quality", "toxic"],
+            [batch.column(0), terms, batch.column(2), batch.column(3), batch.column(4)],
+            ["doc_id", "terms", "quality", "toxic", "print"],
         )
 
 
@@ -183,7 +183,8 @@ def train(docs: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> C
     """Fit on at most ``class_rows`` toxic and as many other rows outside the held-out fifth.
 
     Null ids and toxic labels are left out, a null quality counts as good; of an id labelled more
-    than once the largest labels count. Without both kinds of rows returns None.
+    than once the largest labels count, and of texts under one id the one with the least hash is
+    fitted. Without both kinds of rows returns None.
     """
     usable = labels.select(
         F.col("doc_id").cast("long"), F.col("quality").cast("int"), F.col("toxic").cast("int")
@@ -198,9 +199,9 @@ def train(docs: DataFrame, labels: DataFrame, class_rows: int = CLASS_ROWS) -> C
     slim = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL")
     # At most 2 * class_rows ids: a bounded broadcast.
     rows = slim.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").select(
-        "doc_id", "text", "quality", "toxic"
-    ).mapInArrow(_collect, "doc_id long, terms binary, quality int, toxic int")
-    rows = rows.limit(4 * class_rows).toArrow()
+        "doc_id", "text", "quality", "toxic", F.xxhash64("text").alias("print")
+    ).mapInArrow(_collect, "doc_id long, terms binary, quality int, toxic int, print long")
+    rows = one_per_id(rows).toArrow()
     order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
     toxic = rows["toxic"].to_numpy()[order]
     if not len(order) or toxic.min() == toxic.max():
@@ -230,8 +231,8 @@ def _scored(batches: Iterator[pa.RecordBatch], shared):
 def score_toxicity(docs: DataFrame, chain: Chain | None) -> DataFrame:
     """Per row: doc_id, a probability for each category, and is_toxic (toxic from 0.5 on).
 
-    Only ``text`` is looked at; a null or empty text is scored without words. Without a chain all
-    probabilities are 0. No shuffle; the broadcast chain holds the telling terms and three weights each.
+    Only ``text`` is looked at, so repeated rows score alike; a null or empty text is scored without
+    words, an empty table gives an empty result. Without a chain all probabilities are 0. No shuffle; the broadcast chain holds the telling terms and three weights each.
     """
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(chain)

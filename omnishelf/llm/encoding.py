@@ -5,9 +5,17 @@ from __future__ import annotations
 import re
 import struct
 import unicodedata
+from collections.abc import Iterable
 
-# Memo entries per worker: about 150 MB. A full memo is emptied; results do not depend on it.
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Entries of each of a worker's two memos, parts and words: about 150 MB at most for each. A full memo
+# of parts is emptied; of the words the older half goes. Results do not depend on it.
 MEMO_ENTRIES = 700_000
+# Longer parts are not kept.
+MEMO_CHARS = 64
 
 _TWO_SPACES = re.compile(r"\s\s")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
@@ -25,8 +33,12 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    pack = _PACK[len(ids)] if len(ids) < len(_PACK) else struct.Struct(f"<{len(ids)}I").pack
+    return pack(*ids)
 
 
 class WordEncoder:
@@ -48,6 +60,7 @@ class WordEncoder:
         self.entries = entries
         self.memo: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def _full(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -55,28 +68,32 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         """One run of letters, after the blank or line end it may start with."""
         blank = word[0] == " "
-        letters = word.lstrip()
-        if not self.keeps_blanks:
-            if not unicodedata.is_normalized("NFC", word):
-                return self._full(word)
-            letters = "".join(map(str.lower, letters))
-        if not letters.isascii():
-            letters = "".join(map(_LETTERS.__getitem__, letters.encode()))
+        letters = word[1:] if blank else word.lstrip()
+        if letters.isascii():
+            if not self.keeps_blanks:
+                letters = letters.lower()
+        else:
+            if not self.keeps_blanks:
+                if not unicodedata.is_normalized("NFC", word):
+                    return self._full(word)
+                # A sigma's lower case depends on its place in Python, not in the tokenizer.
+                letters = "".join(map(str.lower, letters)) if "Σ" in letters else letters.lower()
+            letters = letters.encode().decode("latin-1").translate(_LETTERS)
         piece = "Ġ" + letters if blank else letters
         return _packed([t.id for t in self.model.tokenize(piece)])
 
     def _known(self, text: str, make) -> bytes:
         ids = self.words.get(text)
         if ids is None:
-            if len(self.words) >= self.entries:
-                self.words.clear()
-            ids = self.words[text] = make(text)
+            if len(self.words) >= max(self.entries // 2, 1):
+                self.words, self.older_words = {}, self.words
+            ids = self.words[text] = self.older_words.get(text) or make(text)
         return ids
 
     def _part(self, part: str, lead: str = " ") -> bytes:
         lead = lead if self.keeps_blanks else ""
         word = part.rstrip(_TAIL)
-        if word.isalpha() and (word.isascii() or self.keeps_blanks or word.lower().isalpha()):
+        if self._plain(word):
             ids = self._known(lead + word, self._word)
             if len(word) == len(part):
                 return ids
@@ -131,11 +148,65 @@ class WordEncoder:
             ids = memo.get(part)
             if ids is None:
                 ids = self._part(part)
-                if len(part) <= 64:
+                if len(part) <= MEMO_CHARS:
                     memo[part] = ids
             out.append(ids)
         return b"".join(out)
 
+    def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and each text's bounds in them.
+
+        Where blanks vanish, the texts' words are numbered first, so that a word is looked up once
+        however often it stands in them, and ids are laid out by number.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.any(pc.match_substring_regex(texts, _ODD_SPACE.pattern)).as_py()
+        if self.keeps_blanks or odd:
+            rows = [self.encode(text) for text in texts.to_pylist()]
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+            return np.frombuffer(b"".join(rows), "<u4"), np.concatenate(([0], np.cumsum(sizes)))
+        words = pc.ascii_split_whitespace(texts)
+        numbered = words.flatten().dictionary_encode()
+        made = self._many(numbered.dictionary.to_numpy(zero_copy_only=False))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        starts = np.cumsum(sizes) - sizes
+        word = numbered.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[word])))
+        place = np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], sizes[word])
+        offsets = words.offsets.to_numpy()
+        return np.frombuffer(b"".join(made), "<u4")[place], ends[offsets - offsets[0]]
+
+    def _many(self, parts: Iterable[str]) -> list[bytes]:
+        """The ids of distinct parts without blanks. Words are remembered without the marks behind
+        them, which are few and remembered as well."""
+        out = []
+        for part in parts:
+            word = part.rstrip(_TAIL)
+            ids = self.words.get(word)
+            if ids is None:
+                if not self._plain(word):
+                    out.append(self._odd(part))
+                    continue
+                ids = self._known(word, self._word)
+            if len(word) != len(part):
+                ids += self._known(part[len(word) :], self._full)
+            out.append(ids)
+        return out
+
+    def _plain(self, word: str) -> bool:
+        """Whether the word is one run of letters to the tokenizer."""
+        return word.isalpha() and (word.isascii() or self.keeps_blanks or word.lower().isalpha())
+
+    def _odd(self, part: str) -> bytes:
+        ids = self.memo.get(part)
+        if ids is None:
+            ids = self._part(part) if part else b""
+            if len(part) <= MEMO_CHARS:
+                if len(self.memo) >= self.entries:
+                    self.memo.clear()
+                self.memo[part] = ids
+        return ids
+
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 

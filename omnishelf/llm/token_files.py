@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from omnishelf.llm.common import ready, stored
+from omnishelf.llm.common import ready, steps, stored
 from omnishelf.llm.encoding import encoder
 
 # Fixed values of the format: ids per word and bits per id, by selector.
@@ -32,54 +32,75 @@ MAGIC = b"S8B1\0\0\0\0"
 BLOCK = 1024
 # A file is closed when it has so many ids; a document is never cut.
 FILE_IDS = 1 << 20
+# Bytes of text that are encoded at once, and that one task takes of the sorted documents.
+ENCODE_BYTES = 1 << 23
+TASK_BYTES = 64 << 20
 
 
-def _selectors(ids: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """For every position the selector that takes most ids from there, not past ``stops``."""
-    n = len(ids)
-    places = np.arange(n)
-    best = np.full(n, 15, np.int64)
+# Zeros that a block's last word may reach over.
+SPARE = 240
+
+
+def _selectors(ids: np.ndarray) -> np.ndarray:
+    """For every id of the rows of ``ids`` (one block each, ``SPARE`` zeros behind it) the selector
+    that takes most ids from there; what it takes behind the block are zeros."""
+    rows, width = ids.shape
+    block = width - SPARE
+    best = np.full((rows, block), 15, np.uint8)
     for selector in range(14, -1, -1):
-        wide = np.append(ids >> np.uint64(WIDTHS[selector]) != 0, True)
-        bad = np.where(wide, np.arange(n + 1), n)
-        next_bad = np.minimum.accumulate(bad[::-1])[::-1][:n]
-        # Behind a block's end a word is filled up with zeros.
-        room = np.where(next_bad >= stops, places + 240, next_bad)
-        best[room - places >= COUNTS[selector]] = selector
+        # fits: whether the next ``reach`` ids have the selector's width, doubled up to its count.
+        fits = ids < ids.dtype.type(1 << int(WIDTHS[selector]))
+        if not fits[:, :block].any():
+            break
+        reach, count = 1, int(COUNTS[selector])
+        while reach < count:
+            step = min(reach, count - reach)
+            fits = fits[:, : fits.shape[1] - step] & fits[:, step:]
+            reach += step
+        np.copyto(best, np.uint8(selector), where=fits[:, :block])
     return best
 
 
 def encode_ids(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """Simple-8b words of ``ids`` and the first word of each block, closed by the number of words."""
-    ids = np.asarray(ids, np.uint64)
+    ids = np.asarray(ids)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     if int(ids.max()) >> 60:
         raise ValueError("ids take at most 60 bits")
-    heads = np.arange(0, n, block)
-    ends = np.minimum(heads + block, n)
-    best = _selectors(ids, np.minimum((np.arange(n) // block + 1) * block, n))
-    at, steps = heads.copy(), []
-    alive = np.arange(len(heads))
+    rows = -(-n // block)
+    width = block + SPARE
+    padded = np.zeros((rows, width), np.uint32 if int(ids.max()) < 1 << 32 else np.uint64)
+    whole = np.zeros(rows * block, padded.dtype)
+    whole[:n] = ids
+    padded[:, :block] = whole.reshape(rows, block)
+    best = _selectors(padded).reshape(-1)
+    counts = COUNTS.astype(np.int32)
+    sizes = np.full(rows, block, np.int32)
+    sizes[-1] = n - (rows - 1) * block
+    # All blocks walk from word to word at once.
+    alive, at, walked = np.arange(rows, dtype=np.int32), np.zeros(rows, np.int32), []
     while len(alive):
-        steps.append((alive, at[alive]))
-        at[alive] += COUNTS[best[at[alive]]]
-        alive = alive[at[alive] < ends[alive]]
-    owner = np.concatenate([s[0] for s in steps])
-    start = np.concatenate([s[1] for s in steps])
-    order = np.argsort(start, kind="stable")
-    owner, start = owner[order], start[order]
-    selector = best[start]
+        chosen = best[alive * block + at]
+        walked.append((alive, at, chosen))
+        at = at + counts[chosen]
+        going = at < sizes[alive]
+        alive, at = alive[going], at[going]
+    owner, start, selector = (np.concatenate(parts) for parts in zip(*walked, strict=True))
+    order = np.argsort(owner, kind="stable")
+    owner, start, selector = owner[order], start[order], selector[order]
     words = selector.astype(np.uint64) << np.uint64(60)
-    padded = np.append(ids, np.zeros(240, np.uint64))
+    flat, place = padded.reshape(-1), owner.astype(np.int64) * width + start
     for s in range(2, 16):
         mine = np.flatnonzero(selector == s)
-        for k in range(COUNTS[s] if len(mine) else 0):
-            place = start[mine] + k
-            value = np.where(place < ends[owner[mine]], padded[place], np.uint64(0))
-            words[mine] |= value << np.uint64(k * WIDTHS[s])
-    first = np.searchsorted(owner, np.arange(len(heads) + 1))
+        if not len(mine):
+            continue
+        from_here, packed = place[mine], np.zeros(len(mine), np.uint64)
+        for k in range(COUNTS[s]):
+            packed |= flat[from_here + k].astype(np.uint64) << np.uint64(k * WIDTHS[s])
+        words[mine] |= packed
+    first = np.searchsorted(owner, np.arange(rows + 1))
     return words, first.astype(np.uint64)
 
 
@@ -105,13 +126,14 @@ def decode_ids(words: np.ndarray, first: np.ndarray, n: int, block: int = BLOCK)
     return out[:n]
 
 
-def to_file(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    firsts = np.zeros(len(ids) + 1, "<u8")
-    firsts[1:] = np.cumsum([len(x) for x in ids])
+def to_file(doc_ids: list[int | None], ids: list[np.ndarray], per_doc: int = 1) -> bytes:
+    """A file of documents, each of ``per_doc`` arrays of ids in a row."""
+    firsts = np.zeros(len(doc_ids) + 1, "<u8")
+    firsts[1:] = np.cumsum([len(x) for x in ids])[per_doc - 1 :: per_doc]
     words, blocks = encode_ids(np.concatenate(ids) if ids else np.zeros(0, np.uint64))
     return b"".join([
         MAGIC,
-        struct.pack("<3Q", len(ids), int(firsts[-1]), len(blocks) - 1),
+        struct.pack("<3Q", len(doc_ids), int(firsts[-1]), len(blocks) - 1),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
         np.array([d is None for d in doc_ids], "u1").tobytes(),
         firsts.tobytes(),
@@ -144,26 +166,29 @@ _FILES = "part int, number int, n_ids long, body binary"
 
 
 def _write(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, end_id: int):
-    encode = encoder(path, keeps_blanks).encode
-    end = int(end_id).to_bytes(4, "little")
+    encode = encoder(path, keeps_blanks).encode_rows
+    end = np.array([end_id], "<u4")
     part, number = TaskContext.get().partitionId(), 0
     doc_ids, ids, held = [], [], 0
 
     def closed():
         return pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([number], pa.int32()),
-             pa.array([held], pa.int64()), pa.array([to_file(doc_ids, ids)], pa.binary())],
+             pa.array([held], pa.int64()), pa.array([to_file(doc_ids, ids, 2)], pa.binary())],
             ["part", "number", "n_ids", "body"],
         )
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            doc_ids.append(doc_id)
-            ids.append(np.frombuffer(encode(text.as_py()) + end, "<u4"))
-            held += len(ids[-1])
-            if held >= FILE_IDS:
-                yield closed()
-                doc_ids, ids, held, number = [], [], 0, number + 1
+        names, texts = batch.column(0).to_pylist(), batch.column(1)
+        for row, _, offsets in steps(texts, ENCODE_BYTES):
+            found, bounds = encode(texts.slice(row, len(offsets) - 1))
+            for i in range(len(bounds) - 1):
+                doc_ids.append(names[row + i])
+                ids += [found[bounds[i] : bounds[i + 1]], end]
+                held += int(bounds[i + 1] - bounds[i]) + 1
+                if held >= FILE_IDS:
+                    yield closed()
+                    doc_ids, ids, held, number = [], [], 0, number + 1
     if doc_ids:
         yield closed()
 
@@ -171,14 +196,16 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, keeps_blanks: bool, end
 def write_files(docs: DataFrame, path: str, end_id: int, keeps_blanks: bool) -> DataFrame:
     """Write all documents in ascending doc_id order; returns the table of files.
 
-    Documents are dealt by range of doc_id (ties: by text hash) and sorted, each task encodes its
-    range and closes a file whenever ``FILE_IDS`` ids are held. Files travel as binary rows of a
+    Documents are dealt by range of doc_id (ties: by text hash) and sorted, into as many ranges as
+    their bytes ask for; each task encodes its range and closes a file whenever ``FILE_IDS`` ids are held. Files travel as binary rows of a
     table in the shared folder, so that Spark commits them whole or not at all wherever the folder
     lies; (part, number) orders them. A null text is empty, a null doc_id comes first, repeated rows
     are written each. Other columns are not read.
     """
     spark = ready(docs.sparkSession)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-n_bytes // TASK_BYTES))
     ordered = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange(parts, "doc_id", F.xxhash64("text"))

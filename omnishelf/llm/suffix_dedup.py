@@ -63,20 +63,23 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int):
     for batch in batches:
-        keys = batch.column(0).to_numpy()
+        ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         out = []
         with np.errstate(over="ignore"):
-            for row, data, offsets in steps(batch.column(1)):
+            for row, data, offsets in steps(batch.column(2)):
                 for r in range(len(offsets) - 1):
                     found = anchors(data[offsets[r] : offsets[r + 1]], length, gram)
                     if len(found[0]):
-                        out.append((np.full(len(found[0]), keys[row + r]), *found))
+                        n = len(found[0])
+                        out.append((np.full(n, ids[row + r]), np.full(n, keys[row + r]), *found))
         if out:
-            key, anchor, first, count, region, several = (np.concatenate(c) for c in zip(*out, strict=True))
+            of_id, key, anchor, first, count, region, several = (
+                np.concatenate(c) for c in zip(*out, strict=True)
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)),
+                [pa.array(of_id), pa.array(key), pa.array(anchor.view(np.int64)), pa.array(region.view(np.int64)),
                  pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(several)],
-                ["key", "anchor", "region", "first", "strings", "several"],
+                ["of_id", "key", "anchor", "region", "first", "strings", "several"],
             )
 
 
@@ -272,23 +275,23 @@ def _merge(part: pd.DataFrame) -> pd.DataFrame:
 def _spread(batches: Iterator[pa.RecordBatch], length: int):
     """Spans in documents from an occurrence and the flags of its region's strings."""
     for batch in batches:
-        keys, firsts = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         out = []
-        for key, first, count, flags in zip(
-            keys, firsts, batch.column(2).to_numpy(), batch.column(3), strict=True
+        for of_id, key, first, count, flags in zip(
+            *(batch.column(i).to_numpy() for i in range(4)), batch.column(4), strict=True
         ):
             bits = np.unpackbits(np.frombuffer(flags.as_buffer(), np.uint8), count=int(count))
             edge = np.diff(np.concatenate([[0], bits.astype(np.int8), [0]]))
             lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            out.append((np.full(len(lo), key), first + lo, first + hi - 1 + length))
-        key, lo, hi = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [[]] * 3
+            own = np.full(len(lo), of_id), np.full(len(lo), key)
+            out.append((*own, first + lo, first + hi - 1 + length))
+        columns = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [[]] * 4
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in (key, lo, hi)], ["key", "start", "stop"]
+            [pa.array(x, pa.int64()) for x in columns], ["of_id", "key", "start", "stop"]
         )
 
 
 def _cut(batches: Iterator[pa.RecordBatch]):
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text"]
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     for batch in batches:
         out = []
@@ -300,15 +303,13 @@ def _cut(batches: Iterator[pa.RecordBatch]):
                     spans[-1][1] = max(spans[-1][1], m[1])
                 else:
                     spans.append(list(m))
-            kept, last = hashlib.sha256(), 0
-            for lo, hi in spans:
-                kept.update(body[last:lo])
-                last = hi
-            kept.update(body[last:])
+            edges = [0, *(edge for span in spans for edge in span), len(body)]
+            kept = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
             out.append((doc_id.as_py(), len(body), sum(b - a for a, b in spans), len(spans),
-                        kept.hexdigest(), [{"start": a, "stop": b} for a, b in spans]))
-        kinds = [*[pa.int64()] * 4, pa.string(), pa.list_(span)]
-        columns = zip(*out, strict=True) if out else [[]] * 6
+                        hashlib.sha256(kept).hexdigest(),
+                        [{"start": a, "stop": b} for a, b in spans], kept.decode(errors="ignore")))
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.list_(span), pa.string()]
+        columns = zip(*out, strict=True) if out else [[]] * 7
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
         )
@@ -316,7 +317,7 @@ def _cut(batches: Iterator[pa.RecordBatch]):
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    shard_regions: int = SHARD_REGIONS) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, stop in bytes).
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, stop in bytes), text.
 
     Every byte under a string of ``length`` bytes that starts anywhere else in the corpus too is
     removed, in all its places; strings are judged on the input texts and lie within one text.
@@ -333,21 +334,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     4. The repeated strings of a region are spread to all its places and gathered per document.
 
     Equality of anchors, regions and prints is that of 64-bit hashes, always two at a time. A null
-    text is empty; a null doc_id is kept as it is. Rows are told apart by id and text, so repeated
-    rows lose what they share. Other columns are ignored; an empty table gives an empty result.
+    text is empty; a null doc_id is kept as it is. Rows are told apart by their id and a hash of
+    their text, so repeated rows lose what they share. ``text`` is what is kept; of a character that
+    a span cuts the rest is left out of it, while the digest is that of the exact bytes. Other
+    columns are ignored; an empty table gives an empty result.
     """
     ready(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("long"), "text")
-    slim = slim.withColumn("key", F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "text"))
+    slim = docs.select(F.col("doc_id").cast("long"), "text").withColumns({
+        "of_id": F.coalesce(F.col("doc_id"), F.lit(-1).cast("long")),
+        "key": F.xxhash64(F.col("doc_id").isNull(), "text"),
+    })
+    own = (F.col("of_id") == F.col("owner_id")) & (F.col("key") == F.col("owner"))
+    owner = [F.col("of_id").alias("owner_id"), F.col("key").alias("owner")]
     found = stored(
-        slim.filter(F.octet_length("text") >= length).select("key", "text").mapInArrow(
+        slim.filter(F.octet_length("text") >= length).select("of_id", "key", "text").mapInArrow(
             lambda b: _anchor_rows(b, length, gram),
-            "key long, anchor long, region long, first int, strings int, several boolean",
+            "of_id long, key long, anchor long, region long, first int, strings int, several boolean",
         )
     )
+    place = ("of_id", "key", "first", "strings", "several")
     regions = stored(
         found.groupBy("anchor", "region").agg(
-            F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("key", "first", "strings", "several")]
+            F.count("*").alias("n"), *[F.first(c).alias(c) for c in place]
         )
     )
     again = regions.groupBy(F.col("anchor").alias("again")).agg(
@@ -355,6 +363,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     ).filter("total > 1 OR several").drop("several")
     salts = F.ceil(F.col("regions") / shard_regions)
     wanted = regions.join(stored(again), F.col("anchor") == F.col("again")).select(
+        "of_id",
         "key",
         F.struct(
             "first", "strings", "anchor", "region", "n", salts.alias("salts"),
@@ -362,8 +371,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         ).alias("wanted"),
     )
     # Regions of one document: bounded by its length.
-    wanted = wanted.groupBy(F.col("key").alias("owner")).agg(F.collect_list("wanted").alias("wanted"))
-    texts = slim.join(stored(wanted), F.col("key") == F.col("owner")).dropDuplicates(["key"])
+    wanted = wanted.groupBy(*owner).agg(F.collect_list("wanted").alias("wanted"))
+    texts = slim.join(stored(wanted), own).dropDuplicates(["of_id", "key"])
     pieces = texts.select("text", "wanted").mapInArrow(
         lambda b: _slices(b, length),
         "anchor long, salt long, salts long, region long, n long, body binary",
@@ -379,7 +388,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     )
     # A region's strings are bounded by ``length``: one flag each.
     across = merged.groupBy("anchor", "region").agg(F.collect_set("string").alias("at")).mapInArrow(
-        _flags, "anchor long, region long, strings binary"
+        lambda b: _flags(b, length), "anchor long, region long, strings binary"
     )
     flags = stored(
         inside.union(across).select(
@@ -387,25 +396,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         )
     )
     spans = found.join(flags, (F.col("anchor") == F.col("a")) & (F.col("region") == F.col("r"))).select(
-        "key", "first", "strings", "flags"
-    ).mapInArrow(lambda b: _spread(b, length), "key long, start long, stop long")
-    marks = spans.groupBy(F.col("key").alias("owner")).agg(
-        F.collect_set(F.struct("start", "stop")).alias("marks")
-    )
-    return slim.join(marks, F.col("key") == F.col("owner"), "left").select(
+        "of_id", "key", "first", "strings", "flags"
+    ).mapInArrow(lambda b: _spread(b, length), "of_id long, key long, start long, stop long")
+    marks = spans.groupBy(*owner).agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
+    return slim.join(marks, own, "left").select(
         "doc_id", "text", "marks"
     ).mapInArrow(
         _cut,
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "spans array<struct<start:long,stop:long>>",
+        "spans array<struct<start:long,stop:long>>, text string",
     )
 
 
-def _flags(batches: Iterator[pa.RecordBatch]):
+def _flags(batches: Iterator[pa.RecordBatch], length: int):
     for batch in batches:
         out = []
         for at in batch.column(2):
-            bits = np.zeros(LENGTH, np.uint8)
+            bits = np.zeros(length, np.uint8)
             bits[at.as_py()] = 1
             out.append(np.packbits(bits).tobytes())
         yield pa.RecordBatch.from_arrays(

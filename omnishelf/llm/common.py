@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -16,7 +19,11 @@ STEP_BYTES = 1 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it.
+
+    That reaches workers which see the driver's folder under the same path; elsewhere the package
+    must be installed or shipped (``--py-files``).
+    """
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
@@ -40,12 +47,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage durably."""
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes in this scope are removed at its end. What is read from them
+    must be written elsewhere by then."""
+    own = f"{shared_folder(spark)}/llm-scratch-{uuid.uuid4().hex}"
+    before = _SCRATCH.set(own)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write a table to the shared folder (or the named one) and read it back: cuts the lineage
+    durably. Outside a ``scratch`` scope the table is its owner's to remove."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    path = f"{folder or _SCRATCH.get() or shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -161,8 +185,10 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         near = both(e) if large else e.select(
             F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
         )
-        low = near.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("v"), F.least("a", "m").alias("m")
+        # The key is an expression, so the join gets exchanges of its own on both sides and Spark
+        # can split the edges of a vertex that very many others meet.
+        low = near.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select(
+            F.when(F.col("n") > 0, F.col("a")).alias("v"), F.least("a", "m").alias("m")
         )
         joined = near.join(low, near["a"] == low["v"])
         if large:

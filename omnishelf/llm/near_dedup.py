@@ -26,8 +26,12 @@ PERCENT = 75
 # The first 128 registers make 32 bands of 4: a pair at similarity 0.75 meets in no band once in
 # 200,000. All registers make the estimate.
 REGISTERS, BANDS, BAND = 512, 32, 4
-# A register is a byte: four bits for leading zeros, four for the bits behind them.
-ZEROS, MANTISSA = 4, 4
+# A register of the estimate is a byte: four bits for leading zeros, four for the bits behind them.
+# Those of the bands are kept once more with twelve such bits, as two bytes: unequal minima then agree
+# in a whole band with chance 4e-17, so unrelated documents do not meet however many there are.
+ZEROS, MANTISSA, WIDE = 4, 4, 12
+BAND_BYTES = 2 * BAND
+SKETCH_BYTES = REGISTERS + BANDS * BAND_BYTES
 # Pairs whose estimate lies this far below the threshold are not checked on their sets. Five
 # standard deviations of 512 registers at 0.75.
 SLACK = 0.1
@@ -63,7 +67,8 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Registers of a non-empty sorted set: leading zeros and mantissa bits of each bucket's minimum.
+    """Bytes of a non-empty sorted set's registers, leading zeros and mantissa bits of each bucket's
+    minimum: one byte each, then two for those of the bands.
 
     The high bits of a hash choose the bucket, so the minimum of bucket b is the first hash from
     b << 55 on. An empty register copies the first filled one on its fixed list of tries (optimal
@@ -76,7 +81,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     rest = (low << np.uint64(64 - int(_BITS))) | np.uint64(1)
     mantissa, exponent = np.frexp(rest.astype(np.float64))
     zeros = np.minimum(64 - exponent, (1 << ZEROS) - 1)
-    out = (zeros << MANTISSA) + ((mantissa - 0.5) * (2 << MANTISSA)).astype(np.int64)
+    out = (zeros << WIDE) + ((mantissa - 0.5) * (2 << WIDE)).astype(np.int64)
     empty = np.flatnonzero(~filled)
     for t in range(0, _PROBES.shape[1], 64):
         if not len(empty):
@@ -89,7 +94,8 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
         empty = empty[~done]
     if len(empty):
         out[empty] = out[np.flatnonzero(filled)[0]]
-    return out.astype("u1")
+    bands = out[: BANDS * BAND].astype("<u2").view("u1")
+    return np.concatenate([(out >> (WIDE - MANTISSA)).astype("u1"), bands])
 
 
 def estimate(agreeing: np.ndarray) -> np.ndarray:
@@ -112,19 +118,19 @@ def _describe(batches: Iterator[pa.RecordBatch]):
                 two.append(int(mix(hashes ^ _MIX[6]).sum(dtype=np.uint64).astype(np.int64)))
                 sketches.append(sketch(hashes).tobytes() if len(hashes) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()),
+            [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(one, pa.int64()),
              pa.array(two, pa.int64()), pa.array(sketches, pa.binary())],
-            ["doc_id", "n_shingles", "set_one", "set_two", "sketch"],
+            ["doc_id", "print", "n_shingles", "set_one", "set_two", "sketch"],
         )
 
 
 def _agree(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         left, right = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), "u1").reshape(-1, REGISTERS)
+            np.frombuffer(b"".join(batch.column(i).to_pylist()), "u1").reshape(-1, SKETCH_BYTES)
             for i in (2, 3)
         )
-        likely = estimate((left == right).sum(axis=1)) >= PERCENT / 100 - SLACK
+        likely = estimate((left == right)[:, :REGISTERS].sum(axis=1)) >= PERCENT / 100 - SLACK
         keep = pa.array(likely)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"]
@@ -138,7 +144,8 @@ def _cell_pairs(ids, parts, sizes, sketches, stray) -> np.ndarray:
     cell's own band is one of those in which all its members agree.
     """
     x, y = np.flatnonzero(stray), np.flatnonzero(~stray)
-    bands = sketches[:, : BANDS * BAND].reshape(-1, BANDS, BAND)
+    bands, sketches = sketches[:, REGISTERS:], sketches[:, :REGISTERS]
+    bands = bands.reshape(-1, BANDS, BAND_BYTES)
     own = (bands == bands[0]).all(axis=(0, 2))
     out = [np.zeros((0, 2), np.int64)]
     for i in x:
@@ -161,7 +168,7 @@ def _across(batches: Iterator[pa.RecordBatch]):
             continue
         key = np.stack([batch.column(i).to_numpy() for i in range(3)])
         rest = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3, 7)]
-        sketches = np.frombuffer(b"".join(batch.column(7).to_pylist()), "u1").reshape(-1, REGISTERS)
+        sketches = np.frombuffer(b"".join(batch.column(7).to_pylist()), "u1").reshape(-1, SKETCH_BYTES)
         cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
         found = []
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
@@ -229,8 +236,8 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "s_a", "s_b").mapInArrow(_agree, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept.
+def near_duplicates(docs: DataFrame, with_print: bool = False) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; ``with_print`` adds the text's xxhash64.
 
     Shingles are five words of the whole text, lower-cased in A-Z; fewer words make one shingle, no
     words or a null text make none and link with nothing. Sets are held as 64-bit hashes. Documents
@@ -243,15 +250,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     is left out unless its two sides are linked already, their sizes rule the similarity out, or
     the sketch estimate lies ``SLACK`` below it.
 
-    doc_id is a key; rows that repeat it with one text get one result, a null doc_id takes no part
+    doc_id is a key. Rows that repeat it with one text get one result each, the same; texts under
+    one id are one vertex, linked with whatever any of them is near to. A null doc_id takes no part
     (component_id null, kept). Other columns are ignored. An empty table gives an empty result.
     """
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     described = stored(
-        docs.mapInArrow(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("print")).mapInArrow(
             _describe,
-            "doc_id long, n_shingles long, set_one long, set_two long, sketch binary",
+            "doc_id long, print long, n_shingles long, set_one long, set_two long, sketch binary",
         )
     )
     keys = ["n_shingles", "set_one", "set_two"]
@@ -265,7 +273,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     bands = F.array(
         *[
-            F.xxhash64(F.lit(i), F.substring("sketch", i * BAND + 1, BAND))
+            F.xxhash64(F.lit(i), F.substring("sketch", REGISTERS + i * BAND_BYTES + 1, BAND_BYTES))
             for i in range(BANDS)
         ]
     )
@@ -330,10 +338,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    result = described.select("doc_id", *keys).join(named, same, "left")
+    result = described.select("doc_id", "print", *keys).join(named, same, "left")
     component = F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")
     ).alias("component_id")
-    return result.select("doc_id", "n_shingles", component).withColumn(
+    out = result.select("doc_id", "n_shingles", component, "print").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+    return out if with_print else out.drop("print")

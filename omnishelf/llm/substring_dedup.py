@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,13 +86,18 @@ def _closes(words: np.ndarray, sentence_end: np.ndarray) -> np.ndarray:
     return closes
 
 
+_SECOND = np.uint64(0xA0761D6478BD642F)
+
+
 class Units(NamedTuple):
     """Of one text, in order of place: units (sentences or parts of them) and compared digests.
 
-    A digest covers the units ``lo`` to ``hi``: one, or with ``whole`` all of a line.
+    A digest covers the units ``lo`` to ``hi``: one, or with ``whole`` all of a line. A second hash
+    tells digests apart, of which 32 bits are compared as well, since they decide what is deleted.
     """
 
     digest: np.ndarray
+    second: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
     whole: np.ndarray
@@ -116,11 +121,13 @@ def units(texts: pa.Array) -> Iterator[Units]:
             rows = np.searchsorted(starts, offsets)
             words = span_hash(prefix_hash(data, lower=True), starts, stops)
             powers, inverses = _powers(len(words) + 1)
-            prefix = np.zeros(len(words) + 1, np.uint64)
-            np.cumsum(words * powers[: len(words)], out=prefix[1:])
+            sums = np.zeros((2, len(words) + 1), np.uint64)
+            np.cumsum(words * powers[: len(words)], out=sums[0, 1:])
+            np.cumsum(mix(words ^ _SECOND) * powers[: len(words)], out=sums[1, 1:])
 
-            def digest(lo, hi, prefix=prefix, inverses=inverses):
-                return (prefix[hi] - prefix[lo]) * inverses[lo] + (hi - lo).astype(np.uint64)
+            def digest(lo, hi, which, sums=sums, inverses=inverses):
+                span = sums[which][hi] - sums[which][lo]
+                return span * inverses[lo] + (hi - lo).astype(np.uint64)
 
             lines = np.zeros(len(data) + 1, np.int32)
             np.cumsum(data == 10, out=lines[1:])
@@ -140,19 +147,24 @@ def units(texts: pa.Array) -> Iterator[Units]:
             whole = np.flatnonzero(many | short)
             first = np.concatenate([single, np.searchsorted(lo, line_lo[whole])])
             behind = np.concatenate([single, np.searchsorted(hi, line_hi[whole])]) + 1
-            digests = np.concatenate([
-                mix(digest(lo[single], hi[single])),
-                mix(digest(line_lo[whole], line_hi[whole]) ^ _LINE),
-            ])
+            digests, seconds = (
+                np.concatenate([
+                    mix(digest(lo[single], hi[single], which)),
+                    mix(digest(line_lo[whole], line_hi[whole], which) ^ _LINE),
+                ])
+                for which in (0, 1)
+            )
             is_line = np.arange(len(digests)) >= len(single)
             order = np.lexsort((is_line, first))
-            first, behind, is_line, digests = (x[order] for x in (first, behind, is_line, digests))
+            first, behind, is_line, digests, seconds = (
+                x[order] for x in (first, behind, is_line, digests, seconds)
+            )
             at = np.searchsorted(lo, rows)
             of = np.searchsorted(first, at)
             for r in range(len(rows) - 1):
                 a, b, c, d = at[r], at[r + 1], of[r], of[r + 1]
                 yield Units(
-                    digests[c:d], first[c:d] - a, behind[c:d] - a, is_line[c:d],
+                    digests[c:d], seconds[c:d], first[c:d] - a, behind[c:d] - a, is_line[c:d],
                     starts[lo[a:b]] - offsets[r], stops[hi[a:b] - 1] - offsets[r], size[a:b], line[a:b],
                 )
 
@@ -175,34 +187,48 @@ def removable(of: Units, repeated: np.ndarray, own: np.ndarray) -> np.ndarray:
     return one | (np.cumsum(lines)[:-1] > 0)
 
 
+# Bits of a text's hash that stand above the unit's number, to tell texts under one id apart.
+PRINT_BITS = 30
+
+
+def _print(text: Column) -> Column:
+    return F.shiftleft(F.xxhash64(text).bitwiseAND(F.lit((1 << PRINT_BITS) - 1)), 32)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        digests, counts = [], []
+        prints = batch.column(2).to_numpy(zero_copy_only=False)
+        digests, seconds, counts = [], [], []
         for of in units(batch.column(1)):
             digests.append(of.digest)
+            seconds.append((of.second >> np.uint64(32)).astype(np.uint32))
             counts.append(len(of.digest))
         if counts:
-            numbers = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+            numbers = np.concatenate([np.arange(n, dtype=np.int64) for n in counts])
+            numbers += np.repeat(prints, counts).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(digests).view(np.int64)),
+                 pa.array(np.concatenate(seconds).view(np.int32)),
                  pa.array(np.repeat(ids, counts).astype(np.int64)), pa.array(numbers)],
-                ["digest", "id", "unit"],
+                ["digest", "second", "id", "unit"],
             )
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int, names: list[str]):
     for batch in batches:
-        texts, marks = batch.column(text_at), batch.column(len(names))
+        texts, marks, prints = (batch.column(i) for i in (text_at, len(names), len(names) + 1))
         out = {k: [] for k in ("text", "n_units", "n_removed_units", "n_bytes", "n_removed", "spans")}
-        for of, text, marked in zip(units(texts), texts, marks, strict=True):
+        for of, text, marked, own_print in zip(units(texts), texts, marks, prints, strict=True):
             body = b"" if text.as_py() is None else text.as_py().encode()
             start, spans, gone = of.start, [], np.zeros(len(of.start), bool)
             if marked.is_valid:
                 repeated = np.zeros(len(of.digest), bool)
                 own = repeated.copy()
                 at = np.array(marked.as_py(), np.int64)
-                # A mark is twice the digest's number, plus one in the digest's earliest document.
+                # A mark is twice the digest's number, plus one in the digest's earliest document;
+                # above both stands the hash of the text it belongs to.
+                at = at[at >> 33 == own_print.as_py() >> 32] & ((1 << 33) - 1)
                 repeated[at >> 1] = True
                 own[at[at & 1 == 1] >> 1] = True
                 gone = removable(of, repeated, own)
@@ -247,7 +273,8 @@ def dedup_units(docs: DataFrame) -> DataFrame:
     units is gathered per document, never per digest.
 
     A null text has no units and stays null; a null doc_id has no rank, its row stays as it is and
-    counts for nothing; rows that repeat a doc_id are one document to the ranking and each keep
+    counts for nothing; rows that repeat a doc_id, with the same text or
+    another one, are one document to the ranking and each keep
     their first occurrence. Columns of the input that bear a report column's name are replaced.
     """
     ready(docs.sparkSession)
@@ -256,21 +283,30 @@ def dedup_units(docs: DataFrame) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("long"), "text").filter(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    rows = text.mapInArrow(_rows, "digest long, id long, unit int")
+    rows = text.select("doc_id", "text", _print(F.col("text"))).mapInArrow(
+        _rows, "digest long, second int, id long, unit long"
+    )
     repeated = stored(
-        rows.groupBy("digest")
+        rows.groupBy("digest", "second")
         .agg(F.count("*").alias("n"), F.min("id").alias("first"))
         .filter("n > 1")
-        .select(F.col("digest").alias("known"), "first")
+        .select(F.col("digest").alias("known"), F.col("second").alias("known_second"), "first")
     )
-    marks = rows.join(repeated, F.col("digest") == F.col("known")).select(
-        "id", (2 * F.col("unit").cast("long") + (F.col("id") == F.col("first")).cast("long")).alias("mark")
+    same = (F.col("digest") == F.col("known")) & (F.col("second") == F.col("known_second"))
+    marks = rows.join(repeated, same).select(
+        "id", (2 * F.col("unit") + (F.col("id") == F.col("first")).cast("long")).alias("mark")
     )
-    marks = marks.groupBy("id").agg(F.collect_list("mark").alias("_marks"))
+    marks = marks.groupBy(F.col("id").alias("marked_id")).agg(F.collect_list("mark").alias("marks"))
     names = docs.columns
-    joined = docs.join(
-        marks, docs["doc_id"].cast("long") == marks["id"], "left"
-    ).select(*[docs[c] for c in names], "_marks")
+    # The row goes through the join in one struct, so that its columns cannot clash.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+        F.col("doc_id").cast("long").alias("row_id"),
+    )
+    joined = rows.join(marks, F.col("row_id") == F.col("marked_id"), "left")
+    # Arrow columns go by place: those of the input, then the marks.
+    parts = [F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    joined = joined.select(*parts, "marks", _print(F.col("row.text")).alias("print"))
     schema = T.StructType([*docs.schema.fields, *report.fields])
     at = names.index("text")
     return joined.mapInArrow(lambda b: _cut(b, at, names), schema)

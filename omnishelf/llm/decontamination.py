@@ -246,7 +246,7 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
     bench: Benchmark = Benchmark(shared.value)
     reach = max([e.steps for e, *_ in bench.classes], default=0) + 8
     for batch in batches:
-        ids = batch.column(0)
+        ids, prints = batch.column(0), batch.column(2)
         out = []
         for row, raw, offsets in steps(batch.column(1)):
             data, bounds, at = normalise(raw, offsets)
@@ -255,9 +255,6 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
             first[bounds[:-1][bounds[:-1] < len(data)]] = True
             starts = np.flatnonzero(first & (data != 32))
             padded = np.append(data, np.zeros(reach, np.uint8))
-            padded = np.append(data, np.zeros(reach, np.uint8))
-            rows = np.searchsorted(bounds, starts, "right") - 1
-            owner = dict(zip(starts.tolist(), rows.tolist(), strict=True))
             best: dict = {}
             for r, item, body, spans in bench.candidates(data, bounds, starts, padded):
                 m = len(body)
@@ -281,17 +278,19 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
             for (r, item), (distance, lo, hi, m) in sorted(best.items()):
                 start = int(at[lo]) - int(offsets[r])
                 stop = int(at[hi - 1]) + 1 - int(offsets[r])
-                out.append((ids[row + r].as_py(), bench.ids[item], start, stop, distance, 1 - distance / m))
-        columns = zip(*out, strict=True) if out else [[]] * 6
-        kinds = [pa.int64()] * 5 + [pa.float64()]
+                out.append((ids[row + r].as_py(), bench.ids[item], start, stop, distance,
+                            1 - distance / m, prints[row + r].as_py()))
+        columns = zip(*out, strict=True) if out else [[]] * 7
+        kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["doc_id", "item_id", "start", "stop", "edits", "similarity"],
+            ["doc_id", "item_id", "start", "stop", "edits", "similarity", "print"],
         )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents that hold a benchmark item: doc_id, item_id, start, stop, edits, similarity.
+def contaminated(docs: DataFrame, benchmark: DataFrame, with_print: bool = False) -> DataFrame:
+    """Documents that hold a benchmark item: doc_id, item_id, start, stop, edits, similarity;
+    ``with_print`` adds the text's xxhash64.
 
     A document holds an item if some stretch of it lies within ``EDIT_SHARE`` edits of the item,
     both in lower case with single blanks; edits, start and stop count bytes of the (input) text.
@@ -312,12 +311,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     items = items.dropDuplicates().withColumn("block", F.floor(running / BLOCK_BYTES))
     blocks = [r[0] for r in items.select("block").distinct().collect()]
-    slim = docs.select(F.col("doc_id").cast("long"), "text").filter("text IS NOT NULL")
-    schema = "doc_id long, item_id long, start long, stop long, edits long, similarity double"
+    slim = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("print"))
+    slim = slim.filter("text IS NOT NULL")
+    schema = "doc_id long, item_id long, start long, stop long, edits long, similarity double, print long"
     out = spark.createDataFrame([], schema)
     for block in sorted(blocks):
         rows = items.filter(F.col("block") == block).orderBy("item_id", "text").collect()
         shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
         found = slim.mapInArrow(lambda b, shared=shared: _find(b, shared), schema)
         out = out.union(found) if len(blocks) > 1 else found
-    return out
+    return out if with_print else out.drop("print")

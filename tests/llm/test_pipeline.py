@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -28,6 +30,57 @@ def shingles(text):
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or few
 
 
+CLASH = ["gone", "leaked", "_marks", "score", "predicted", "spans", "row", "print", "n_units", "text.x"]
+
+
+def test_stages_keep_columns_of_any_name(spark, docs, rows, tmp_path_factory):
+    """The user's own columns pass unchanged, whatever they are called; ids may be null or repeat."""
+    folder = str(tmp_path_factory.mktemp("clash"))
+    labels = [(i, int(i % 3 > 0), 0) for i in range(64)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet"
+    )
+    item = " ".join(dict(rows)[2].split()[3:30])
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet"
+    )
+    more = [(None, f"before it {item} behind it"), (7001, f"and {item} too"), (7001, "clean under one id")]
+    mine = spark.createDataFrame(more, "doc_id long, text string")
+    mine = docs.select("doc_id", "text").union(mine)
+    for i, name in enumerate(CLASH):
+        mine = mine.withColumn(name, F.concat_ws("|", F.lit(i), F.coalesce("doc_id", F.lit(0)), "text"))
+    mine = stored(mine)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, mine, folder))
+        assert out.columns == mine.columns
+        found, given = out.collect(), Counter(map(tuple, mine.collect()))
+        for r in found:
+            for i, c in enumerate(CLASH):
+                assert r[c].startswith(f"{i}|{r.doc_id or 0}")
+        if name != "substring_dedup":
+            assert not Counter(map(tuple, found)) - given
+        texts = Counter((r.doc_id, r.text) for r in found)
+        if name == "decontamination":
+            assert texts[7001, "clean under one id"] == 1
+            assert not [t for _, t in texts if item in (t or "")]
+        none = stage(spark, mine.limit(0), folder)
+        assert none.columns == mine.columns and none.count() == 0
+
+
+def test_run_removes_its_tables(spark, docs, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("whole"))
+    docs.select(*COLUMNS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet"
+    )
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    result = corpus_pipeline.run(spark, folder)
+    assert len({p.name for p in shared.iterdir()} - before) == 1
+    assert result.count() > 0
+
+
 def test_stages(spark, docs, rows, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("sf"))
     unique = docs.select(*COLUMNS).dropDuplicates(["doc_id", "text"])

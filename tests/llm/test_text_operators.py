@@ -53,8 +53,26 @@ def brute_removed(rows, length):
 @pytest.mark.parametrize(("length", "gram", "shard"), [(400, 128, 512), (60, 20, 3)])
 def test_suffix_dedup(docs, rows, length, gram, shard):
     got = suffix_dedup.remove_repeats(docs, length=length, gram=gram, shard_regions=shard)
-    got = Counter(tuple(r)[:5] for r in got.drop("spans").collect())
-    assert got == brute_removed(rows, length)
+    found = got.collect()
+    assert Counter(tuple(r)[:5] for r in found) == brute_removed(rows, length)
+    texts = Counter((i, t or "") for i, t in rows)
+    for r in found:
+        whole = [t for i, t in texts if i == r.doc_id and len(t.encode()) == r.n_bytes]
+        kept = [_without(t, r.spans).decode(errors="ignore") for t in whole]
+        assert r.text in kept
+
+
+def _without(text, spans):
+    body, out, last = text.encode(), b"", 0
+    for s in spans:
+        out, last = out + body[last : s.start], s.stop
+    return out + body[last:]
+
+
+@pytest.mark.parametrize("length", [500, 700])
+def test_suffix_dedup_of_longer_strings(docs, rows, length):
+    got = suffix_dedup.remove_repeats(docs, length=length, gram=128, shard_regions=2).collect()
+    assert Counter(tuple(r)[:5] for r in got) == brute_removed(rows, length)
 
 
 def test_suffix_array_is_sorted():
@@ -356,3 +374,17 @@ def test_empty_tables(spark, none):
     assert decontamination.contaminated(none, bench).count() == 0
     assert decontamination.contaminated(none, bench.limit(0)).count() == 0
     assert near_dedup.near_duplicates(none).count() == 0
+
+
+def test_unrelated_documents_share_no_band():
+    """Bands of unrelated sets never meet, so candidates do not grow with the square of the corpus."""
+    rng = np.random.default_rng(9)
+    seen = [set() for _ in range(near_dedup.BANDS)]
+    with np.errstate(over="ignore"):
+        for _ in range(20_000):
+            sketch = near_dedup.sketch(np.unique(rng.integers(0, 1 << 63, 60, np.uint64) * np.uint64(2)))
+            bands = sketch[near_dedup.REGISTERS :].reshape(near_dedup.BANDS, -1)
+            for known, band in zip(seen, bands, strict=True):
+                band = band.tobytes()
+                assert band not in known
+                known.add(band)

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,17 +16,21 @@ NEAREST = 20
 # Rows (smallest hashes of the id) that the lists are fitted on; every row is indexed.
 SAMPLE_ROWS = 20_000
 MOST_LISTS = 1024
-# Share of the lists that a query probes and how many, both at least. More are probed where queries
-# from the sample need them to reach the recall: so many queries, spread over the sample.
-PROBE_SHARE, LEAST_PROBES = 0.6, 12
+# Lists are probed until queries from the sample (so many, spread over it) reach this recall in it.
 RECALL, RECALL_QUERIES = 0.96, 400
+# A query's nearest lists with so many times k candidates are scanned first, for its bound.
+FIRST = 4
 # Columns that one step adds to the partial distances.
-COLUMNS = 16
+COLUMNS = 8
 # A candidate is abandoned when its partial distance, carried on to all columns, passes the bound by
 # this factor over the root of the columns seen. Larger: fewer wrongly abandoned, more work.
 CAUTION = 2.1
+# Candidates looked at before the bound is drawn tighter: at first, and at most.
+CHUNK, MOST_CHUNK = 64, 1024
 # Vectors and queries that one task compares at a time; a hot list is dealt over several.
 CELL_VECTORS, CELL_QUERIES = 8192, 2048
+# Coordinates that one task should look at.
+TASK_COORDINATES = 200_000_000
 
 
 @dataclass
@@ -91,44 +94,65 @@ def needed_probes(index: Index, sample: np.ndarray, k: int, recall: float = RECA
     return int(need[max(0, int(np.ceil(recall * len(need))) - 1)]) if len(need) else 1
 
 
-def scan_cell(index: Index, ids: np.ndarray, raw: np.ndarray, points: np.ndarray,
-              query_id: int, query: np.ndarray, target: np.ndarray, k: int):
-    """The ``k`` best of a cell for one query: ids and inner products; ties to smaller ids.
+class Cell:
+    """Vectors of a cell, and their rotated coordinates in blocks of columns."""
 
-    Candidates are looked at in chunks, block of columns by block of columns. The bound is the k-th
-    best full distance so far.
-    """
-    width = points.shape[1]
-    best_ids, best_scores, bound = np.zeros(0, np.int64), np.zeros(0), np.inf
-    for a in range(0, len(ids), 1024):
-        alive = np.flatnonzero(ids[a : a + 1024] != query_id) + a
-        partial = np.zeros(len(alive))
-        for c in range(0, width, COLUMNS):
-            stop = min(c + COLUMNS, width)
-            part = points[alive, c:stop] - target[c:stop]
-            partial = partial + np.einsum("ij,ij->i", part, part)
-            if np.isfinite(bound):
-                seen = stop / width
-                slack = (1 + CAUTION / np.sqrt(stop)) ** 2 if stop < width else 1 + 1e-9
-                stay = partial <= bound * seen * slack + 1e-12
-                alive, partial = alive[stay], partial[stay]
+    def __init__(self, index: Index, ids: np.ndarray, raw: np.ndarray):
+        self.index, self.ids, self.raw = index, ids, raw
+        points = index.place(raw, query=False)
+        self.width = points.shape[1]
+        self.blocks = [
+            np.ascontiguousarray(points[:, c : c + COLUMNS]) for c in range(0, self.width, COLUMNS)
+        ]
+        # Coordinates that scans have looked at.
+        self.looked = 0
+
+    def scan(self, query_id: int, query: np.ndarray, target: np.ndarray, k: int, least: float):
+        """The ``k`` best candidates with an inner product of ``least`` or more: ids and products.
+
+        Candidates are looked at in chunks, block by block. After each block a test asks whether a
+        candidate's partial distance could still belong to a full one within the bound; those that
+        fail are abandoned. The bound is the distance of ``least`` and then of the k-th best found.
+        """
+        far = float(query @ query) + self.index.longest**2
+        bound = max(far - 2 * least, 0.0) * (1 + 1e-9)
+        best_ids, best_scores = np.zeros(0, np.int64), np.zeros(0)
+        a, chunk = 0, CHUNK
+        while a < len(self.ids):
+            alive = np.flatnonzero(self.ids[a : a + chunk] != query_id) + a
+            a, chunk = a + chunk, min(2 * chunk, MOST_CHUNK)
+            partial = np.zeros(len(alive))
+            for c, block in enumerate(self.blocks):
+                seen = c * COLUMNS + block.shape[1]
+                part = block[alive] - target[c * COLUMNS : seen]
+                self.looked += part.size
+                partial = partial + np.einsum("ij,ij->i", part, part)
+                if np.isfinite(bound):
+                    slack = (1 + CAUTION / np.sqrt(seen)) ** 2 if seen < self.width else 1 + 1e-9
+                    stay = partial <= bound * (seen / self.width) * slack + 1e-12
+                    alive, partial = alive[stay], partial[stay]
+                if not len(alive):
+                    break
             if not len(alive):
-                break
-        if not len(alive):
-            continue
-        best_ids = np.concatenate([best_ids, ids[alive]])
-        best_scores = np.concatenate([best_scores, np.einsum("ij,j->i", raw[alive], query)])
-        order = np.lexsort((best_ids, -best_scores))[:k]
-        best_ids, best_scores = best_ids[order], best_scores[order]
-        if len(best_ids) == k:
-            # The k-th inner product as a distance.
-            bound = max(float(query @ query) + index.longest**2 - 2 * best_scores[-1], 0.0)
-            bound *= 1 + 1e-9
-    return best_ids, best_scores
-
-
-def _matrix(values) -> np.ndarray:
-    return np.stack([np.asarray(v, np.float64) for v in values]) if len(values) else np.zeros((0, 0))
+                continue
+            best_ids = np.concatenate([best_ids, self.ids[alive]])
+            best_scores = np.concatenate(
+                [best_scores, np.einsum("ij,j->i", self.raw[alive], query)]
+            )
+            order = np.lexsort((best_ids, -best_scores))[:k]
+            best_ids, best_scores = best_ids[order], best_scores[order]
+            if len(best_ids) == k:
+                tighter = max(far - 2 * float(best_scores[-1]), 0.0) * (1 + 1e-9)
+                bound = min(bound, tighter)
+        return best_ids, best_scores
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column whose lists are equally long."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
 def _assign(batches: Iterator[pa.RecordBatch], shared):
@@ -136,7 +160,7 @@ def _assign(batches: Iterator[pa.RecordBatch], shared):
     for batch in batches:
         if not batch.num_rows:
             continue
-        vectors = _matrix(batch.column(1).to_pylist())
+        vectors = _matrix(batch.column(1))
         near = nearest_centre(index.place(vectors, query=False), index.centroids)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(near.astype(np.int32))], ["vec_id", "vector", "list"]
@@ -144,37 +168,79 @@ def _assign(batches: Iterator[pa.RecordBatch], shared):
 
 
 def _probes(batches: Iterator[pa.RecordBatch], shared, sizes: np.ndarray, probes: int, k: int):
+    """The lists of each query, nearest first, and how many of them are scanned first."""
     index: Index = shared.value
     norm = (index.centroids**2).sum(axis=1)
     for batch in batches:
         if not batch.num_rows:
             continue
-        vectors = _matrix(batch.column(1).to_pylist())
+        vectors = _matrix(batch.column(1))
         order = (norm - 2 * index.place(vectors, query=True) @ index.centroids.T).argsort(axis=1)
         # Enough lists to hold k candidates besides the query's own row.
         held = np.cumsum(sizes[order], axis=1)
         enough = np.maximum((held <= k).sum(axis=1) + 1, probes)
+        first = (held <= FIRST * k).sum(axis=1) + 1
         lists = [o[:n].astype(np.int32) for o, n in zip(order, enough, strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(lists, pa.list_(pa.int32()))], ["query_id", "query", "lists"]
+            [*batch.columns, pa.array(lists, pa.list_(pa.int32())), pa.array(first, pa.int32())],
+            ["query_id", "query", "lists", "first"],
         )
 
 
-def _cell(vectors: pd.DataFrame, queries: pd.DataFrame, shared, k: int) -> pd.DataFrame:
-    index: Index = shared.value
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _cell(vectors: pa.Table, queries: pa.Table, shared, k: int) -> pa.Table:
+    """What the queries of a cell find among its vectors."""
     out = []
     if len(vectors) and len(queries):
-        vectors = vectors.sort_values("vec_id")
-        ids, raw = vectors["vec_id"].to_numpy(), _matrix(vectors["vector"].to_numpy())
-        points = index.place(raw, query=False)
-        asked = _matrix(queries["query"].to_numpy())
-        targets = index.place(asked, query=True)
-        for q, query, target in zip(queries["query_id"].to_numpy(), asked, targets, strict=True):
-            found, scores = scan_cell(index, ids, raw, points, q, query, target, k)
-            out.append(pd.DataFrame({"query_id": q, "vec_id": found, "score": scores}))
-    if not out:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-    return pd.concat(out)
+        vectors = vectors.sort_by("vec_id")
+        cell = Cell(shared.value, vectors["vec_id"].to_numpy(), _matrix(vectors["vector"]))
+        asked = _matrix(queries["query"])
+        targets = shared.value.place(asked, query=True)
+        bounds = queries["least"].to_numpy()
+        for q, query, target, least in zip(
+            queries["query_id"].to_numpy(), asked, targets, bounds, strict=True
+        ):
+            ids, scores = cell.scan(q, query, target, k, least)
+            out.append((np.full(len(ids), q), ids, scores))
+    columns = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [[]] * 3
+    return pa.Table.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND
+    )
+
+
+def _search(kept: DataFrame, asked: DataFrame, counts: np.ndarray, shared, k: int) -> DataFrame:
+    """query_id, vec_id, score: the best ``k`` of each cell for the queries (query_id, query, list,
+    least) of its list.
+
+    Lists are cut into cells of about ``CELL_VECTORS``, and the queries of a list likewise, so a hot
+    list is shared by many tasks. The number of tasks follows the coordinates to be looked at.
+    """
+    spark = kept.sparkSession
+    # One row per list, at most MOST_LISTS.
+    asking = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
+    work = sum(int(counts[i]) * n for i, n in asking.items()) * shared.value.rotation.shape[0]
+    tasks = max(1, spark.sparkContext.defaultParallelism, -(-work // TASK_COORDINATES))
+    plan = [
+        (i, int(-(-counts[i] // CELL_VECTORS)), -(-n // CELL_QUERIES)) for i, n in asking.items() if counts[i]
+    ]
+    cells = F.broadcast(spark.createDataFrame(plan, "list int, cells int, q_cells int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = kept.join(cells, "list").select(
+        "vec_id", "vector", "list",
+        F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int").alias("cell"),
+        every("q_cells").alias("q_cell"),
+    )
+    right = asked.join(cells, "list").select(
+        "query_id", "query", "least", "list", every("cells").alias("cell"),
+        F.pmod(F.xxhash64("query_id"), F.col("q_cells")).cast("int").alias("q_cell"),
+    )
+    by = ["list", "cell", "q_cell"]
+    left, right = (df.repartition(tasks, *by).groupBy(*by) for df in (left, right))
+    return left.cogroup(right).applyInArrow(
+        lambda v, q: _cell(v, q, shared, k), "query_id long, vec_id long, score double"
+    )
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -192,14 +258,15 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     Queries are the rows whose vec_id is divisible by ``every``; candidates all other rows. Vectors
     get one more coordinate that turns inner product into distance, and a random rotation that makes
     partial distances tell. Lists come from k-means on at most ``SAMPLE_ROWS`` rows; every row is
-    put in its list. A query probes the nearest ``PROBE_SHARE`` of the lists, more if queries from
-    the sample miss ``RECALL`` with so many, and more where they hold fewer than ``k`` candidates. Lists are cut into cells of about ``CELL_VECTORS``, and the
-    queries of a list likewise, so a hot list is shared by many tasks. Scores are inner products of
-    the original vectors in double precision; ties go to the smaller vec_id.
+    put in its list. A query probes as many lists as queries from the sample need for ``RECALL``,
+    and more where they hold fewer than ``k`` candidates. Its nearest lists are scanned first; the
+    k-th best product found there bounds the scan of the others, where most candidates are abandoned
+    after a few columns. Scores are inner products of the original vectors in double precision; ties
+    go to the smaller vec_id.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor do those
     without a vec_id or of another length than most. Rows that repeat a vec_id are candidates each,
-    but never for that id's query. Too few rows give fewer ranks, none an empty result.
+    but never for that id's query, which asks with the least of their vectors. Too few rows give fewer ranks, none an empty result.
     """
     spark = ready(vectors.sparkSession)
     schema = "query_id long, rank int, vec_id long, score double"
@@ -213,7 +280,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     valid = valid.filter(F.size("vector") == dims)
 
     sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vector").toArrow()
-    sample = _matrix(sample["vector"].to_pylist())
+    sample = _matrix(sample["vector"])
     lists = int(min(MOST_LISTS, max(1, np.sqrt(n)), len(sample)))
     turn, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((dims + 1, dims + 1)))
     index = Index(longest, turn, np.zeros((0, dims + 1)))
@@ -226,38 +293,27 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = NEAREST) -> DataFrame:
     counts = np.zeros(lists, np.int64)
     for row in kept.groupBy("list").count().collect():  # one row per list: at most MOST_LISTS
         counts[row["list"]] = row["count"]
-    needed = needed_probes(index, sample, k)
-    probes = min(lists, max(LEAST_PROBES, round(PROBE_SHARE * lists), needed))
-    asked = kept.filter(F.col("vec_id") % every == 0).select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("query")
+    probes = min(lists, needed_probes(index, sample, k))
+    asked = kept.filter(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(
+        F.min("vector").alias("query")
     )
     asked = asked.mapInArrow(
         lambda b: _probes(b, shared, counts, probes, k),
-        "query_id long, query array<double>, lists array<int>",
-    ).dropDuplicates(["query_id"])
-    asked = stored(asked.select("query_id", "query", F.explode("lists").alias("list")))
-    per_list = F.broadcast(  # one row per list
-        spark.createDataFrame(
-            [(i, int(-(-c // CELL_VECTORS))) for i, c in enumerate(counts)], "list int, cells int"
-        )
-    )
-    q_cells = F.broadcast(
-        asked.groupBy("list").agg(F.ceil(F.count("*") / CELL_QUERIES).cast("int").alias("q_cells"))
+        "query_id long, query array<double>, lists array<int>, first int",
     )
-    left = kept.join(per_list, "list").join(q_cells, "list").select(
-        "vec_id", "vector", "list",
-        F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int").alias("cell"),
-        F.explode(F.sequence(F.lit(0), F.col("q_cells") - 1)).alias("q_cell"),
-    )
-    right = asked.join(per_list, "list").join(q_cells, "list").filter("cells > 0").select(
-        "query_id", "query", "list",
-        F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
-        F.pmod(F.xxhash64("query_id"), F.col("q_cells")).cast("int").alias("q_cell"),
-    )
-    by = ["list", "cell", "q_cell"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        lambda v, q: _cell(v, q, shared, k), "query_id long, vec_id long, score double"
+    asked = stored(
+        asked.select("query_id", "query", "first", F.posexplode("lists").alias("turn", "list"))
     )
+    no_bound = F.lit(float("-inf")).alias("least")
+    first = asked.filter("turn < first").select("query_id", "query", "list", no_bound)
+    nearby = stored(_search(kept, first, counts, shared, k))
+    ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    bounds = nearby.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") == k)
+    bounds = bounds.select(F.col("query_id").alias("bound_id"), F.col("score").alias("least"))
+    rest = asked.filter("turn >= first").join(
+        bounds, F.col("query_id") == F.col("bound_id"), "left"
+    ).select("query_id", "query", "list", F.coalesce("least", no_bound).alias("least"))
+    found = nearby.union(_search(kept, stored(rest), counts, shared, k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -87,6 +87,114 @@ def test_nearest(spark):
     assert vectors.nearest(frame.limit(0)).count() == 0
 
 
+def clusters(rng, n, dims, centres):
+    middle = rng.standard_normal((centres, dims))
+    return middle[rng.integers(0, centres, n)] + 0.15 * rng.standard_normal((n, dims))
+
+
+@pytest.mark.parametrize(("kind", "most"), [("clustered", 0.5), ("registered", 0.95)])
+def test_scans_abandon_candidates(spark, kind, most):
+    """The share of coordinates that the second pass looks at, and what abandoning loses."""
+    if kind == "clustered":
+        x = clusters(np.random.default_rng(3), 4000, 64, 40)
+    else:
+        column = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding")
+        x = np.array([r[0] for r in column.collect() if r[0] is not None], float)
+    norms = np.sqrt((x**2).sum(axis=1))
+    turn, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((x.shape[1] + 1,) * 2))
+    index = vectors.Index(float(norms.max()), turn, np.zeros((0, x.shape[1] + 1)))
+    cell = vectors.Cell(index, np.arange(len(x)), x)
+    asked = np.arange(0, len(x), 20)
+    targets = index.place(x[asked], query=True)
+    hits = 0
+    for q, target in zip(asked, targets, strict=True):
+        score = x @ x[q]
+        score[q] = -np.inf
+        order = np.lexsort((np.arange(len(x)), -score))[:20]
+        # The bound that the nearest lists would give: somewhat below the true one.
+        least = score[np.argsort(-score)[40]]
+        found, _ = cell.scan(q, x[q], target, 20, least)
+        hits += len({*order.tolist()} & {*found.tolist()})
+    share = cell.looked / (len(asked) * len(x) * cell.width)
+    print(f"{kind}: {share:.3f} of the coordinates, recall {hits / (20 * len(asked)):.4f}")
+    assert share < most and hits >= 0.97 * 20 * len(asked)
+
+
+def test_a_repeated_query_asks_with_its_least_vector(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((200, 6)))]
+    rows += [(20, [-9.0, 1.0, 1.0, 1.0, 1.0, 1.0]), (20, [5.0] * 6)]
+    got = []
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(3)
+        got.append({r.vec_id: r.score for r in vectors.nearest(frame).filter("query_id = 20").collect()})
+    assert got[0] == got[1] and len(got[0]) == 20
+    query = np.array([-9.0, 1, 1, 1, 1, 1])
+    assert all(abs(s - query @ np.array(rows[i][1])) < 1e-9 for i, s in got[0].items())
+
+
+def test_leading_vectors_are_the_eigenvectors():
+    rng = np.random.default_rng(2)
+    basis, _ = np.linalg.qr(rng.standard_normal((300, 300)))
+    gram = (basis * 0.9 ** np.arange(300)) @ basis.T
+    found = quality.leading_vectors(gram, 48)
+    same = np.abs((found * basis[:, :48]).sum(axis=0))
+    assert (same > 1 - 1e-6).all()
+
+
+def test_votes_match_a_naive_count():
+    """Weights of labelled neighbours, document by document, from the definition."""
+    rng = np.random.default_rng(6)
+    dense = (rng.random((90, quality.TERMS)) < 0.02) * rng.integers(1, 9, (90, quality.TERMS))
+    dense = dense.astype(np.float32)
+    dense[7] = 0
+    labels = (np.arange(90) % 3 > 0).astype(np.int32)
+    counts = quality.Counts.of(dense)
+    assert np.array_equal(np.concatenate([*counts.blocks()]), dense)
+    model = quality.fit(counts, labels, 0.4)
+    idf = np.log(91 / (1 + (dense > 0).sum(axis=0))) + 1
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-9)
+    embed = lambda row: unit(unit(np.log1p(row) * idf) @ model.basis.astype(float))
+    known = [embed(row) for row in dense]
+    asked = (rng.random((40, quality.TERMS)) < 0.02).astype(np.float32)
+    for row, got in zip(asked, model.score(asked), strict=True):
+        near = [embed(row) @ v for v in known]
+        weight = [
+            np.exp(quality.SHARPNESS * c) * (0.4 / labels.mean() if l else 0.6 / (1 - labels.mean()))
+            for c, l in zip(near, labels, strict=True)
+        ]
+        want = sum(w for w, l in zip(weight, labels, strict=True) if l) / sum(weight)
+        assert abs(got - want) < 2e-3
+
+
+def test_chain_matches_its_links():
+    """Probabilities link by link, row by row; links see out-of-fold values of those before them."""
+    rng = np.random.default_rng(7)
+    rows = [np.unique(rng.integers(0, 60, rng.integers(3, 20))).astype(np.uint32) for _ in range(200)]
+    y = np.array([[8 in r, 8 in r and 9 in r] for r in rows], float)
+    vocabulary = toxicity.vocabulary_of(rows)
+    x = toxicity.Sparse.of(rows, vocabulary)
+    folds = np.arange(len(rows)) % toxicity.FOLDS
+    chain = toxicity.fit_chain(x, vocabulary, y, folds)
+    got = chain.predict(rows)
+    for r, row in enumerate(rows):
+        before = []
+        for k, link in enumerate(chain.links):
+            z = link.bias + sum(w * p for w, p in zip(link.earlier, before, strict=True))
+            z += sum(w for t, w in zip(chain.vocabulary, link.terms, strict=True) if t in row)
+            before.append(1 / (1 + np.exp(-z)))
+            assert abs(got[r, k] - before[-1]) < 1e-9
+    # The second link, trained anew from out-of-fold values of the first.
+    out = np.zeros(len(rows))
+    for f in range(toxicity.FOLDS):
+        link = toxicity.fit_link(x.take(folds != f), np.zeros(((folds != f).sum(), 0)), y[folds != f, 0])
+        out[folds == f] = link.predict(x.take(folds == f), np.zeros(((folds == f).sum(), 0)))
+    again = toxicity.fit_link(x, out[:, None], y[:, 1])
+    assert np.allclose(again.earlier, chain.links[1].earlier) and np.isclose(again.bias, chain.links[1].bias)
+    known = np.isin(vocabulary, chain.vocabulary)
+    assert np.allclose(again.terms[known], chain.links[1].terms) and not again.terms[~known].any()
+
+
 @pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
 def test_recall_on_registered_table(spark, folder):
     frame = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")

@@ -88,34 +88,46 @@ class Scanner:
         ]
 
     def candidates(self, line: str) -> dict[int, list[list[int]]]:
-        """Per notice the stretches that may hold it, disjoint and in order."""
-        found: dict[int, list[list[int]]] = {}
+        """Per notice the stretches that may hold it, in order. Seeds whose windows start within the
+        edits of each other belong to one place; a stretch is never much longer than the notice."""
+        starts: dict[int, set[int]] = {}
         for end, (size, uses) in self.seeds.iter(line):
             for i, at in uses:
-                edits, length = self.edits[i], len(self.notices[i][0])
-                lo = max(0, end + 1 - size - at - edits)
-                hi = min(len(line), lo + length + 3 * edits)
-                spans = found.setdefault(i, [])
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], hi)
+                starts.setdefault(i, set()).add(max(0, end + 1 - size - at - self.edits[i]))
+        found: dict[int, list[list[int]]] = {}
+        for i, places in starts.items():
+            edits, spans = self.edits[i], []
+            reach = len(self.notices[i][0]) + 3 * edits
+            for lo in sorted(places):
+                if spans and lo <= spans[-1][0] + 2 * edits:
+                    spans[-1][1] = min(len(line), lo + reach)
                 else:
-                    spans.append([lo, hi])
+                    spans.append([lo, min(len(line), lo + reach)])
+            found[i] = spans
         return found
 
     def fuzzy(self, line: str) -> list[tuple[int, int, int, int]]:
-        """(notice, start, stop, edits) in ``line``, words joined by single blanks."""
+        """(notice, start, stop, edits) in ``line``, words joined by single blanks.
+
+        Stretches are searched once from left to right, each behind the last notice found, so the
+        work grows with the text however many notices stand in it.
+        """
         hits = []
-        for i, spans in self.candidates(line).items():
+        for i, stretches in self.candidates(line).items():
             marks = _MARK.findall(self.notices[i][0])
-            while spans:
-                lo, hi = spans.pop()
-                m = self.patterns[i].search(line, lo, hi) if lo < hi else None
-                if not m or m.start() == m.end():
-                    continue
-                if not marks or marks == _MARK.findall(m[0]):
-                    hits.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
-                # The best match need not be the only one: what lies before and behind is searched.
-                spans += [[lo, m.start()], [m.end(), hi]]
+            done = 0
+            for lo, hi in stretches:
+                spans = [[max(lo, done), hi]]
+                while spans:
+                    lo, hi = spans.pop()
+                    m = self.patterns[i].search(line, lo, hi) if lo < hi else None
+                    if not m or m.start() == m.end():
+                        continue
+                    if not marks or marks == _MARK.findall(m[0]):
+                        hits.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                        done = max(done, m.end())
+                    # The best match need not be the only one: what lies before and behind it too.
+                    spans += [[lo, m.start()], [m.end(), hi]]
         return hits
 
     def scan(self, text: str | None) -> tuple:
@@ -138,9 +150,9 @@ class Scanner:
         labels = base | {self.notices[i][1] for i, *_ in hits}
         best = max([1 - e / len(self.notices[i][0]) for i, _, _, e in hits], default=0.0)
         score = 1.0 if base else best
-        found = []
+        found, at, counted = [], 0, 0
         for i, lo, hi, edits in sorted(hits, key=lambda h: (h[1], h[0])):
-            at = line.count(" ", 0, lo)
+            at, counted = at + line.count(" ", counted, lo), lo
             found.append({"notice": self.notices[i][0], "label": self.notices[i][1], "first_word": at,
                           "n_words": line.count(" ", lo, hi) + 1, "edits": edits})
         return (len(words), len(starts), first, last, ",".join(sorted(base)),
@@ -177,7 +189,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     the edits holds unchanged; the pieces are found exactly, and the stretches around them are
     matched with at most e errors. Numbers and marks such as "nc" must agree. notices lists the
     matches (words from 0, edits); score is 1 with a base phrase, else the best match's share of
-    unchanged characters, else 0. A null or empty text has no words and score 0.
+    unchanged characters, else 0. A null or empty text has no words and score 0; repeated rows are
+    scanned each, other columns are not read, an empty table gives an empty result.
     """
     ready(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(

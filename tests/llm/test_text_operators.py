@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -126,6 +127,63 @@ def test_adjacent_notices_are_all_found():
     assert {label for _, label, _ in names(line)} == {"gpl-2", "gpl-3"}
 
 
+def least_edits(notice, text):
+    """Least edits between the notice and any stretch of words of the text that starts at each
+    word: (start, stop, edits)."""
+    cuts = [0, *[m.end() for m in re.finditer(" ", text)]]
+    ends = [*[c - 1 for c in cuts[1:]], len(text)]
+    out = []
+    for n, lo in enumerate(cuts):
+        row = list(range(len(notice) + 1))
+        best = (len(notice), lo)
+        for j, c in enumerate(text[lo : lo + len(notice) + 12]):
+            last, row[0] = row[0], j + 1
+            for k, d in enumerate(notice):
+                last, row[k + 1] = row[k + 1], min(row[k + 1] + 1, row[k] + 1, last + (c != d))
+            if lo + j + 1 in ends[n:]:
+                best = min(best, (row[-1], lo + j + 1))
+        out.append((lo, best[1], best[0]))
+    return out
+
+
+def test_fuzzy_notices_match_a_scan_of_all_windows():
+    """A notice is found wherever some window is within the edits and agrees in its marks."""
+    rng = random.Random(12)
+    scanner = licenses.Scanner()
+    letters = "aeinrst"
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            text = list(rng.choice([*licenses.NOTICES]))
+            for _ in range(rng.randint(0, 6)):
+                at = rng.randrange(len(text))
+                if text[at] not in " 0123456789":
+                    text[at] = rng.choice(["", rng.choice(letters), text[at] + rng.choice(letters)])
+            parts += ["".join(text), *rng.choices(["word", "by", "license", "public", "3"], k=rng.randint(0, 3))]
+        line = " ".join(" ".join(parts).split())
+        hits = scanner.fuzzy(line)
+        for i, (notice, _) in enumerate(scanner.notices):
+            marks = licenses._MARK.findall(notice)
+            mine = [(lo, hi) for n, lo, hi, e in hits if n == i]
+            for n, lo, hi, e in hits:
+                assert n != i or e <= scanner.edits[i]
+            for lo, hi, edits in least_edits(notice, line):
+                if edits <= scanner.edits[i] and marks == licenses._MARK.findall(line[lo:hi]):
+                    assert any(a < hi and lo < b for a, b in mine), (line, notice, line[lo:hi])
+
+
+def test_long_text_of_edited_notices_takes_linear_time():
+    scanner = licenses.Scanner()
+    took = []
+    for n in (2_000, 16_000):
+        text = "licenced under the mit licence " * n
+        start = time.process_time()
+        found = scanner.scan(text)
+        took.append(time.process_time() - start)
+        assert len(found[-1]) == n and found[-1][-1]["first_word"] == 5 * (n - 1)
+    assert took[1] < 16 * took[0]
+
+
 def test_substring_dedup(docs, rows):
     out = substring_dedup.dedup_units(docs)
     assert out.columns[:6] == ["doc_id", "text", "lang", "source", "n_chars", "score"]

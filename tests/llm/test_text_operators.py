@@ -446,3 +446,29 @@ def test_unrelated_documents_share_no_band():
                 band = band.tobytes()
                 assert band not in known
                 known.add(band)
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete", "replace", "mixed"])
+def test_tables_alone_reach_the_target_recall(spark, kind):
+    """Items of the benchmark with as many scattered edits as are allowed, by the tables' keys only."""
+    rng = random.Random(kind)
+    table = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    items = [(i, t) for i, t in table.select("item_id", "text").orderBy("item_id").collect()]
+    bench = decontamination.Benchmark(items)
+    found = total = 0
+    for embedding, _, mine, keys, order in bench.classes:
+        texts = []
+        for _, body in mine:
+            text, edits = [*body], int(decontamination.EDIT_SHARE * len(body))
+            for at in sorted(rng.sample(range(len(text)), edits), reverse=True):
+                how = rng.choice(["insert", "delete", "replace"]) if kind == "mixed" else kind
+                text[at : at + (how != "insert")] = [] if how == "delete" else [rng.randint(97, 122)]
+            texts.append(bytes(text) + b" and other words behind" + bytes(embedding.steps))
+        sizes = np.array([len(t) for t in texts])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        got = embedding.keys(data, np.cumsum(sizes) - sizes)
+        own = np.empty_like(keys)
+        np.put_along_axis(own, order, keys, axis=1)
+        found, total = found + int((got == own).any(axis=0).sum()), total + len(mine)
+    print(f"{kind}: the tables alone propose {found / total:.3f}")
+    assert total > 150 and found >= 0.95 * total

@@ -371,6 +371,8 @@ def reports(cut: DataFrame) -> DataFrame:
 
 
 RESULT = f"{REPORT}, repaired_sha256 string"
+# Results that leave a task at a time.
+RESULT_ROWS = 1024
 _RESULT = _REPORT.append(pa.field("repaired_sha256", pa.string()))
 
 
@@ -382,35 +384,43 @@ def digests(report: DataFrame, rows: DataFrame) -> DataFrame:
     """
 
     def walk(batches: Iterator[pa.RecordBatch]):
-        fields = [f.name for f in _REPORT]
+        done = []
         for own, stream in _conversations(batches):
             digest, first = hashlib.sha256(), True
-            for role, text in repaired(stream, iter(own["audit"])):
+            for role, text in repaired(stream, iter(own[-1])):
                 digest.update(f"{'' if first else chr(10)}{role}:{text}".encode())
                 first = False
             for _ in stream:
                 pass
-            yield _batch([(*[own[f] for f in fields], digest.hexdigest())], _RESULT)
+            done.append((*own, digest.hexdigest()))
+            if len(done) >= RESULT_ROWS:
+                yield _batch(done, _RESULT)
+                done = []
+        yield _batch(done, _RESULT)
 
+    fields = [f.name for f in _REPORT]
     tagged = report.withColumn("at", F.lit(-1).cast("long")).unionByName(
         rows.select("conv_id", "at", "role", "text"), allowMissingColumns=True
-    )
+    ).select(*fields, "at", "role", "text")
     order = [F.asc_nulls_first("conv_id"), F.col("at")]
     dealt = tagged.repartition("conv_id").sortWithinPartitions(*order)
     return dealt.mapInArrow(walk, RESULT)
 
 
 def _conversations(batches: Iterator[pa.RecordBatch]):
-    """(report, iterator of its rows as (role, text)) for each conversation of a sorted stream."""
-    cells = (row for batch in batches for row in batch.to_pylist())
+    """(report, iterator of its rows as (role, text)) for each conversation of a sorted stream of
+    the report's columns, at, role and text."""
+    cells = (
+        row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+    )
     ahead = next(cells, None)
     while ahead is not None:
-        own = ahead
+        own = ahead[:-3]
 
         def stream():
             nonlocal ahead
-            while (ahead := next(cells, None)) is not None and ahead["at"] >= 0:
-                yield ahead["role"], ahead["text"]
+            while (ahead := next(cells, None)) is not None and ahead[-3] >= 0:
+                yield ahead[-2], ahead[-1]
 
         yield own, stream()
 

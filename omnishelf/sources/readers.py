@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +21,6 @@ log = logging.getLogger(__name__)
 WHOLE_FILE = str(1 << 50)
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of the task's one file. Batches hold one line, so ending here ends the read."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """The files at ``path``, grouped by their first line that is not blank; found in one job.
 
@@ -37,6 +28,15 @@ def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
     one block read per file, spread over the cluster, whatever the files' number and size. Paths and
     header lines reach the driver, which lists the files anyway to plan the read.
     """
+
+    def first_line(batches):
+        # The task's one file; a batch holds one line, so ending here ends the read. Being local, the
+        # function travels whole, and the workers need no package of ours.
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     reading = spark.newSession()
     for key, value in {
         "spark.sql.files.maxPartitionBytes": WHOLE_FILE,
@@ -45,10 +45,11 @@ def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
     }.items():
         reading.conf.set(key, value)
     lines = reading.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    firsts = lines.filter(F.trim("value") != "").mapInArrow(_first_lines, lines.schema)
+    firsts = lines.filter(F.trim("value") != "").mapInArrow(first_line, lines.schema)
     groups: dict[str, list[str]] = {}
     for file, line in sorted(tuple(row) for row in firsts.collect()):
-        groups.setdefault(line.lstrip("\ufeff"), []).append(file)
+        # The path comes as a URI; readers take it as it is called.
+        groups.setdefault(line.lstrip("\ufeff"), []).append(unquote(file))
     return groups
 
 

@@ -226,6 +226,15 @@ def test_headers_take_one_job_however_many_files(spark, tmp_path):
     assert counts == [1, 1]
 
 
+def test_files_of_any_name_are_read(spark, tmp_path):
+    folder = tmp_path / "letterboxd.csv"
+    folder.mkdir()
+    for i, name in enumerate(("a b.csv", "c%20d.csv", "é+ü.csv")):
+        (folder / name).write_text(f"Date,Name\n2024-01-0{i + 1},X\n")
+    films = read_exports(spark, str(tmp_path), multi_line=False)["letterboxd"]
+    assert rows(films, "Date") == [("2024-01-01",), ("2024-01-02",), ("2024-01-03",)]
+
+
 def rows_read(df):
     """Rows that a plan of one scan and a filter takes from its files."""
     df.collect()

@@ -19,6 +19,7 @@ from omnishelf.llm import (
     licenses,
     near_dedup,
     packing,
+    registry,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -63,6 +64,12 @@ def test_suffix_dedup(docs, rows, length, gram, shard):
         assert r.text in kept
 
 
+def test_suffix_dedup_query_returns_the_columns_of_its_sql(spark, docs, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.QUERIES["op1_suffix_array_dedup"](spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
 def _without(text, spans):
     body, out, last = text.encode(), b"", 0
     for s in spans:

@@ -23,6 +23,8 @@ from verification.oracle_models import sk
 QUERIES = {}
 ORACLE = {}
 RUN_AT = "2024-05-01 09:30:00"
+# Documents in one file of landed JSON.
+PAYLOAD_ROWS = 500_000
 
 
 def registered(sql: str | None):
@@ -730,12 +732,14 @@ def qa_duplicates_copies(t, spark):
 
 
 def _payload(df: DataFrame, kind: str, keep_nulls: bool = False, **fields) -> DataFrame:
-    """Land rows as JSON lines in the shared folder and read them as the jobs read payloads."""
+    """Land rows as JSON lines in the shared folder and read them as the jobs read payloads. JSON
+    repeats its names, so the files are compressed; such a file is one task's, hence their size."""
     spark = df.sparkSession
     path = f"{working_folder(spark)}/landed-{uuid.uuid4().hex}"
     nulls = {"ignoreNullFields": str(not keep_nulls).lower()}
     document = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), nulls)
-    df.select(document.alias("value")).write.text(path)
+    landed = df.select(document.alias("value")).write.option("maxRecordsPerFile", PAYLOAD_ROWS)
+    landed.text(path, compression="lz4")
     return read_payload(spark, path, kind)
 
 

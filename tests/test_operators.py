@@ -129,6 +129,20 @@ def test_outer_unify_with_empty_sides(spark):
 LABELS = [("folk", "Folk et monde"), ("world", "Folk et monde"), ("rock", "Rock"), ("noise", None)]
 
 
+@pytest.mark.parametrize("distinct", [True, False])
+def test_map_tokens_groups_labels_in_one_step(spark, distinct):
+    """One shuffle counts, two join the mapping, one gathers, two join the labels back."""
+    mapping = spark.createDataFrame(LABELS, "token_key string, label string")
+    df = spark.createDataFrame([(1, "World, Folk")], "id int, g string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = op.map_tokens(df, split_csv("g"), mapping, "out", ["id"], distinct=distinct)
+        assert plan_of(got).count("Exchange hashpartitioning") <= 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 @pytest.mark.parametrize("more", [0, 1200])
 def test_map_tokens_for_any_mapping(spark, more):
     """1,200 further rows of the mapping change nothing, also where rows share an id."""

@@ -28,6 +28,8 @@ LEAST_BYTES = 32
 # Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
+# Windows whose keys are made and looked up at a time, and slots that sort out keys of no item.
+WINDOWS, _KEY_BITS = 2048, 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -100,31 +102,74 @@ class Embedding:
         self.moves = rng.integers(0, 2, (WALKS, self.steps, 256)).astype(np.uint8)
         self.weights = rng.integers(1, 1 << 62, TABLES, dtype=np.int64) | 1
         picks = rng.integers(0, self.steps, (TABLES, SAMPLES))
-        self.picks = [
-            [[t for t in range(w, TABLES, WALKS) if step in picks[t]] for step in range(self.steps)]
-            for w in range(WALKS)
-        ]
+        self.picks: list[list[int]] = [[] for _ in range(self.steps)]
+        for t in range(TABLES):
+            for step in {*picks[t].tolist()}:
+                self.picks[step].append(t)
+        # All walks take a step at once: the moves of a step, one walk's bytes after the other's.
+        self.turns = np.ascontiguousarray(self.moves.transpose(1, 0, 2)).reshape(self.steps, -1)
 
     def keys(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Table keys (tables x starts). ``data`` must reach ``steps`` bytes behind each start."""
         out = np.zeros((TABLES, len(starts)), np.int64)
-        for w in range(WALKS):
-            at = starts.copy()
+        walk = np.arange(0, WALKS * 256, 256)[:, None]
+        for a in range(0, len(starts), WINDOWS):
+            at = np.repeat(starts[None, a : a + WINDOWS], WALKS, axis=0)
             for step in range(self.steps):
                 byte = data[at]
-                for t in self.picks[w][step]:
-                    out[t] = out[t] * self.weights[t] + byte + 1
-                at += self.moves[w, step][byte]
+                for t in self.picks[step]:
+                    key = out[t, a : a + WINDOWS]
+                    key *= self.weights[t]
+                    key += byte[t % WALKS]
+                    key += 1
+                at += self.turns[step][byte + walk]
         return out
 
 
+class Keys:
+    """The keys of one class's items in all tables, in one order for one search."""
+
+    _ODD, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+    def __init__(self, keys: np.ndarray, items: np.ndarray):
+        """``keys`` (tables x items) and the numbers of the items."""
+        spread = self._spread(keys).ravel()
+        order = np.argsort(spread, kind="stable")
+        self.spread = spread[order]
+        self.table = np.repeat(np.arange(len(keys)), len(items))[order]
+        self.item, self.key = np.tile(items, len(keys))[order], keys.ravel()[order]
+        self.filter = np.zeros(1 << _KEY_BITS, bool)
+        self.filter[self._slots(self.spread)] = True
+
+    def _spread(self, keys: np.ndarray) -> np.ndarray:
+        salt = np.arange(1, len(keys) + 1, dtype=np.uint64) * self._SALT
+        return (keys.astype(np.uint64) + salt[:, None]) * self._ODD
+
+    @staticmethod
+    def _slots(spread: np.ndarray) -> np.ndarray:
+        return (spread >> np.uint64(64 - _KEY_BITS)).astype(np.int64)
+
+    def matches(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) whose keys agree in some table, for keys (tables x windows); may repeat."""
+        spread = self._spread(keys)
+        table, window = np.nonzero(self.filter[self._slots(spread)])
+        wanted = spread[table, window]
+        low = np.searchsorted(self.spread, wanted, "left")
+        count = np.searchsorted(self.spread, wanted, "right") - low
+        first = np.cumsum(count) - count
+        at = np.arange(int(count.sum())) - np.repeat(first - low, count)
+        table, window = np.repeat(table, count), np.repeat(window, count)
+        same = (self.table[at] == table) & (self.key[at] == keys[table, window])
+        return window[same], self.item[at[same]]
+
+
 class Benchmark:
     """One block of items, made ready for the search."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         # Inside, an item goes by its place in the block: ids may repeat or be null.
         self.ids = [item_id for item_id, _ in items]
-        self.classes, self.short, self.grams = [], [], {}
+        self.classes, self.keys, self.short, self.grams = [], [], [], []
         parts: list[tuple[int, int, int, int, int]] = []
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         long = []
@@ -135,8 +180,8 @@ class Benchmark:
             if len(body) >= LEAST_BYTES:
                 long.append((place, body))
                 data = np.frombuffer(body, np.uint8)
-                self.grams[place] = np.unique(_grams(data))
-                self.filter[self.grams[place]] = True
+                self.grams.append(np.unique(_grams(data)))
+                self.filter[self.grams[-1]] = True
                 words, m = _words(data), len(body)
                 edits = int(EDIT_SHARE * m)
                 size = m // (edits + 1)
@@ -153,6 +198,9 @@ class Benchmark:
         self.head_filter = np.zeros(1 << _FILTER_BITS, bool)
         self.head_filter[_slots(self.heads)] = True
         self.lengths = np.array([len(b) for _, b in long], np.int64)
+        self.edits = (EDIT_SHARE * self.lengths).astype(np.int64)
+        self.needs = np.array([self.least(len(b)) for _, b in long], np.int64)
+        number = {place: k for k, (place, _) in enumerate(long)}
         long.sort(key=lambda x: (len(x[1]), x[0]))
         while long:
             length = len(long[0][1])
@@ -164,6 +212,7 @@ class Benchmark:
             padded = np.frombuffer(b"".join(bodies), np.uint8)
             keys = embedding.keys(padded, np.cumsum(sizes) - sizes)
             least = self.least(length)
+            self.keys.append(Keys(keys, np.array([number[place] for place, _ in mine])))
             order = np.argsort(keys, axis=1, kind="stable")
             self.classes.append(
                 (embedding, least, mine, np.take_along_axis(keys, order, axis=1), order)
@@ -175,34 +224,44 @@ class Benchmark:
         return max(1, length - GRAM + 1 - int(EDIT_SHARE * length) * GRAM)
 
     def candidates(self, data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, padded: np.ndarray):
-        """(row, place of the item, item, stretches of the data that may hold it, apart and in order)."""
+        """(row, number of the item, bounds of a stretch of the data) for stretches that share grams
+        enough with the item; those of one row and item lie apart and in order."""
         words = _words(data)
         slots = _slots(words)
         hit = np.zeros(len(data) + 1, np.int32)
         if len(data) >= GRAM:
             np.cumsum(self.filter[slots], out=hit[1 : len(data) - GRAM + 2])
             hit[len(data) - GRAM + 2 :] = hit[len(data) - GRAM + 1]
-        found: dict = {}
-        for start, item in self.proposed(hit, data, starts, padded):
-            row = int(np.searchsorted(bounds, start, "right")) - 1
-            found.setdefault((row, *item), set()).add(start)
-        for row, start, k in self.parted(hit, words, slots, bounds):
-            found.setdefault((row, *self.long[k]), set()).add(start)
-        out = []
-        for (row, item, body), places in found.items():
-            m, spans = len(body), []
-            edits = int(EDIT_SHARE * m)
-            for start in sorted(places):
-                lo, hi = max(int(bounds[row]), start - edits), min(int(bounds[row + 1]), start + m + edits)
-                if spans and lo <= spans[-1][1]:
-                    spans[-1][1] = max(hi, spans[-1][1])
-                else:
-                    spans.append([lo, hi])
-            out.append((row, item, body, spans))
+        start, item = self.proposed(hit, data, starts, padded)
+        row = np.searchsorted(bounds, start, "right") - 1
+        found = zip((row, start, item), self.parted(hit, words, slots, bounds), strict=True)
+        row, start, item = (np.concatenate(x) for x in found)
+        if not len(row):
+            return []
+        order = np.lexsort((start, row, item))
+        row, start, item = row[order], start[order], item[order]
+        lo = np.maximum(bounds[row], start - self.edits[item])
+        hi = np.minimum(bounds[row + 1], start + self.lengths[item] + self.edits[item])
+        # Both bounds rise with the start, so a stretch ends where the next one begins behind it.
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (lo[1:] > hi[:-1])
+        first = np.flatnonzero(new)
+        row, item, lo, hi = row[first], item[first], lo[first], hi[np.append(first[1:], len(row)) - 1]
+        # Grams of any item bound those of this one; what is left is counted with its own grams.
+        fine = hit[np.maximum(hi - GRAM + 1, lo)] - hit[lo] >= self.needs[item]
+        out, known = [], -1
+        mark = np.zeros(1 << _FILTER_BITS, bool) if fine.any() else None
+        for r, k, a, b in zip(*(x[fine].tolist() for x in (row, item, lo, hi)), strict=True):
+            if k != known:
+                if known >= 0:
+                    mark[self.grams[known]] = False
+                mark[self.grams[k]], known = True, k
+            if np.count_nonzero(mark[slots[a : b - GRAM + 1]]) >= self.needs[k]:
+                out.append((r, k, a, b))
         return out
 
     def parted(self, hit: np.ndarray, words: np.ndarray, slots: np.ndarray, bounds: np.ndarray):
-        """(row, start, place of the item) where a part of an item stands and there are grams enough."""
+        """(row, start, number of the item) where a part of an item stands and there are grams enough."""
         at = np.flatnonzero(self.head_filter[slots])
         low = np.searchsorted(self.heads, words[at], "left")
         count = np.searchsorted(self.heads, words[at], "right") - low
@@ -213,34 +272,28 @@ class Benchmark:
         same = words[last] == self.tails[part]
         at, start, item = at[same], (at - offset)[same], item[same]
         row = np.searchsorted(bounds, at, "right") - 1
-        m = self.lengths[item]
-        edits = (EDIT_SHARE * m).astype(np.int64)
+        m, edits = self.lengths[item], self.edits[item]
         lo = np.maximum(bounds[row], start - edits)
         hi = np.minimum(bounds[row + 1], start + m + edits)
         need = m - GRAM + 1 - edits * GRAM
         fine = hit[np.maximum(hi - GRAM + 1, lo)] - hit[lo] >= need
-        return zip(row[fine].tolist(), start[fine].tolist(), item[fine].tolist(), strict=True)
+        return row[fine], start[fine], item[fine]
 
     def proposed(self, hit: np.ndarray, data: np.ndarray, starts: np.ndarray, padded: np.ndarray):
-        """(start, item) whose keys agree in some table, without repeats.
+        """(start, number of the item) whose keys agree in some table, without repeats.
 
         A class counts grams by its shortest item. Of a longer one all edits may lie in the window,
         which then has too few; such items are left to their parts, which count by the item.
         """
-        seen = set()
-        for embedding, least, items, keys, order in self.classes:
+        found = [np.zeros(0, np.int64)]
+        for (embedding, least, *_), known in zip(self.classes, self.keys, strict=True):
             stop = np.minimum(starts + embedding.length - GRAM + 1, len(data))
             chosen = starts[hit[stop] - hit[starts] >= least]
-            if not len(chosen):
-                continue
-            found = embedding.keys(padded, chosen)
-            for t in range(TABLES):
-                low = np.searchsorted(keys[t], found[t], "left")
-                high = np.searchsorted(keys[t], found[t], "right")
-                for i in np.flatnonzero(high > low).tolist():
-                    for k in order[t, low[i] : high[i]].tolist():
-                        seen.add((int(chosen[i]), items[k]))
-        return seen
+            for a in range(0, len(chosen), WINDOWS):
+                some = chosen[a : a + WINDOWS]
+                window, item = known.matches(embedding.keys(padded, some))
+                found.append(np.unique(some[window] * len(self.long) + item))
+        return np.divmod(np.concatenate(found), max(1, len(self.long)))
 
 
 # The block of items that this worker searched last, made ready.
@@ -255,12 +308,6 @@ def _prepared(items: list[tuple[int | None, str]]) -> Benchmark:
     return _READY[key]
 
 
-def _shared_grams(own: np.ndarray, slots: np.ndarray) -> int:
-    """How many of the slots are among the sorted ``own``."""
-    at = np.minimum(np.searchsorted(own, slots), len(own) - 1)
-    return int((own[at] == slots).sum())
-
-
 def _find(batches: Iterator[pa.RecordBatch], shared):
     bench = _prepared(shared.value)
     reach = max([e.steps for e, *_ in bench.classes], default=0) + 8
@@ -273,22 +320,16 @@ def _find(batches: Iterator[pa.RecordBatch], shared):
             first[1:] = data[:-1] == 32
             first[bounds[:-1][bounds[:-1] < len(data)]] = True
             starts = np.flatnonzero(first & (data != 32))
-            slots = _grams(data)
             padded = np.append(data, np.zeros(reach, np.uint8))
             best: dict = {}
-            for r, item, body, spans in bench.candidates(data, bounds, starts, padded):
-                m = len(body)
-                edits = int(EDIT_SHARE * m)
-                for lo, hi in spans:
-                    known = best.get((r, item))
-                    # The gram count again, now with this item's grams: far cheaper than the edits.
-                    if _shared_grams(bench.grams[item], slots[lo : hi - GRAM + 1]) < bench.least(m):
-                        continue
-                    text = data[lo:hi].tobytes()
-                    distance, end = edit_search(body, text)
-                    if distance <= edits and (known is None or distance < known[0]):
-                        back, size = edit_search(body[::-1], text[:end][::-1])
-                        best[r, item] = (distance, lo + end - size, lo + end, m)
+            for r, k, lo, hi in bench.candidates(data, bounds, starts, padded):
+                item, body = bench.long[k]
+                known = best.get((r, item))
+                text = data[lo:hi].tobytes()
+                distance, end = edit_search(body, text)
+                if distance <= bench.edits[k] and (known is None or distance < known[0]):
+                    back, size = edit_search(body[::-1], text[:end][::-1])
+                    best[r, item] = (distance, lo + end - size, lo + end, len(body))
             for item, body in bench.short:
                 whole, place = data.tobytes(), -1
                 while (place := whole.find(body, place + 1)) >= 0:

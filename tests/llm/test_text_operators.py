@@ -479,3 +479,55 @@ def test_tables_alone_reach_the_target_recall(spark, kind):
         found, total = found + int((got == own).any(axis=0).sum()), total + len(mine)
     print(f"{kind}: the tables alone propose {found / total:.3f}")
     assert total > 150 and found >= 0.95 * total
+
+
+def test_key_search_finds_what_each_table_finds():
+    """One search over the keys of all tables against a comparison table by table."""
+    rng = np.random.default_rng(9)
+    keys = rng.integers(0, 40, (decontamination.TABLES, 30)).astype(np.int64) - 20
+    asked = rng.integers(0, 400, (decontamination.TABLES, 50)).astype(np.int64) - 20
+    items = rng.permutation(30) + 7
+    window, item = decontamination.Keys(keys, items).matches(asked)
+    table, w, k = np.nonzero(asked[:, :, None] == keys[:, None, :])
+    assert len(table) and {*zip(window.tolist(), item.tolist())} == {*zip(w.tolist(), items[k].tolist())}
+    assert len(window) == len(table)
+
+
+def test_walks_taken_together_give_the_keys_of_each():
+    """Keys from the definition, walk by walk and window by window."""
+    rng = np.random.default_rng(10)
+    embedding = decontamination.Embedding(40, 3)
+    data = rng.integers(97, 123, 200).astype(np.uint8)
+    starts = np.array([0, 5, 5, 90])
+    got = embedding.keys(data, starts)
+    for t in range(decontamination.TABLES):
+        for n, at in enumerate(starts.tolist()):
+            key = 0
+            for step in range(embedding.steps):
+                byte = int(data[at])
+                if t in embedding.picks[step]:
+                    key = (key * int(embedding.weights[t]) + byte + 1) % (1 << 64)
+                at += int(embedding.moves[t % decontamination.WALKS, step, byte])
+            assert int(got[t, n]) % (1 << 64) == key
+
+
+def test_candidates_take_no_step_per_proposal(monkeypatch):
+    """Proposals of the tables are sorted out by arrays, not one search of the bounds each."""
+    item = "a question about rivers of the north, their length and the cities near them"
+    bench = decontamination.Benchmark([(1, item)])
+    rows = [f"{item} and row {i} has other words behind".encode() for i in range(100)]
+    ends = np.cumsum([0, *map(len, rows)])
+    data, bounds, _ = decontamination.normalise(np.frombuffer(b"".join(rows), np.uint8), ends)
+    starts = np.flatnonzero(np.append(True, data[:-1] == 32))
+    padded = np.append(data, np.zeros(500, np.uint8))
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+    found = bench.candidates(data, bounds, starts, padded)
+    assert {r for r, *_ in found} == {*range(100)} and len(calls) < 30
+    monkeypatch.undo()
+    for none in (b"", b"nothing of the kind"):
+        data, ends = np.frombuffer(none, np.uint8), np.array([0, len(none)])
+        padded = np.append(data, np.zeros(500, np.uint8))
+        for items in ([(1, item)], [(2, "short")], []):
+            some = decontamination.Benchmark(items)
+            assert some.candidates(data, ends, np.arange(min(1, len(none))), padded) == []

@@ -27,6 +27,9 @@ COLUMNS = 8
 CAUTION = 2.1
 # Candidates looked at before the bound is drawn tighter: at first, and at most.
 CHUNK, MOST_CHUNK = 64, 1024
+# Queries that scan a chunk together. Whole blocks are compared, instead of pair by pair, for so many
+# queries or more and while such a share of their pairs is left.
+TOGETHER, LEAST_TOGETHER, DENSE = 256, 8, 0.25
 # Vectors and queries that one task compares at a time; a hot list is dealt over several.
 CELL_VECTORS, CELL_QUERIES = 8192, 2048
 # Coordinates that one task should look at.
@@ -108,43 +111,86 @@ class Cell:
         self.looked = 0
 
     def scan(self, query_id: int, query: np.ndarray, target: np.ndarray, k: int, least: float):
-        """The ``k`` best candidates with an inner product of ``least`` or more: ids and products.
-
-        Candidates are looked at in chunks, block by block. After each block a test asks whether a
-        candidate's partial distance could still belong to a full one within the bound; those that
-        fail are abandoned. The bound is the distance of ``least`` and then of the k-th best found.
-        """
-        far = float(query @ query) + self.index.longest**2
-        bound = max(far - 2 * least, 0.0) * (1 + 1e-9)
-        best_ids, best_scores = np.zeros(0, np.int64), np.zeros(0)
+        """The ``k`` best candidates with an inner product of ``least`` or more: ids and products."""
+        asked = np.array([query_id]), query[None], target[None], np.array([least], float)
+        return self.scan_all(*asked, k)[1:]
+
+    def scan_all(self, query_ids: np.ndarray, queries: np.ndarray, targets: np.ndarray,
+                 least: np.ndarray, k: int):
+        """The ``k`` best candidates of each query with an inner product of its ``least`` or more:
+        numbers of the queries, ids and products."""
+        out = []
+        for a in range(0, len(queries), TOGETHER):
+            own = slice(a, a + TOGETHER)
+            q, ids, scores = self._together(query_ids[own], queries[own], targets[own], least[own], k)
+            out.append((q + a, ids, scores))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def _together(self, query_ids, queries, targets, least, k: int):
+        """Candidates are looked at in chunks, block by block. After each block a test asks whether
+        a candidate's partial distance could still belong to a full one within the query's bound;
+        those that fail are abandoned. The bound is the distance of ``least`` and then of the k-th
+        best found."""
+        far = np.einsum("ij,ij->i", queries, queries) + self.index.longest**2
+        bound = np.maximum(far - 2 * least, 0.0) * (1 + 1e-9)
+        best_q, best_ids, best_scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         a, chunk = 0, CHUNK
         while a < len(self.ids):
-            alive = np.flatnonzero(self.ids[a : a + chunk] != query_id) + a
+            q, v = self._near(slice(a, a + chunk), query_ids, targets, bound, far)
             a, chunk = a + chunk, min(2 * chunk, MOST_CHUNK)
-            partial = np.zeros(len(alive))
-            for c, block in enumerate(self.blocks):
-                seen = c * COLUMNS + block.shape[1]
-                part = block[alive] - target[c * COLUMNS : seen]
+            if not len(q):
+                continue
+            scores = np.einsum("ij,ij->i", self.raw[v], queries[q])
+            best_q = np.concatenate([best_q, q])
+            best_ids = np.concatenate([best_ids, self.ids[v]])
+            best_scores = np.concatenate([best_scores, scores])
+            order = np.lexsort((best_ids, -best_scores, best_q))
+            rank = np.arange(len(order)) - np.searchsorted(best_q[order], best_q[order], "left")
+            order, rank = order[rank < k], rank[rank < k]
+            best_q, best_ids, best_scores = best_q[order], best_ids[order], best_scores[order]
+            full = rank == k - 1
+            tighter = np.maximum(far[best_q[full]] - 2 * best_scores[full], 0.0) * (1 + 1e-9)
+            bound[best_q[full]] = np.minimum(bound[best_q[full]], tighter)
+        return best_q, best_ids, best_scores
+
+    def _near(self, chunk: slice, query_ids, targets, bound, far):
+        """(query, candidate) pairs of a chunk that no block's test abandons.
+
+        Blocks are compared whole, by a matrix product, while many pairs are left, then pair by
+        pair. ``far`` scales what the product's rounding may add to a distance.
+        """
+        alive = self.ids[chunk] != query_ids[:, None]
+        partial, q, v = np.zeros(alive.shape), None, None
+        if len(alive) < LEAST_TOGETHER:
+            q, v = np.nonzero(alive)
+            partial, v = partial[q, v], v + chunk.start
+        for c, block in enumerate(self.blocks):
+            seen = c * COLUMNS + block.shape[1]
+            wanted = targets[:, c * COLUMNS : seen]
+            slack = (1 + CAUTION / np.sqrt(seen)) ** 2 if seen < self.width else 1 + 1e-9
+            most = bound * (seen / self.width) * slack + 1e-12 * (1 + far)
+            if q is None:
+                own = block[chunk]
+                self.looked += partial.shape[0] * own.size
+                ones = np.ones((len(wanted), 1)), np.ones((len(own), 1))
+                sums = [np.einsum("ij,ij->i", x, x)[:, None] for x in (wanted, own)]
+                partial += np.hstack([-2 * wanted, ones[0], sums[0]]) @ np.hstack([own, sums[1], ones[1]]).T
+                alive &= partial <= most[:, None]
+                if np.count_nonzero(alive) < DENSE * alive.size:
+                    q, v = np.nonzero(alive)
+                    partial, v = partial[q, v], v + chunk.start
+            else:
+                part = block[v] - wanted[q]
                 self.looked += part.size
                 partial = partial + np.einsum("ij,ij->i", part, part)
-                if np.isfinite(bound):
-                    slack = (1 + CAUTION / np.sqrt(seen)) ** 2 if seen < self.width else 1 + 1e-9
-                    stay = partial <= bound * (seen / self.width) * slack + 1e-12
-                    alive, partial = alive[stay], partial[stay]
-                if not len(alive):
-                    break
-            if not len(alive):
-                continue
-            best_ids = np.concatenate([best_ids, self.ids[alive]])
-            best_scores = np.concatenate(
-                [best_scores, np.einsum("ij,j->i", self.raw[alive], query)]
-            )
-            order = np.lexsort((best_ids, -best_scores))[:k]
-            best_ids, best_scores = best_ids[order], best_scores[order]
-            if len(best_ids) == k:
-                tighter = max(far - 2 * float(best_scores[-1]), 0.0) * (1 + 1e-9)
-                bound = min(bound, tighter)
-        return best_ids, best_scores
+                stay = partial <= most[q]
+                q, v, partial = q[stay], v[stay], partial[stay]
+            if q is not None and not len(q):
+                break
+        if q is None:
+            q, v = np.nonzero(alive)
+            v = v + chunk.start
+        return q, v
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -192,19 +238,14 @@ _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score",
 
 def _cell(vectors: pa.Table, queries: pa.Table, shared, k: int) -> pa.Table:
     """What the queries of a cell find among its vectors."""
-    out = []
+    columns = [[]] * 3
     if len(vectors) and len(queries):
         vectors = vectors.sort_by("vec_id")
         cell = Cell(shared.value, vectors["vec_id"].to_numpy(), _matrix(vectors["vector"]))
-        asked = _matrix(queries["query"])
-        targets = shared.value.place(asked, query=True)
-        bounds = queries["least"].to_numpy()
-        for q, query, target, least in zip(
-            queries["query_id"].to_numpy(), asked, targets, bounds, strict=True
-        ):
-            ids, scores = cell.scan(q, query, target, k, least)
-            out.append((np.full(len(ids), q), ids, scores))
-    columns = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [[]] * 3
+        asked, ids = _matrix(queries["query"]), queries["query_id"].to_numpy()
+        targets, least = shared.value.place(asked, query=True), queries["least"].to_numpy()
+        q, *found = cell.scan_all(ids, asked, targets, least, k)
+        columns = [ids[q], *found]
     return pa.Table.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND
     )

@@ -120,6 +120,37 @@ def test_scans_abandon_candidates(spark, kind, most):
     assert share < most and hits >= 0.97 * 20 * len(asked)
 
 
+def test_queries_scan_together_as_one_by_one():
+    """Blocks compared whole give what pairs give, for scores of any size, with far fewer steps."""
+    x = clusters(np.random.default_rng(5), 3000, 32, 25)
+    x[100:300] = x[100]
+    for size in (1.0, 1e6):
+        y = x * size
+        turn, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((33, 33)))
+        index = vectors.Index(float(np.sqrt((y**2).sum(axis=1).max())), turn, np.zeros((0, 33)))
+        cell = vectors.Cell(index, np.arange(len(y)), y)
+        asked = np.arange(0, len(y), 10)
+        targets = index.place(y[asked], query=True)
+        least = np.array([np.sort(y @ y[q])[-60] if q % 30 else -np.inf for q in asked])
+        q, ids, scores = cell.scan_all(asked, y[asked], targets, least, 20)
+        for n, query in enumerate(asked):
+            alone = cell.scan(query, y[query], targets[n], 20, least[n])
+            assert np.array_equal(ids[q == n], alone[0]) and np.array_equal(scores[q == n], alone[1])
+            assert query not in ids[q == n]
+
+
+def test_a_cell_does_not_step_query_by_query(monkeypatch):
+    """Steps of a cell follow the chunks of its vectors, not its queries times those."""
+    x = np.random.default_rng(6).standard_normal((500, 16))
+    turn, _ = np.linalg.qr(np.random.default_rng(11).standard_normal((17, 17)))
+    index = vectors.Index(float(np.sqrt((x**2).sum(axis=1).max())), turn, np.zeros((0, 17)))
+    cell = vectors.Cell(index, np.arange(len(x)), x)
+    calls, near = [], vectors.Cell._near
+    monkeypatch.setattr(vectors.Cell, "_near", lambda self, *a: calls.append(1) or near(self, *a))
+    cell.scan_all(np.arange(500), x, index.place(x, query=True), np.full(500, -np.inf), 20)
+    assert len(calls) <= 2 * 4
+
+
 def test_a_repeated_query_asks_with_its_least_vector(spark):
     rng = np.random.default_rng(4)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((200, 6)))]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from omnishelf.llm.common import ready, steps
+from omnishelf.llm.common import kept_for, ready, steps
 
 # Edits allowed, as a share of the item's bytes.
 EDIT_SHARE = 0.08
@@ -296,16 +296,13 @@ class Benchmark:
         return np.divmod(np.concatenate(found), max(1, len(self.long)))
 
 
-# The block of items that this worker searched last, made ready.
-_READY: dict[int, Benchmark] = {}
-
-
 def _prepared(items: list[tuple[int | None, str]]) -> Benchmark:
-    key = hash(tuple(items))
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = Benchmark(items)
-    return _READY[key]
+    """The block of items, made ready; the worker keeps the one it searched last."""
+    last, key = kept_for("decontamination"), hash(tuple(items))
+    if key not in last:
+        last.clear()
+        last[key] = Benchmark(items)
+    return last[key]
 
 
 def _find(batches: Iterator[pa.RecordBatch], shared):

@@ -11,9 +11,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Entries of each of a worker's two memos, parts and words: about 150 MB at most for each. A full memo
+from omnishelf.llm.common import kept_for
+
+# Entries of each of a worker's two memos, parts and words: about 75 MB at most for each. A full memo
 # of parts is emptied; of the words the older half goes. Results do not depend on it.
-MEMO_ENTRIES = 700_000
+MEMO_ENTRIES = 350_000
 # Longer parts are not kept.
 MEMO_CHARS = 64
 
@@ -208,12 +210,9 @@ class WordEncoder:
         return ids
 
 
-_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
-
-
 def encoder(path: str, keeps_blanks: bool) -> WordEncoder:
     """One encoder per worker and file, so that its memo serves all tasks of the worker."""
-    key = (path, keeps_blanks)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, keeps_blanks)
-    return _ENCODERS[key]
+    encoders, key = kept_for("encoding"), (path, keeps_blanks)
+    if key not in encoders:
+        encoders[key] = WordEncoder(path, keeps_blanks)
+    return encoders[key]

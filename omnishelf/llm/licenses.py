@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from omnishelf.llm.common import ready
+from omnishelf.llm.common import kept_for, ready
 
 # The base phrases and their labels.
 BASE = {
@@ -159,8 +159,6 @@ class Scanner:
                 ",".join(sorted(labels)), score, found)
 
 
-_SCANNERS: dict[int, Scanner] = {}
-
 _HIT = pa.struct([("notice", pa.string()), ("label", pa.string()), ("first_word", pa.int64()),
                   ("n_words", pa.int64()), ("edits", pa.int64())])
 _COLUMNS = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
@@ -169,8 +167,8 @@ _COLUMNS = [("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.i
 
 
 def _scan(batches: Iterator[pa.RecordBatch]):
-    scanner = _SCANNERS.setdefault(0, None) or Scanner()
-    _SCANNERS[0] = scanner
+    kept = kept_for("licenses")
+    scanner = kept["scanner"] = kept.get("scanner") or Scanner()
     for batch in batches:
         rows = [scanner.scan(t.as_py()) for t in batch.column(1)]
         columns = zip(*rows, strict=True) if rows else [[]] * len(_COLUMNS)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from omnishelf.llm.common import ready
+from omnishelf.llm.common import kept_for, ready
 from omnishelf.llm.features import TERMS, term_counts
 
 # Labelled training rows of each class that are fitted, chosen by hash of their id. This bounds what
@@ -124,6 +124,7 @@ def fit(counts: Counts, labels: np.ndarray, share_of_one: float) -> Neighbours:
 
 
 def _collect(batches: Iterator[pa.RecordBatch]):
+    kept_for("quality")
     for batch in batches:
         terms, values = [], []
         for block in term_counts(batch.column(1)):
@@ -197,6 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality",
 
 
 def _scored(batches: Iterator[pa.RecordBatch], shared, names: list[str], text_at: int):
+    kept_for("quality")
     model = shared.value
     for batch in batches:
         parts = [model.score(c) for c in term_counts(batch.column(text_at))] if model else []

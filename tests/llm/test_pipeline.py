@@ -9,11 +9,13 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from omnishelf.llm.common import stored
+from omnishelf.llm import encoding, quality
+from omnishelf.llm.common import BATCH_BYTES, kept_for, ready, stored
 from omnishelf.llm.decontamination import EDIT_SHARE, edit_search
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -134,3 +136,33 @@ def test_stages(spark, docs, rows, tmp_path_factory):
         for s in range(0, len(x), 2048):
             want[(r.doc_id, s, zlib.crc32(x[s : s + 2048].tobytes()))] += 1
     assert Counter((p.doc_id, p.start, p.ids_crc32) for p in pieces) == want
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    """Rows of 8 KB: 10,000 of them, Spark's bound, would be one batch of 64 MB."""
+    long = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("word "), 1600).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["b", "n"])
+
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(bound, "1b")
+    try:
+        spark.conf.unset(bound)
+        ready(spark)
+        got = long.mapInArrow(sizes, "b long, n long").collect()
+        assert max(r.b for r in got) <= BATCH_BYTES * 1.1 and sum(r.n for r in got) == 3000
+        spark.conf.set(bound, "3m")
+        ready(spark)
+        assert spark.conf.get(bound) in ("3m", "3145728", "3145728b")
+    finally:
+        spark.conf.set(bound, was) if was != "1b" else spark.conf.unset(bound)
+
+
+def test_a_worker_drops_what_it_kept_for_another_operator():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    first = encoding.encoder(path, True)
+    assert encoding.encoder(path, True) is first
+    assert list(quality._collect(iter([]))) == []
+    assert not kept_for("quality") and encoding.encoder(path, True) is not first

@@ -23,7 +23,7 @@ from omnishelf.operators.matching import (
     outer_unify,
 )
 from omnishelf.operators.rollup import rollup_sources
-from omnishelf.operators.tokens import map_tokens
+from omnishelf.operators.tokens import label_texts, map_tokens
 
 __all__ = [
     "accepted_values",
@@ -35,6 +35,7 @@ __all__ = [
     "first_per_key",
     "fold_histories",
     "keep_latest",
+    "label_texts",
     "latest_with_bounds",
     "map_tokens",
     "match_passes",

@@ -248,6 +248,24 @@ def test_screen_plans_read_stored_steps(spark, lookups, tmp_path):
                 assert plan.count("FileScan") <= 12, (domain, strict)
 
 
+def test_rows_of_their_own_are_not_grouped_for_labels(spark, ours, lookups, tmp_path):
+    """Shelf rows and keys of the tracker take labels by their text: the shelf is not shuffled by id,
+    and the histories are folded once."""
+    staged = {n.split(".")[1]: df for n, df in ours.items() if n.startswith("staging.")}
+    seen = []
+    with scratch(spark, str(tmp_path)) as store:
+
+        def watched(df):
+            seen.append(plan_of(df))
+            return store(df)
+
+        for domain in ("movies", "anime"):
+            plans.unify(domain, staged, lookups, False, watched)
+    spines = [plan for plan in seen if "tracker_labels" in plan]
+    assert [plan.count("Exchange hashpartitioning(match_key") for plan in spines] == [1, 1]
+    assert "hashpartitioning(album_id" not in plan_of(plans.unify("music", staged, lookups))
+
+
 def test_checks_read_each_relation_once(ours, lookups):
     frames = {"movies": ours["unified.movies"], "movies_collection": ours["mart.movies_collection"]}
     plan = plan_of(quality.run_checks(frames))

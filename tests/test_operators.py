@@ -162,6 +162,26 @@ def test_map_tokens_for_any_mapping(spark, more):
     assert {r.out for r in every.filter("id = 7").collect()} == {"Folk et monde,Rock,Rock"}
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+@pytest.mark.parametrize("distinct", [True, False])
+def test_label_texts_as_map_tokens(spark, distinct, limit):
+    """Rows of their own get by their text what they get by their id, however often a text occurs."""
+    mapping = spark.createDataFrame(LABELS, "token_key string, label string")
+    texts = ["World, Folk", "world,Folk", "Noise", None, "", " rock ,Jazz,FOLK", "rock,Rock"]
+    data = [(i, text) for i, text in enumerate(texts * 3)]
+    df = spark.createDataFrame(data, "id int, g string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        lookup = op.label_texts(df.select("g"), split_csv, mapping, distinct)
+        got = rows(op.attach(df, lookup, {"text": "g"}, {"out": "label"}))
+        assert got == rows(op.map_tokens(df, split_csv("g"), mapping, "out", ["id"], distinct))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == len(data) and lookup.count() == 4
+    assert (5, texts[5], "Folk et monde,Rock") in got and (3, None, None) in got
+
+
 def test_lookup_never_multiplies_rows(spark):
     names = spark.createDataFrame(
         [("Kim", "Korea"), ("KIM ", "Corea"), ("Ana", "Spain")], "author string, country string"

@@ -102,6 +102,35 @@ def test_suffix_array_is_sorted():
         assert shared[i] == want
 
 
+def _passages(rng, alphabet, size, length):
+    """Texts that share passages longer than ``length``, each going on differently behind them."""
+    pool = ["".join(rng.choices(alphabet, k=rng.randint(length, 3 * length))) for _ in range(4)]
+    def piece():
+        p = rng.choice(pool)
+        a = rng.randrange(len(p) // 2)
+        return p[a : rng.randint(a + 1, len(p))]
+    glue = lambda: "".join(rng.choices(alphabet, k=rng.randint(0, length)))
+    return ["".join(piece() + glue() for _ in range(rng.randint(1, 4))) for _ in range(size)]
+
+
+@pytest.mark.parametrize("length", [9, 20, 400])
+def test_repeated_strings_of_passages_that_go_on_differently(length):
+    rng = random.Random(length)
+    for _ in range(60 if length < 400 else 6):
+        texts = [t.encode() for t in _passages(rng, "ab" if length < 400 else "abc", 12, length)]
+        count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+        want = [[count[t[i : i + length]] > 1 for i in range(len(t) - length + 1)] for t in texts]
+        got = suffix_dedup.repeated_strings([np.frombuffer(t, np.uint8) for t in texts], length)
+        assert [g.tolist() for g in got] == want
+
+
+def test_suffix_dedup_of_passages_that_go_on_differently(spark):
+    rows = list(enumerate(_passages(random.Random(3), "ab", 150, 400)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(frame).collect()
+    assert Counter(tuple(r)[:5] for r in got) == brute_removed(rows, 400)
+
+
 def test_licenses(spark, docs, rows):
     lines = ["Under the MIT-License", "under the mit license under the mit license", "apache license version 20",
              "Licenced under the Apache License, Version 2.0", "CC BY NC 4.0", "licensed under CC BY 4.0", "cc by  nc"]

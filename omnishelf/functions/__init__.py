@@ -1,4 +1,4 @@
-from omnishelf.functions.keys import norm_key, surrogate_key, uni_trim
+from omnishelf.functions.keys import key_text, norm_key, surrogate_key, uni_trim
 from omnishelf.functions.scalars import (
     blank_to_null,
     first_nonblank,
@@ -24,6 +24,7 @@ __all__ = [
     "first_token",
     "has_text",
     "json_first",
+    "key_text",
     "label_from_flags",
     "norm_key",
     "safe_date",

@@ -1,11 +1,13 @@
 """The whole build on hand-made inputs, with both settings of ``strict_reference``."""
 
+import hashlib
 import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from omnishelf.functions.keys import NULL_FIELD
 from omnishelf.plans import build as plans
 from omnishelf.plans import marts, quality
 from omnishelf.sources.readers import read_tables
@@ -54,6 +56,30 @@ def test_staging(ours):
     assert ours["staging.musicbuddy"].count() == 5
 
 
+def test_digests_are_made_after_the_shuffle(spark):
+    """Ids do not compress: rows are dealt and sorted by the text under the id."""
+    for name in ("bookbuddy", "musicbuddy", "bandcamp_collection"):
+        staged = plans.STAGES[name](fixtures.raw_sources(spark)[name])
+        above, below = plan_of(staged).split("Exchange", 1)
+        assert "md5(" in above and "md5(" not in below, name
+
+
+def test_rows_of_one_id_are_one_row_whatever_their_fields(spark):
+    """The text under an id does not tell its fields apart, and a NULL stands as a text."""
+    shelf = [("A-B", "C", "1", "2024-01-01"), ("A", "B-C", "1", "2024-01-03")]
+    shelf += [("A", None, "x", "2024-01-02"), (None, None, None, None), (None, None, "", None)]
+    names = ["Title", "Artist", "discogs Release ID", "Date Added"]
+    raw = spark.createDataFrame(shelf, ", ".join(f"`{n}` string" for n in names)).withColumns(
+        {c: F.lit(None).cast("string") for c in ("Genres", "Release Year", "Rating")}
+    )
+    got = plans.STAGES["musicbuddy"](raw)
+    assert rows(got, "title", "artist") == [(None, None), ("A", None), ("A", "B-C")]
+    assert got.columns[0] == "album_id"
+    texts = ["A-B-C-1", "A-%s-%s" % (2 * (NULL_FIELD,)), "-".join(3 * [NULL_FIELD])]
+    ids = {hashlib.md5(t.encode()).hexdigest() for t in texts}
+    assert {r.album_id for r in got.collect()} == ids
+
+
 def test_books(ours):
     got = by_title(
         ours["unified.books"], "goodreads_id", "match_type", "rating", "genre", "country"

@@ -77,6 +77,25 @@ def test_match_passes_equals_brute_force(spark):
         assert [r[0] for r in rows(rest, "id")] == want_rest
 
 
+def test_match_passes_hands_on_what_is_taken(spark):
+    """The row is chosen by all its columns, of which only the wanted ones go through the shuffles."""
+    left = spark.createDataFrame([("l1", "1", "a"), ("l2", "2", "b"), ("l3", None, "c")],
+                                 "id string, code string, title string")
+    right = spark.createDataFrame(
+        [("r1", "1", "z", 1), ("r1", "1", "y", 2), ("r2", "9", "b", 3), ("r3", "8", "q", 4)],
+        "id string, code string, title string, n int",
+    )
+    passes = {"code": ["code"], "title": ["title"]}
+    whole, rest = op.match_passes(left, right, passes, right_id="id")
+    taken, rest_too = op.match_passes(left, right, passes, right_id="id", take=["n"])
+    assert taken.schema["right"].dataType.names == ["id", "n"]
+    assert rows(rest) == rows(rest_too) == [("r3", "8", "q", 4)]
+    wanted = ["id", "right.id", "right.n", "match_type"]
+    assert rows(taken, *wanted) == rows(whole, *wanted) == [
+        ("l1", "r1", 2, "code"), ("l2", "r2", 3, "title"), ("l3", None, None, None),
+    ]
+
+
 def test_match_passes_is_linear_on_a_hot_key(spark):
     """Two thousand by two thousand rows under one code give two thousand rows, not four million."""
     left = spark.range(2000).select(F.col("id"), F.lit("hot").alias("code"))

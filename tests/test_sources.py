@@ -3,6 +3,7 @@ import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from omnishelf.plans.reports import filter_collection, find_items
 from omnishelf.sources import payloads, versions
@@ -259,6 +260,13 @@ def test_clustered_tables_skip_row_groups(spark, tmp_path):
     assert by_id.count() == 2 and rows_read(by_id) < 60_000
 
 
+def test_stored_steps_take_half_of_a_digest(spark, tmp_path):
+    ids = spark.range(0, 50_000, 1, 1).select(F.md5(F.col("id").cast("string")).alias("id"))
+    found = stored(ids, str(tmp_path))
+    assert found.exceptAll(ids).isEmpty() and found.count() == 50_000
+    assert sum(f.stat().st_size for f in tmp_path.glob("stored-*/part-*")) < 22 * 50_000
+
+
 def test_stored_uses_the_named_folder(spark):
     df = stored(spark.range(5))
     assert df.count() == 5

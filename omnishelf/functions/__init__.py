@@ -1,4 +1,11 @@
-from omnishelf.functions.keys import key_text, norm_key, surrogate_key, uni_trim
+from omnishelf.functions.keys import (
+    key_text,
+    norm_key,
+    packed_id,
+    surrogate_key,
+    uni_trim,
+    unpacked_id,
+)
 from omnishelf.functions.scalars import (
     blank_to_null,
     first_nonblank,
@@ -27,6 +34,7 @@ __all__ = [
     "key_text",
     "label_from_flags",
     "norm_key",
+    "packed_id",
     "safe_date",
     "safe_double",
     "safe_long",
@@ -37,6 +45,7 @@ __all__ = [
     "strip_sheet_quotes",
     "surrogate_key",
     "uni_trim",
+    "unpacked_id",
     "whole_number",
     "zero_to_null",
 ]

@@ -207,6 +207,15 @@ def test_music(ours):
     assert shown["all three"] == ("Ayo", True)
 
 
+def test_album_rows_are_narrow_in_the_roll_up(spark, ours, lookups):
+    """What the chosen row tells is added after the shuffle that all rows take, with ids packed."""
+    staged = {n.split(".")[1]: df for n, df in ours.items() if n.startswith("staging.")}
+    plan = plan_of(plans.unify("music", staged, lookups))
+    above, below = plan.split("Exchange hashpartitioning(title_key", 1)
+    assert "artist_display" in above and "artist_display" not in below
+    assert "unhex(" in below and "unhex(" not in above
+
+
 def test_music_strict(strict):
     genres = by_title(strict["unified.music"], "genres", "rating")
     assert genres["all three"] == ("Folk et monde,Folk et monde,Rock", 4.0)

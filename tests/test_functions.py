@@ -18,6 +18,16 @@ def test_trim_strips_all_unicode_space(spark):
     assert one(spark, fn.uni_trim("a"), a="two  words") == "two  words"
 
 
+def test_packed_ids(spark):
+    digests = ["00" * 16, "0f" * 16, "a1" * 16, "ff" * 16]
+    others = ["", "A1" * 16, "a1" * 15, "a1" * 16 + "\n", "b7", "x\u00e9"]
+    df = spark.createDataFrame([(t,) for t in [*others, *digests, None]], "id string")
+    packed = df.select("id", fn.packed_id("id").alias("p"))
+    back = packed.orderBy("p").select(fn.unpacked_id("p").alias("id"), F.octet_length("p").alias("n"))
+    assert [r.id for r in back.collect()] == [None, *digests, *sorted(others)]
+    assert {r.n for r in back.filter("length(id) = 32 AND id = lower(id)").collect()} == {17}
+
+
 def test_surrogate_key_counts_nulls_and_order(spark):
     text = "Dune-_dbt_utils_surrogate_key_null_-1965"
     want = hashlib.md5(text.encode()).hexdigest()
